@@ -8,7 +8,9 @@ every ``length`` tokens; the rest at its end is cut to powers of two, which need
 
 from __future__ import annotations
 
+import functools
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +25,7 @@ LENGTH = 4096
 END_ID = 2
 DIMENSIONS = 3
 BITS = 16
-WORDS_KEPT = 400_000
+WORDS_KEPT = 500_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -34,7 +36,8 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 class WordCache:
     """Token ids of texts. White space always ends a token in this vocabulary, so ids are looked up by word and only
-    words not met before are tokenized; the cache is emptied when it is full."""
+    words not met before are tokenized. Words live in two generations: when the young one is full it becomes the old
+    one, whose words return when they are met again; the rest go."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,21 +45,47 @@ class WordCache:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("ids must fit two bytes")
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by the end id, and the offsets of the texts."""
         split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         if len(self.known) > WORDS_KEPT:
-            self.known = {}
-        known = self.known
-        new = list({w for ws in split for w in ws if w not in known})
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u2").tobytes()
-        end = np.array([END_ID], dtype="<u2").tobytes()
-        return [np.frombuffer(b"".join([known[w] for w in ws]) + end, dtype="<u2") for ws in split]
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        new = [w for ws in split for w in ws if w not in known]
+        if new:
+            new = dict.fromkeys(new)
+            known.update((w, old[w]) for w in new if w in old)
+            new = [w for w in new if w not in known]
+            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                known[w] = struct.pack(f"<{len(e.ids)}H", *e.ids)
+        get = known.__getitem__
+        end = struct.pack("<H", END_ID)
+        raw = [b"".join(map(get, ws)) + end for ws in split]
+        offsets = np.concatenate([[0], np.cumsum([len(r) // 2 for r in raw])])
+        return np.frombuffer(b"".join(raw), dtype="<u2"), offsets
+
+
+@functools.cache
+def word_cache(path: str) -> WordCache:
+    """One a Python worker, which serves many tasks."""
+    return WordCache(path)
+
+
+@functools.cache
+def projection() -> np.ndarray:
+    return np.random.default_rng(7).standard_normal((65536, DIMENSIONS)).astype(np.float32)
+
+
+def places(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hilbert keys of the texts. Sums are taken over each text alone, so equal texts have equal keys."""
+    table = projection()
+    v = np.stack([table[ids[a : b - 1]].sum(0, dtype=np.float64) for a, b in zip(offsets, offsets[1:])])
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    return hilbert_keys(((np.round(v, 6) + 1) / 2 * (2**BITS - 1)).astype(np.int64), BITS)
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -92,16 +121,13 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame
     """(id, key, ids): every document's token ids as little-endian 16-bit numbers and its place on the curve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(path)
-        project = np.random.default_rng(7).standard_normal((65536, DIMENSIONS))
+        cache = word_cache(path)
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
                 b = whole.slice(lo, 500)
-                ids = cache.encode(b.column(1).to_pylist())
-                v = np.stack([project[x[:-1]].sum(0) for x in ids])
-                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-                key = hilbert_keys(((np.round(v, 9) + 1) / 2 * (2**BITS - 1)).astype(np.int64), BITS)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key), pa.array([x.tobytes() for x in ids], pa.binary())], names=["id", "key", "ids"])
+                ids, offsets = cache.encode(b.column(1).to_pylist())
+                packed = pa.BinaryArray.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer((offsets * 2).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(places(ids, offsets)), packed], names=["id", "key", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, key long, ids binary")

@@ -7,9 +7,11 @@ Near lines are found by a deletion-neighbourhood join. The keys of a line are it
 words; two lines are within one edit (a word inserted, deleted or replaced) only if such keys are equal. A key is
 the XOR of hashes of (word, position), so all keys of a line come from running XORs. Members of one key are not
 paired with each other: the earliest line of each key is aggregated, and every other member is verified against it.
+Lines get ids in their order, so the earliest is the least id.
 
 Before that, lines that cannot have a partner are ruled out exactly: of two lines within one edit either the first
-or the last half is the same, so only lines that share a half with another distinct line emit their variants.
+or the last half is the same, so only lines that share a half with another distinct line emit their variants, and
+only those of the other half. What is small by count is broadcast; beyond the bound the same joins shuffle.
 """
 
 from __future__ import annotations
@@ -30,74 +32,86 @@ def _key(*cols: Column | str) -> list[Column]:
     return [F.xxhash64(*cols), F.xxhash64(F.lit("2"), *cols)]
 
 
+def _row(doc: Column, text: Column) -> Column:
+    """With the id, this names a row."""
+    return F.xxhash64(text, doc)
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """(ord, h1, h2, line, n): every line of at least ``min_words`` words; ord orders lines and names their row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    doc = F.col(id_col).cast("long")
-    rows = docs.select(F.coalesce(doc, F.lit(LAST_ID)).alias("id"), *(k.alias(a) for k, a in zip(_key(text, F.coalesce(doc, F.lit(LAST_ID))), ("r1", "r2"))), F.posexplode(F.split(text, "\n")).alias("pos", "raw"))
-    rows = rows.select("id", "r1", "r2", "pos", F.trim("raw").alias("line")).withColumn("n", F.size(F.split("line", " ")))
-    rows = rows.where(F.col("n") >= min_words)
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
+    rows = docs.select(doc.alias("id"), _row(doc, text).alias("row"), F.posexplode(F.split(text, "\n")).alias("pos", "raw"))
+    rows = rows.select("id", "row", "pos", F.trim("raw").alias("line"))
+    rows = rows.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= min_words)
     h1, h2 = _key("line")
-    return rows.select(F.struct("id", "r1", "r2", "pos").alias("ord"), h1.alias("h1"), h2.alias("h2"), "line", "n")
+    return rows.select(F.struct("id", "row", "pos").alias("ord"), h1.alias("h1"), h2.alias("h2"), "line", "n")
+
+
+def _halves() -> list[Column]:
+    """Hashes of the halves of a line against one of as many words and against one of a word less or more: two first
+    halves, two last ones."""
+    n = F.col("n")
+    half, less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
+    first = [F.slice("w", F.lit(1), half), F.slice("w", F.lit(1), less)]
+    last = [F.slice("w", half + 1, n), F.slice("w", n - half + 1, n)]
+    return [F.xxhash64(F.lit("first"), x) for x in first] + [F.xxhash64(F.lit("last"), x) for x in last]
 
 
 def _near(docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """(h1, h2): distinct lines that have an earlier line within one word edit."""
-    halves = firsts.where("k is not null").select("h1", "h2", F.explode("k").alias("k"))
-    shared = halves.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k")
-    maybe = materialize(halves.join(shared, "k", "left_semi").select("h1", "h2").distinct().join(firsts.select("h1", "h2", "first"), ["h1", "h2"]), "line-candidates")
+    side = lambda i: F.lit(i >= 2)
+    halves = firsts.where("k0 is not null").select("h1", F.explode(F.array_distinct(F.array(*(F.struct(side(i).alias("last"), F.col(f"k{i}").alias("k")) for i in range(4))))).alias("s")).select("h1", "s.last", "s.k")
+    shared = halves.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("k")
+    maybe = halves.join(shared, "k", "left_semi").groupBy("h1").agg(F.max(F.when(~F.col("last"), 1).otherwise(0)).alias("by_first"), F.max(F.when(F.col("last"), 1).otherwise(0)).alias("by_last"))
+    maybe = materialize(maybe, "line-maybe")
+    n_maybe = maybe.count()
+    some = firsts.where("k0 is not null").select("h1", "h2", "first").join(bounded(maybe, n_maybe), "h1")
+    # Ids that are in the order of the lines: ranges are in order, and so are the rows of each.
+    ranked = materialize(some.repartitionByRange("first").sortWithinPartitions("first", "h1", "h2").withColumn("cid", F.monotonically_increasing_id()), "line-candidates")
     # Each candidate's words, from its earliest place only.
-    cand = bounded(maybe.select("h1", "h2", "first"), maybe.count(), BROADCAST_ROWS)
-    found = _lines(docs, id_col, text_col, min_words).join(cand, ["h1", "h2"]).where("ord = first")
-    lines = materialize(found.groupBy("h1", "h2").agg(F.min("first").alias("first"), F.min(F.split("line", " ")).alias("w")), "line-words")
-
-    words = lines.select("h1", "h2", "first", F.size("w").alias("n"), F.posexplode("w").alias("i", "word"))
-    for s in (1, 2):
-        here = F.xxhash64(F.lit(f"v{s}"), "word", "i")
-        before = F.xxhash64(F.lit(f"v{s}"), "word", F.col("i") - 1)
-        words = words.withColumn(f"x{s}", here).withColumn(f"y{s}", before)
-    line = W.partitionBy("h1", "h2")
+    found = _lines(docs, id_col, text_col, min_words).join(bounded(ranked, n_maybe), ["h1", "h2"]).where("ord = first")
+    lines = found.groupBy("cid", "by_first", "by_last").agg(F.min("line").alias("line"))
+    lines = materialize(lines.withColumn("w", F.split("line", " ")).drop("line"), "line-words")
+
+    # A line's rows stay where the line is, so the running XORs move nothing.
+    words = lines.repartition("cid").select("cid", "by_first", "by_last", F.size("w").alias("n"), F.posexplode("w").alias("i", "word"))
+    words = words.withColumn("x", F.xxhash64("word", "i")).withColumn("y", F.xxhash64("word", F.col("i") - 1)).drop("word")
+    line = W.partitionBy("cid")
     upto = line.orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
-    run = words.select("h1", "h2", "first", "n", "i", *(F.expr(f"bit_xor({c})").over(upto).alias(f"p{c}") for c in ("x1", "x2", "y1", "y2")), *(F.expr(f"bit_xor({c})").over(line).alias(f"t{c}") for c in ("x1", "x2", "y1", "y2")), "x1", "x2")
-    cut = [F.expr(f"px{s} ^ x{s} ^ ty{s} ^ py{s}").alias(f"v{s}") for s in (1, 2)]
-    variants = run.select("h1", "h2", "first", (F.col("n") - 1).alias("m"), "i", *cut)
-    whole = run.where("i = 0").select("h1", "h2", "first", F.col("n").alias("m"), F.lit(-1).alias("i"), F.col("tx1").alias("v1"), F.col("tx2").alias("v2"))
-    keys = variants.unionByName(whole)
-    keys = materialize(keys, "line-variants")
-    # A replaced word: same words left, same place. An inserted or deleted one: a variant equals a whole line.
-    best = F.min(F.struct("first", "h1", "h2"))
-    alike = keys.where("i >= 0").groupBy("v1", "v2", "m", "i").agg(best.alias("e"), F.count("*").alias("c")).where("c > 1").drop("c")
-    replaced = keys.join(alike, ["v1", "v2", "m", "i"]).select("h1", "h2", "first", "i", "e")
-    either = keys.groupBy("v1", "v2", "m").agg(F.min(F.when(F.col("i") >= 0, F.struct("first", "h1", "h2", "i"))).alias("cutmin"), F.min(F.when(F.col("i") < 0, F.struct("first", "h1", "h2"))).alias("wholemin")).where("cutmin is not null and wholemin is not null")
-    moved = keys.join(either, ["v1", "v2", "m"])
-    longer = moved.where("i >= 0").select("h1", "h2", "first", "i", F.col("wholemin").alias("e"))
-    shorter = moved.where("i < 0").select("h1", "h2", "first", F.col("cutmin.i").alias("i"), F.struct("cutmin.first", "cutmin.h1", "cutmin.h2").alias("e"))
-    pairs = replaced.unionByName(longer).unionByName(shorter).where("e.first < first").select("h1", "h2", "i", F.col("e.h1").alias("g1"), F.col("e.h2").alias("g2"))
+    run = words.select("cid", "by_first", "by_last", "n", "i", "x", *(F.expr(f"bit_xor({c})").over(upto).alias(f"p{c}") for c in "xy"), *(F.expr(f"bit_xor({c})").over(line).alias(f"t{c}") for c in "xy"))
+    # With an equal first half the edit is in the last one, and the other way round.
+    reach = "(by_first = 1 and i >= floor((n - 1) / 2)) or (by_last = 1 and i <= ceil(n / 2) - 1)"
+    cuts = run.where(reach).select("cid", "i", F.expr("xxhash64(px ^ x ^ ty ^ py, n - 1)").alias("v"))
+    whole = run.where("i = 0").select("cid", F.lit(-1).alias("i"), F.expr("xxhash64(tx, n)").alias("v"))
+    keys = materialize(cuts.unionByName(whole), "line-variants")
+    cuts, whole = keys.where("i >= 0"), keys.where("i < 0")
+    # A replaced word: equal variants without the same place. All of a group are such to each other, so each is held
+    # against the earliest alone. A word more or less: a variant equals a whole line.
+    alike = cuts.groupBy("v", "i").agg(F.min("cid").alias("e"), F.max("cid").alias("z")).where("e < z").select("v", "i", "e")
+    replaced = cuts.join(alike, ["v", "i"]).where("e < cid").select("cid", "i", "e")
+    moved = cuts.join(whole.select("v", F.col("cid").alias("o")), "v").where("cid <> o").select(F.greatest("cid", "o").alias("cid"), "i", F.least("cid", "o").alias("e"))
+    pairs = replaced.unionByName(moved).distinct()
     # Verify the edit distance on the words themselves.
-    pairs = pairs.join(lines.select("h1", "h2", "w"), ["h1", "h2"]).join(lines.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("w").alias("u")), ["g1", "g2"])
+    pairs = pairs.join(lines.select("cid", "w"), "cid").join(lines.select(F.col("cid").alias("e"), F.col("w").alias("u")), "e")
     within = F.expr(
         "case when size(w) = size(u) then size(filter(zip_with(w, u, (a, b) -> a <=> b), e -> not e)) <= 1"
         " when size(w) = size(u) + 1 then concat(slice(w, 1, i), slice(w, i + 2, size(w))) = u"
         " when size(u) = size(w) + 1 then concat(slice(u, 1, i), slice(u, i + 2, size(u))) = w else false end"
     )
-    return pairs.where(within).select("h1", "h2").distinct()
+    return ranked.join(pairs.where(within).select("cid").distinct(), "cid").select("h1", "h2")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """(r1, r2, drop): for each row that loses lines, its key and the 0-based numbers of those lines."""
+    """(id, row, drop): for each row that loses lines, its key and the 0-based numbers of those lines."""
     lines = _lines(docs, id_col, text_col, min_words)
-    w = F.split("line", " ")
-    half = F.floor(F.col("n") / 2).cast("int")
-    less = F.floor((F.col("n") - 1) / 2).cast("int")
-    # Halves of a line of n words against one of n words and against one of n - 1 or n + 1 words.
-    ks = F.array_distinct(F.array(F.xxhash64(F.lit("p"), F.slice("w", F.lit(1), half)), F.xxhash64(F.lit("p"), F.slice("w", F.lit(1), less)), F.xxhash64(F.lit("s"), F.slice("w", half + 1, F.col("n"))), F.xxhash64(F.lit("s"), F.slice("w", F.col("n") - F.floor(F.col("n") / 2).cast("int") + 1, F.col("n")))))
-    keyed = lines.withColumn("w", w).select("ord", "h1", "h2", F.when(F.col("n") >= near_words, ks).alias("k"))
-    firsts = keyed.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.count("*").alias("c"), F.any_value("k").alias("k"))
+    keyed = lines.withColumn("w", F.when(F.col("n") >= near_words, F.split("line", " "))).select("ord", "h1", "h2", *(F.when(F.col("w").isNotNull(), k).alias(f"k{i}") for i, k in enumerate(_halves())))
+    firsts = keyed.groupBy("h1", "h2").agg(F.min("ord").alias("first"), (F.count("*") > 1).alias("again"), *(F.min(f"k{i}").alias(f"k{i}") for i in range(4)))
     firsts = materialize(firsts, "line-firsts")
     near = _near(docs, firsts, id_col, text_col, min_words).withColumn("near", F.lit(True))
-    verdict = firsts.select("h1", "h2", "first", "c").join(near, ["h1", "h2"], "left").where("c > 1 or near")
-    gone = lines.select("ord", "h1", "h2").join(verdict, ["h1", "h2"]).where("near or ord > first")
-    return gone.select("ord.r1", "ord.r2", "ord.pos").groupBy("r1", "r2").agg(F.collect_set("pos").alias("drop"))
+    verdict = materialize(firsts.select("h1", "h2", "first", "again").join(near, ["h1", "h2"], "left").where("again or near"), "line-verdicts")
+    gone = lines.select("ord", "h1", "h2").join(bounded(verdict, verdict.count()), ["h1", "h2"]).where("near or ord > first")
+    return gone.select("ord.id", "ord.row", "ord.pos").groupBy("id", "row").agg(F.collect_set("pos").alias("drop"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
@@ -109,11 +123,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null text stays null and has no lines; rows that agree in id and text are one place, so their lines are kept or
     dropped alike; null ids come last; an empty table gives an empty result.
     """
-    gone = dropped_lines(docs, id_col, text_col, min_words, near_words).select(F.col("r1").alias("__r1"), F.col("r2").alias("__r2"), F.col("drop").alias("__drop"))
+    gone = materialize(dropped_lines(docs, id_col, text_col, min_words, near_words).toDF("__id", "__row", "__drop"), "line-drops")
+    size = gone.agg(F.coalesce(F.sum(F.size("__drop") + 10), F.lit(0))).first()[0]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    r1, r2 = _key(text, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)))
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
     names = docs.columns
-    joined = docs.withColumns({"__r1": r1, "__r2": r2}).join(gone, ["__r1", "__r2"], "left")
+    joined = docs.withColumns({"__id": doc, "__row": _row(doc, text)}).join(bounded(gone, size, 5 * BROADCAST_ROWS), ["__id", "__row"], "left")
     parts = F.split(text, "\n")
     keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__drop"))
     kept = F.array_join(F.transform(keep, lambda i: F.element_at(parts, i + 1)), "\n")

@@ -10,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 #: query name -> module of this subpackage that has its query(spark, sf_dir) and, where SQL can express it, ORACLE_SQL
 MODULES = {
     "op1_line_dedup": "line_dedup",
+    "op2_url_filter": "url_filter",
     "op3_simhash_dedup": "simhash_dedup",
     "op4_toxicity": "toxicity",
     "op5_decontaminate": "decontaminate",
+    "op6_warc": "warc",
+    "op7_quality": "quality",
+    "op8_media": "media",
+    "op9_sharding": "sharding",
     "op10_packing": "packing",
 }
 

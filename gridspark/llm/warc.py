@@ -79,7 +79,7 @@ def checked(payload: Column, digest: Column) -> Column:
 
 
 def field(head: Column, name: str) -> Column:
-    return F.regexp_extract(F.decode(head, "UTF-8"), rf"(?m)^{name}: (.*?)\r$", 1)
+    return F.regexp_extract(F.decode(head, "UTF-8"), rf"\r\n{name}: ([^\r\n]*)", 1)
 
 
 def summary(spark: SparkSession, path: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from gridspark.llm.common import BROADCAST_ROWS, LAST_ID, bounded, materialize, table
 
-MIN_WORDS = 3
+MIN_WORDS = 1
 NEAR_WORDS = 10
 
 
@@ -43,7 +43,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataF
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
     rows = docs.select(doc.alias("id"), _row(doc, text).alias("row"), F.posexplode(F.split(text, "\n")).alias("pos", "raw"))
     rows = rows.select("id", "row", "pos", F.trim("raw").alias("line"))
-    rows = rows.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= min_words)
+    rows = rows.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).where((F.col("n") >= min_words) & (F.col("line") != ""))
     h1, h2 = _key("line")
     return rows.select(F.struct("id", "row", "pos").alias("ord"), h1.alias("h1"), h2.alias("h2"), "line", "n")
 
@@ -118,7 +118,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with repeated lines taken out of the text, and ``lines_total``, ``lines_dropped`` beside its columns
     (names that are taken get underscores before them).
 
-    A line of at least ``min_words`` words goes if an equal line is earlier; one of at least ``near_words`` words also
+    A line that isn't blank and has at least ``min_words`` words goes if an equal line is earlier; one of at least ``near_words`` words also
     if a line within one word edit is earlier, kept or not. All rows stay, texts may become empty. Defined cases: a
     null text stays null and has no lines; rows that agree in id and text are one place, so their lines are kept or
     dropped alike; null ids come last; an empty table gives an empty result.
@@ -148,7 +148,7 @@ ORACLE_SQL = f"""
 WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p, text IS NULL AS none FROM documents),
 places AS (SELECT doc_id, unnest(range(len(p))) AS pos, unnest(p) AS raw FROM parts),
 lines AS (SELECT doc_id, pos, trim(raw) AS line, string_split(trim(raw), ' ') AS w FROM places),
-long_lines AS (SELECT doc_id, pos, line, w, len(w) AS n, doc_id * 1000000 + pos AS ord FROM lines WHERE len(w) >= {MIN_WORDS}),
+long_lines AS (SELECT doc_id, pos, line, w, len(w) AS n, doc_id * 1000000 + pos AS ord FROM lines WHERE len(w) >= {MIN_WORDS} AND line <> ''),
 firsts AS (SELECT line, any_value(w) AS w, any_value(n) AS n, min(ord) AS ord FROM long_lines GROUP BY line),
 places_cut AS (SELECT line, w, n, ord, unnest(range(1, n + 1)) AS i FROM firsts WHERE n >= {NEAR_WORDS}),
 cut AS (SELECT line, n, ord, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v FROM places_cut),

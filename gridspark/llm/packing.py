@@ -48,6 +48,8 @@ class WordCache:
         self.old: dict[str, bytes] = {}
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("ids must fit two bytes")
+        self.is_end = np.zeros(65536, bool)
+        self.is_end[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the offsets of the texts."""
@@ -59,15 +61,38 @@ class WordCache:
         if new:
             new = dict.fromkeys(new)
             known.update((w, old[w]) for w in new if w in old)
-            new = [w for w in new if w not in known]
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[w] = struct.pack(f"<{len(e.ids)}H", *e.ids)
+            self.learn([w for w in new if w not in known])
         get = known.__getitem__
         end = struct.pack("<H", END_ID)
         raw = [b"".join(map(get, ws)) + end for ws in split]
         offsets = np.concatenate([[0], np.cumsum([len(r) // 2 for r in raw])])
         return np.frombuffer(b"".join(raw), dtype="<u2"), offsets
 
+    def learn(self, words: list[str]) -> None:
+        """Adds words to the young generation. A word of plain letters, with full stops or commas after it or not, is
+        its letters in lower case and those marks; letters are one unit of the tokenizer, so many of them go through
+        it as one text, whose ids are cut behind each id that ends a unit. All other words go one by one."""
+        known, plain, other = self.known, {}, []
+        for w in words:
+            core = w.rstrip(".,")
+            if core.isalpha() and max(core) < "\u0130":
+                plain[w] = core.lower(), w[len(core) :]
+            else:
+                other.append(w)
+        cores = list(dict.fromkeys(c for c, _ in plain.values() if c not in known))
+        ids = np.array(self.tokenizer.encode(" ".join(cores), add_special_tokens=False).ids, dtype="<u2")
+        ends = (np.nonzero(self.is_end[ids])[0] + 1).tolist()
+        if len(ends) == len(cores):
+            raw = ids.tobytes()
+            known.update((c, raw[2 * i : 2 * j]) for c, i, j in zip(cores, [0, *ends], ends))
+        else:
+            other += cores
+        other += [m for m in {m for _, m in plain.values()} if m not in known]
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            known[w] = struct.pack(f"<{len(e.ids)}H", *e.ids)
+        for w, (c, m) in plain.items():
+            known[w] = known[c] + known[m]
+
 
 @functools.cache
 def word_cache(path: str) -> WordCache:

@@ -30,8 +30,8 @@ def brute_lines(rows):
         for raw in t.split("\n"):
             line = raw.strip(" ")
             w = line.split(" ")
-            drop = len(w) >= MIN_WORDS and any(line == u or (len(w) >= NEAR_WORDS <= len(v) and near(w, v)) for u, v in seen)
-            if len(w) >= MIN_WORDS:
+            drop = line != "" and len(w) >= MIN_WORDS and any(line == u or (len(w) >= NEAR_WORDS <= len(v) and near(w, v)) for u, v in seen)
+            if line and len(w) >= MIN_WORDS:
                 seen.append((line, w))
             gone += drop
             if not drop:

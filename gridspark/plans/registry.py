@@ -259,9 +259,10 @@ def _target(spark, d):
     return jobs.harmonize_target(fx.target_native(spark, d), fx.native_depths(spark), *_weights(spark), COARSE)
 
 
-@register("i3_target_regrid", _TARGET + " SELECT date, depth_idx, depth_m, lat_idx, lon_idx, round(temp, 6) AS temp FROM tgt")
+@register("i3_target_regrid", _TARGET + " SELECT date, depth_idx, depth_m, lat_idx, lon_idx, round(temp + 1e-9, 6) AS temp FROM tgt")
 def i3_target_regrid(spark, d):
-    return _r(_target(spark, d), "temp")
+    """The nudge makes ties go up whatever the order of the sums."""
+    return _target(spark, d).withColumn("temp", F.round(F.col("temp") + 1e-9, 6))
 
 
 _PROFILE = fx.sql("profiles", "levels") + (

@@ -57,3 +57,12 @@ def bounded(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
 def fold(id_col: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")) % n, F.lit(0)).cast("int")
+
+
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """The wanted names, with as many underscores before them as it takes to clash with none of ``names``."""
+    taken = {n.lower() for n in names}
+    prefix = "__"
+    while any(prefix + w in taken for w in wanted):
+        prefix += "_"
+    return [prefix + w for w in wanted]

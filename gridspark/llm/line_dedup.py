@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import BROADCAST_ROWS, LAST_ID, bounded, materialize, table
+from gridspark.llm.common import BROADCAST_ROWS, LAST_ID, bounded, materialize, table, unused
 
 MIN_WORDS = 1
 NEAR_WORDS = 10
@@ -123,20 +123,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null text stays null and has no lines; rows that agree in id and text are one place, so their lines are kept or
     dropped alike; null ids come last; an empty table gives an empty result.
     """
-    gone = materialize(dropped_lines(docs, id_col, text_col, min_words, near_words).toDF("__id", "__row", "__drop"), "line-drops")
-    size = gone.agg(F.coalesce(F.sum(F.size("__drop") + 10), F.lit(0))).first()[0]
+    names = docs.columns
+    own_id, own_row, own_drop = unused(names, "id", "row", "drop")
+    gone = materialize(dropped_lines(docs, id_col, text_col, min_words, near_words).toDF(own_id, own_row, own_drop), "line-drops")
+    size = gone.agg(F.coalesce(F.sum(F.size(own_drop) + 10), F.lit(0))).first()[0]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    names = docs.columns
-    joined = docs.withColumns({"__id": doc, "__row": _row(doc, text)}).join(bounded(gone, size, 5 * BROADCAST_ROWS), ["__id", "__row"], "left")
+    joined = docs.withColumns({own_id: doc, own_row: _row(doc, text)}).join(bounded(gone, size, 5 * BROADCAST_ROWS), [own_id, own_row], "left")
     parts = F.split(text, "\n")
-    keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__drop"))
+    keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(own_drop))
     kept = F.array_join(F.transform(keep, lambda i: F.element_at(parts, i + 1)), "\n")
     total, cut = "lines_total", "lines_dropped"
     while total in names or cut in names:
         total, cut = "_" + total, "_" + cut
-    clean = F.when(F.col("__drop").isNull(), F.col(text_col)).otherwise(kept)
-    return joined.select(*(clean.alias(c) if c == text_col else F.col(c) for c in names), F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).alias(total), F.coalesce(F.size("__drop"), F.lit(0)).alias(cut))
+    clean = F.when(F.col(own_drop).isNull(), F.col(text_col)).otherwise(kept)
+    return joined.select(*(clean.alias(c) if c == text_col else F.col(c) for c in names), F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).alias(total), F.coalesce(F.size(own_drop), F.lit(0)).alias(cut))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

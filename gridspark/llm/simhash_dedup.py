@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import materialize
+from gridspark.llm.common import materialize, unused
 from gridspark.llm.components import connected_components
 
 LEAF = 64
@@ -250,8 +250,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """The rows of ``docs``, all columns unchanged, without those in whose component a smaller id exists. Rows with a
     null id stay; rows that repeat the smallest id stay."""
     found = simhash_components(docs, id_col, text_col, words, radius)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    [own] = unused(docs.columns, "gone")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(gone, F.col(id_col) == F.col(own), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -57,6 +57,7 @@ def test_line_dedup_against_brute_force(spark):
         original = next(t for i, t in rows if i == r.doc_id and (t == r.text or brute_key(want, i, t)[0] == (r.text or "")))
         text, gone = brute_key(want, r.doc_id, original)
         assert (r.text or "", r.lines_dropped) == (text, gone), r.doc_id
+        assert (r["__row"], r.key, r.id) == (1, "k", "x")
 
 
 def brute_key(want, i, t):

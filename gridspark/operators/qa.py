@@ -64,15 +64,20 @@ def stratification(target: DataFrame, mask: DataFrame, levels: tuple[int, int, i
     return out.withColumn("passed", _true((F.col("top") > F.col("middle")) & (F.col("middle") > F.col("deep")) & F.col("deep").between(4.0, 12.0)))
 
 
+def depth_differences(target: DataFrame, mask: DataFrame) -> DataFrame:
+    """(date, cell, depth_m, lower_m, diff): lower less upper temperature of adjacent depths, both valid, on the ocean."""
+    cell = W.partitionBy("date", "lat_idx", "lon_idx").orderBy("depth_idx")
+    rows = with_mask(target, mask).where("is_ocean").select("date", "lat_idx", "lon_idx", "depth_idx", "depth_m", "temp", F.lead("temp").over(cell).alias("lower"), F.lead("depth_m").over(cell).alias("lower_m"), F.lead("depth_idx").over(cell).alias("lower_idx"))
+    pairs = rows.where("lower_idx = depth_idx + 1 and temp is not null and lower is not null")
+    return pairs.select("date", "lat_idx", "lon_idx", "depth_m", "lower_m", (F.col("lower") - F.col("temp")).alias("diff"))
+
+
 def inversions(target: DataFrame, mask: DataFrame) -> DataFrame:
     """Pairs of adjacent depths where the lower is warmer by over 0.1 degrees, and those that are anomalous: by over 5.0
     down to 50 m, over 1.0 from 500 m, over 4.0 between. Passes without anomalies."""
-    cell = W.partitionBy("date", "lat_idx", "lon_idx").orderBy("depth_idx")
-    rows = with_mask(target, mask).where("is_ocean").select("date", "lat_idx", "lon_idx", "depth_idx", "depth_m", "temp", F.lead("temp").over(cell).alias("lower"), F.lead("depth_m").over(cell).alias("lower_m"), F.lead("depth_idx").over(cell).alias("lower_idx"))
-    pairs = rows.where("lower_idx = depth_idx + 1 and temp is not null and lower is not null").withColumn("diff", F.col("lower") - F.col("temp"))
     bound = F.when(F.col("lower_m") <= 50, 5.0).when(F.col("depth_m") >= 500, 1.0).otherwise(4.0)
     count = lambda c: F.count(F.when(c, 1))
-    out = pairs.agg(F.count("*").alias("pairs"), count(F.col("diff") > 0.1).alias("inversions"), count(F.col("diff") > bound).alias("anomalies"))
+    out = depth_differences(target, mask).agg(F.count("*").alias("pairs"), count(F.col("diff") > 0.1).alias("inversions"), count(F.col("diff") > bound).alias("anomalies"))
     return out.withColumn("inversion_pct", F.col("inversions") * 100.0 / F.greatest(F.col("pairs"), F.lit(1))).withColumn("passed", F.col("anomalies") == 0)
 
 

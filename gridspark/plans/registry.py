@@ -153,6 +153,17 @@ def p1_names(spark, d):
     return ingest.rename_variables(ingest.normalize_names(raw))
 
 
+@register("p2_rename", "SELECT l_orderkey, l_linenumber, l_quantity AS sst, l_discount AS sss, l_tax AS ssh, l_extendedprice AS v_wind FROM lineitem")
+def p2_rename(spark, d):
+    raw = fx.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("thetao"), F.col("l_discount").alias("sss_smap"), F.col("l_tax").alias("zos"), F.col("l_extendedprice").alias("v10"))
+    return ingest.rename_variables(raw)
+
+
+@register("p4_keep_standard", fx.sql("surface") + "SELECT date, lat_idx, lon_idx, round(sst, 6) AS sst, round(v_wind, 6) AS v_wind FROM surface")
+def p4_keep_standard(spark, d):
+    return _r(ingest.keep_standard(fx.surface(spark, d), ["date", "lat_idx", "lon_idx"], ["sst", "v_wind", "absent"]), "sst", "v_wind")
+
+
 @register("p3_canonical_channels", fx.sql("surface") + "SELECT date, lat_idx, lon_idx, round(sst, 6) AS sst, round(sss, 6) AS sss, round(ssh, 6) AS ssh, round(u_curr, 6) AS u_curr, round(v_curr, 6) AS v_curr, round(u_wind, 6) AS u_wind, round(v_wind, 6) AS v_wind FROM surface")
 def p3_canonical_channels(spark, d):
     raw = fx.surface(spark, d).withColumnsRenamed({"sst": "thetao", "sss": "sss_smap", "u_curr": "uo", "u_wind": "u10"}).withColumn("analysed_sst", F.lit(0.0))
@@ -259,6 +270,13 @@ def _target(spark, d):
     return jobs.harmonize_target(fx.target_native(spark, d), fx.native_depths(spark), *_weights(spark), COARSE)
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """Written once, as between two jobs, where a query reads a table several times."""
+    path = sinks.scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @register("i3_target_regrid", _TARGET + " SELECT date, depth_idx, depth_m, lat_idx, lon_idx, round(temp + 1e-9, 6) AS temp FROM tgt")
 def i3_target_regrid(spark, d):
     """The nudge makes ties go up whatever the order of the sums."""
@@ -361,7 +379,7 @@ _COLLOCATED = _PROFILE.replace("profiles AS (", "profiles0 AS (", 1).replace(" F
 
 
 def _collocated(spark, d):
-    return collocate.collocate(fx.profiles(spark, d), fx.levels(spark, d), _target(spark, d), COARSE)
+    return collocate.collocate(fx.profiles(spark, d), fx.levels(spark, d), _written(_target(spark, d), "target"), COARSE)
 
 
 @register("j5_collocate", _COLLOCATED + " SELECT date, float_id, argo_lat, argo_lon, grid_lat, grid_lon, depth_m, argo_temp, glorys_temp, model_prediction FROM col")
@@ -444,12 +462,12 @@ def a4_depth_summary(spark, d):
 
 @register("a5_ocean_mask", _TARGET + " SELECT lat_idx, lon_idx, temp IS NOT NULL AS is_ocean FROM tgt WHERE depth_idx = 0 AND date = (SELECT min(date) FROM tgt)")
 def a5_ocean_mask(spark, d):
-    return mask.ocean_mask(_target(spark, d))
+    return mask.ocean_mask(_written(_target(spark, d), "target"))
 
 
 @register("a5_coverage", _TARGET + " SELECT count(*) AS n_cells, count(temp) AS n_ocean, round(count(temp) / count(*), 6) AS share FROM tgt WHERE depth_idx = 0 AND date = (SELECT min(date) FROM tgt)")
 def a5_coverage(spark, d):
-    return _r(mask.coverage(mask.ocean_mask(_target(spark, d))), "share")
+    return _r(mask.coverage(mask.ocean_mask(_written(_target(spark, d), "target"))), "share")
 
 
 @register("a6_missing_share", fx.sql("subdaily") + "SELECT round(1 - count(u10) / count(*), 6) AS missing_share, round(min(u10), 6) AS min, round(max(u10), 6) AS max FROM subdaily")
@@ -544,7 +562,7 @@ def q9_missing_days(spark, d):
 
 @register("q11_land_box", _TARGET + ", m AS (SELECT lat_idx, lon_idx, temp IS NOT NULL AS is_ocean FROM tgt WHERE depth_idx = 0 AND date = (SELECT min(date) FROM tgt)) SELECT count(CASE WHEN is_ocean AND 5 + 1.25 * lat_idx BETWEEN 20 AND 26 AND 45 + 1.25 * lon_idx BETWEEN 75 AND 82 THEN 1 END) AS ocean_cells, count(CASE WHEN is_ocean AND 5 + 1.25 * lat_idx BETWEEN 20 AND 26 AND 45 + 1.25 * lon_idx BETWEEN 75 AND 82 THEN 1 END) = 0 AS passed FROM m")
 def q11_land_box(spark, d):
-    return mask.ocean_in_box(mask.ocean_mask(_target(spark, d)), COARSE, (20.0, 26.0, 75.0, 82.0))
+    return mask.ocean_in_box(mask.ocean_mask(_written(_target(spark, d), "target")), COARSE, (20.0, 26.0, 75.0, 82.0))
 
 
 @register("q10_scorecard")
@@ -568,6 +586,18 @@ def w2_day_gaps(spark, d):
     return align.day_gaps(fx.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("date")))
 
 
+@register("w3_depth_differences", fx.sql("target_sparse", "mask") + "SELECT t.date, t.lat_idx, t.lon_idx, t.depth_m, u.depth_m AS lower_m, round(u.temp - t.temp + 1e-9, 6) AS diff FROM target_sparse t JOIN target_sparse u ON u.date = t.date AND u.lat_idx = t.lat_idx AND u.lon_idx = t.lon_idx AND u.depth_idx = t.depth_idx + 1 JOIN mask m ON m.lat_idx = t.lat_idx AND m.lon_idx = t.lon_idx WHERE m.is_ocean")
+def w3_depth_differences(spark, d):
+    return qa.depth_differences(fx.target_sparse(spark, d), fx.mask(spark)).withColumn("diff", F.round(F.col("diff") + 1e-9, 6))
+
+
+@register("w6_profile_names", "SELECT o_orderkey AS profile_idx, CASE WHEN o_custkey % 7 = 0 THEN 'profile_' || o_orderkey ELSE CAST(o_custkey AS VARCHAR) END AS float_id FROM orders")
+def w6_profile_names(spark, d):
+    o = fx.read(spark, d, "orders")
+    raw = F.when(F.col("o_custkey") % 7 != 0, F.concat(F.lit("  "), F.col("o_custkey").cast("string"), F.lit(" ")))
+    return o.select(F.col("o_orderkey").alias("profile_idx"), ingest.float_name(raw, F.col("o_orderkey")).alias("float_id"))
+
+
 @register("w4_ratio_split", _SPLIT + " SELECT date, split FROM sp")
 def w4_ratio_split(spark, d):
     return split.split_dates(fx.surface(spark, d))
@@ -584,6 +614,23 @@ def o4_date_sets(spark, d):
     return row("both", a.intersect(b)).unionByName(row("only_a", a.exceptAll(b))).unionByName(row("union", a.unionByName(b)))
 
 
+@register("o1_sorted_days", "SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY 1 ORDER BY 1")
+def o1_sorted_days(spark, d):
+    return fx.read(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("n")).orderBy("date")
+
+
+@register("o2_first_last", "SELECT l_linestatus AS variable, min(CAST(l_shipdate AS DATE)) AS first, max(CAST(l_shipdate AS DATE)) AS last FROM lineitem GROUP BY 1")
+def o2_first_last(spark, d):
+    return fx.read(spark, d, "lineitem").groupBy(F.col("l_linestatus").alias("variable")).agg(F.min(F.to_date("l_shipdate")).alias("first"), F.max(F.to_date("l_shipdate")).alias("last"))
+
+
+@register("j7_attach_stats", _SPLIT + ", st AS (SELECT avg(sst) AS m, stddev_pop(sst) AS s FROM rows WHERE split = 'train' AND is_ocean) SELECT split, count(*) AS n, round(avg((sst - m) / s), 6) AS mean_z FROM rows CROSS JOIN st WHERE is_ocean GROUP BY split")
+def j7_attach_stats(spark, d):
+    rows = _rows(spark, d)
+    z = normalize.normalize(rows, normalize.train_stats(rows, ["sst"]), ["sst"]).where("is_ocean")
+    return _r(z.groupBy("split").agg(F.count("*").alias("n"), F.avg("sst").alias("mean_z")), "mean_z")
+
+
 # -- side files and tensors
 
 
@@ -598,7 +645,7 @@ def s6_tensors(spark, d):
     """One row a year: the tensors' sizes and sums; tests hold positions against numpy."""
     s = fx.surface(spark, d).where("lat_idx < 21 and lon_idx < 49").withColumn("date", F.trunc("date", "year"))
     s = s.groupBy("date", "lat_idx", "lon_idx").agg(*(F.avg(c).alias(c) for c in CHANNELS))
-    tensors, _ = jobs.export_tensors(s, _target(spark, d), 15, COARSE)
+    tensors, _ = jobs.export_tensors(_written(s, "surface"), _written(_target(spark, d), "target"), 15, COARSE)
     total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double")), 2)
     return tensors.select("split", "date", F.size("inputs").alias("n_inputs"), F.size("targets").alias("n_targets"), total("inputs").alias("sum_inputs"), total("targets").alias("sum_targets"))
 
@@ -607,7 +654,7 @@ def s6_tensors(spark, d):
 def q8_verify_tensors(spark, d):
     s = fx.surface(spark, d).where("lat_idx < 21 and lon_idx < 49").withColumn("date", F.trunc("date", "year"))
     s = s.groupBy("date", "lat_idx", "lon_idx").agg(*(F.avg(c).alias(c) for c in CHANNELS))
-    tensors, _ = jobs.export_tensors(s, _target(spark, d), 15, COARSE)
+    tensors, _ = jobs.export_tensors(_written(s, "surface"), _written(_target(spark, d), "target"), 15, COARSE)
     return tensor.verify(tensors, 7 * 21 * 49, 15 * 21 * 49)
 
 

@@ -8,7 +8,7 @@ from gridspark.llm.common import materialize, table
 from gridspark.llm.decontaminate import drop_contaminated
 from gridspark.llm.line_dedup import line_dedup
 from gridspark.llm.packing import pack
-from gridspark.llm.simhash_dedup import keep_one
+from gridspark.llm.simhash_tables import keep_one_similar
 from gridspark.llm.toxicity import drop_toxic
 
 
@@ -26,8 +26,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return keep_one(docs)
+    """One document of each group of near-duplicates (five-word shingles, similarity of 0.8 or more) stays."""
+    return keep_one_similar(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,18 @@
-"""SimHash near-duplicates by similarity of word shingles, through several Gray-order tables.
+"""Near-duplicates by similarity of word shingles: SimHash finds candidates, the shingle sets decide.
 
 Two texts whose shingle sets have similarity s differ in each SimHash bit with probability acos(2s / (1 + s)) / pi: at
 0.8 that is 0.15, so 64 bits are far apart in most pairs. A signature therefore has ``TABLES`` codes of ``BITS`` bits.
 Each table is the hierarchical Gray-order index of ``simhash_dedup`` with a radius of 2: codes are filed under masked
 bit patterns, range-sorted by Gray rank, cut into leaf groups, and whole groups are pruned by the differences on their
-shared bits. A pair that one table finds is verified on all bits of both signatures.
+shared bits. What a table finds is a candidate unless the sizes of the sets or over ``LIMIT`` bits rule it out; a pair
+that several tables find is given by the first alone.
 
-Pairs at similarity 0.8 are found by one table with probability 0.27 and by any of the ten with 0.96; at 0.9 with over
-0.99. Verification accepts what differs in at most ``LIMIT`` of the 240 bits.
+Candidates are verified on the shingle sets themselves: only pairs of similarity ``SIMILAR`` or more are edges. First
+come those that would join all candidates of a chunk, then all others whose ends are still apart, so pairs within a
+group that is joined already need no look.
+
+Pairs at similarity 0.8 are found by one table with probability 0.36 and by any of the twelve with 0.995; at 0.9 with
+over 0.9999. Sets of few shingles deviate from the formula, as even counts tie.
 """
 
 from __future__ import annotations
@@ -20,22 +25,28 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import materialize, unused
+from gridspark.llm.common import LAST_ID, bounded, materialize, unused
 from gridspark.llm.components import connected_components
 from gridspark.llm.simhash_dedup import LEAF, gray_rank, shingle_hashes
 
-WORDS, TABLES, BITS, RADIUS = 5, 10, 24, 2
-#: Expected differences at 0.8 are 36 of 240, with a deviation of 5.6.
-LIMIT = 46
+WORDS, TABLES, BITS, RADIUS = 5, 12, 21, 2
+#: At least this similarity, as a fraction.
+SIMILAR = (4, 5)
+#: Expected differences at 0.8 are 39 of 256, with a deviation of 5.7; four of them are allowed for.
+LIMIT = 62
 LANES = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
-_BLOCKS = [((1 << 8) - 1) << (8 * i) for i in range(3)]
+_BLOCKS = [((1 << 7) - 1) << (7 * i) for i in range(3)]
 RUN = 200 * LEAF
 
 
-def signature(text: str | None) -> np.ndarray:
-    """Four 64-bit lanes over the distinct shingles; zero for a text without words."""
-    h = np.unique(shingle_hashes(text, WORDS))
+def shingles(text: str | None) -> np.ndarray:
+    """The sorted distinct shingles; none for a text without words."""
+    return np.unique(shingle_hashes(text, WORDS))
+
+
+def signature(h: np.ndarray) -> np.ndarray:
+    """Four 64-bit lanes over the distinct shingles; zero without any."""
     ones = np.zeros((LANES, 64), dtype=np.int64)
     for part in np.array_split(h, -(-len(h) // 16384) or 1):
         for k in range(LANES):
@@ -55,31 +66,47 @@ def codes(sigs: np.ndarray) -> np.ndarray:
     return (bits.reshape(len(sigs), TABLES, BITS) @ weights).astype(np.uint64)
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, own, key, text): own and key name a row, rows of the same id and text alike."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.select("id", F.coalesce("id", F.lit(LAST_ID)).alias("own"), F.xxhash64("text").alias("key"), "text")
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, vid, sig): vid names the signature."""
+    """(id, own, key, vid, sig): vid names the set of shingles; sig is the lanes and the size of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sigs = [signature(t).astype("<u8").tobytes() for t in b.column(1).to_pylist()]
-            vid = np.array([xxhash.xxh64_intdigest(s, 7) for s in sigs], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(vid), pa.array(sigs, pa.binary())], names=["id", "vid", "sig"])
+            vid, sigs = np.zeros(b.num_rows, dtype=np.uint64), []
+            for i, t in enumerate(b.column(3).to_pylist()):
+                h = shingles(t)
+                vid[i] = xxhash.xxh64_intdigest(h.astype("<u8").tobytes(), 7)
+                sigs.append(np.append(signature(h), np.uint64(len(h))).astype("<u8").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(vid.view(np.int64)), pa.array(sigs, pa.binary())], names=["id", "own", "key", "vid", "sig"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, vid long, sig binary")
+    return keyed(docs, id_col, text_col).mapInArrow(run, "id long, own long, key long, vid long, sig binary")
+
+
+def unpacked(sigs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs), "<u8").reshape(-1, LANES + 1)
 
 
 class Chunk:
-    """Codes of one key in Gray order with their signatures, in leaf groups."""
+    """Signatures of one slot and key in Gray order, in leaf groups."""
 
-    def __init__(self, vid: np.ndarray, code: np.ndarray, sig: np.ndarray):
-        self.vid, self.code, self.sig = vid, code, sig
+    def __init__(self, slot: int, vid: np.ndarray, sig: np.ndarray):
+        self.table, self.block = divmod(slot, len(_BLOCKS))
+        self.vid, self.sig, self.size = vid, sig[:, :LANES], sig[:, LANES].astype(np.int64)
+        self.codes = codes(self.sig)
+        self.code = code = self.codes[:, self.table]
         self.at = [(lo, min(lo + LEAF, len(code))) for lo in range(0, len(code), LEAF)]
         same = [~np.bitwise_or.reduce(code[a:b] ^ code[a]) for a, b in self.at]
         self.mask = np.array(same, dtype=np.uint64)
         self.pattern = np.array([code[a] for a, _ in self.at], dtype=np.uint64) & self.mask
 
-    def links(self, other: Chunk) -> list[tuple[int, int]]:
-        """A forest that joins what all verified pairs of both chunks (or of one, if they are the same) join."""
+    def candidates(self, other: Chunk) -> Iterator[pa.RecordBatch]:
+        """(a, b, tree): the candidate pairs of both chunks (or of one, if they are the same) that no earlier slot
+        finds; those with ``tree`` are a forest, of the nearest first, that joins all that the others join."""
         root: dict[int, int] = {}
 
         def top(v: int) -> int:
@@ -88,10 +115,10 @@ class Chunk:
                 v = p
             return v
 
-        out = []
         for i, (a, b) in enumerate(self.at):
             first = i if other is self else 0
             apart = np.bitwise_count((other.pattern[first:] ^ self.pattern[i]) & other.mask[first:] & self.mask[i])
+            found = []
             for j in np.nonzero(apart <= RADIUS)[0] + first:
                 c, d = other.at[j]
                 x, y = np.nonzero(np.bitwise_count(self.code[a:b, None] ^ other.code[None, c:d]) <= RADIUS)
@@ -100,20 +127,39 @@ class Chunk:
                     x, y = x[x < y], y[x < y]
                 if len(x):
                     far = np.bitwise_count(self.sig[x] ^ other.sig[y]).sum(1, dtype=np.int64)
-                    near = far <= LIMIT
-                    for u, v in zip(self.vid[x[near]].tolist(), other.vid[y[near]].tolist()):
-                        ru, rv = top(u), top(v)
-                        if ru != rv:
-                            root[max(ru, rv)] = min(ru, rv)
-                            out.append((u, v))
-        return out
-
-
-_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("slot", pa.int32()), ("key", pa.int64()), ("node", pa.int64()), ("vids", pa.binary()), ("codes", pa.binary()), ("sigs", pa.binary())])
-
-
-def links(sigs: DataFrame) -> DataFrame:
-    """Distinct (vid, sig) -> edges (a, b). A run of one key that ends within its task is searched there; chunks of a
+                    low, high = np.minimum(self.size[x], other.size[y]), np.maximum(self.size[x], other.size[y])
+                    near = (far <= LIMIT) & (low * SIMILAR[1] >= high * SIMILAR[0])
+                    x, y, far = x[near], y[near], far[near]
+                if len(x):
+                    differ = self.codes[x] ^ other.codes[y]
+                    table = (np.bitwise_count(differ) <= RADIUS).argmax(1)
+                    block = np.stack([differ[:, self.table] & np.uint64(m) == 0 for m in _BLOCKS], axis=1).argmax(1)
+                    here = (table == self.table) & (block == self.block)
+                    found.append(np.stack([far[here], self.vid[x[here]], other.vid[y[here]]]))
+            if not found:
+                continue
+            far, u, v = np.concatenate(found, axis=1)
+            order = np.argsort(far, kind="stable")
+            u, v = u[order], v[order]
+            tree = np.zeros(len(u), dtype=bool)
+            for k, (x, y) in enumerate(zip(u.tolist(), v.tolist())):
+                ru, rv = top(x), top(y)
+                if ru != rv:
+                    root[max(ru, rv)] = min(ru, rv)
+                    tree[k] = True
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(tree)], names=["a", "b", "tree"])
+
+
+_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.bool_()), ("slot", pa.int32()), ("key", pa.int64()), ("node", pa.int64()), ("vids", pa.binary()), ("sigs", pa.binary())])
+
+
+def _padded(b: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([b.column(i) if i < b.num_columns else pa.nulls(b.num_rows, f.type) for i, f in enumerate(_OUT)], schema=_OUT)
+
+
+def candidates(sigs: DataFrame) -> DataFrame:
+    """Distinct (vid, sig) -> distinct candidate pairs (a, b, tree). A run of one key that ends within its task is searched there; chunks of a
     run that is long or goes on in another task also travel as rows and meet in a join on the key."""
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +167,7 @@ def links(sigs: DataFrame) -> DataFrame:
             for lo in range(0, whole.num_rows, 2000):
                 b = whole.slice(lo, 2000)
                 n = b.num_rows
-                code = codes(np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(n, LANES))
+                code = codes(unpacked(b.column(1).to_pylist())[:, :LANES])
                 rank = gray_rank(code)
                 slots = TABLES * len(_BLOCKS)
                 take = pa.array(np.tile(np.arange(n), slots))
@@ -131,10 +177,9 @@ def links(sigs: DataFrame) -> DataFrame:
                         pa.array(np.repeat(np.arange(slots, dtype=np.int32), n)),
                         pa.array(np.concatenate([code[:, t] & np.uint64(m) for t, m in zip(table, _BLOCKS * TABLES)]).astype(np.int64)),
                         pa.array(np.concatenate([rank[:, t] for t in table]).astype(np.int64)),
-                        pa.array(np.concatenate([code[:, t] for t in table]).astype(np.int64)),
                         b.column(0).take(take), b.column(1).take(take),
                     ],
-                    names=["slot", "key", "rank", "code", "vid", "sig"],
+                    names=["slot", "key", "rank", "vid", "sig"],
                 )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,16 +189,16 @@ def links(sigs: DataFrame) -> DataFrame:
         held: list[pa.RecordBatch] = []
         n_held, now, open_ = 0, None, True
 
-        def close(keep: bool) -> pa.RecordBatch | None:
+        def close(keep: bool) -> Iterator[pa.RecordBatch]:
             nonlocal serial
             run = pa.Table.from_batches(held)
-            vid, code = (run.column(c).to_numpy() for c in ("vid", "code"))
-            chunk = Chunk(vid, code.astype(np.uint64), np.frombuffer(b"".join(run.column("sig").to_pylist()), "<u8").reshape(-1, LANES))
-            rows = [{"a": u, "b": v} for u, v in chunk.links(chunk)] if len(vid) > 1 else []
+            chunk = Chunk(now[0], run.column("vid").to_numpy(), unpacked(run.column("sig").to_pylist()))
+            if len(chunk.vid) > 1:
+                yield from map(_padded, chunk.candidates(chunk))
             if keep:
                 serial += 1
-                rows.append({"slot": now[0], "key": now[1], "node": serial, "vids": vid.astype("<i8").tobytes(), "codes": code.astype("<i8").tobytes(), "sigs": chunk.sig.tobytes()})
-            return pa.RecordBatch.from_pylist(rows, schema=_OUT) if rows else None
+                sigs = np.column_stack([chunk.sig, chunk.size.astype(np.uint64)]).astype("<u8").tobytes()
+                yield pa.RecordBatch.from_pylist([{"slot": now[0], "key": now[1], "node": serial, "vids": chunk.vid.astype("<i8").tobytes(), "sigs": sigs}], schema=_OUT)
 
         for b in batches:
             slot, key = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -161,47 +206,80 @@ def links(sigs: DataFrame) -> DataFrame:
             for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
                 k = int(slot[lo]), int(key[lo])
                 if now is not None and k != now:
-                    if held and (out := close(open_)):
-                        yield out
+                    if held:
+                        yield from close(open_)
                     held, n_held, open_ = [], 0, False
                 now = k
                 for at in range(lo, hi, RUN):
                     held.append(b.slice(at, min(RUN, hi - at)))
                     n_held += held[-1].num_rows
                     if n_held >= RUN:
-                        if out := close(True):
-                            yield out
+                        yield from close(True)
                         held, n_held, open_ = [], 0, True
-        if held and (out := close(True)):
-            yield out
+        if held:
+            yield from close(True)
 
-    filed = sigs.select("vid", "sig").mapInArrow(file, "slot int, key long, rank long, code long, vid long, sig binary")
+    filed = sigs.select("vid", "sig").mapInArrow(file, "slot int, key long, rank long, vid long, sig binary")
     ordered = filed.repartitionByRange("slot", "key", "rank", "vid").sortWithinPartitions("slot", "key", "rank", "vid")
-    leaves = materialize(ordered.mapInArrow(build, "a long, b long, slot int, key long, node long, vids binary, codes binary, sigs binary"), "gray-tables")
+    leaves = materialize(ordered.mapInArrow(build, "a long, b long, tree boolean, slot int, key long, node long, vids binary, sigs binary"), "gray-tables")
     nodes = leaves.where("node is not null")
-    left = nodes.select("slot", "key", *(F.col(c).alias(f"l_{c}") for c in ("node", "vids", "codes", "sigs")))
-    right = nodes.select("slot", "key", *(F.col(c).alias(f"r_{c}") for c in ("node", "vids", "codes", "sigs")))
-    pairs = left.join(right, ["slot", "key"]).where("l_node < r_node").drop("slot", "key", "l_node", "r_node")
+    left = nodes.select("slot", "key", *(F.col(c).alias(f"l_{c}") for c in ("node", "vids", "sigs")))
+    right = nodes.select("slot", "key", *(F.col(c).alias(f"r_{c}") for c in ("node", "vids", "sigs")))
+    pairs = left.join(right, ["slot", "key"]).where("l_node < r_node").select("slot", "l_vids", "l_sigs", "r_vids", "r_sigs")
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def chunk(vids: bytes, codes_: bytes, sigs_: bytes) -> Chunk:
-            return Chunk(np.frombuffer(vids, "<i8"), np.frombuffer(codes_, "<i8").astype(np.uint64), np.frombuffer(sigs_, "<u8").reshape(-1, LANES))
+        for b in batches:
+            for slot, vids, sigs_, vids2, sigs2 in zip(*(c.to_pylist() for c in b.columns)):
+                yield from Chunk(slot, np.frombuffer(vids, "<i8"), unpacked([sigs_])).candidates(Chunk(slot, np.frombuffer(vids2, "<i8"), unpacked([sigs2])))
+
+    return leaves.where("a is not null").select("a", "b", "tree").unionByName(pairs.mapInArrow(cross, "a long, b long, tree boolean"))
+
+
+def sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``wanted(vid, own, key)`` -> (vid, set): the shingles, from the row that is named."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = [shingles(t).astype("<u8").tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h, pa.binary())], names=["vid", "set"])
+
+    texts = keyed(docs, id_col, text_col).join(bounded(wanted, wanted.count()), ["own", "key"]).select("vid", "text").dropDuplicates(["vid"])
+    return texts.mapInArrow(run, "vid long, set binary")
 
+
+def verified(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sets have a similarity of at least ``SIMILAR``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p, q = SIMILAR
         for b in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                out += chunk(*row[:3]).links(chunk(*row[3:]))
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in out], pa.int64()), pa.array([v for _, v in out], pa.int64())], names=["a", "b"])
+            keep = []
+            for x, y in zip(b.column(2), b.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both * q >= (len(x) + len(y) - both) * p)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return leaves.where("a is not null").select("a", "b").unionByName(pairs.mapInArrow(cross, "a long, b long"))
+    both = pairs.select("a", "b").join(shingled.toDF("a", "x"), "a").join(shingled.toDF("b", "y"), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, component_id) for every row: the smallest non-null id of its group of near-duplicates. Texts without words
     are one group; repeated rows and null ids give rows; other columns are ignored; an empty table gives no rows."""
     prints = materialize(signatures(docs, id_col, text_col), "signatures")
-    classes = materialize(prints.groupBy("vid").agg(F.min("id").alias("least"), F.min("sig").alias("sig")), "signature-classes")
-    roots = connected_components(links(classes)).select(F.col("node").alias("vid"), "root")
+    classes = prints.groupBy("vid").agg(F.min("id").alias("least"), F.min("sig").alias("sig"), F.min(F.struct("own", "key")).alias("row"))
+    classes = materialize(classes, "signature-classes")
+    found = materialize(candidates(classes), "similar-candidates")
+    ends = found.select(F.col("a").alias("vid")).unionByName(found.select(F.col("b").alias("vid"))).distinct()
+    wanted = materialize(classes.join(ends, "vid", "left_semi").select("vid", "row.own", "row.key"), "similar-rows")
+    shingled = materialize(sets(docs, wanted, id_col, text_col), "similar-sets")
+    near = materialize(verified(found.where("tree"), shingled), "similar-pairs")
+    joined = connected_components(near)
+    of = lambda c: joined.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    apart = found.where("not tree").join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(root_a, a) <> coalesce(root_b, b)")
+    near = near.unionByName(materialize(verified(apart, shingled), "similar-pairs"))
+    roots = connected_components(near).select(F.col("node").alias("vid"), "root")
     rooted = materialize(classes.select("vid", "least").join(roots, "vid", "left").select("vid", "least", F.coalesce("root", "vid").alias("root")), "signature-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.select("id", "vid").join(rooted.join(least, "root").select("vid", "component_id"), "vid").select("id", "component_id")

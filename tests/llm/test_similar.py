@@ -51,3 +51,32 @@ def test_a_run_over_several_chunks(spark, monkeypatch):
         w[rng.randrange(300)] = f"v{k}"
         rows.append((k, " ".join(w)))
     assert {r.component_id for r in sim.similar_groups(frame(spark, rows)).collect()} == {0}
+
+
+def test_only_pairs_of_the_similarity_are_joined(spark):
+    """Pairs around 0.8, and chains of them: groups are the components of the pairs that brute force finds."""
+    rng = random.Random(7)
+    rows = []
+    for k in range(150):
+        w = words(rng, rng.randrange(80, 300), 100_000).split(" ")
+        rows.append((10 * k, " ".join(w)))
+        for c in range(1, 4):
+            edits = max(1, round(len(w) * rng.uniform(0.012, 0.05)))
+            for e in range(edits):
+                w[rng.randrange(len(w))] = f"e{k}x{c}x{e}"
+            rows.append((10 * k + c, " ".join(w)))
+    want, recalled, near = {}, 0, 0
+    got = {r.id: r.component_id for r in sim.similar_groups(frame(spark, rows)).collect()}
+    for k in range(0, len(rows), 4):
+        ids, shingled = [i for i, _ in rows[k : k + 4]], [sets(t) for _, t in rows[k : k + 4]]
+        want.update({i: i for i in ids})
+        for x in range(4):
+            for y in range(x):
+                if len(shingled[x] & shingled[y]) / len(shingled[x] | shingled[y]) >= 0.8:
+                    near += 1
+                    recalled += got[ids[x]] == got[ids[y]]
+                    old, new = max(want[ids[x]], want[ids[y]]), min(want[ids[x]], want[ids[y]])
+                    want.update({i: new for i in ids if want[i] == old})
+    assert near > 100 and recalled >= 0.98 * near
+    # Nothing is joined that brute force keeps apart.
+    assert all(want[i] == want[c] for i, c in got.items())

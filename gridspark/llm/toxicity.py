@@ -12,7 +12,9 @@ A word that neither class has seen backs off to it in both and so pulls a text t
 
 Bounds: ``max_docs`` labelled texts a class are drawn by hash (in expectation), ``max_ngrams`` bounds the n-grams
 that are kept, most frequent first, so the model that is broadcast has a fixed size. The shared counts have no
-bound: they read all documents, are summed by word within each task and then in Spark.
+bound: they take every word of all documents, are summed by word within each task and then in Spark, and the mass and
+the rarest word are those of the whole table. Only the model's own words are looked up in it: any other word has the
+same share in both classes, which cancels.
 """
 
 from __future__ import annotations
@@ -118,24 +120,22 @@ class ToxicityModel:
 UNIT = 1_000_000_000
 
 
-def shared_counts(docs: DataFrame, words: np.ndarray, text_col: str = "text") -> DataFrame:
-    """(word, n): each given word's share of its text's words, summed over all rows of ``docs``. ``words`` is
-    broadcast; its size is bounded by the model's."""
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+def shared_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, n): each word's share of its text's words, summed over all rows of ``docs``, for every word there is.
+    No Python takes part, so an executor needs no memory beside its heap."""
+    rows = docs.select(word_hashes(F.col(text_col)).alias("h")).withColumn("share", F.expr(f"{UNIT} div greatest(size(h), 1)"))
+    return rows.select(F.explode("h").alias("word"), "share").groupBy("word").agg(F.sum("share").alias("n"))
+
+
+def only(counts: DataFrame, words: np.ndarray) -> DataFrame:
+    """The rows of ``counts`` for the given sorted words, which are broadcast; their number is bounded by the model's."""
+    sent = counts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = sent.value
-        n = np.zeros(len(vocab), dtype=np.int64)
-        for b in (s for batch in batches for s in steps(batch, 0)):
-            h, offsets = flat(b.column(0))
-            size = np.diff(offsets)
-            at = find(vocab, h)
-            np.add.at(n, at[at >= 0], np.repeat(UNIT // np.maximum(size, 1), size)[at >= 0])
-        used = np.nonzero(n)[0]
-        for part in np.array_split(used, -(-len(used) // 100_000) or 1):
-            yield pa.RecordBatch.from_arrays([pa.array(vocab[part].view(np.int64)), pa.array(n[part])], names=["word", "n"])
+        for b in batches:
+            yield b.filter(pa.array(find(sent.value, b.column(0).to_numpy().view(np.uint64)) >= 0))
 
-    return docs.select(word_hashes(F.col(text_col)).alias("h")).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counts.select("word", "n").mapInArrow(run, "word long, n long")
 
 
 def sampled_labels(labels: DataFrame, label_col: str, max_docs: int, id_col: str = "doc_id") -> tuple[DataFrame, list[float], float]:
@@ -182,10 +182,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     words = col(uni, "w", np.int64).view(np.uint64)
     order = np.argsort(words)
     words, k, mass_k = words[order], *(np.stack([col(uni, f"{x}{c}", float)[order] for c in (0, 1)]) for x in "ns")
-    everywhere = shared_counts(docs, words, text_col).toArrow()
-    contexts = np.full(len(words), 1.0)
+    counts = materialize(shared_counts(docs, text_col), "toxicity-words")
+    mass, least = (float(x or 1) for x in counts.agg(F.sum("n"), F.min("n")).first())
+    everywhere = only(counts, words).toArrow()
+    contexts = np.full(len(words), least)
     contexts[find(words, col(everywhere, "word", np.int64).view(np.uint64))] = col(everywhere, "n", float)
-    shared = np.concatenate([contexts, [contexts.min(initial=1.0)]]) / (contexts.sum() + 1.0)
+    # A word that the corpus doesn't have weighs as much as its rarest; the corpus's other words are the rest.
+    shared = np.concatenate([contexts, [least]]) / (mass + least)
+    rest = max(1 - shared.sum(), 0.0)
     v, w = col(kept, "v", np.int64).view(np.uint64), col(kept, "w", np.int64).view(np.uint64)
     n = np.stack([col(kept, f"n{c}", float) for c in (0, 1)])
     known = find(words, w) >= 0
@@ -195,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = np.argsort(keys)
     v, n, keys = v[order], n[:, order], keys[order]
     texts = [int(size[c] or 0) for c in (0, 1)]
-    models = [smoothed(words, k, mass_k, texts, shared, v, n, keys, g, t) for g in CUTS for t in CONTEXT_STRENGTHS]
+    models = [smoothed(words, k, mass_k, texts, shared, rest, v, n, keys, g, t) for g in CUTS for t in CONTEXT_STRENGTHS]
 
     sent = docs.sparkSession.sparkContext.broadcast(models)
 
@@ -210,13 +214,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # A class that was drawn more thinly counts for more, so that scores keep the share that all labels have.
     weight = np.where(y == 1, 1 / drawn[1], 1 / drawn[0])
     weight *= len(y) / max(weight.sum(), 1e-9)
-    best, least = models[0], np.inf
+    best, lowest = models[0], np.inf
     for i, model in enumerate(models):
         model.slope, model.intercept = logistic(x[:, i], y, weight, base)
         p = np.clip(model.scores(x[:, i]), 1e-9, 1 - 1e-9)
         loss = -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
-        if loss < least - 1e-9:
-            best, least = model, loss
+        if loss < lowest - 1e-9:
+            best, lowest = model, loss
     return best
 
 
@@ -239,9 +243,10 @@ def g_squared(k: np.ndarray, n: np.ndarray) -> np.ndarray:
     return 2 * (ll(k, n, k / n) - ll(k, n, both)).sum(0)
 
 
-def smoothed(words: np.ndarray, k: np.ndarray, mass_k: np.ndarray, texts: list[int], shared: np.ndarray, v: np.ndarray, n: np.ndarray, keys: np.ndarray, cut: float, context_strength: float) -> ToxicityModel:
+def smoothed(words: np.ndarray, k: np.ndarray, mass_k: np.ndarray, texts: list[int], shared: np.ndarray, rest: float, v: np.ndarray, n: np.ndarray, keys: np.ndarray, cut: float, context_strength: float) -> ToxicityModel:
     """Both class models. An n-gram that the classes don't use differently by ``cut`` is pruned from both: all of its
-    mass is freed and it backs off to the level that they share, so that chance counts weigh nothing."""
+    mass is freed and it backs off to the level that they share, so that chance counts weigh nothing. ``rest`` is the shared
+    mass of the words that the model doesn't list."""
     of_class = np.array(texts, dtype=float)[:, None]
     word_p = np.zeros((2, len(words) + 1))
     own = g_squared(k, np.broadcast_to(of_class, k.shape)) >= cut
@@ -250,7 +255,7 @@ def smoothed(words: np.ndarray, k: np.ndarray, mass_k: np.ndarray, texts: list[i
         total = texts[c] + 1.0
         # What is freed goes to the words that share it, so that those have the same probability up to a factor.
         open_shared = shared * ~np.concatenate([own, [False]])
-        word_p[c] = (left + (total - left.sum()) * (0.9 * open_shared / max(open_shared.sum(), 1e-12) + 0.1 * shared)) / total
+        word_p[c] = (left + (total - left.sum()) * (0.9 * open_shared / max(open_shared.sum() + rest, 1e-12) + 0.1 * shared)) / total
     of = k[:, find(words, v)] if len(v) else np.zeros((2, 0))
     use = g_squared(n, np.maximum(of, n)) >= cut
     v, n, keys, of = v[use], n[:, use], keys[use], of[:, use]

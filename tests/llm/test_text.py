@@ -63,6 +63,26 @@ def test_toxicity_ratio_is_the_sum_over_words(spark):
     assert m.ratios(h, np.array([0, len(h)]))[0] == pytest.approx(total / len(h))
 
 
+def test_toxicity_shares_are_of_every_word_of_the_corpus(spark, monkeypatch):
+    """Words that no labelled text has count in the mass, and the rarest of them is the floor."""
+    rows = [(i, ("good calm day " if i % 2 else "vile nasty day ") * 3 + f"t{i}") for i in range(40)] + [(100 + i, f"day {' '.join(f'u{i}x{k}' for k in range(9 + i))}") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, toxic int")
+    seen, plain = [], toxicity.smoothed
+    monkeypatch.setattr(toxicity, "smoothed", lambda *args: seen.append(args) or plain(*args))
+    toxicity.train(frame(spark, rows), labels)
+    share = {}
+    for _, text in rows:
+        w = text.split()
+        for x in w:
+            share[x] = share.get(x, 0) + 1 / len(w)
+    total = sum(share.values()) + min(share.values())
+    words, shared = seen[0][0], seen[0][4]
+    for w in ("day", "vile", "calm"):
+        at = toxicity.find(words, np.array([xxhash.xxh64_intdigest(w, 42)], dtype=np.uint64))[0]
+        assert at >= 0 and shared[at] == pytest.approx(share[w] / total, rel=1e-6)
+    assert shared[-1] == pytest.approx(min(share.values()) / total, rel=1e-6)
+
+
 def test_toxicity_hash_agrees_with_spark(spark):
     got = spark.createDataFrame([("Ab, cd-EF 12 é",)], "t string").select(toxicity.word_hashes(F.col("t")).alias("h")).first().h
     want = [xxhash.xxh64_intdigest(w, 42) for w in ["ab", "cd", "ef", "12", "é"]]

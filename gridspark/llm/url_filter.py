@@ -1,7 +1,7 @@
 """URL filter: fixed rules first, gradient-boosted trees on lexical features for the rest.
 
 The trees learn from the URLs that the rules decide (or from given labels). Features: lengths, depth, digit ratio,
-entropy, parameter count, host shape, and block rates of the host's last labels among the training URLs.
+entropy, parameter count, host shape, and block rates of the host's last labels among all URLs that the rules decide.
 """
 
 from __future__ import annotations
@@ -68,12 +68,21 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
-def with_rates(rows: DataFrame, train: DataFrame) -> DataFrame:
-    """Adds the smoothed block rates of the host's last label and last two labels among the training URLs."""
-    base = train.agg((F.sum("label") + 1) / (F.count("*") + 2)).first()[0]
+def block_rates(known: DataFrame) -> tuple[float, list[tuple[str, str, DataFrame, int]]]:
+    """The block rate of all labelled URLs and its smoothed tables by the host's last label and last two labels."""
+    known = known.select("__suffix", "__domain", "label")
+    base = known.agg((F.sum("label") + 1) / (F.count("*") + 2)).first()[0]
+    tables = []
     for key, name in (("__suffix", "suffix_rate"), ("__domain", "domain_rate")):
-        rates = materialize(train.groupBy(key).agg(((F.sum("label") + 10 * base) / (F.count("*") + 10)).alias(name)), "url-rates")
-        rows = rows.join(bounded(rates, rates.count()), key, "left").fillna(base, [name])
+        rates = materialize(known.groupBy(key).agg(((F.sum("label") + 10 * base) / (F.count("*") + 10)).alias(name)), "url-rates")
+        tables.append((key, name, rates, rates.count()))
+    return base, tables
+
+
+def with_rates(rows: DataFrame, base: float, tables: list[tuple[str, str, DataFrame, int]]) -> DataFrame:
+    """Adds the block rates; what no labelled URL has gets the base rate."""
+    for key, name, rates, n in tables:
+        rows = rows.join(bounded(rates, n), key, "left").fillna(base, [name])
     return rows
 
 
@@ -99,11 +108,13 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: s
         only = next(iter(counts), "allow")
         return rows.select("page_id", "host", "path", "rule", F.coalesce("__verdict", F.lit(only)).alias("verdict"), F.lit(float(only == "block")).alias("score"))
     rate = min(1.0, train_rows / sum(counts.values()))
-    known = known.where(F.pmod(F.xxhash64("page_id", "__url"), F.lit(1_000_000)) < rate * 1_000_000)
-    train = materialize(lexical(known.withColumn("label", (F.col("__verdict") == "block").cast("double"))), "url-train")
+    known = lexical(known.withColumn("label", (F.col("__verdict") == "block").cast("double")))
+    # The rates are of all URLs that rules decide; only the rows of the fit are drawn.
+    rates = block_rates(known)
+    train = materialize(known.where(F.pmod(F.xxhash64("page_id", "__url"), F.lit(1_000_000)) < rate * 1_000_000), "url-train")
     gather = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, labelCol="label").fit(gather.transform(with_rates(train, train)).select("features", "label"))
-    scored = model.transform(gather.transform(with_rates(lexical(rows), train))).withColumn("score", vector_to_array("probability")[1])
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, labelCol="label").fit(gather.transform(with_rates(train, *rates)).select("features", "label"))
+    scored = model.transform(gather.transform(with_rates(lexical(rows), *rates))).withColumn("score", vector_to_array("probability")[1])
     by_model = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("__verdict", by_model).alias("verdict"), "score")
 

@@ -222,3 +222,20 @@ def test_shard_assignment(spark):
     assert all(table[r._slot] == r._shard and names[r._shard] == r._shard_name for r in got)
     assert len({(r.doc_id, r._shard) for r in got}) == len({i for i, _ in rows})
     assert sharding.assign(frame(spark, []), ["doc_id"], names, 251).count() == 0
+
+
+def test_url_rates_are_of_all_decided_urls(spark, monkeypatch):
+    """The fit's rows are drawn; the block rates are not."""
+    rows = [(i, f"https://d{i % 40}.{'org' if i % 3 else 'net'}/p{i}") for i in range(2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    seen, plain = [], url_filter.with_rates
+    monkeypatch.setattr(url_filter, "with_rates", lambda *args: seen.append(plain(*args)) or seen[-1])
+    url_filter.judge(pages, [("block", "net", "/"), ("allow", "org", "/")], train_rows=200, trees=1, depth=1)
+    got = {r[0]: r[1] for r in seen[-1].select("__domain", "domain_rate").distinct().collect()}
+    counts = {}
+    for _, url in rows:
+        d = url.split("/")[2]
+        counts[d] = counts.get(d, 0) + 1
+    base = (sum(n for d, n in counts.items() if d.endswith("net")) + 1) / (len(rows) + 2)
+    want = {d: ((n if d.endswith("net") else 0) + 10 * base) / (n + 10) for d, n in counts.items()}
+    assert got == pytest.approx(want)

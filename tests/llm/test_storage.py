@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,7 +27,7 @@ def direct(texts):
 @given(st.lists(TEXTS, min_size=1, max_size=5))
 def test_word_cache_gives_the_tokenizers_ids(texts):
     texts = [*texts, "it's <|endoftext|> we'll", "a<|startoftext|>b"]
-    ids, offsets = packing.word_cache(packing.tokenizer_path()).encode(texts)
+    ids, offsets, _ = packing.word_cache(packing.tokenizer_path()).encode(pa.array(texts))
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == direct(texts)
 
 
@@ -34,7 +35,7 @@ def test_word_generations_keep_results(monkeypatch):
     monkeypatch.setattr(packing, "WORDS_KEPT", 3)
     cache = packing.WordCache(packing.tokenizer_path())
     for texts in (["a b c d e"], ["a f g h"], ["e a z"], ["b q"]):
-        ids, _ = cache.encode(texts)
+        ids, _, _ = cache.encode(pa.array(texts))
         assert ids.tolist() == direct(texts)[0]
 
 

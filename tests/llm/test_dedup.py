@@ -1,67 +1,87 @@
 import random
+import struct
 
 import numpy as np
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gridspark.llm import simhash_dedup as sim
 from gridspark.llm.components import connected_components
-from gridspark.llm.line_dedup import MIN_WORDS, NEAR_WORDS, line_dedup
+from gridspark.llm.line_dedup import MIN_WORDS, line_dedup
 
 from .corpus import awkward, frame, words
 
 
+def near(a, b):
+    if min(len(a), len(b)) < 2 or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) <= 1
+    s, t = sorted((a, b), key=len)
+    return any(t[:i] + t[i + 1 :] == s for i in range(len(t)))
+
+
+def place(row):
+    """Null ids last; rows of one id by the hash of text and id."""
+    i, t = row
+    i = 2**63 - 1 if i is None else i
+    h = xxhash.xxh64_intdigest(struct.pack("<q", i), xxhash.xxh64_intdigest((t or "").encode(), 42))
+    return i, h - 2**64 if h >= 2**63 else h
+
+
 def brute_lines(rows):
-    """Kept text and dropped count of each distinct (id, text)."""
-
-    def near(a, b):
-        if abs(len(a) - len(b)) > 1:
-            return False
-        if len(a) == len(b):
-            return sum(x != y for x, y in zip(a, b)) <= 1
-        s, t = sorted((a, b), key=len)
-        return any(t[:i] + t[i + 1 :] == s for i in range(len(t)))
-
-    places = sorted({(2**63 - 1 if i is None else i, t or "") for i, t in rows})
-    seen, out = [], {}
-    for i, t in places:
+    """(id, kept text, lines dropped) of every row, sorted."""
+    seen, out = [], []
+    for i, t in sorted(rows, key=place):
         kept, gone = [], 0
-        for raw in t.split("\n"):
+        for raw in (t or "").split("\n"):
             line = raw.strip(" ")
             w = line.split(" ")
-            drop = line != "" and len(w) >= MIN_WORDS and any(line == u or (len(w) >= NEAR_WORDS <= len(v) and near(w, v)) for u, v in seen)
+            drop = line != "" and len(w) >= MIN_WORDS and any(line == u or near(w, v) for u, v in seen)
             if line and len(w) >= MIN_WORDS:
                 seen.append((line, w))
             gone += drop
             if not drop:
                 kept.append(raw)
-        out[i, t] = "\n".join(kept), gone
-    return out
+        out.append((str(i), None if t is None else "\n".join(kept), gone))
+    return sorted(out, key=str)
+
+
+def shown(frame_):
+    return sorted(((str(r.doc_id), r.text, r.lines_dropped) for r in frame_.collect()), key=str)
 
 
 def test_line_dedup_against_brute_force(spark):
     rng = random.Random(5)
-    lines = [words(rng, n) for n in (3, 9, 10, 11, 12, 25, 40)]
+    lines = [words(rng, n) for n in (2, 3, 4, 5, 9, 10, 11, 12, 25, 40)]
     extra = []
     for k, line in enumerate(lines):
         w = line.split(" ")
         variants = [w[1:], w[:-1], w + ["more"], ["more", *w], [*w[:2], "sub", *w[3:]], w[:4] + ["in"] + w[4:], w[::-1], [*w[:1], "a", *w[2:-1], "b"]]
         extra += [(1000 + 20 * k + j, f"{words(rng, 12)}\n{' '.join(v)}\n {line} ") for j, v in enumerate(variants)]
         extra.append((900 + k, line))
+    # Repeated rows and ids, null ids, single words, blank lines.
+    extra += [(3000, "one line here\nanother line there")] * 3 + [(3000, "another line there\nand more of them")] + [(None, "no id at all\none\n\n one")] * 2 + [(3001, "one"), (3002, "two words"), (3003, "two others\ntwo words more")]
     rows = awkward() + extra
-    want = brute_lines(rows)
-    got = line_dedup(frame(spark, rows)).collect()
-    assert len(got) == len(rows) and got[0].asDict().keys() >= {"key", "__row", "lines_total", "lines_dropped"}
-    for r in got:
-        original = next(t for i, t in rows if i == r.doc_id and (t == r.text or brute_key(want, i, t)[0] == (r.text or "")))
-        text, gone = brute_key(want, r.doc_id, original)
-        assert (r.text or "", r.lines_dropped) == (text, gone), r.doc_id
-        assert (r["__row"], r.key, r.id) == (1, "k", "x")
-
-
-def brute_key(want, i, t):
-    return want[2**63 - 1 if i is None else i, t or ""]
+    got = line_dedup(frame(spark, rows))
+    assert {"key", "__row", "lines_total", "lines_dropped"} <= set(got.columns)
+    assert shown(got) == brute_lines(rows)
+    assert {(r["__row"], r.key, r.id) for r in got.collect()} == {(1, "k", "x")}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 6), st.lists(st.lists(st.sampled_from("abc"), min_size=0, max_size=5), max_size=4)), max_size=8))
+def test_line_dedup_on_short_lines(spark, rows):
+    rows = [(i, "\n".join(" ".join(line) for line in t)) for i, t in rows]
+    assert shown(line_dedup(frame(spark, rows))) == brute_lines(rows)
+
+
+def test_line_dedup_clashing_names(spark):
+    docs = frame(spark, [(1, "a b c"), (2, "a b d")]).withColumn("Lines_Total", F.lit("mine"))
+    got = line_dedup(docs).orderBy("doc_id").collect()
+    assert [(r["Lines_Total"], r["_lines_total"], r["_lines_dropped"]) for r in got] == [("mine", 1, 0), ("mine", 1, 1)]
 
 
 def test_line_dedup_empty_table(spark):

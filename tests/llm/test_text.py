@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 import xxhash
@@ -48,39 +50,93 @@ def test_toxicity_without_labels(spark):
     assert len(rows) == 2 and len({r.score for r in rows}) == 1
 
 
-def test_toxicity_ratio_is_the_sum_over_words(spark):
-    """Batched scoring against one word after the other."""
-    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
-    m = toxicity.train(docs.select("doc_id", "text"), labels.where(fold("doc_id", 4) != 2))
-    h = np.array([xxhash.xxh64_intdigest(w, 42) for w in "the idiot and the worthless clown of".split()], dtype=np.uint64)
-    total = 0.0
-    for i, w in enumerate(h):
-        k = toxicity.find(m.words, h[i : i + 1])[0]
-        c = toxicity.find(m.contexts, h[i - 1 : i])[0] if i else -1
-        pair = toxicity.find(m.pairs, toxicity.mix(h[i - 1 : i], h[i : i + 1]))[0] if i and c >= 0 and k >= 0 else -1
-        p = m.pair_a[:, pair] + m.context_b[:, c] * m.word_p[:, k]
-        total += np.log(p[1]) - np.log(p[0])
-    assert m.ratios(h, np.array([0, len(h)]))[0] == pytest.approx(total / len(h))
-
-
-def test_toxicity_shares_are_of_every_word_of_the_corpus(spark, monkeypatch):
-    """Words that no labelled text has count in the mass, and the rarest of them is the floor."""
-    rows = [(i, ("good calm day " if i % 2 else "vile nasty day ") * 3 + f"t{i}") for i in range(40)] + [(100 + i, f"day {' '.join(f'u{i}x{k}' for k in range(9 + i))}") for i in range(60)]
-    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, toxic int")
-    seen, plain = [], toxicity.smoothed
-    monkeypatch.setattr(toxicity, "smoothed", lambda *args: seen.append(args) or plain(*args))
-    toxicity.train(frame(spark, rows), labels)
-    share = {}
-    for _, text in rows:
-        w = text.split()
-        for x in w:
-            share[x] = share.get(x, 0) + 1 / len(w)
-    total = sum(share.values()) + min(share.values())
-    words, shared = seen[0][0], seen[0][4]
-    for w in ("day", "vile", "calm"):
-        at = toxicity.find(words, np.array([xxhash.xxh64_intdigest(w, 42)], dtype=np.uint64))[0]
-        assert at >= 0 and shared[at] == pytest.approx(share[w] / total, rel=1e-6)
-    assert shared[-1] == pytest.approx(min(share.values()) / total, rel=1e-6)
+def brute_model(rows, fit, discount, factor):
+    """P(w | v) of both classes from dictionaries; ``fit`` are (text, label), each different text once."""
+    corpus = Counter(w for _, t in rows for w in (t or "").lower().split())
+    least = min(corpus.values())
+    mass = sum(corpus.values()) + least
+    shared = lambda w: corpus.get(w, least) / mass
+    n = {c: Counter(p for t, y in fit if y == c for p in {*zip(t.split(), t.split()[1:])}) for c in (0, 1)}
+    both = n[0] + n[1]
+    top = toxicity.PAIR_DISCOUNT
+
+    def word(c, w):
+        before = Counter(b for _, b in n[c])
+        total = max(sum(before.values()), 1)
+        own = {x: max(k - discount - factor * total * shared(x), 0) / total for x, k in before.items()}
+        return own.get(w, 0) + (1 - sum(own.values())) * shared(w)
+
+    def shared_pair(v, w):
+        of = sum(k for (a, _), k in both.items() if a == v)
+        left = {b: max(k - top, 0) / of for (a, b), k in both.items() if a == v}
+        return left.get(w, 0), 1 - sum(left.values())
+
+    def pair(c, v, w):
+        of = sum(k for (a, _), k in n[c].items() if a == v)
+        lower = lambda x: shared_pair(v, x)[0] + shared_pair(v, x)[1] * word(c, x)
+        own = {b: max(k - top - factor * of * lower(b), 0) / max(of, 1) for (a, b), k in n[c].items() if a == v}
+        return own.get(w, 0) + (1 - sum(own.values())) * lower(w)
+
+    return word, pair
+
+
+def test_toxicity_model_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    vocab = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(["all rights kept" if i % 3 else "all of it", *rng.choice(vocab, 8), *(["vile beast"] * (i % 2) + ["go away"] * (i % 4 == 1))])) for i in range(60)]
+    rows += [(100 + i, " ".join(rng.choice([*vocab, "elsewhere"], 9))) for i in range(10)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    picked, _, _ = toxicity.sampled_labels(labels, "toxic", 1000)
+    sample = toxicity.sample_texts(docs, picked, 1000, "doc_id", "text")
+    fit = [(t, i % 2) for i, t in rows if i < 60]
+    counts = toxicity.count(docs, sample, "text")
+    code = lambda w: np.array([xxhash.xxh64_intdigest(x, 42) for x in w], dtype=np.uint64)
+    everything = sorted({w for _, t in rows for w in t.split()})
+    for discount, factor in ((1.5, 2.0), (1.5, 0.1)):
+        m = toxicity.smoothed(counts, discount, factor)
+        word, pair = brute_model(rows, fit, discount, factor)
+        assert m.class_p.any() or factor > 1
+        listed = [w for w in everything if toxicity.find(m.words, code([w]))[0] >= 0]
+        assert {"vile", "beast", "rights", "kept", "go"} <= set(listed)
+        for v in ("all", "rights", "vile", "w3", "elsewhere", "never"):
+            for w in listed:
+                got = m.probabilities(code([v, w]), np.array([True, False]))[:, 1]
+                assert got == pytest.approx([pair(c, v, w) for c in (0, 1)]), (v, w)
+            # Each class's probabilities of all words and the unseen one sum to one.
+            assert sum(pair(0, v, w) for w in [*everything, "unseen"]) == pytest.approx(1)
+        h = code("all rights kept vile beast go w1".split())
+        t = "all rights kept vile beast go w1".split()
+        want = np.mean([np.log((pair(1, a, b) if a else word(1, b)) / (pair(0, a, b) if a else word(0, b))) for a, b in zip([None, *t], t)])
+        assert m.ratios(h, np.array([0, len(h)]))[0] == pytest.approx(want)
+
+
+def test_toxicity_sample_is_bounded_and_without_copies(spark):
+    docs = frame(spark, [(i // 3, f"text number {i}") for i in range(90)] + [(50 + i, "the same text") for i in range(40)])
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(90)], "doc_id long, toxic int")
+    picked, _, _ = toxicity.sampled_labels(labels, "toxic", 20)
+    rows = toxicity.sample_texts(docs, picked, 20, "doc_id", "text").collect()
+    assert sum(r.y for r in rows) <= 20 and sum(1 - r.y for r in rows) <= 1 and len({tuple(r.h) for r in rows}) == len(rows)
+
+
+def test_toxicity_held_out_accuracy(spark):
+    labels = table(spark, SF, "labels")
+    held = toxicity.query(spark, SF).join(labels, "doc_id").where("held_out").collect()
+    assert len(held) > 50 and f1(held, "toxic") > 0.5
+    assert sum(r.predicted for r in held if r.toxic == 0) <= 0.02 * len(held)
+
+
+def test_toxicity_long_texts_and_ties(spark):
+    rng = np.random.default_rng(1)
+    some = lambda n: list(rng.choice([f"w{i}" for i in range(300)], n))
+    rows = [(i, " ".join(x for w in some(40) for x in ([w, "vile"] if i % 2 and rng.random() < 0.1 else [w]))) for i in range(300)]
+    plain = some(200_000)
+    long = " ".join(x for i, w in enumerate(plain) for x in ([w, "vile"] if i % 10 == 0 else [w]))
+    docs = frame(spark, [*rows, (900, long), (901, long), (902, " ".join(plain)), (903, "")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    # Where long unlabelled texts use the word too, the shared counts expect more of it.
+    got = {r.id: r for r in toxicity.score(docs, toxicity.train(docs.where("coalesce(doc_id, 0) < 900"), labels)).collect()}
+    assert got[900].score == got[901].score and got[900].predicted == 1 and got[900].ratio > got[902].ratio and got[902].predicted == 0
 
 
 def test_toxicity_hash_agrees_with_spark(spark):

@@ -16,8 +16,8 @@ or the last half is the same, so only lines that share a half with another disti
 only those of the other half.
 
 Texts are split once into a table of places (40 bytes a line and its half keys), from which all joins are made; then
-only texts that have candidate lines or lose lines are split again. What is small by count is broadcast; beyond the
-bound the same joins shuffle.
+only texts that have candidate lines or lose lines are split again. No side is broadcast by hint: all joins shuffle, at
+every size alike, and AQE may split their hot keys.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import LAST_ID, bounded, materialize, table, unused
+from gridspark.llm.common import LAST_ID, materialize, release, table, unused
 
 MIN_WORDS = 1
 NEAR_WORDS = 2
@@ -76,11 +76,10 @@ def _candidates(places: DataFrame, firsts: DataFrame) -> DataFrame:
     """(cid, h1, h2, id, row, pos, by_first, by_last): the distinct lines that share a half with another one, by their
     earliest place; cid is in the order of the lines."""
     halves = firsts.where("k0 is not null").select("h1", F.explode(F.array(*(F.struct(F.lit(i >= 2).alias("last"), F.col(f"k{i}").alias("k")) for i in range(4)))).alias("s")).select("h1", "s.last", "s.k").where("k is not null")
-    shared = materialize(halves.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("k"), "line-halves")
-    maybe = halves.join(bounded(shared, shared.count()), "k", "left_semi").groupBy("h1").agg(F.max(F.when(~F.col("last"), 1).otherwise(0)).alias("by_first"), F.max(F.when(F.col("last"), 1).otherwise(0)).alias("by_last"))
-    some = materialize(firsts.select("h1", "h2", "id").join(maybe, "h1"), "line-maybe")
-    n = some.count()
-    at = places.select("h1", "h2", "id", "row", "pos").join(bounded(some, n), ["h1", "h2", "id"])
+    shared = halves.groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("k")
+    maybe = halves.join(shared, "k", "left_semi").groupBy("h1").agg(F.max(F.when(~F.col("last"), 1).otherwise(0)).alias("by_first"), F.max(F.when(F.col("last"), 1).otherwise(0)).alias("by_last"))
+    some = firsts.select("h1", "h2", "id").join(maybe, "h1")
+    at = places.select("h1", "h2", "id", "row", "pos").join(some, ["h1", "h2", "id"])
     first = at.groupBy("h1", "h2", "id", "by_first", "by_last").agg(F.min(F.struct("row", "pos")).alias("at")).select("h1", "h2", "id", "at.row", "at.pos", "by_first", "by_last")
     # Ranges are in order, and so are the rows of each.
     return materialize(first.repartitionByRange("id", "row", "pos").sortWithinPartitions("id", "row", "pos").withColumn("cid", F.monotonically_increasing_id()), "line-candidates")
@@ -90,7 +89,7 @@ def _near(docs: DataFrame, ranked: DataFrame, id_col: str, text_col: str) -> Dat
     """(h1, h2, id): the candidates that have an earlier line within one word edit."""
     doc, row, text = _named(docs, id_col, text_col)
     wanted = ranked.groupBy("id", "row").agg(F.collect_list(F.struct("pos", "cid", "by_first", "by_last")).alias("wanted"))
-    rows = docs.select(doc.alias("id"), row.alias("row"), text.alias("text")).join(bounded(wanted, ranked.count()), ["id", "row"])
+    rows = docs.select(doc.alias("id"), row.alias("row"), text.alias("text")).join(wanted, ["id", "row"])
     # The text is split once, as the lambda's argument.
     taken = F.transform(F.array(F.split("text", "\n")), lambda p: F.transform("wanted", lambda w: F.struct(w["cid"].alias("cid"), w["by_first"].alias("by_first"), w["by_last"].alias("by_last"), F.trim(F.get(p, w["pos"])).alias("line"))))
     found = rows.select(F.inline(F.get(taken, 0)))
@@ -122,7 +121,9 @@ def _near(docs: DataFrame, ranked: DataFrame, id_col: str, text_col: str) -> Dat
         " when size(w) = size(u) + 1 then concat(slice(w, 1, i), slice(w, i + 2, size(w))) = u"
         " when size(u) = size(w) + 1 then concat(slice(u, 1, i), slice(u, i + 2, size(u))) = w else false end"
     )
-    return ranked.join(pairs.where(within).select("cid").distinct(), "cid").select("h1", "h2", "id")
+    near = materialize(ranked.join(pairs.where(within).select("cid").distinct(), "cid").select("h1", "h2", "id"), "line-near")
+    release(lines, keys, ranked)
+    return near
 
 
 def _dropped(docs: DataFrame, places: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -133,8 +134,9 @@ def _dropped(docs: DataFrame, places: DataFrame, id_col: str, text_col: str) ->
     near = _near(docs, _candidates(counted, firsts), id_col, text_col)
     verdict = firsts.where("again").select("h1", "h2", "id", F.lit(False).alias("near")).unionByName(near.withColumn("near", F.lit(True)))
     verdict = materialize(verdict.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("near").alias("near")), "line-verdicts")
-    hits = counted.select("h1", "h2", "id", "row", "pos").join(bounded(verdict, verdict.count()), ["h1", "h2"])
+    hits = counted.select("h1", "h2", "id", "row", "pos").join(verdict, ["h1", "h2"])
     hits = materialize(hits.select("h1", "h2", "id", "row", "pos", F.expr("near or id > first").alias("sure")), "line-hits")
+    release(firsts, verdict)
     # Of several places under the smallest id the first stays.
     ties = hits.where("not sure")
     stays = ties.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("stays")).where("n > 1").drop("n")
@@ -165,27 +167,27 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     gone = _dropped(docs, places, id_col, text_col).groupBy(F.col("id").alias(own_id), F.col("row").alias(own_row)).agg(F.collect_set("pos").alias(own_drop))
     gone = materialize(gone, "line-drops")
-    size = gone.agg(F.coalesce(F.sum(F.size(own_drop) + 10), F.lit(0))).first()[0]
+    release(places)
 
     def shown(rows: DataFrame, clean: Column, dropped: Column) -> DataFrame:
         n = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
         return rows.select(*(clean.alias(c) if c == text_col else F.col(c) for c in names), F.when(F.col(text_col).isNull(), 0).otherwise(n).alias(total), dropped.alias(cut))
 
     def without_drops(rows: DataFrame) -> DataFrame:
-        joined = rows.join(bounded(gone, size), [own_id, own_row], "left")
+        joined = rows.join(gone, [own_id, own_row], "left")
         # The text is split once, as the lambda's argument.
         kept = F.transform(F.array(F.split(text, "\n")), lambda p: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col(own_drop)), lambda i: F.get(p, i)), "\n"))
         return shown(joined, F.when(F.col(own_drop).isNull(), F.col(text_col)).otherwise(F.get(kept, 0)), F.coalesce(F.size(own_drop), F.lit(0)))
 
     if not n_equal:
         return without_drops(named)
-    copies = materialize(named.join(bounded(equal, n_equal), [own_id, own_row], "left_semi").withColumn(own_place, F.monotonically_increasing_id()), "line-copies")
+    copies = materialize(named.join(equal, [own_id, own_row], "left_semi").withColumn(own_place, F.monotonically_increasing_id()), "line-copies")
     leads = copies.groupBy(own_id, own_row).agg(F.min(own_place).alias(own_first))
     copies = copies.join(leads, [own_id, own_row])
     stays = F.filter(F.split(text, "\n"), lambda x: (F.trim(x) == "") | (F.size(F.split(F.trim(x), " ")) < min_words))
     n_stays = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text, "\n")) - F.size(stays))
     others = shown(copies.where(F.col(own_place) > F.col(own_first)), F.when(F.col(text_col).isNotNull(), F.array_join(stays, "\n")), n_stays)
-    singles = named.join(bounded(equal, n_equal), [own_id, own_row], "left_anti")
+    singles = named.join(equal, [own_id, own_row], "left_anti")
     return without_drops(singles).unionByName(without_drops(copies.where(F.col(own_place) == F.col(own_first)).drop(own_place, own_first))).unionByName(others)
 
 

@@ -224,7 +224,7 @@ def count(docs: DataFrame, fit: DataFrame, text_col: str) -> Counts:
 #: the shared counts expect is taken off as well.
 PAIR_DISCOUNT = 4
 DISCOUNTS = (1.5, 2.0, 3.0)
-FACTORS = (2.0, 3.0, 4.0)
+FACTORS = (1.2, 2.0, 3.0, 4.0)
 
 
 def smoothed(c: Counts, discount: float, factor: float) -> ToxicityModel:

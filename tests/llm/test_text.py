@@ -128,12 +128,12 @@ def test_toxicity_held_out_accuracy(spark):
 
 def test_toxicity_long_texts_and_ties(spark):
     rng = np.random.default_rng(1)
-    some = lambda n: list(rng.choice([f"w{i}" for i in range(300)], n))
-    rows = [(i, " ".join(x for w in some(40) for x in ([w, "vile"] if i % 2 and rng.random() < 0.1 else [w]))) for i in range(300)]
+    some = lambda n: list(rng.choice([f"w{i}" for i in range(5000)], n))
+    rows = [(i, " ".join(x for w in some(40) for x in ([w, "vile"] if i % 4 == 0 and rng.random() < 0.1 else [w]))) for i in range(300)]
     plain = some(200_000)
     long = " ".join(x for i, w in enumerate(plain) for x in ([w, "vile"] if i % 10 == 0 else [w]))
     docs = frame(spark, [*rows, (900, long), (901, long), (902, " ".join(plain)), (903, "")])
-    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
     # Where long unlabelled texts use the word too, the shared counts expect more of it.
     got = {r.id: r for r in toxicity.score(docs, toxicity.train(docs.where("coalesce(doc_id, 0) < 900"), labels)).collect()}
     assert got[900].score == got[901].score and got[900].predicted == 1 and got[900].ratio > got[902].ratio and got[902].predicted == 0

@@ -3,16 +3,14 @@
 Fingerprints are 64-bit. Two link when they differ in at most ``radius`` bits. The index works on the distinct
 fingerprints:
 
-* upper nodes: the 64 bits are cut into blocks; at least one block of two linked fingerprints is equal, and among
-  the bits outside it at least one sub-block is equal as well. Such a pair of equal blocks is a masked bit pattern
-  that many fingerprints share; it is the key under which they are filed (``(radius + 1) ** 2`` keys each);
-* below a key, fingerprints are range-sorted by their Gray rank and cut into leaf groups. The bits on which a
-  whole group agrees are factored out as the group's (mask, pattern);
-* a search adds up the differences on those masks and drops a whole group as soon as they exceed the radius;
-  only the groups that are left are compared code by code.
-
-Ranges may split a key, so a key that holds a third of all fingerprints is spread over many tasks; the pairs of
-leaf groups that then lie in different tasks are found by a join of the groups' summary rows.
+* upper nodes: the 64 bits are cut into ``radius + 1`` blocks; at least one block of two linked fingerprints is equal,
+  and among the bits outside it at least one sub-block is equal as well. Such a pair of equal blocks is a masked bit
+  pattern that many fingerprints share; it is the key under which they are filed (``(radius + 1) ** 2`` keys each);
+* a key with over ``RUN`` fingerprints goes down another level in the same way, and so on: its fingerprints are filed
+  under ``radius + 1`` longer patterns. Each level leaves fewer free bits, so keys become small, however alike the
+  fingerprints are, and none is lost;
+* below a key, fingerprints are sorted by their Gray rank and searched in the tree of ``gray_index``, which drops whole
+  groups by the differences accumulated from the root.
 """
 
 from __future__ import annotations
@@ -27,8 +25,9 @@ from pyspark.sql import functions as F
 
 from gridspark.llm.common import materialize, unused
 from gridspark.llm.components import connected_components
+from gridspark.llm.gray_index import SMALL, Tree, sized, small_pairs, whole_groups
 
-LEAF = 64
+RUN = 8192
 SEED = 42
 
 
@@ -66,163 +65,61 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return kind.mapInArrow(run, "id long, fp long")
 
 
-def gray_rank(x: np.ndarray) -> np.ndarray:
-    """Position of each code in the reflected Gray sequence."""
-    x = x.copy()
-    for s in (1, 2, 4, 8, 16, 32):
-        x ^= x >> np.uint64(s)
-    return x
-
-
-def masks(radius: int) -> list[int]:
-    """Masked patterns such that two codes within ``radius`` bits agree on at least one of them."""
+def masks(radius: int, depth: int = 2) -> list[int]:
+    """Masked patterns such that two codes within ``radius`` bits agree on at least one of them. Pattern ``i`` of a depth
+    is part of the patterns ``(radius + 1) * i`` and following of the next."""
+    out = [0]
+    for _ in range(depth):
+        rest = [[b for b in range(64) if not m >> b & 1] for m in out]
+        out = [m | sum(1 << int(b) for b in block) for m, bits in zip(out, rest) for block in np.array_split(np.array(bits), radius + 1)]
+    return out
 
-    def cut(bits: list[int]) -> list[list[int]]:
-        return [list(map(int, p)) for p in np.array_split(np.array(bits), radius + 1)]
 
-    out = []
-    for block in cut(list(range(64))):
-        rest = [b for b in range(64) if b not in block]
-        out += [sum(1 << b for b in block + sub) for sub in cut(rest)]
-    return out
+def filed(rows: DataFrame, radius: int, depth: int, wide: int) -> DataFrame:
+    """(mask_id, key, fp): ``rows(mask_id, fp)`` of a depth under the patterns of a deeper one, ``wide`` for each."""
+    patterns = np.array(masks(radius, depth), dtype=np.uint64)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = np.repeat(b.column(0).to_numpy(zero_copy_only=False) * wide, wide) + np.tile(np.arange(wide, dtype=np.int32), b.num_rows)
+            fp = np.repeat(b.column(1).to_numpy(zero_copy_only=False).view(np.uint64), wide)
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array((fp & patterns[ids]).view(np.int64)), pa.array(fp.view(np.int64))], names=["mask_id", "key", "fp"])
 
-def leaf_links(fps: np.ndarray, radius: int) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
-    """Links inside one run of Gray-sorted codes that share a key, as edges that join the same components as all
-    links would, and the leaf groups (first, end, mask, pattern) of the run."""
-    edges: list[tuple[int, int]] = []
-    groups = []
-    for lo in range(0, len(fps), LEAF):
-        part = fps[lo : lo + LEAF]
-        same = ~np.bitwise_or.reduce(part ^ part[0])
-        groups.append((lo, lo + len(part), int(same), int(part[0] & same)))
-    g_mask = np.array([g[2] for g in groups], dtype=np.uint64)
-    g_code = np.array([g[3] for g in groups], dtype=np.uint64)
-    for i, (lo, hi, m, code) in enumerate(groups):
-        near = np.nonzero(np.bitwise_count((g_code[i:] ^ np.uint64(code)) & g_mask[i:] & np.uint64(m)) <= radius)[0] + i
-        for j in near:
-            edges += cross_links(fps[lo:hi], fps[groups[j][0] : groups[j][1]], radius, int(j) == i)
-    return edges, groups
-
-
-def cross_links(a: np.ndarray, b: np.ndarray, radius: int, same: bool = False) -> list[tuple[int, int]]:
-    """For two leaf groups, the links as a forest: one edge for each union, not one for each pair."""
-    x, y = np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= radius)
-    if same:
-        x, y = x[x < y], y[x < y]
-    root: dict[int, int] = {}
-
-    def top(v: int) -> int:
-        while (p := root.get(v, v)) != v:
-            root[v] = root.get(p, p)
-            v = p
-        return v
-
-    out = []
-    for u, v in zip(a[x].tolist(), b[y].tolist()):
-        if (ru := top(u)) != (rv := top(v)):
-            root[max(ru, rv)] = min(ru, rv)
-            out.append((u, v))
-    return out
+    return rows.select("mask_id", "fp").mapInArrow(run, "mask_id int, key long, fp long")
 
 
-_LEAVES = "kind int, key long, mask_id int, a long, b long, node long, mask long, code long, fps array<long>"
+def searched(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join the components of all pairs of a key within the radius."""
+    for group, (_, _, fps) in whole_groups(batches, 2):
+        codes = fps.view(np.uint64)[:, None]
+        is_small, large = sized(group, SMALL)
+        at = np.nonzero(is_small)[0]
+        x, y = small_pairs(group[at], codes[at], radius)
+        found = [(at[x], at[y])]
+        for lo, hi in large:
+            x, y, _ = Tree(codes[lo:hi]).forest(radius)
+            found.append((x + lo, y + lo))
+        for x, y in found:
+            yield pa.RecordBatch.from_arrays([pa.array(fps[x]), pa.array(fps[y])], names=["a", "b"])
 
 
 def links(fps: DataFrame, radius: int = 2) -> DataFrame:
     """Distinct ``fp`` longs -> edges (a, b) whose components are those of all pairs within ``radius`` bits."""
     if not 0 <= radius <= 7:
         raise ValueError("radius must be 0 to 7")
-    spark, patterns = fps.sparkSession, masks(radius)
-    n_masks = len(patterns)
-
-    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            rank = gray_rank(fp)
-            n = len(fp)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(np.arange(n_masks, dtype=np.int32), n)),
-                    pa.array(np.concatenate([fp & np.uint64(m) for m in patterns]).view(np.int64)),
-                    pa.array(np.tile((rank ^ np.uint64(1 << 63)).view(np.int64), n_masks)),
-                    pa.array(np.tile(fp.view(np.int64), n_masks)),
-                ],
-                names=["mask_id", "key", "rank", "fp"],
-            )
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        serial = 0
-        held: list[np.ndarray] = []
-        held_key: tuple[int, int] | None = None
-
-        def close(run: np.ndarray, key: tuple[int, int]) -> pa.RecordBatch:
-            nonlocal serial
-            edges, groups = leaf_links(run, radius)
-            rows = [{"kind": 0, "key": None, "mask_id": None, "a": u, "b": v, "node": None, "mask": None, "code": None, "fps": None} for u, v in signed(edges)]
-            for lo, hi, m, code in groups:
-                s = np.array([m, code], dtype=np.uint64).view(np.int64).tolist()
-                rows.append({"kind": 1, "key": key[1], "mask_id": key[0], "a": None, "b": None, "node": (part << 33) + serial, "mask": s[0], "code": s[1], "fps": run[lo:hi].view(np.int64).tolist()})
-                serial += 1
-            return rows
-
-        # A run that this task sees whole needs no summary rows; only the first and last key may go on in another task.
-        def flush(out: list[dict], run: np.ndarray, key: tuple[int, int], edge_of_task: bool) -> None:
-            if len(run) > 1 or edge_of_task:
-                out += [r for r in close(run, key) if edge_of_task or r["kind"] == 0]
-
-        first = True
-        for b in batches:
-            mid = b.column(0).to_numpy(zero_copy_only=False)
-            key = b.column(1).to_numpy(zero_copy_only=False)
-            fp = b.column(3).to_numpy(zero_copy_only=False).view(np.uint64)
-            cuts = np.nonzero((mid[1:] != mid[:-1]) | (key[1:] != key[:-1]))[0] + 1
-            out: list[dict] = []
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fp)]):
-                k = (int(mid[lo]), int(key[lo]))
-                if held_key is not None and k != held_key:
-                    if held:
-                        flush(out, np.concatenate(held), held_key, first)
-                    held, first = [], False
-                held_key = k
-                held.append(fp[lo:hi])
-                if sum(map(len, held)) > 200 * LEAF:  # bounded memory: a very long run goes on as summary rows
-                    run = np.concatenate(held)
-                    out += close(run, k)
-                    held, first = [], True
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
-        out = []
-        if held:
-            flush(out, np.concatenate(held), held_key, True)
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
-
-    def signed(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        return [tuple(r) for r in np.array(edges, dtype=np.uint64).reshape(-1, 2).view(np.int64).tolist()]
-
-    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("mask_id", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("node", pa.int64()), ("mask", pa.int64()), ("code", pa.int64()), ("fps", pa.list_(pa.int64()))])
-    filed = fps.select("fp").mapInArrow(file, "mask_id int, key long, rank long, fp long")
-    leaves = materialize(filed.repartitionByRange("mask_id", "key", "rank").sortWithinPartitions("mask_id", "key", "rank").mapInArrow(build, _LEAVES), "gray-leaves")
-    near = leaves.where("kind = 0").select("a", "b")
-    nodes = leaves.where("kind = 1").select("mask_id", "key", "node", "mask", "code", "fps")
-    left = nodes.select("mask_id", "key", F.col("node").alias("n1"), F.col("mask").alias("m1"), F.col("code").alias("c1"), F.col("fps").alias("f1"))
-    right = nodes.select("mask_id", "key", F.col("node").alias("n2"), F.col("mask").alias("m2"), F.col("code").alias("c2"), F.col("fps").alias("f2"))
-    apart = F.expr(f"n1 < n2 and bit_count((c1 ^ c2) & m1 & m2) <= {radius}")
-    pairs = left.join(right, ["mask_id", "key"]).where(apart).select("f1", "f2")
-
-    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for x, y in zip(b.column(0), b.column(1)):
-                f1, f2 = (np.array(v.as_py(), dtype=np.int64).view(np.uint64) for v in (x, y))
-                out += signed(cross_links(f1, f2, radius))
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in out], pa.int64()), pa.array([v for _, v in out], pa.int64())], names=["a", "b"])
-
-    return near.unionByName(pairs.mapInArrow(cross, "a long, b long"))
+    wide, depth = radius + 1, 2
+    rows, ready = filed(fps.select(F.lit(0).alias("mask_id"), "fp"), radius, depth, wide**depth), []
+    while True:
+        hot = materialize(rows.groupBy("mask_id", "key").count().where(F.col("count") > RUN).select("mask_id", "key"), "gray-hot-keys")
+        if hot.isEmpty():
+            break
+        ready.append(rows.join(hot, ["mask_id", "key"], "left_anti"))
+        depth += 1
+        rows = materialize(filed(rows.join(hot, ["mask_id", "key"], "left_semi"), radius, depth, wide), "gray-hot-rows")
+    for part in ready:
+        rows = rows.unionByName(part)
+    dealt = rows.repartition("mask_id", "key").sortWithinPartitions("mask_id", "key")
+    return dealt.mapInArrow(lambda batches: searched(batches, radius), "a long, b long")
 
 
 def components(prints: DataFrame, radius: int = 2) -> DataFrame:

@@ -1,43 +1,73 @@
 """Near-duplicates by similarity of word shingles: SimHash finds candidates, the shingle sets decide.
 
 Two texts whose shingle sets have similarity s differ in each SimHash bit with probability acos(2s / (1 + s)) / pi: at
-0.8 that is 0.15, so 64 bits are far apart in most pairs. A signature therefore has ``TABLES`` codes of ``BITS`` bits.
-Each table is the hierarchical Gray-order index of ``simhash_dedup`` with a radius of 2: codes are filed under masked
-bit patterns, range-sorted by Gray rank, cut into leaf groups, and whole groups are pruned by the differences on their
-shared bits. What a table finds is a candidate unless the sizes of the sets or over ``LIMIT`` bits rule it out; a pair
-that several tables find is given by the first alone.
-
-Candidates are verified on the shingle sets themselves: only pairs of similarity ``SIMILAR`` or more are edges. First
-come those that would join all candidates of a chunk, then all others whose ends are still apart, so pairs within a
-group that is joined already need no look.
-
-Pairs at similarity 0.8 are found by one table with probability 0.36 and by any of the twelve with 0.995; at 0.9 with
-over 0.9999. Sets of few shingles deviate from the formula, as even counts tie.
+0.8 that is 0.15, so 64 bits are far apart in most pairs. A signature has 256 bits, and a table files it under the
+masked bit pattern of some of them. The patterns have a bit more for each doubling of the texts, so a key keeps a few
+chance texts whatever the input, and there are as many tables as it takes to find ``RECALL`` of the pairs at similarity
+0.8 (by the formula; 0.998 at 0.85). Below a key, signatures are searched as in ``gray_index``: in Gray order, in a tree
+whose groups are dropped by their accumulated differences over the first 128 bits.
+
+A key with more texts than a task should hold (variants of one text) is dealt out in Gray order; each part is searched
+alone, and one text of each of its components goes on to the next round, until the rest fits.
+
+Candidates are verified on the shingle sets themselves: only pairs of similarity ``SIMILAR`` or more are edges. Of large
+groups first only a forest is verified, nearest pairs first, then all other candidates whose ends are still apart; so
+no group gives all of its pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import LAST_ID, bounded, materialize, unused
 from gridspark.llm.components import connected_components
-from gridspark.llm.simhash_dedup import LEAF, gray_rank, shingle_hashes
+from gridspark.llm.gray_index import SMALL, Tree, Unions, gray_rank, sized, small_pairs, whole_groups
+from gridspark.llm.simhash_dedup import shingle_hashes
 
-WORDS, TABLES, BITS, RADIUS = 5, 12, 21, 2
+WORDS, LANES = 5, 4
 #: At least this similarity, as a fraction.
 SIMILAR = (4, 5)
-#: Expected differences at 0.8 are 39 of 256, with a deviation of 5.7; four of them are allowed for.
-LIMIT = 62
-LANES = 4
+#: Share of the pairs at that similarity that the tables find at least, by the formula.
+RECALL = 0.98
+#: Of the 128 bits that are compared 19.4 differ at 0.8, with a deviation of 4.06; four of them are allowed for.
+LIMIT = 36
+#: Texts of one key that a task holds.
+RUN = 8192
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
-_BLOCKS = [((1 << 7) - 1) << (7 * i) for i in range(3)]
-RUN = 200 * LEAF
+
+
+def plan(n: int) -> tuple[int, int]:
+    """Bits of a pattern and number of tables for ``n`` texts: by chance, a key has 32 to 64 of them."""
+    bits = min(max(8, math.ceil(math.log2(max(n, 2))) - 6), 48)
+    total = 64 * LANES
+    p, q = SIMILAR
+    differs = math.acos(2 * p / (p + q)) / math.pi
+    weight = [math.comb(total, d) * differs**d * (1 - differs) ** (total - d) for d in range(total - bits + 1)]
+    equal = [math.comb(total - d, bits) / math.comb(total, bits) for d in range(total - bits + 1)]
+    found = lambda tables: sum(w * (1 - (1 - e) ** tables) for w, e in zip(weight, equal))
+    low, high = 1, 2
+    while found(high) < RECALL:
+        low, high = high, 2 * high
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (low, mid) if found(mid) >= RECALL else (mid + 1, high)
+    return bits, low
+
+
+def patterns(bits: int, tables: int) -> np.ndarray:
+    """(signature bits, tables): what each bit weighs in each table's key; every table has ``bits`` bits of its own."""
+    rng = np.random.default_rng(13)
+    out = np.zeros((64 * LANES, tables))
+    for t in range(tables):
+        out[rng.choice(64 * LANES, bits, replace=False), t] = 2.0 ** np.arange(bits)
+    return out
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -59,13 +89,6 @@ def signature(h: np.ndarray) -> np.ndarray:
     return np.packbits(ones * 2 > len(h), axis=1, bitorder="little").view("<u8").ravel() if len(h) else np.zeros(LANES, np.uint64)
 
 
-def codes(sigs: np.ndarray) -> np.ndarray:
-    """(n, TABLES): the tables' codes are consecutive bits of the signature."""
-    bits = np.unpackbits(sigs.astype("<u8").view(np.uint8).reshape(len(sigs), -1), axis=1, bitorder="little")[:, : TABLES * BITS]
-    weights = (1 << np.arange(BITS, dtype=np.int64)).astype(np.int64)
-    return (bits.reshape(len(sigs), TABLES, BITS) @ weights).astype(np.uint64)
-
-
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, own, key, text): own and key name a row, rows of the same id and text alike."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -91,148 +114,123 @@ def unpacked(sigs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), "<u8").reshape(-1, LANES + 1)
 
 
-class Chunk:
-    """Signatures of one slot and key in Gray order, in leaf groups."""
-
-    def __init__(self, slot: int, vid: np.ndarray, sig: np.ndarray):
-        self.table, self.block = divmod(slot, len(_BLOCKS))
-        self.vid, self.sig, self.size = vid, sig[:, :LANES], sig[:, LANES].astype(np.int64)
-        self.codes = codes(self.sig)
-        self.code = code = self.codes[:, self.table]
-        self.at = [(lo, min(lo + LEAF, len(code))) for lo in range(0, len(code), LEAF)]
-        same = [~np.bitwise_or.reduce(code[a:b] ^ code[a]) for a, b in self.at]
-        self.mask = np.array(same, dtype=np.uint64)
-        self.pattern = np.array([code[a] for a, _ in self.at], dtype=np.uint64) & self.mask
-
-    def candidates(self, other: Chunk) -> Iterator[pa.RecordBatch]:
-        """(a, b, tree): the candidate pairs of both chunks (or of one, if they are the same) that no earlier slot
-        finds; those with ``tree`` are a forest, of the nearest first, that joins all that the others join."""
-        root: dict[int, int] = {}
-
-        def top(v: int) -> int:
-            while (p := root.get(v, v)) != v:
-                root[v] = root.get(p, p)
-                v = p
-            return v
-
-        for i, (a, b) in enumerate(self.at):
-            first = i if other is self else 0
-            apart = np.bitwise_count((other.pattern[first:] ^ self.pattern[i]) & other.mask[first:] & self.mask[i])
-            found = []
-            for j in np.nonzero(apart <= RADIUS)[0] + first:
-                c, d = other.at[j]
-                x, y = np.nonzero(np.bitwise_count(self.code[a:b, None] ^ other.code[None, c:d]) <= RADIUS)
-                x, y = x + a, y + c
-                if other is self:
-                    x, y = x[x < y], y[x < y]
-                if len(x):
-                    far = np.bitwise_count(self.sig[x] ^ other.sig[y]).sum(1, dtype=np.int64)
-                    low, high = np.minimum(self.size[x], other.size[y]), np.maximum(self.size[x], other.size[y])
-                    near = (far <= LIMIT) & (low * SIMILAR[1] >= high * SIMILAR[0])
-                    x, y, far = x[near], y[near], far[near]
-                if len(x):
-                    differ = self.codes[x] ^ other.codes[y]
-                    table = (np.bitwise_count(differ) <= RADIUS).argmax(1)
-                    block = np.stack([differ[:, self.table] & np.uint64(m) == 0 for m in _BLOCKS], axis=1).argmax(1)
-                    here = (table == self.table) & (block == self.block)
-                    found.append(np.stack([far[here], self.vid[x[here]], other.vid[y[here]]]))
-            if not found:
-                continue
-            far, u, v = np.concatenate(found, axis=1)
-            order = np.argsort(far, kind="stable")
-            u, v = u[order], v[order]
-            tree = np.zeros(len(u), dtype=bool)
-            for k, (x, y) in enumerate(zip(u.tolist(), v.tolist())):
-                ru, rv = top(x), top(y)
-                if ru != rv:
-                    root[max(ru, rv)] = min(ru, rv)
-                    tree[k] = True
-            if len(u):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v)), pa.array(tree)], names=["a", "b", "tree"])
-
-
-_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.bool_()), ("slot", pa.int32()), ("key", pa.int64()), ("node", pa.int64()), ("vids", pa.binary()), ("sigs", pa.binary())])
-
-
-def _padded(b: pa.RecordBatch) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([b.column(i) if i < b.num_columns else pa.nulls(b.num_rows, f.type) for i, f in enumerate(_OUT)], schema=_OUT)
-
-
-def candidates(sigs: DataFrame) -> DataFrame:
-    """Distinct (vid, sig) -> distinct candidate pairs (a, b, tree). A run of one key that ends within its task is searched there; chunks of a
-    run that is long or goes on in another task also travel as rows and meet in a join on the key."""
-
-    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 2000):
-                b = whole.slice(lo, 2000)
-                n = b.num_rows
-                code = codes(unpacked(b.column(1).to_pylist())[:, :LANES])
-                rank = gray_rank(code)
-                slots = TABLES * len(_BLOCKS)
-                take = pa.array(np.tile(np.arange(n), slots))
-                table = np.repeat(np.arange(TABLES), len(_BLOCKS))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(np.arange(slots, dtype=np.int32), n)),
-                        pa.array(np.concatenate([code[:, t] & np.uint64(m) for t, m in zip(table, _BLOCKS * TABLES)]).astype(np.int64)),
-                        pa.array(np.concatenate([rank[:, t] for t in table]).astype(np.int64)),
-                        b.column(0).take(take), b.column(1).take(take),
-                    ],
-                    names=["slot", "key", "rank", "vid", "sig"],
-                )
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        serial = TaskContext.get().partitionId() << 33
-        held: list[pa.RecordBatch] = []
-        n_held, now, open_ = 0, None, True
-
-        def close(keep: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal serial
-            run = pa.Table.from_batches(held)
-            chunk = Chunk(now[0], run.column("vid").to_numpy(), unpacked(run.column("sig").to_pylist()))
-            if len(chunk.vid) > 1:
-                yield from map(_padded, chunk.candidates(chunk))
-            if keep:
-                serial += 1
-                sigs = np.column_stack([chunk.sig, chunk.size.astype(np.uint64)]).astype("<u8").tobytes()
-                yield pa.RecordBatch.from_pylist([{"slot": now[0], "key": now[1], "node": serial, "vids": chunk.vid.astype("<i8").tobytes(), "sigs": sigs}], schema=_OUT)
-
-        for b in batches:
-            slot, key = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            cuts = np.nonzero((slot[1:] != slot[:-1]) | (key[1:] != key[:-1]))[0] + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
-                k = int(slot[lo]), int(key[lo])
-                if now is not None and k != now:
-                    if held:
-                        yield from close(open_)
-                    held, n_held, open_ = [], 0, False
-                now = k
-                for at in range(lo, hi, RUN):
-                    held.append(b.slice(at, min(RUN, hi - at)))
-                    n_held += held[-1].num_rows
-                    if n_held >= RUN:
-                        yield from close(True)
-                        held, n_held, open_ = [], 0, True
-        if held:
-            yield from close(True)
-
-    filed = sigs.select("vid", "sig").mapInArrow(file, "slot int, key long, rank long, vid long, sig binary")
-    ordered = filed.repartitionByRange("slot", "key", "rank", "vid").sortWithinPartitions("slot", "key", "rank", "vid")
-    leaves = materialize(ordered.mapInArrow(build, "a long, b long, tree boolean, slot int, key long, node long, vids binary, sigs binary"), "gray-tables")
-    nodes = leaves.where("node is not null")
-    left = nodes.select("slot", "key", *(F.col(c).alias(f"l_{c}") for c in ("node", "vids", "sigs")))
-    right = nodes.select("slot", "key", *(F.col(c).alias(f"r_{c}") for c in ("node", "vids", "sigs")))
-    pairs = left.join(right, ["slot", "key"]).where("l_node < r_node").select("slot", "l_vids", "l_sigs", "r_vids", "r_sigs")
-
-    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for slot, vids, sigs_, vids2, sigs2 in zip(*(c.to_pylist() for c in b.columns)):
-                yield from Chunk(slot, np.frombuffer(vids, "<i8"), unpacked([sigs_])).candidates(Chunk(slot, np.frombuffer(vids2, "<i8"), unpacked([sigs2])))
+def filed(sigs: DataFrame, bits: int, tables: int) -> DataFrame:
+    """(slot, key, vid, s0, s1): every signature under its pattern in each table."""
 
-    return leaves.where("a is not null").select("a", "b", "tree").unionByName(pairs.mapInArrow(cross, "a long, b long, tree boolean"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = patterns(bits, tables)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1000):
+                b = whole.slice(lo, 1000)
+                n, sig = b.num_rows, unpacked(b.column(1).to_pylist())[:, :LANES]
+                on = np.unpackbits(np.ascontiguousarray(sig).view(np.uint8), axis=1, bitorder="little")
+                keys = (on.astype(np.float64) @ weights).astype(np.int64)
+                again = pa.array(np.tile(np.arange(n), tables))
+                lanes = [pa.array(np.ascontiguousarray(sig[:, i]).view(np.int64)).take(again) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(tables, dtype=np.int32), n)), pa.array(keys.T.ravel()), b.column(0).take(again), *lanes], names=["slot", "key", "vid", "s0", "s1"])
+
+    return sigs.select("vid", "sig").mapInArrow(run, "slot int, key long, vid long, s0 long, s1 long")
+
+
+_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("run", pa.int64()), ("slot", pa.int32()), ("key", pa.int64()), ("vid", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64())])
+_FOUND_SQL = "a long, b long, run long, slot int, key long, vid long, s0 long, s1 long"
+
+
+def _found(**columns: np.ndarray) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _FOUND], schema=_FOUND)
+
+
+def searched(batches: Iterator[pa.RecordBatch], round_: int, parts: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by slot and key -> candidates (a, b): all of a small group, a forest of a large one; and of a large
+    one also its members (run, vid, s0, s1) for a second look. With ``parts``, keys may go on in other tasks or are
+    longer than ``RUN``: each part then also gives one row of each of its components (slot, key, vid, s0, s1)."""
+    from pyspark import TaskContext
+
+    serial = (round_ << 57) + (TaskContext.get().partitionId() << 25)
+    for group, (slot, key, vid, s0, s1) in whole_groups(batches, 2, RUN):
+        codes = np.stack([s0, s1], axis=1).view(np.uint64)
+        is_small, large = sized(group, 0 if parts else SMALL)
+        at = np.nonzero(is_small)[0]
+        x, y = small_pairs(group[at], codes[at], LIMIT)
+        yield _found(a=vid[at[x]], b=vid[at[y]])
+        for lo, hi in ((a, min(a + RUN, hi)) for lo, hi in large for a in range(lo, hi, RUN)):
+            unions, tree = Unions(hi - lo), Tree(codes[lo:hi])
+            for radius in (LIMIT // 4, LIMIT // 2, LIMIT):
+                x, y, _ = tree.forest(radius, unions)
+                yield _found(a=vid[lo + x], b=vid[lo + y])
+            some = lo + np.nonzero(np.bincount(unions.root, minlength=hi - lo)[unions.root] > 2)[0]
+            serial += 1
+            yield _found(run=np.full(len(some), serial), vid=vid[some], s0=s0[some], s1=s1[some])
+            if parts:
+                one = lo + np.unique(unions.root)
+                yield _found(slot=slot[one], key=key[one], vid=vid[one], s0=s0[one], s1=s1[one])
+
+
+def candidates(classes: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``classes(vid, sig)`` of ``n`` rows -> distinct candidates (a, b), and runs (run, vid, s0, s1) of large groups."""
+    bits, tables = plan(n)
+    rows = filed(classes, bits, tables)
+    # Keys of over RUN texts show in a 64th of the texts; which way a key goes changes nothing but the work.
+    hot = filed(classes.where(F.pmod("vid", F.lit(64)) == 5), bits, tables).groupBy("slot", "key").count().where(F.col("count") > RUN // 128).select("slot", "key")
+    hot = materialize(hot, "simhash-hot-keys")
+    n_hot = hot.count()
+    out, round_ = [], 1
+    if n_hot:
+        parts = materialize(rows.join(bounded(hot, n_hot), ["slot", "key"], "left_semi"), "simhash-hot-rows")
+        rows, before = rows.join(bounded(hot, n_hot), ["slot", "key"], "left_anti"), None
+        while True:
+            order = ["slot", "key", "rank", "vid"]
+            ranked = parts.select("slot", "key", "vid", "s0", "s1", gray_column("s0").alias("rank"))
+            dealt = ranked.repartitionByRange(*order).sortWithinPartitions(*order)
+            found = materialize(dealt.mapInArrow(lambda batches, r=round_: searched(batches, r, True), _FOUND_SQL), "simhash-parts")
+            out.append(found)
+            left = found.where("slot is not null").select("slot", "key", "vid", "s0", "s1")
+            large = materialize(left.groupBy("slot", "key").count().where(F.col("count") > RUN).select("slot", "key"), "simhash-hot-keys")
+            n_large, size = large.count(), left.count()
+            rows = rows.unionByName(left.join(bounded(large, n_large), ["slot", "key"], "left_anti"))
+            round_ += 1
+            if not n_large or round_ > 30:
+                break
+            parts = left.join(bounded(large, n_large), ["slot", "key"], "left_semi")
+            if before and size > 0.9 * before:  # unlike texts: eight more bits in the pattern
+                parts = parts.withColumn("key", F.xxhash64("key", F.expr(f"shiftrightunsigned(s1, {8 * (round_ % 8)}) & 255")))
+            parts, before = materialize(parts, "simhash-hot-rows"), size
+    dealt = rows.repartition("slot", "key").sortWithinPartitions("slot", "key")
+    out.append(materialize(dealt.mapInArrow(lambda batches: searched(batches, 0, False), _FOUND_SQL), "simhash-found"))
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionByName(more)
+    pairs = found.where("a is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return materialize(pairs, "similar-candidates"), found.where("run is not null").select("run", "vid", "s0", "s1")
+
+
+def gray_column(name: str) -> Column:
+    """Gray rank of a long as an ordered long."""
+    x = F.col(name)
+    for s in (1, 2, 4, 8, 16, 32):
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, s))
+    return x.bitwiseXOR(F.lit(-(2**63)))
+
+
+def still_apart(runs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Candidates (a, b) of large groups whose ends have different roots."""
+    named = runs.join(roots.select(F.col("node").alias("vid"), "root"), "vid", "left").select("run", "vid", F.coalesce("root", "vid").alias("root"), "s0", "s1")
+    mixed = named.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("run")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, (_, vid, root, s0, s1) in whole_groups(batches, 1):
+            for lo, hi in sized(group, 0)[1]:
+                _, first, member = np.unique(root[lo:hi], return_index=True, return_inverse=True)
+                unions = Unions(hi - lo)
+                unions.join(np.arange(hi - lo), first[member])
+                for x, y in Tree(np.stack([s0[lo:hi], s1[lo:hi]], axis=1).view(np.uint64)).pairs(LIMIT, unions):
+                    x, y = lo + x, lo + y
+                    some = root[x] != root[y]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(vid[x], vid[y])[some]), pa.array(np.maximum(vid[x], vid[y])[some])], names=["a", "b"])
+
+    dealt = named.join(mixed, "run", "left_semi").repartition("run").sortWithinPartitions("run")
+    return dealt.mapInArrow(look, "a long, b long").distinct()
 
 
 def sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -270,15 +268,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prints = materialize(signatures(docs, id_col, text_col), "signatures")
     classes = prints.groupBy("vid").agg(F.min("id").alias("least"), F.min("sig").alias("sig"), F.min(F.struct("own", "key")).alias("row"))
     classes = materialize(classes, "signature-classes")
-    found = materialize(candidates(classes), "similar-candidates")
-    ends = found.select(F.col("a").alias("vid")).unionByName(found.select(F.col("b").alias("vid"))).distinct()
-    wanted = materialize(classes.join(ends, "vid", "left_semi").select("vid", "row.own", "row.key"), "similar-rows")
-    shingled = materialize(sets(docs, wanted, id_col, text_col), "similar-sets")
-    near = materialize(verified(found.where("tree"), shingled), "similar-pairs")
-    joined = connected_components(near)
-    of = lambda c: joined.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    apart = found.where("not tree").join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(root_a, a) <> coalesce(root_b, b)")
-    near = near.unionByName(materialize(verified(apart, shingled), "similar-pairs"))
+    found, runs = candidates(classes, classes.count())
+
+    def edges(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("b").alias("vid"))).distinct()
+        wanted = materialize(classes.join(ends, "vid", "left_semi").select("vid", "row.own", "row.key"), "similar-rows")
+        return materialize(verified(pairs, materialize(sets(docs, wanted, id_col, text_col), "similar-sets")), "similar-pairs")
+
+    near = edges(found)
+    apart = materialize(still_apart(runs, connected_components(near)), "similar-apart")
+    if not apart.isEmpty():
+        near = near.unionByName(edges(apart))
     roots = connected_components(near).select(F.col("node").alias("vid"), "root")
     rooted = materialize(classes.select("vid", "least").join(roots, "vid", "left").select("vid", "least", F.coalesce("root", "vid").alias("root")), "signature-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from gridspark.llm import gray_index
 from gridspark.llm import simhash_dedup as sim
 from gridspark.llm.components import connected_components
 from gridspark.llm.line_dedup import MIN_WORDS, line_dedup
@@ -164,13 +165,53 @@ def test_components_on_chains_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_in_keys_of_many_codes(spark, monkeypatch):
+    """Hot keys go down further levels and nothing is lost."""
+    monkeypatch.setattr(sim, "RUN", 40)
+    test_links_in_dense_groups(spark)
+
+
 def test_gray_rank_orders_neighbours():
     n = np.arange(1024, dtype=np.uint64)
     codes = n ^ (n >> np.uint64(1))
-    assert (sim.gray_rank(codes) == n).all()
-    assert (np.bitwise_count(codes[1:] ^ codes[:-1]) == 1).all()
-
-
-def test_shingles_repeat_and_short_texts():
-    assert len(sim.shingle_hashes("a b a b a", 3)) == 3 and len(sim.shingle_hashes("a b", 3)) == 1 and len(sim.shingle_hashes(None, 3)) == 0
-    assert sim.fingerprint(sim.shingle_hashes("A  b\tC", 3)) == sim.fingerprint(sim.shingle_hashes("a b c", 3)) != 0
+    assert (gray_index.gray_rank(codes) == n).all()
+
+
+def brute_pairs(codes, radius):
+    apart = np.bitwise_count(codes[:, None] ^ codes[None]).sum(-1)
+    return {tuple(p) for p in np.argwhere(np.triu(apart <= radius, 1)).tolist()}
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.integers(1, 400), st.integers(1, 3), st.integers(0, 70), st.integers(1, 60), st.integers(0, 99))
+def test_tree_finds_every_pair(n, lanes, radius, spread, seed):
+    """Clusters of different density, some codes equal."""
+    rng = np.random.default_rng(seed)
+    codes = rng.integers(0, 2**63, (3, lanes), dtype=np.uint64)[rng.integers(0, 3, n)]
+    for _ in range(3):
+        codes[np.arange(n), rng.integers(0, lanes, n)] ^= np.uint64(1) << rng.integers(0, spread, n).astype(np.uint64)
+    want = brute_pairs(codes, radius)
+    tree = gray_index.Tree(codes)
+    got = [(min(p), max(p)) for x, y in tree.pairs(radius) for p in zip(x.tolist(), y.tolist())]
+    assert len(got) == len(want) and set(got) == want
+    x, y = gray_index.small_pairs(np.zeros(n, int), codes, radius)
+    assert {*zip(x.tolist(), y.tolist())} == want
+    unions = gray_index.Unions(n)
+    unions.join(*(np.array([p[k] for p in want], dtype=int) for k in (0, 1)))
+    x, y, found = tree.forest(radius)
+    assert (found.root == unions.root).all() and len(x) == n - len(set(unions.root.tolist()))
+
+
+def test_code_pairs_per_document_do_not_grow():
+    """Random signatures: what the tables of the larger corpora compare, by document."""
+    from gridspark.llm import simhash_tables
+
+    rng = np.random.default_rng(1)
+    compared, tables = [], []
+    for n in (20_000, 40_000, 80_000):
+        bits, count = simhash_tables.plan(n)
+        size = np.bincount(rng.integers(0, 1 << bits, n), minlength=1 << bits).astype(float)
+        compared.append((size * (size - 1) / 2).sum() / n)
+        tables.append(count)
+    assert max(compared) <= 40 and max(compared) <= 2.2 * min(compared)
+    assert max(tables) <= 1.5 * min(tables)

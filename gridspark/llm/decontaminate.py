@@ -1,184 +1,221 @@
 """Benchmark decontamination by greedy string tiling.
 
-A document is held against every benchmark item. Runs of ``seed`` equal tokens are found by a rolling (Karp-Rabin)
-hash and joined with the item's; equal runs on one diagonal grow to matches. The longest match is marked first,
-what is left of others is cut to its unmarked parts, and so on until no match of ``seed`` tokens is left. The share
-of the item's tokens that are marked is its coverage; as matches may come in any order, passages whose parts were
-moved around are found too.
-
-The benchmark is broadcast in blocks of at most ``block_tokens`` tokens (in expectation; a longer item is its own
-bound); a larger one takes several passes over the documents, each with the same exact result.
+A document is held against benchmark items by their shared seeds, runs of ``SEED_TOKENS`` tokens with equal rolling
+(Karp-Rabin) hashes. For a document and an item, equal seeds on one diagonal grow to matches. The longest match is marked
+first, what is left of others is cut to its unmarked parts, and so on until no match of a seed is left. The share of the
+item's tokens that are marked is its coverage; as matches may come in any order, passages whose parts were moved around
+are found too.
+
+Spark does this in joins:
+
+* the seeds of all different item texts are a table (hash, text, how many of the text's seeds it is);
+* each document keeps the places of those of its windows that are a seed of any item. Seeds are looked up in a sorted
+  array of hashes if the counted seeds fit ``SEEDS_SENT``, which nearly no window outlasts; beyond it all windows go
+  into the join;
+* distinct seeds of documents are joined with the table and summed by document and text; only pairs whose shared seeds
+  could cover enough of the text are tiled, in the tasks where the join puts them.
+
+Hashes of tokens and seeds are 64-bit and stand for them. Memory for a pair goes with its matches, not with its pairs
+of equal seeds: 20,000 equal tokens against 1,000 of them are 21,000 matches, not 20 million.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import table
+from gridspark.llm.common import bounded, materialize, table, unused
 
 SEED_TOKENS = 5
 COVERAGE = 0.6
-BLOCK_TOKENS = 2_000_000
+#: Distinct seeds up to which they are sent to all tasks, 8 bytes each.
+SEEDS_SENT = 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_TOKEN = re.compile(r"\w+")
+_MASK_BITS = 22
 
 
-def tokens(text: str | None) -> list[str]:
-    """Lower-cased runs of letters, digits and underscores."""
-    return _TOKEN.findall((text or "").lower())
+def token_hashes(text: Column) -> Column:
+    """XXH64 of each lower-cased token, in order; tokens are runs of letters, digits and underscores."""
+    parts = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
+    return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def window_hashes(ids: np.ndarray, width: int) -> np.ndarray:
-    """Rolling hash of every window of ``width`` ids; arithmetic is modulo 2**64."""
-    n = len(ids) - width + 1
+def text_key(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("2"), text).alias("t2")]
+
+
+def window_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
+    """Rolling hash of every window of ``width`` tokens; arithmetic is modulo 2**64."""
+    n = len(tokens) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        x = ids.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+        x = tokens * np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(29)
         out = np.zeros(n, np.uint64)
         for j in range(width):
-            out = out * _BASE + x[j : j + n]
+            out *= _BASE
+            out += x[j : j + n]
     return out
 
 
-def tile(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, seed: int) -> np.ndarray:
-    """Marks on ``b`` (the item) after greedy tiling; ``at_a``, ``at_b``: where equal seeds start in both."""
-    order = np.lexsort((at_b, at_a - at_b))
-    at_a, at_b = at_a[order], at_b[order]
-    breaks = np.nonzero((np.diff(at_a) != 1) | (np.diff(at_b) != 1))[0] + 1
-    first = np.concatenate([[0], breaks])
-    last = np.concatenate([breaks, [len(at_a)]])
-    heap = [(-(int(hi - lo) + seed - 1), int(at_a[lo]), int(at_b[lo])) for lo, hi in zip(first, last)]
+def runs(places: np.ndarray, hashes: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal diagonal runs of equal seeds, as first place in the document, first place in the item and number of
+    seeds. ``hashes`` are the document's seeds at ``places``; ``item`` has all of the item's seeds."""
+    order = np.lexsort((places, hashes))
+    places, hashes = places[order], hashes[order]
+    lo, hi = np.searchsorted(hashes, item, "left"), np.searchsorted(hashes, item, "right")
+    none = np.zeros(0, np.int64)
+    starts, ends, before = [none], [none], none
+    start_q, end_q = [none], [none]
+    for q in range(len(item) + 1):
+        now = places[lo[q] : hi[q]] if q < len(item) else none
+        if len(before) or len(now):
+            begun = np.setdiff1d(now, before + 1, assume_unique=True)
+            over = np.setdiff1d(before, now - 1, assume_unique=True)
+            starts.append(begun)
+            start_q.append(np.full(len(begun), q))
+            ends.append(over)
+            end_q.append(np.full(len(over), q - 1))
+        before = now
+    p, q, e, r = (np.concatenate(x) for x in (starts, start_q, ends, end_q))
+    # On each diagonal starts and ends alternate.
+    a, b = np.lexsort((p, p - q)), np.lexsort((e, e - r))
+    return p[a], q[a], e[b] - p[a] + 1
+
+
+def tile(p: np.ndarray, q: np.ndarray, seeds: np.ndarray, size: int, seed: int) -> int:
+    """Marked tokens of an item of ``size`` tokens; of equally long matches the first in the document comes first."""
+    heap = [(-(n + seed - 1), a, b) for a, b, n in zip(p.tolist(), q.tolist(), seeds.tolist())]
     heapq.heapify(heap)
-    on_a, on_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
-    while heap:
-        length, p, q = heapq.heappop(heap)
+    first = int(p.min()) if len(p) else 0
+    on_a = np.zeros(int((p + seeds).max()) - first + seed if len(p) else 0, bool)
+    on_b = np.zeros(size, bool)
+    left = size
+    while heap and left >= seed:
+        length, a, b = heapq.heappop(heap)
         length = -length
-        free = ~(on_a[p : p + length] | on_b[q : q + length])
-        if free.all():
-            on_a[p : p + length] = on_b[q : q + length] = True
+        taken = on_b[b : b + length] | on_a[a - first : a - first + length]
+        if not taken.any():
+            on_a[a - first : a - first + length] = on_b[b : b + length] = True
+            left -= length
             continue
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
+        edges = np.flatnonzero(np.diff(np.concatenate([[1], taken.view(np.int8), [1]])))
         for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if hi - lo >= seed:
-                heapq.heappush(heap, (-(hi - lo), p + lo, q + lo))
-    return on_b
-
-
-class Block:
-    """Benchmark items of one pass, ready for look-ups."""
-
-    def __init__(self, items: list[tuple[int | None, str | None]], seed: int):
-        self.vocab: dict[str, int] = {}
-        self.ids: list[int | None] = []
-        self.tokens: list[np.ndarray] = []
-        self.seed = seed
-        for item_id, text in items:
-            t = tokens(text)
-            if t:
-                self.ids.append(item_id)
-                self.tokens.append(np.array([self.vocab.setdefault(w, len(self.vocab)) for w in t], dtype=np.int64))
-        # Items shorter than a seed are matched whole.
-        self.widths = sorted({min(seed, len(t)) for t in self.tokens})
-        self.tables = {}
-        for width in self.widths:
-            own = [i for i, t in enumerate(self.tokens) if min(seed, len(t)) == width]
-            hashes = [window_hashes(self.tokens[i], width) for i in own]
-            h = np.concatenate(hashes)
-            item = np.repeat(np.array(own), [len(x) for x in hashes])
-            pos = np.concatenate([np.arange(len(x)) for x in hashes])
-            order = np.argsort(h, kind="stable")
-            self.tables[width] = h[order], item[order], pos[order]
-
-    def matches(self, text: str | None, coverage: float) -> list[tuple[int | None, int, int]]:
-        """(item id, marked tokens, tokens) of the items that ``text`` covers to at least ``coverage``."""
-        get = self.vocab.get
-        ids = np.array([get(w, -1) for w in tokens(text)], dtype=np.int64)
-        out = []
-        for width in self.widths:
-            if len(ids) < width:
-                continue
-            table_h, table_item, table_pos = self.tables[width]
-            known = np.convolve(ids >= 0, np.ones(width, int), "valid") == width
-            at = np.nonzero(known)[0]
-            if not len(at):
-                continue
-            h = window_hashes(ids, width)[at]
-            lo, hi = np.searchsorted(table_h, h, "left"), np.searchsorted(table_h, h, "right")
-            n = hi - lo
-            if not n.any():
-                continue
-            row = np.repeat(lo, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-            p, item, q = np.repeat(at, n), table_item[row], table_pos[row]
-            for i in np.unique(item):
-                b, mine = self.tokens[i], item == i
-                pa_, qb = p[mine], q[mine]
-                reach = np.zeros(len(b), bool)
-                for q0 in np.unique(qb):
-                    reach[q0 : q0 + width] = True
-                if reach.sum() < coverage * len(b):
-                    continue
-                same = (ids[pa_[:, None] + np.arange(width)] == b[qb[:, None] + np.arange(width)]).all(1)
-                marked = int(tile(ids, b, pa_[same], qb[same], width).sum()) if same.any() else 0
-                if marked >= coverage * len(b):
-                    out.append((self.ids[i], marked, len(b)))
-        return out
-
-
-def blocks(benchmark: DataFrame, seed: int, block_tokens: int, id_col: str = "item_id", text_col: str = "text") -> Iterator[Block]:
-    """The benchmark in blocks that fit a broadcast; items are dealt by hash, and equal texts share a block."""
-    rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n = -(-size // block_tokens) or 1
-    for i in range(n):
-        yield Block([(r["id"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == i).collect()], seed)
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED_TOKENS, coverage: float = COVERAGE, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                heapq.heappush(heap, (lo - hi, a + lo, b + lo))
+    return size - left
+
+
+def item_texts(benchmark: DataFrame, text_col: str, seed: int) -> DataFrame:
+    """(t1, t2, size, seeds): every different item text of at least ``seed`` tokens with its seeds in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = [window_hashes(np.array(h.as_py(), dtype=np.int64).view(np.uint64), seed).view(np.int64) for h in b.column(2)]
+            size = pa.array([len(x) + seed - 1 for x in lists], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), size, pa.array(lists, pa.list_(pa.int64()))], names=["t1", "t2", "size", "seeds"])
+
+    text = F.col(text_col).cast("string")
+    rows = benchmark.where(text.isNotNull()).select(*text_key(text), token_hashes(text).alias("h")).dropDuplicates(["t1", "t2"]).where(F.size("h") >= seed)
+    return rows.mapInArrow(run, "t1 long, t2 long, size int, seeds array<long>")
+
+
+def seed_places(docs: DataFrame, wanted: np.ndarray | None, text_col: str, seed: int) -> DataFrame:
+    """(t1, t2, places, seeds) of the texts that have a seed; of all windows if ``wanted`` (sorted) is None."""
+    sent = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value if sent else None
+        if known is not None:
+            maybe = np.zeros(1 << _MASK_BITS, bool)
+            maybe[known >> np.uint64(64 - _MASK_BITS)] = True
+        for b in batches:
+            column = b.column(2)
+            offsets = column.offsets.to_numpy().astype(np.int64)
+            tokens = column.values.to_numpy(zero_copy_only=False).view(np.uint64)[offsets[0] : offsets[-1]]
+            offsets -= offsets[0]
+            hashes = window_hashes(tokens, seed)
+            if known is None:
+                at = np.arange(len(hashes))
+            elif len(known):
+                at = np.flatnonzero(maybe[hashes >> np.uint64(64 - _MASK_BITS)])
+                at = at[known[np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)] == hashes[at]]
+            else:
+                at = np.zeros(0, np.int64)
+            row = np.searchsorted(offsets, at, "right") - 1
+            inside = at + seed <= offsets[row + 1]
+            at, row = at[inside], row[inside]
+            rows, n = np.unique(row, return_counts=True)
+            cuts = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            places = pa.ListArray.from_arrays(cuts, pa.array((at - offsets[row]).astype(np.int32)))
+            seeds = pa.ListArray.from_arrays(cuts, pa.array(hashes[at].view(np.int64)))
+            some = pa.array(rows)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(some), b.column(1).take(some), places, seeds], names=["t1", "t2", "places", "seeds"])
+
+    text = F.col(text_col).cast("string")
+    rows = docs.where(text.isNotNull()).select(*text_key(text), token_hashes(text).alias("h"))
+    return rows.mapInArrow(run, "t1 long, t2 long, places array<int>, seeds array<long>")
+
+
+def covered(docs: DataFrame, items: DataFrame, text_col: str, seed: int, coverage: float) -> DataFrame:
+    """(d1, d2, t1, t2, matched, size): the document texts, by key, that cover item texts enough."""
+    seeds = items.select("t1", "t2", "size", F.explode("seeds").alias("seed")).groupBy("t1", "t2", "size", "seed").agg(F.count("*").alias("times"))
+    seeds = materialize(seeds, "benchmark-seeds")
+    distinct = seeds.select("seed").distinct()
+    few = distinct.count() <= SEEDS_SENT
+    wanted = np.sort(distinct.toArrow().column("seed").to_numpy().astype(np.int64).view(np.uint64)) if few else None
+    placed = seed_places(docs, wanted, text_col, seed).withColumnsRenamed({"t1": "d1", "t2": "d2"})
+    # Equal texts are tiled once.
+    placed = materialize(placed, "document-seeds").dropDuplicates(["d1", "d2"])
+    shared = placed.select("d1", "d2", F.explode(F.array_distinct("seeds")).alias("seed")).join(seeds, "seed")
+    # Each seed covers at most its own tokens.
+    pairs = shared.groupBy("d1", "d2", "t1", "t2", "size").agg(F.sum("times").alias("times")).where(F.col("times") * seed >= F.lit(coverage) * F.col("size"))
+    pairs = materialize(pairs.select("d1", "d2", "t1", "t2", "size"), "benchmark-pairs")
+    both = pairs.join(placed, ["d1", "d2"]).withColumnRenamed("seeds", "own").join(items.select("t1", "t2", "seeds"), ["t1", "t2"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            marked = []
+            for size, places, own, item in zip(b.column(4).to_pylist(), *(b.column(i) for i in (5, 6, 7))):
+                places, own, item = (x.values.to_numpy(zero_copy_only=False) for x in (places, own, item))
+                marked.append(tile(*runs(places.astype(np.int64), own, item), size, seed))
+            enough = pa.array(np.array(marked) >= coverage * b.column(4).to_numpy(zero_copy_only=False)) if marked else pa.array([], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(marked, pa.int32()), b.column(4)], names=["d1", "d2", "t1", "t2", "matched", "size"]).filter(enough)
+
+    return both.select("d1", "d2", "t1", "t2", "size", "places", "own", "seeds").mapInArrow(run, "d1 long, d2 long, t1 long, t2 long, matched int, size int")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED_TOKENS, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, item_id, matched_tokens, item_tokens, coverage``: one row for each row of ``docs`` and item it covers.
 
-    Defined cases: null and empty texts and items without tokens match nothing; repeated rows and items each give
-    their own rows; null ids are carried; other columns are ignored; empty tables give an empty result.
+    Defined cases: null and empty texts and items of fewer tokens than a seed match nothing; repeated rows and items each
+    give their own rows; null ids are carried; texts that repeat themselves, however long, are tiled like others; other
+    columns are ignored; empty tables give an empty result.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = None
-    for block in blocks(benchmark, seed, block_tokens):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                found = [(d, *m) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for m in sent.value.matches(t, coverage)]
-                cols = list(zip(*found)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], names=["doc_id", "item_id", "matched_tokens", "item_tokens"])
-
-        part = rows.mapInArrow(run, "doc_id long, item_id long, matched_tokens int, item_tokens int")
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("coverage", F.round(F.col("matched_tokens") / F.col("item_tokens"), 6))
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", seed: int = SEED_TOKENS, coverage: float = COVERAGE, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """The rows of ``docs`` that cover no item, all columns unchanged; nothing is joined or shuffled."""
-    names = docs.columns
-    out = docs.toDF(*(f"c{i}" for i in range(len(names))))
-    at = names.index(text_col)
-    schema = out.schema
-    for block in blocks(benchmark, seed, block_tokens):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield b.filter(pa.array([not sent.value.matches(t, coverage) for t in b.column(at).to_pylist()], pa.bool_()))
-
-        out = out.mapInArrow(run, schema)
-    return out.toDF(*names)
+    items = materialize(item_texts(benchmark, "text", seed), "benchmark-texts")
+    found = materialize(covered(docs, items, text_col, seed, coverage), "benchmark-covered")
+    n = found.count()
+    text = F.col(text_col).cast("string")
+    rows = docs.where(text.isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), *(k.alias(f"d{i}") for i, k in enumerate(text_key(text), 1)))
+    named = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), *text_key(F.col("text").cast("string")))
+    out = rows.join(bounded(found, n), ["d1", "d2"]).join(named, ["t1", "t2"])
+    return out.select("doc_id", "item_id", F.col("matched").alias("matched_tokens"), F.col("size").alias("item_tokens"), F.round(F.col("matched") / F.col("size"), 6).alias("coverage"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", seed: int = SEED_TOKENS, coverage: float = COVERAGE) -> DataFrame:
+    """The rows of ``docs`` whose text covers no item, all columns unchanged. The keys of the texts that go are broadcast
+    if their count is within the bound; beyond it the rows are shuffled once."""
+    items = materialize(item_texts(benchmark, "text", seed), "benchmark-texts")
+    d1, d2 = unused(docs.columns, "d1", "d2")
+    gone = materialize(covered(docs, items, text_col, seed, coverage).select(F.col("d1").alias(d1), F.col("d2").alias(d2)).distinct(), "benchmark-gone")
+    keys = text_key(F.col(text_col).cast("string"))
+    return docs.join(bounded(gone, gone.count()), (keys[0] == F.col(d1)) & (keys[1] == F.col(d2)), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridspark.llm import decontaminate as dec
@@ -208,33 +210,73 @@ def brute_tiling(a, b, least):
         on_b[j : j + k] = [True] * k
 
 
-def test_tiling_against_brute_force():
-    rng = np.random.default_rng(1)
-    for trial in range(60):
-        size = 6 if trial % 2 else 30
-        item = [f"t{x}" for x in rng.integers(0, size, rng.integers(3, 25))]
-        parts = np.array_split(np.array(item), 3)
-        order = rng.permutation(3)
-        doc = [f"t{x}" for x in rng.integers(0, size, 10)] + [w for o in order for w in parts[o]] + [f"t{x}" for x in rng.integers(0, size, 10)]
-        block = dec.Block([(1, " ".join(item))], 3)
-        got = block.matches(" ".join(doc), 0.0)
-        want = brute_tiling(doc, item, min(3, len(item)))
-        assert (got[0][1] if got else 0) >= 0
-        if size == 30:  # few ties, so that the order of equally long matches doesn't matter
-            assert abs((got[0][1] if got else 0) - want) <= 3
+def hashed(tokens):
+    return np.array([xxhash.xxh64_intdigest(str(t), 42) for t in tokens], dtype=np.uint64)
+
+
+def tiled(doc, item, seed):
+    h, mine = dec.window_hashes(hashed(doc), seed), dec.window_hashes(hashed(item), seed)
+    at = np.flatnonzero(np.isin(h, mine))
+    return dec.tile(*dec.runs(at, h[at], mine), len(item), seed)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 5), min_size=3, max_size=30), st.lists(st.integers(0, 5), max_size=40), st.integers(1, 4), st.integers(0, 9))
+def test_tiling_against_brute_force(item, doc, seed, cut):
+    """Texts of few words, so with many ties; the item's parts are in the document in another order."""
+    if len(item) >= seed:
+        doc = doc[:cut] + item[cut:] + doc[cut:] + item[:cut]
+        assert tiled(doc, item, seed) == brute_tiling(doc, item, seed)
+
+
+def test_tiling_of_texts_that_repeat_themselves():
+    import tracemalloc
+
+    tracemalloc.start()
+    assert tiled(["a"] * 20_000, ["a"] * 1_000, 5) == 1_000
+    assert tiled(["a", "b"] * 10_000, ["a", "b"] * 500, 5) == 1_000
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
+def test_decontaminate_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    word = lambda n, size: [f"t{x}" for x in rng.integers(0, size, n)]
+    items = [(k, word(int(rng.integers(5, 40)), 40)) for k in range(25)]
+    rows = []
+    for k in range(80):
+        parts = [word(30, 40)]
+        for _, t in [items[i] for i in rng.integers(0, 25, 3)]:
+            cut = int(rng.integers(0, len(t)))
+            parts += [t[cut:], word(3, 40), t[: cut if k % 2 else cut // 2]]
+        rows.append((k, " ".join(w for p in parts for w in p)))
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id long, text string")
+    want = {}
+    for d, text in rows:
+        for k, t in items:
+            marked = brute_tiling(text.split(), t, dec.SEED_TOKENS)
+            if marked >= dec.COVERAGE * len(t):
+                want[d, k] = marked
+    assert len(want) > 50
+    for sent in (dec.SEEDS_SENT, 10):  # seeds sent to the tasks, and all windows joined
+        dec_sent, dec.SEEDS_SENT = dec.SEEDS_SENT, sent
+        try:
+            got = {(r.doc_id, r.item_id): r.matched_tokens for r in dec.contaminated(frame(spark, rows), bench).collect()}
+        finally:
+            dec.SEEDS_SENT = dec_sent
+        assert got == want
 
 
 def test_decontaminate_cases(spark):
     item = " ".join(f"b{i}" for i in range(30))
     moved = " ".join(f"b{i}" for i in [*range(20, 30), *range(0, 10), *range(10, 20)])
     part = " ".join(f"b{i}" for i in range(12))
-    rows = [(1, f"x y {item.upper()}! z"), (2, f"q {moved} q"), (3, f"a {part} c"), (4, "clean text"), (5, None), (6, ""), (None, item), (1, item), (7, "short one two"), (8, "b1 " * 500)]
-    bench = spark.createDataFrame([(10, item), (11, "One, two"), (12, None), (13, ""), (None, "zz yy xx ww vv uu"), (10, item)], "item_id long, text string")
-    want = sorted([("1", "10"), ("1", "10"), ("1", "10"), ("1", "10"), ("2", "10"), ("2", "10"), ("None", "10"), ("None", "10"), ("7", "11")])
-    for size in (2_000_000, 10):  # one block, and several
-        got = dec.contaminated(frame(spark, rows), bench, block_tokens=size).collect()
-        assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == want
-        kept = dec.drop_contaminated(frame(spark, rows), bench, block_tokens=size)
-        assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "5", "6", "8"] and kept.columns == frame(spark, []).columns
+    rows = [(1, f"x y {item.upper()}! z"), (2, f"q {moved} q"), (3, f"a {part} c"), (4, "clean text"), (5, None), (6, ""), (None, item), (1, item), (7, "short one two"), (8, "b1 " * 500), (9, "w " * 200_000)]
+    bench = spark.createDataFrame([(10, item), (11, "One, two"), (12, None), (13, ""), (None, "zz yy xx ww vv uu"), (10, item), (14, "w " * 300)], "item_id long, text string")
+    want = sorted([("1", "10"), ("1", "10"), ("1", "10"), ("1", "10"), ("2", "10"), ("2", "10"), ("None", "10"), ("None", "10"), ("9", "14")])
+    got = dec.contaminated(frame(spark, rows), bench).collect()
+    assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == want
+    kept = dec.drop_contaminated(frame(spark, rows), bench)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "5", "6", "7", "8"] and kept.columns == frame(spark, []).columns
     assert dec.contaminated(frame(spark, []), bench).count() == 0
     assert dec.contaminated(frame(spark, rows), bench.limit(0)).count() == 0

@@ -15,8 +15,10 @@ LAST_ID = 2**63 - 1
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only where none is set, as in tests."""
+    """The shared folder of the cluster. In local mode, as in tests, a temporary one where none is set."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", path)

@@ -97,7 +97,7 @@ def write_media(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     """Writes ``path/lists`` (one row per row of ``docs``: id, its chunk digests in order, the bytes of the chunks it
     owns) and ``path/borrowed`` (which rows take which chunks from others)."""
     spark = docs.sparkSession
-    places = chunk_places(docs, id_col, text_col)
+    places = materialize(chunk_places(docs, id_col, text_col), "media-places")
     owners = places.groupBy("digest").agg(F.min(F.struct("id", "r1", "r2", "seq")).alias("owner"), F.count("*").alias("n")).where("n > 1").select("digest", "owner")
     borrowed = places.join(owners, "digest").where("owner <> struct(id, r1, r2, seq)").select("r1", "r2", "seq", "digest").distinct()
     borrowed.write.option("compression", "zstd").parquet(f"{path}/borrowed")

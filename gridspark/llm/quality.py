@@ -5,8 +5,9 @@ al., 2017): pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)). Labels of low quality ar
 estimated from the same two samples: the unlabelled share of any region is at least pi times the positives' share, so
 the least ratio over the regions that a first classifier ranks as most positive is taken.
 
-The classifier is logistic over standardised text statistics and their squares. Bounds: about ``positives`` and
-``unlabelled`` rows, drawn by hash, reach the driver as a few numbers each; every row is then scored in Spark.
+The classifier is logistic over standardised text statistics and their squares. Bounds: at most ``positives`` and
+``unlabelled`` rows, those of the smallest hashes of id and text, reach the driver as a few numbers each; every row is
+then scored in Spark.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import fold, table
+from gridspark.llm.common import fold, table, unused
 
 POSITIVES = 6_000
 UNLABELLED = 24_000
@@ -119,14 +120,21 @@ def features(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFr
     return rows.mapInArrow(run, ", ".join([*(f"{c} long" for c in keep), "x array<double>"]))
 
 
+def drawn_features(rows: DataFrame, most: int, id_col: str, text_col: str) -> pa.Table:
+    """The statistics of at most ``most`` rows, those of the smallest hashes: a few numbers a row."""
+    [at] = unused(rows.columns, "at")
+    hashed = rows.select(F.xxhash64(id_col, text_col, F.lit("draw")).alias(at), F.col(text_col))
+    return features(hashed, [at], text_col).orderBy(at).limit(most).toArrow()
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> QualityModel:
     """``labels`` must hold only rows that may be learned from; of them only the positive ones are used."""
     trusted = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).alias("y")).where("y = 1").select("__id")
     n_p, n_u = trusted.count(), docs.count()
-    drawn = lambda c, salt, rate: F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(1_000_000)) < min(1.0, rate) * 1_000_000
-    picked = F.broadcast(trusted.where(drawn("__id", "positive", positives / max(n_p, 1))))
-    pos = features(docs.join(picked, docs[id_col] == picked["__id"], "left_semi"), [], text_col).toArrow()
-    unl = features(docs.where(drawn(F.coalesce(id_col, F.lit(-1)), "unlabelled", unlabelled / max(n_u, 1))), [], text_col).toArrow()
+    drawn = lambda c, salt, rate: F.pmod(F.xxhash64(*c, F.lit(salt)), F.lit(1_000_000)) < min(1.0, rate) * 1_000_000
+    picked = F.broadcast(trusted.where(drawn(["__id"], "positive", 1.2 * positives / max(n_p, 1))))
+    pos = drawn_features(docs.join(picked, docs[id_col] == picked["__id"], "left_semi"), positives, id_col, text_col)
+    unl = drawn_features(docs.where(drawn([id_col, text_col], "unlabelled", 1.2 * unlabelled / max(n_u, 1))), unlabelled, id_col, text_col)
     matrix = lambda t: np.array(t.column("x").to_pylist(), dtype=float).reshape(-1, len(NAMES))
     # Sorted, so that the fit doesn't depend on the order in which Spark returns rows.
     ordered = lambda x: x[np.lexsort(x.T)] if len(x) else x

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import table
+from gridspark.llm.common import scratch_path, table
 
 TABLE_SIZE = 65537
 SHARDS = 64
@@ -53,17 +53,26 @@ def assign(rows: DataFrame, keys: list[str], shards: list[str], size: int = TABL
     The slot is XXH64 of the keys modulo the size. Rows with equal keys share a shard; null keys hash like any value;
     repeated rows stay; an empty table gives an empty result. The join is against the broadcast table: no shuffle.
     """
-    names = ["slot", "shard", "shard_name"]
-    while set(names) & set(rows.columns):
+    names, taken = ["slot", "shard", "shard_name"], {c.lower() for c in rows.columns}
+    while set(names) & taken:
         names = ["_" + n for n in names]
     slot = F.pmod(F.xxhash64(*keys), F.lit(size))
     return rows.withColumn(names[0], slot).join(lookup(rows.sparkSession, shards, size).toDF(*names), names[0]).select(*rows.columns, *names)
 
 
-def write_shards(rows: DataFrame, keys: list[str], shards: list[str], path: str, size: int = TABLE_SIZE) -> None:
-    """One folder per shard. Rows are dealt by (shard, salt), so a large shard is written by several tasks."""
+#: Tasks that write one shard at most.
+SALTS = 8
+
+
+def write_shards(rows: DataFrame, keys: list[str], shards: list[str], path: str, size: int = TABLE_SIZE) -> list[str]:
+    """Writes all columns, one folder per shard, and gives the names of slot, shard and shard name there. Rows are dealt
+    by shard and their place in the input, so a large shard, even one of equal rows, is written by several tasks."""
     out = assign(rows, keys, shards, size)
-    out.repartition("shard", F.pmod(F.xxhash64(*rows.columns), F.lit(8))).write.partitionBy("shard").parquet(path)
+    names = out.columns[-3:]
+    salt = "_" + names[1] + "_salt"
+    dealt = out.withColumn(salt, F.monotonically_increasing_id() % SALTS).repartition(names[1], salt).drop(salt)
+    dealt.write.option("compression", "zstd").partitionBy(names[1]).parquet(path)
+    return names
 
 
 def shard_names(n: int = SHARDS) -> list[str]:
@@ -71,4 +80,7 @@ def shard_names(n: int = SHARDS) -> list[str]:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], shard_names())
+    """Every document is written to its shard with all columns; what is returned is read back."""
+    path = scratch_path(spark, "shards")
+    slot, shard, name = write_shards(table(spark, sf_dir, "documents"), ["doc_id"], shard_names(), path)
+    return spark.read.parquet(path).select("doc_id", F.col(slot).alias("slot"), F.col(shard).cast("int").alias("shard"), F.col(name).alias("shard_name"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))

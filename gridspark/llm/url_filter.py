@@ -21,14 +21,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path up to ``?``, ``#`` or
     the end. Both empty for null or without ``://``."""
     at = F.coalesce(F.instr(url, "://"), F.lit(0))
-    rest = F.when(at > 0, F.expr("substring(__url, instr(__url, '://') + 3)")).otherwise("")
+    rest = F.when(at > 0, F.substr(url, at + 3)).otherwise("")
     return F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), _UPPER, _LOWER), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
 def matched(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     """The longest fitting rule and its verdict, null if none fits; of equally long ones the first listed."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for kind, h, p in sorted(rules, key=lambda r: len(r[1] + r[2])) if rules else []:
+    for kind, h, p in sorted(reversed(rules), key=lambda r: len(r[1] + r[2])):
         hit = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         rule, verdict = F.when(hit, h + p).otherwise(rule), F.when(hit, kind).otherwise(verdict)
     return rule, verdict
@@ -68,21 +68,32 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
+FOLDS = 4
+
+
+def fold_of() -> Column:
+    return F.pmod(F.xxhash64("__url", F.lit("fold")), F.lit(FOLDS)).cast("int")
+
+
 def block_rates(known: DataFrame) -> tuple[float, list[tuple[str, str, DataFrame, int]]]:
-    """The block rate of all labelled URLs and its smoothed tables by the host's last label and last two labels."""
-    known = known.select("__suffix", "__domain", "label")
+    """The block rate of all labelled URLs, and sums and counts of labels by the host's last label and last two labels:
+    of all folds (place 0), and without each fold."""
+    known = known.select("__suffix", "__domain", "label", fold_of().alias("fold"))
     base = known.agg((F.sum("label") + 1) / (F.count("*") + 2)).first()[0]
     tables = []
     for key, name in (("__suffix", "suffix_rate"), ("__domain", "domain_rate")):
-        rates = materialize(known.groupBy(key).agg(((F.sum("label") + 10 * base) / (F.count("*") + 10)).alias(name)), "url-rates")
+        without = lambda f: (F.col("fold") != f) if f >= 0 else F.lit(True)
+        smooth = lambda f: (F.coalesce(F.sum(F.when(without(f), F.col("label"))), F.lit(0.0)) + 10 * base) / (F.count(F.when(without(f), 1)) + 10)
+        rates = materialize(known.groupBy(key).agg(F.array(*(smooth(f) for f in range(-1, FOLDS))).alias(name)), "url-rates")
         tables.append((key, name, rates, rates.count()))
     return base, tables
 
 
-def with_rates(rows: DataFrame, base: float, tables: list[tuple[str, str, DataFrame, int]]) -> DataFrame:
-    """Adds the block rates; what no labelled URL has gets the base rate."""
+def with_rates(rows: DataFrame, base: float, tables: list[tuple[str, str, DataFrame, int]], place: Column | None = None) -> DataFrame:
+    """Adds the smoothed block rates; what no labelled URL has gets the base rate. ``place`` chooses the fold that is
+    left out: rows of the fit are described by the labels of other folds, never by their own."""
     for key, name, rates, n in tables:
-        rows = rows.join(bounded(rates, n), key, "left").fillna(base, [name])
+        rows = rows.join(bounded(rates, n), key, "left").withColumn(name, F.coalesce(F.get(name, F.lit(0) if place is None else place), F.lit(base)))
     return rows
 
 
@@ -113,7 +124,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: s
     rates = block_rates(known)
     train = materialize(known.where(F.pmod(F.xxhash64("page_id", "__url"), F.lit(1_000_000)) < rate * 1_000_000), "url-train")
     gather = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, labelCol="label").fit(gather.transform(with_rates(train, *rates)).select("features", "label"))
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, labelCol="label").fit(gather.transform(with_rates(train, *rates, fold_of() + 1)).select("features", "label"))
     scored = model.transform(gather.transform(with_rates(lexical(rows), *rates))).withColumn("score", vector_to_array("probability")[1])
     by_model = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("__verdict", by_model).alias("verdict"), "score")

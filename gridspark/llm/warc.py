@@ -27,29 +27,33 @@ def base32_sha1(payload: Column) -> Column:
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Every row's payload, digests and place: of equal payloads of at least ``min_bytes`` bytes the one with the
     smallest id is a response and the others revisit it. Null ids come last; rows that share the smallest id are all
-    responses. Only digests are grouped, never payloads."""
+    responses; of their urls a revisit names the least. Only digests are grouped, never payloads."""
     payload = F.encode(F.coalesce(F.col(payload_col).cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"sha256": F.sha2("payload", 256), "sha1": base32_sha1(F.col("payload")), "bytes": F.length("payload").cast("long")})
-    first = rows.where(F.col("bytes") >= min_bytes).groupBy("sha256").agg(F.min(F.coalesce("page_id", F.lit(LAST_ID))).alias("first"))
+    first = rows.where(F.col("bytes") >= min_bytes).groupBy("sha256").agg(F.min(F.struct(F.coalesce("page_id", F.lit(LAST_ID)).alias("id"), F.col("url"))).alias("least")).select("sha256", F.col("least.id").alias("first"), F.col("least.url").alias("first_url"))
     rows = rows.join(first, "sha256", "left")
     revisit = F.col("first").isNotNull() & (F.coalesce("page_id", F.lit(LAST_ID)) > F.col("first"))
     return rows.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("first")))
 
 
+def record_id(page_id: Column, url: Column) -> Column:
+    """Names a record by its page, url and payload."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(":"), F.md5(F.concat_ws("\n", url, F.col("sha256"))), F.lit(">"))
+
+
 def header(rows: DataFrame) -> Column:
     """WARC and HTTP header bytes of a record; control characters of the url are percent-encoded."""
     safe = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
     block = F.when(F.col("record_type") == "revisit", F.octet_length(http)).otherwise(F.octet_length(http) + F.col("bytes"))
-    own = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(":"), F.md5(F.concat_ws("\n", "url", "sha256")), F.lit(">"))
     return F.encode(
         F.concat(
             F.lit("WARC/1.1\r\nWARC-Type: "), F.col("record_type"),
-            F.lit("\r\nWARC-Record-ID: "), own,
+            F.lit("\r\nWARC-Record-ID: "), record_id(F.col("page_id"), F.col("url")),
             F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "), safe,
             F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("sha1"),
-            F.when(F.col("record_type") == "revisit", F.concat(F.lit("\r\nWARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(f">\r\nWARC-Profile: {_PROFILE}"))).otherwise(""),
+            F.when(F.col("record_type") == "revisit", F.concat(F.lit("\r\nWARC-Refers-To: "), record_id(F.nullif(F.col("refers_to"), F.lit(LAST_ID)), F.col("first_url")), F.lit(f"\r\nWARC-Profile: {_PROFILE}"))).otherwise(""),
             F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), block.cast("string"),
             F.lit("\r\n\r\n"), http,
         ),

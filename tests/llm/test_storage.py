@@ -1,13 +1,16 @@
 import base64
 import hashlib
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gridspark.llm import media, packing, sharding, url_filter, warc
 
@@ -144,6 +147,13 @@ def test_warc_round_trip(spark, tmp_path):
         fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
         assert head.startswith(b"WARC/1.1\r\n") and b"X" not in fields
         assert len(body) == int(fields[b"Content-Length"]) + 4 and body.endswith(b"\r\n\r\n")
+    named = {}
+    for r in warc.read_archive(spark, path).collect():
+        head = bytes(r.header).partition(b"\r\n\r\n")[0]
+        fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
+        named[r.page_id] = fields[b"WARC-Record-ID"], fields.get(b"WARC-Refers-To")
+    assert len({a for a, _ in named.values()}) == len(rows)
+    assert named[5][1] == named[2][0] == named[None][1] and named[3][1] == named[1][0] and named[9][1] is None
     assert warc.records(pages, min_bytes=100).where("record_type = 'revisit'").count() == 0
     warc.write_archive(pages.limit(0), str(tmp_path / "e"))
     assert warc.summary(spark, str(tmp_path / "e")).count() == 0
@@ -170,7 +180,7 @@ def brute_rule(url):
     path = rest[cut:]
     path = path[: min([path.find(c) for c in "?#" if c in path] or [len(path)])]
     fits = [(h + p, k) for k, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    best = max(fits, key=lambda x: len(x[0]), default=(None, None))
+    best = max(fits, key=lambda x: len(x[0]), default=(None, None))  # the first of equally long ones
     return host, path, *best
 
 
@@ -192,6 +202,38 @@ def test_url_rules_against_brute_force(spark):
     assert [r.verdict for r in url_filter.judge(spark.createDataFrame([(1, "http://x.net/")], "page_id long, url string")).collect()] == ["allow"]
 
 
+def test_of_equally_long_rules_the_first_wins(spark):
+    pages = spark.createDataFrame([(1, "http://x.org/ab")], "page_id long, url string")
+    for rules in ([("block", "x.org", "/"), ("allow", "x.org", "/")], [("allow", "x.org", "/"), ("block", "x.org", "/")]):
+        assert url_filter.judge(pages, rules=rules).first().verdict == rules[0][0]
+    got = pages.select(*url_filter.host_and_path(F.lit("http://Q.net/p?x"))).first()
+    assert tuple(got) == ("q.net", "/p")
+
+
+def test_url_rates_leave_the_own_fold_out(spark):
+    urls = [(float(i % 3 == 0), "net", f"d{i % 5}.net", f"http://d{i % 5}.net/{i}") for i in range(200)]
+    known = spark.createDataFrame(urls, "label double, __suffix string, __domain string, __url string")
+    base, tables = url_filter.block_rates(known)
+    rows = known.withColumn("fold", url_filter.fold_of())
+    facts = rows.collect()
+    for r in url_filter.with_rates(rows, base, tables, url_filter.fold_of() + 1).collect():
+        others = [x.label for x in facts if x.fold != r.fold and x["__domain"] == r["__domain"]]
+        assert r.domain_rate == pytest.approx((sum(others) + 10 * base) / (len(others) + 10))
+
+
+def test_url_trees_find_held_out_labels(spark):
+    """Half of the decided URLs are learned from, the others judged by the trees alone."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    host, path = url_filter.host_and_path(F.col("url"))
+    rule, verdict = url_filter.matched(host, path, url_filter.RULES)
+    labelled = pages.withColumn("verdict", verdict).where("verdict is not null")
+    hidden = labelled.where("page_id % 2 = 0")
+    masked = hidden.select("page_id", F.regexp_replace("url", r"\.(org|com)", ".$1x").alias("url"))
+    got = url_filter.judge(labelled.where("page_id % 2 = 1").select("page_id", "url").unionByName(masked)).join(hidden.select("page_id", F.col("verdict").alias("y")), "page_id").collect()
+    assert len(got) > 20 and all(r.rule is None for r in got)
+    assert sum(r.verdict == r.y for r in got) >= 0.6 * len(got)
+
+
 def test_url_trees_learn_from_labels(spark):
     """Block verdicts that hang on the path are found again in hosts without rules."""
     rules = [("block", "a.org", "/zz"), ("allow", "a.org", "/")]
@@ -213,13 +255,50 @@ def test_shards_are_even_and_stable(spark):
             sharding.fill(bad, 5000 if bad == names else 5003)
 
 
+def brute_table(names, size):
+    """Every shard's whole order of preference, then turns."""
+    orders = []
+    for n in names:
+        start, step = xxhash.xxh64_intdigest(n, 1) % size, xxhash.xxh64_intdigest(n, 2) % (size - 1) + 1
+        orders.append([(start + j * step) % size for j in range(size)])
+        assert sorted(orders[-1]) == list(range(size))
+    owner = {}
+    while len(owner) < size:
+        for i, order in enumerate(orders):
+            free = [s for s in order if s not in owner]
+            if free:
+                owner[free[0]] = i
+    return [owner[s] for s in range(size)]
+
+
+def test_shards_are_written_whole(spark, tmp_path):
+    rows = awkward() + [(77, "the same row")] * 40
+    docs = frame(spark, rows).withColumn("Slot", F.lit("keep")).withColumn("SHARD", F.lit(7))
+    slot, shard, name = sharding.write_shards(docs, ["doc_id"], sharding.shard_names(5), str(tmp_path / "s"), 251)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == len(rows) and {r["Slot"] for r in back.collect()} == {"keep"} and {r["SHARD"] for r in back.collect()} == {7}
+    table = brute_table(sharding.shard_names(5), 251)
+    for r in back.collect():
+        h = xxhash.xxh64_intdigest(struct.pack("<q", r.doc_id), 42) if r.doc_id is not None else 42
+        h = h - 2**64 if h >= 2**63 else h
+        assert r[slot] == h % 251 and r[shard] == table[r[slot]]
+    assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter(rows)
+    many = spark.createDataFrame([(77, "the same row")] * 400, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sharding.write_shards(many, ["doc_id"], sharding.shard_names(5), str(tmp_path / "t"), 251)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "t").glob("shard=*/*.parquet"))) > 1
+
+
 def test_shard_assignment(spark):
     rows = awkward()
     names = sharding.shard_names(5)
     out = sharding.assign(frame(spark, rows).withColumnRenamed("key", "shard"), ["doc_id"], names, 251)
     got = out.collect()
     assert len(got) == len(rows) and "_shard" in out.columns
-    table = sharding.fill(names, 251)
+    table = brute_table(names, 251)
     assert all(table[r._slot] == r._shard and names[r._shard] == r._shard_name for r in got)
     assert len({(r.doc_id, r._shard) for r in got}) == len({i for i, _ in rows})
     assert sharding.assign(frame(spark, []), ["doc_id"], names, 251).count() == 0

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that the cluster shares (spark.checkpoint.dir); local only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new path in the folder that the cluster shares (spark.checkpoint.dir). In local mode, as in tests, a temporary
+    one where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -31,6 +34,28 @@ def write_months(df: DataFrame, path: str, sort: list[str] | None = None) -> Non
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
 
 
+def merge_months(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Adds rows to the months under ``path``: each month in ``df`` is written anew from the stored rows and the new
+    ones, which replace stored rows of equal keys. So a month may come in many parts, and a part may come again."""
+    spark = df.sparkSession
+    staged = scratch_path(spark, "months")
+    with_month(df).write.parquet(f"{staged}/new")
+    new = spark.read.parquet(f"{staged}/new")
+    rows = new
+    if exists(spark, path):
+        months = new.select("year", "month").distinct()
+        old = read_months(spark, path).join(months, ["year", "month"], "left_semi").join(new.select(*keys), keys, "left_anti")
+        rows = new.unionByName(old)
+    # The old files are read before any is replaced.
+    rows.write.parquet(f"{staged}/all")
+    write_months(spark.read.parquet(f"{staged}/all").drop("year", "month"), path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
 def read_months(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -61,6 +86,12 @@ def stats_json(stats: DataFrame, channels: list[str]) -> DataFrame:
     return made.select(F.to_json("m").alias("value"))
 
 
+def split_json(summary: DataFrame) -> DataFrame:
+    """One row a split: its days, date range and shapes as JSON. ``summary`` as ``split.split_summary`` gives it."""
+    dates = F.array(F.col("first_date").cast("string"), F.col("last_date").cast("string"))
+    return summary.select("split", F.to_json(F.struct("num_timesteps", dates.alias("date_range"), "input_shape", "target_shape")).alias("value"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """With header; missing values are empty."""
     df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)

@@ -28,8 +28,9 @@ def write_days(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def catch_up(stream: DataFrame, job: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None], checkpoint: str) -> StreamingQuery:
-    """Runs the batch job on each new set of files and replaces the partitions that it yields; the checkpoint knows
-    what has been done, and a batch that is run again replaces the same partitions."""
+    """Runs the batch job on each new set of files and hands the result to ``write``; the checkpoint knows what has been
+    done. A batch may be run again after a failure and a month may come in several batches, so ``write`` must add to
+    what is stored and replace only rows of equal keys, as ``sinks.merge_months`` does."""
 
     def batch(df: DataFrame, _: int) -> None:
         write(job(df))

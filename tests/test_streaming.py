@@ -1,5 +1,8 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from gridspark.sources import sinks
 from gridspark.streaming import daily
 
 SCHEMA = "time timestamp, k int, v double"
@@ -36,3 +39,27 @@ def test_catch_up_processes_new_files_once(spark, tmp_path):
     assert run() == 1 and run() == 1
     write(spark, src, [(dt.datetime(2020, 1, 2), 1, 2.0)])
     assert run() == 2
+
+
+def test_a_month_over_two_batches_is_whole(spark, tmp_path):
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+
+    def rows():
+        return sorted((r.date.isoformat(), r.k, r.v) for r in sinks.read_months(spark, out).collect())
+
+    def run():
+        stream = daily.read_files(spark, src, spark.read.parquet(src).schema, files_at_once=1)
+        job = lambda df: df.select(F.to_date("time").alias("date"), "k", "v")
+        daily.catch_up(stream, job, lambda df: sinks.merge_months(df, out, ["date", "k"]), ck).awaitTermination()
+        return rows()
+
+    t = dt.datetime
+    write(spark, src, [(t(2020, 1, 1), 1, 2.0)])
+    write(spark, src, [(t(2020, 1, 2), 1, 3.0), (t(2020, 2, 1), 1, 4.0)])
+    assert run() == [("2020-01-01", 1, 2.0), ("2020-01-02", 1, 3.0), ("2020-02-01", 1, 4.0)]
+    write(spark, src, [(t(2020, 1, 2), 1, 5.0), (t(2020, 1, 3), 2, 6.0)])
+    want = [("2020-01-01", 1, 2.0), ("2020-01-02", 1, 5.0), ("2020-01-03", 2, 6.0), ("2020-02-01", 1, 4.0)]
+    assert run() == want
+    # A batch that is run again changes nothing.
+    sinks.merge_months(spark.createDataFrame([(dt.date(2020, 1, 3), 2, 6.0)], "date date, k int, v double"), out, ["date", "k"])
+    assert rows() == want

@@ -1,4 +1,4 @@
-"""Quality checks. Each gives rows (check, passed, and its measures); the scorecard counts them."""
+"""Quality checks; boxes and bounds are fixed values of the contract. Each gives rows (check, passed, and its measures); the scorecard counts them."""
 
 from __future__ import annotations
 
@@ -73,20 +73,27 @@ def depth_differences(target: DataFrame, mask: DataFrame) -> DataFrame:
 
 
 def inversions(target: DataFrame, mask: DataFrame) -> DataFrame:
-    """Pairs of adjacent depths where the lower is warmer by over 0.1 degrees, and those that are anomalous: by over 5.0
+    """Pairs of adjacent depths where the lower is warmer by over 0.1 degrees, those of them down to 50 m, and those that are anomalous: by over 5.0
     down to 50 m, over 1.0 from 500 m, over 4.0 between. Passes without anomalies."""
     bound = F.when(F.col("lower_m") <= 50, 5.0).when(F.col("depth_m") >= 500, 1.0).otherwise(4.0)
     count = lambda c: F.count(F.when(c, 1))
-    out = depth_differences(target, mask).agg(F.count("*").alias("pairs"), count(F.col("diff") > 0.1).alias("inversions"), count(F.col("diff") > bound).alias("anomalies"))
+    out = depth_differences(target, mask).agg(F.count("*").alias("pairs"), count(F.col("diff") > 0.1).alias("inversions"), count((F.col("diff") > 0.1) & (F.col("lower_m") <= 50)).alias("barrier_layers"), count(F.col("diff") > bound).alias("anomalies"))
     return out.withColumn("inversion_pct", F.col("inversions") * 100.0 / F.greatest(F.col("pairs"), F.lit(1))).withColumn("passed", F.col("anomalies") == 0)
 
 
-def integrity(rows: DataFrame, values: list[str]) -> DataFrame:
-    """Normalised rows with ``is_ocean``: no missing or NaN value, and land exactly 0."""
-    broken = reduce(lambda a, b: a | b, (F.col(v).isNull() | F.isnan(v) for v in values))
-    stray = ~F.col("is_ocean") & reduce(lambda a, b: a | b, (F.coalesce(F.col(v) != 0, F.lit(True)) for v in values))
-    out = rows.agg(F.count("*").alias("n_rows"), F.count(F.when(broken, 1)).alias("broken"), F.count(F.when(stray, 1)).alias("land_not_zero"))
-    return out.withColumn("passed", (F.col("broken") == 0) & (F.col("land_not_zero") == 0))
+def integrity(rows: DataFrame, values: list[str], targets: DataFrame | None = None, target: str = "temp") -> DataFrame:
+    """Normalised rows with ``is_ocean``, and filled targets with it: no missing or NaN value, and land exactly 0."""
+
+    def faults(df: DataFrame, names: list[str], kind: str) -> DataFrame:
+        broken = reduce(lambda a, b: a | b, (F.col(v).isNull() | F.isnan(v) for v in names))
+        stray = ~F.col("is_ocean") & reduce(lambda a, b: a | b, (F.coalesce(F.col(v) != 0, F.lit(True)) for v in names))
+        return df.agg(F.count("*").alias(f"n_{kind}"), F.count(F.when(broken, 1)).alias(f"{kind}_broken"), F.count(F.when(stray, 1)).alias(f"{kind}_land_not_zero"))
+
+    out = faults(rows, values, "inputs")
+    if targets is not None:
+        out = out.join(F.broadcast(faults(targets, [target], "targets")), how="cross")
+    clean = [F.col(c) == 0 for c in out.columns if not c.startswith("n_")]
+    return out.withColumn("passed", reduce(lambda a, b: a & b, clean))
 
 
 def continuity(df: DataFrame, must_have: list[str] = (), date: str = "date") -> DataFrame:
@@ -104,6 +111,15 @@ def missing_days(df: DataFrame, date: str = "date") -> DataFrame:
     return days.agg(F.min(date).alias("a"), F.max(date).alias("b")).select(F.explode(F.sequence("a", "b")).alias(date)).exceptAll(days)
 
 
+def calendar(df: DataFrame, start: str, periods: int, date: str = "date") -> DataFrame:
+    """The table's days against the ``periods`` days from ``start``, both ways."""
+    first = F.to_date(F.lit(start))
+    wanted = df.sparkSession.range(periods).select(F.date_add(first, F.col("id").cast("int")).alias(date), F.lit(1).alias("wanted"))
+    both = df.select(date).distinct().withColumn("there", F.lit(1)).join(wanted, date, "full_outer")
+    out = both.agg(F.count("there").alias("n_dates"), F.count(F.when(F.col("there").isNull(), 1)).alias("missing"), F.count(F.when(F.col("wanted").isNull(), 1)).alias("unexpected"))
+    return out.withColumn("passed", (F.col("missing") == 0) & (F.col("unexpected") == 0))
+
+
 def scorecard(checks: dict[str, DataFrame]) -> DataFrame:
     """total_checks, passed_checks, success."""
     rows = reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("check"), "passed") for name, df in checks.items()))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridspark.functions.grid import TARGET, Grid
+
 
 def split_by_dates(date: Column, train_end: str, val_end: str) -> Column:
     """train to ``train_end``, val to ``val_end`` (both included), then test."""
@@ -31,6 +33,8 @@ def with_split(df: DataFrame, dates: DataFrame, date: str = "date") -> DataFrame
     return df.join(F.broadcast(dates), date)
 
 
-def split_summary(df: DataFrame, date: str = "date") -> DataFrame:
-    """Days and first and last date of each split."""
-    return df.groupBy("split").agg(F.countDistinct(date).alias("num_timesteps"), F.min(date).alias("first_date"), F.max(date).alias("last_date"))
+def split_summary(df: DataFrame, date: str = "date", channels: int = 7, depths: int = 15, grid: Grid = TARGET) -> DataFrame:
+    """Days, first and last date of each split, and the shapes of its inputs and targets."""
+    days = F.countDistinct(date)
+    shape = lambda n: F.array(days.cast("int"), *(F.lit(x) for x in (n, grid.ny, grid.nx)))
+    return df.groupBy("split").agg(days.alias("num_timesteps"), F.min(date).alias("first_date"), F.max(date).alias("last_date"), shape(channels).alias("input_shape"), shape(depths).alias("target_shape"))

@@ -2,30 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.grid import CHANNELS, TARGET, Grid
 
 
-def _flat(df: DataFrame, values: list[str], keys: list[str], grid: Grid, name: str) -> DataFrame:
-    """Rows are put on the dense grid and sorted by position; what is absent is 0. A day is one row of the result, so
-    it is also the largest group; its size is fixed by the grid."""
-    rows = grid.dense(df.select(*keys).distinct()).join(df, [*keys, "lat_idx", "lon_idx"], "left")
-    cell = F.struct((F.col("lat_idx") * grid.nx + F.col("lon_idx")).alias("p"), *(F.coalesce(F.col(v), F.lit(0.0)).cast("float").alias(v) for v in values))
-    got = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
-    return got.select(*keys, F.concat(*(F.col(f"cells.{v}") for v in values)).alias(name))
+def _flat(df: DataFrame, values: list[str], keys: list[str], position, size: int, name: str) -> DataFrame:
+    """A day's present values are put at their positions in one dense array a value; what is absent or missing is 0. A day
+    is one row of the result, so it is also the largest group; its size is fixed by the grid."""
+    cell = F.struct(position.cast("int").alias("p"), *(F.col(v).cast("float").alias(v) for v in values))
+    got = df.groupBy(*keys).agg(F.collect_list(cell).alias("cells")).select(*keys, F.col("cells.p").alias("p"), *(F.col(f"cells.{v}").alias(v) for v in values))
+    n = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for r in range(whole.num_rows):
+                b = whole.slice(r, 1)
+                at = b.column(n)[0].values.to_numpy(zero_copy_only=False)
+                out = np.zeros((len(values), size), np.float32)
+                for i in range(len(values)):
+                    out[i, at] = b.column(n + 1 + i)[0].values.fill_null(0).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array([out.ravel()], pa.list_(pa.float32()))], names=[*keys, name])
+
+    kinds = dict(df.dtypes)
+    return got.mapInArrow(run, ", ".join([*(f"{k} {kinds[k]}" for k in keys), f"{name} array<float>"]))
 
 
 def input_tensor(df: DataFrame, keys: list[str], channels: list[str] = CHANNELS, grid: Grid = TARGET) -> DataFrame:
     """(keys, inputs); position is (channel * ny + lat_idx) * nx + lon_idx."""
-    return _flat(df.select(*keys, "lat_idx", "lon_idx", *channels), channels, keys, grid, "inputs")
+    return _flat(df, channels, keys, F.col("lat_idx") * grid.nx + F.col("lon_idx"), grid.ny * grid.nx, "inputs")
 
 
 def target_tensor(df: DataFrame, keys: list[str], depths: int, grid: Grid = TARGET) -> DataFrame:
     """(keys, targets); position is (depth_idx * ny + lat_idx) * nx + lon_idx; missing values are 0."""
-    cell = df.groupBy(*keys, "lat_idx", "lon_idx").agg(*(F.max(F.when(F.col("depth_idx") == d, F.col("temp"))).alias(f"d{d}") for d in range(depths)))
-    return _flat(cell, [f"d{d}" for d in range(depths)], keys, grid, "targets")
+    rows = df.where(F.col("depth_idx") < depths)
+    return _flat(rows, ["temp"], keys, (F.col("depth_idx") * grid.ny + F.col("lat_idx")) * grid.nx + F.col("lon_idx"), depths * grid.ny * grid.nx, "targets")
 
 
 def write_tensors(inputs: DataFrame, targets: DataFrame, path: str) -> None:

@@ -128,6 +128,12 @@ SQL = {
       lon_w AS (SELECT CAST(j AS INT) AS lon_idx, CAST(i AS INT) AS src_lon_idx, w FROM (
         SELECT j, j // 2 AS i, CASE WHEN j % 2 = 0 THEN 1.0 ELSE 0.5 END AS w FROM range(49) t(j) UNION ALL SELECT j, j // 2 + 1, 0.5 FROM range(49) t(j) WHERE j % 2 = 1)),
       need AS (SELECT a.j AS lat_idx, b.j AS lon_idx, (1 + a.j % 2) * (1 + b.j % 2) AS n FROM range(21) a(j), range(49) b(j))""",
+    # The same on the contract's grid, of a tenth of the native step.
+    "corners10": """lat_w AS (SELECT CAST(j AS INT) AS lat_idx, CAST(i AS INT) AS src_lat_idx, w FROM (
+        SELECT j, j // 10 AS i, 1 - (j % 10) / 10.0 AS w FROM range(101) t(j) UNION ALL SELECT j, j // 10 + 1, (j % 10) / 10.0 FROM range(101) t(j) WHERE j % 10 > 0)),
+      lon_w AS (SELECT CAST(j AS INT) AS lon_idx, CAST(i AS INT) AS src_lon_idx, w FROM (
+        SELECT j, j // 10 AS i, 1 - (j % 10) / 10.0 AS w FROM range(241) t(j) UNION ALL SELECT j, j // 10 + 1, (j % 10) / 10.0 FROM range(241) t(j) WHERE j % 10 > 0)),
+      need AS (SELECT a.j AS lat_idx, b.j AS lon_idx, CASE WHEN a.j % 10 > 0 THEN 2 ELSE 1 END * CASE WHEN b.j % 10 > 0 THEN 2 ELSE 1 END AS n FROM range(101) a(j), range(241) b(j))""",
     # Nodes and weights of the fifteen depths on the seven native ones.
     "depth_w": """depths AS (SELECT CAST(i AS INT) AS depth_idx, CAST([0, 5, 10, 20, 30, 50, 75, 100, 125, 150, 200, 300, 500, 700, 1000][i + 1] AS INT) AS depth_m FROM range(15) t(i)),
       nodes AS (SELECT i, [0.5, 9.5, 47.0, 130.0, 320.0, 760.0, 1060.0][i + 1] AS z FROM range(7) t(i)),

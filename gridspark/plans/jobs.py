@@ -48,8 +48,8 @@ def validate(profiles: DataFrame, levels: DataFrame, target: DataFrame, grid: Gr
     return metrics.skill(collocate.collocate(profiles, levels, target, grid), "argo_temp", "glorys_temp")
 
 
-def audit(surface: DataFrame, target: DataFrame, ocean: DataFrame, normalized: DataFrame, grid: Grid = TARGET) -> DataFrame:
-    """The scorecard of the seven checks."""
+def audit(surface: DataFrame, target: DataFrame, ocean: DataFrame, normalized: DataFrame, filled: DataFrame | None = None, grid: Grid = TARGET) -> DataFrame:
+    """The scorecard of the seven checks; ``filled`` are the targets as they are exported, with ``is_ocean``."""
     return qa.scorecard(
         {
             "dates": qa.date_sync(surface, target),
@@ -58,6 +58,6 @@ def audit(surface: DataFrame, target: DataFrame, ocean: DataFrame, normalized: D
             "currents": qa.current_bounds(surface, ocean),
             "stratification": qa.stratification(target, ocean),
             "inversions": qa.inversions(target, ocean),
-            "integrity": qa.integrity(normalized, [c for c in CHANNELS if c in normalized.columns]),
+            "integrity": qa.integrity(normalized, [c for c in CHANNELS if c in normalized.columns], filled),
         }
     )

@@ -83,6 +83,15 @@ def s4_profile_levels(spark, d):
     return _r(ingest.profile_levels(packed).groupBy("profile_idx").agg(F.count("*").alias("n_levels"), F.count("temp").alias("n_temps"), F.sum("pres").alias("sum_pres")), "sum_pres")
 
 
+@register("s4_adjusted_levels", fx.sql("levels") + "SELECT profile_idx, count(*) AS n_levels, count(temp) AS n_temps, round(sum(pres), 6) AS sum_pres, round(sum(temp + 0.5), 6) AS sum_temp FROM levels GROUP BY profile_idx")
+def s4_adjusted_levels(spark, d):
+    """Adjusted temperatures with raw pressures: each is chosen apart."""
+    packed = fx.levels(spark, d).groupBy("profile_idx").agg(F.collect_list(F.struct("pres", "temp")).alias("l"))
+    packed = packed.select("profile_idx", F.col("l.pres").alias("pres"), F.col("l.temp").alias("temp"), F.transform("l.temp", lambda t: t + 0.5).alias("temp_adjusted"))
+    out = ingest.profile_levels(packed).groupBy("profile_idx").agg(F.count("*").alias("n_levels"), F.count("temp").alias("n_temps"), F.sum("pres").alias("sum_pres"), F.sum("temp").alias("sum_temp"))
+    return _r(out, "sum_pres", "sum_temp")
+
+
 @register("s5_month_partitions", fx.sql("surface") + "SELECT year(date) AS year, month(date) AS month, count(*) AS n, round(sum(sst), 4) AS sst FROM surface GROUP BY 1, 2")
 def s5_month_partitions(spark, d):
     path = sinks.scratch_path(spark, "months")
@@ -118,10 +127,10 @@ def s10_synthetic_target(spark, d):
     return synthetic.target(dates, COARSE).groupBy("depth_idx", "depth_m").agg(F.count("*").alias("n"), F.round(F.avg("temp"), 6).alias("temp"))
 
 
-@register("s11_missing_months", "WITH a AS (SELECT DISTINCT year(l_shipdate) AS year, month(l_shipdate) AS month FROM lineitem), b AS (SELECT DISTINCT year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 5 = 0) SELECT CAST(a.year AS INT) AS year, CAST(a.month AS INT) AS month FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.year = a.year AND b.month = a.month)")
+@register("s11_missing_months", "WITH a AS (SELECT DISTINCT year(l_shipdate) AS year, month(l_shipdate) AS month FROM lineitem), b AS (SELECT DISTINCT year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders WHERE o_orderstatus = 'P') SELECT CAST(a.year AS INT) AS year, CAST(a.month AS INT) AS month FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.year = a.year AND b.month = a.month)")
 def s11_missing_months(spark, d):
     wanted = sinks.with_month(fx.read(spark, d, "lineitem").select("l_shipdate"), "l_shipdate")
-    done = sinks.with_month(fx.read(spark, d, "orders").where("o_orderpriority = '1-URGENT' and o_orderkey % 5 = 0").select("o_orderdate"), "o_orderdate")
+    done = sinks.with_month(fx.read(spark, d, "orders").where("o_orderstatus = 'P'").select("o_orderdate"), "o_orderdate")
     return sinks.missing_months(wanted, done)
 
 
@@ -247,6 +256,13 @@ def i1_regrid_daily_means(spark, d):
     return _r(regrid.onto_grid(out, COARSE).groupBy("date").agg(F.count("*").alias("n_cells"), F.count("v").alias("n_valid"), F.avg("v").alias("mean")), "mean")
 
 
+@register("i1_contract_grid", _REGRID.replace(fx.SQL["corners"], fx.SQL["corners10"]) + " SELECT date, count(*) AS n_cells, count(v) AS n_valid, round(avg(v), 6) AS mean FROM i1 GROUP BY date")
+def i1_contract_grid(spark, d):
+    """The contract's 101 by 241 cells."""
+    out = regrid.regrid(fx.native_grid(spark, d), ["v"], *_weights(spark, TARGET))
+    return _r(regrid.onto_grid(out, TARGET).groupBy("date").agg(F.count("*").alias("n_cells"), F.count("v").alias("n_valid"), F.avg("v").alias("mean")), "mean")
+
+
 @register("i2_nearest_regrid", fx.sql("native") + "SELECT n.date, CAST(a.j AS INT) AS lat_idx, CAST(b.j AS INT) AS lon_idx, CAST(round(n.v) AS INT) AS flag FROM native n JOIN range(21) a(j) ON a.j // 2 = n.src_lat_idx JOIN range(49) b(j) ON b.j // 2 = n.src_lon_idx")
 def i2_nearest_regrid(spark, d):
     (slat, slon), (dlat, dlon) = fx.native_axes(spark), COARSE.axes(spark)
@@ -331,8 +347,8 @@ def i6_nearest_depth(spark, d):
 @register("i7_given_weights", _REGRID + " SELECT r.date, r.lat_idx, r.lon_idx, CASE WHEN r.c = q.n THEN round(r.v, 6) END AS v FROM r JOIN need q USING (lat_idx, lon_idx)")
 def i7_given_weights(spark, d):
     lat_w, lon_w = _weights(spark)
-    one = F.lit(1)
-    product = lat_w.select(F.col("src_idx").alias("src_lat_idx"), F.col("dst_idx").alias("lat_idx"), F.col("w").alias("w1"), one.alias("k")).join(F.broadcast(lon_w.select(F.col("src_idx").alias("src_lon_idx"), F.col("dst_idx").alias("lon_idx"), F.col("w").alias("w2"), one.alias("k"))), "k")
+    # Both axes have a fixed number of weights.
+    product = lat_w.select(F.col("src_idx").alias("src_lat_idx"), F.col("dst_idx").alias("lat_idx"), F.col("w").alias("w1")).join(F.broadcast(lon_w.select(F.col("src_idx").alias("src_lon_idx"), F.col("dst_idx").alias("lon_idx"), F.col("w").alias("w2"))), how="cross")
     return _r(regrid.regrid_with_weights(fx.native_grid(spark, d), ["v"], product.select("src_lat_idx", "src_lon_idx", "lat_idx", "lon_idx", (F.col("w1") * F.col("w2")).alias("w"))), "v")
 
 
@@ -347,10 +363,10 @@ def j1_merge(spark, d):
     return _r(merge.merge_sources([a, b, s.select("date", "lat_idx", "lon_idx", "sss", "u_wind")]), "sst", "sss", "u_wind")
 
 
-@register("j2_common_dates", "WITH a AS (SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem), b AS (SELECT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderkey % 3 = 0) SELECT date, count(*) AS n FROM a WHERE date IN (SELECT date FROM b) GROUP BY 1")
+@register("j2_common_dates", "WITH a AS (SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem), b AS (SELECT CAST(o_orderdate AS DATE) AS date FROM orders) SELECT date, count(*) AS n FROM a WHERE date IN (SELECT date FROM b) GROUP BY 1")
 def j2_common_dates(spark, d):
     a = fx.read(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("date"))
-    b = fx.read(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.to_date("o_orderdate").alias("date"))
+    b = fx.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("date"))
     return align.common_dates(a, b)[0].groupBy("date").agg(F.count("*").alias("n"))
 
 
@@ -373,7 +389,7 @@ _COLLOCATED = _PROFILE.replace("profiles AS (", "profiles0 AS (", 1).replace(" F
     + ", axis AS (SELECT DISTINCT date AS day FROM tgt),"
     " cell AS (SELECT *, CAST(least(greatest(ceil((lat - 5) / 1.25 - 0.5), 0), 20) AS INT) AS lat_idx, CAST(least(greatest(ceil((lon - 45) / 1.25 - 0.5), 0), 48) AS INT) AS lon_idx FROM profiles),"
     " times AS (SELECT DISTINCT juld FROM profiles), nearest AS (SELECT juld, day FROM (SELECT t.juld, a.day, row_number() OVER (PARTITION BY t.juld ORDER BY abs(epoch_us(t.juld) - epoch_us(CAST(a.day AS TIMESTAMP))), a.day DESC) AS i FROM times t CROSS JOIN axis a) WHERE i = 1),"
-    " col AS (SELECT strftime(c.juld, '%Y-%m-%d') AS date, trim(c.float_id) AS float_id, round(c.lat, 3) AS argo_lat, round(c.lon, 3) AS argo_lon, round(5 + 1.25 * c.lat_idx, 3) AS grid_lat, round(45 + 1.25 * c.lon_idx, 3) AS grid_lon, x.depth_m, round(x.temp + 1e-9, 4) AS argo_temp, round(g.temp + 1e-9, 4) AS glorys_temp, CAST(NULL AS DOUBLE) AS model_prediction"
+    " col AS (SELECT strftime(c.juld, '%Y-%m-%d') AS date, trim(c.float_id) AS float_id, round(c.lat, 3) AS argo_lat, round(c.lon, 3) AS argo_lon, round(CAST(5 + 1.25 * c.lat_idx AS DOUBLE), 3) AS grid_lat, round(CAST(45 + 1.25 * c.lon_idx AS DOUBLE), 3) AS grid_lon, x.depth_m, round(x.temp + 1e-9, 4) AS argo_temp, round(g.temp + 1e-9, 4) AS glorys_temp, CAST(NULL AS DOUBLE) AS model_prediction"
     " FROM at_depth x JOIN cell c ON c.profile_idx = x.profile_idx JOIN nearest n ON n.juld = c.juld LEFT JOIN tgt g ON g.date = n.day AND g.lat_idx = c.lat_idx AND g.lon_idx = c.lon_idx AND g.depth_idx = x.depth_idx)"
 )
 
@@ -485,7 +501,7 @@ def a8_completeness(spark, d):
     return regrid.completeness(fx.native_grid(spark, d), 275, index=("src_lat_idx", "src_lon_idx"))
 
 
-@register("a9_split_summary", _SPLIT + " SELECT split, count(DISTINCT date) AS num_timesteps, min(date) AS first_date, max(date) AS last_date FROM rows GROUP BY 1")
+@register("a9_split_summary", _SPLIT + " SELECT split, count(DISTINCT date) AS num_timesteps, min(date) AS first_date, max(date) AS last_date, [CAST(count(DISTINCT date) AS INT), 7, 101, 241] AS input_shape, [CAST(count(DISTINCT date) AS INT), 15, 101, 241] AS target_shape FROM rows GROUP BY 1")
 def a9_split_summary(spark, d):
     return split.split_summary(_rows(spark, d))
 
@@ -539,15 +555,35 @@ def q5_stratification(spark, d):
     return _r(qa.stratification(fx.target_sparse(spark, d), fx.mask(spark)), "top", "middle", "deep")
 
 
-@register("q6_inversions", fx.sql("target_sparse", "mask") + ", p AS (SELECT t.temp AS hi, u.temp AS lo, t.depth_m AS z, u.depth_m AS z2 FROM target_sparse t JOIN target_sparse u ON u.date = t.date AND u.lat_idx = t.lat_idx AND u.lon_idx = t.lon_idx AND u.depth_idx = t.depth_idx + 1 JOIN mask m ON m.lat_idx = t.lat_idx AND m.lon_idx = t.lon_idx WHERE m.is_ocean), c AS (SELECT count(*) AS pairs, count(CASE WHEN lo - hi > 0.1 THEN 1 END) AS inversions, count(CASE WHEN lo - hi > CASE WHEN z2 <= 50 THEN 5.0 WHEN z >= 500 THEN 1.0 ELSE 4.0 END THEN 1 END) AS anomalies FROM p) SELECT pairs, inversions, anomalies, round(inversions * 100.0 / greatest(pairs, 1), 6) AS inversion_pct, anomalies = 0 AS passed FROM c")
+@register("q6_inversions", fx.sql("target_sparse", "mask") + ", p AS (SELECT t.temp AS hi, u.temp AS lo, t.depth_m AS z, u.depth_m AS z2 FROM target_sparse t JOIN target_sparse u ON u.date = t.date AND u.lat_idx = t.lat_idx AND u.lon_idx = t.lon_idx AND u.depth_idx = t.depth_idx + 1 JOIN mask m ON m.lat_idx = t.lat_idx AND m.lon_idx = t.lon_idx WHERE m.is_ocean), c AS (SELECT count(*) AS pairs, count(CASE WHEN lo - hi > 0.1 THEN 1 END) AS inversions, count(CASE WHEN lo - hi > 0.1 AND z2 <= 50 THEN 1 END) AS barrier_layers, count(CASE WHEN lo - hi > CASE WHEN z2 <= 50 THEN 5.0 WHEN z >= 500 THEN 1.0 ELSE 4.0 END THEN 1 END) AS anomalies FROM p) SELECT pairs, inversions, barrier_layers, anomalies, round(inversions * 100.0 / greatest(pairs, 1), 6) AS inversion_pct, anomalies = 0 AS passed FROM c")
 def q6_inversions(spark, d):
     return _r(qa.inversions(fx.target_sparse(spark, d), fx.mask(spark)), "inversion_pct")
 
 
-@register("q7_integrity", _SPLIT + " SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS broken, CAST(0 AS BIGINT) AS land_not_zero, true AS passed FROM rows")
+def _zs(table: str) -> str:
+    """SQL: ``z`` has the scaled channels of ``table``."""
+    stats = ", ".join(f"avg({c}) AS {c}_m, CASE WHEN stddev_pop({c}) >= 1e-8 THEN stddev_pop({c}) ELSE 1 END AS {c}_s" for c in CHANNELS)
+    scaled = ", ".join(f"CASE WHEN is_ocean THEN coalesce(({c} - {c}_m) / {c}_s, 0) ELSE 0 END AS {c}" for c in CHANNELS)
+    return f", st AS (SELECT {stats} FROM {table} WHERE split = 'train' AND is_ocean), z AS (SELECT date, split, lat_idx, lon_idx, is_ocean, {scaled} FROM {table} CROSS JOIN st)"
+
+
+_BROKEN, _STRAY = (f" {op} ".join(f"({c} {test})" for c in CHANNELS) for op, test in (("OR", "IS NULL"), ("OR", "<> 0")))
+
+
+@register(
+    "q7_integrity",
+    _SPLIT.replace("WITH ", "WITH " + fx.SQL["target_sparse"] + ", ", 1)
+    + _zs("rows")
+    + ", f AS (SELECT coalesce(temp, 0) AS temp, is_ocean FROM target_sparse JOIN mask USING (lat_idx, lon_idx))"
+    + f", a AS (SELECT count(*) AS n_inputs, count(CASE WHEN {_BROKEN} OR isnan(sst) THEN 1 END) AS inputs_broken, count(CASE WHEN NOT is_ocean AND ({_STRAY}) THEN 1 END) AS inputs_land_not_zero FROM z)"
+    + ", b AS (SELECT count(*) AS n_targets, count(CASE WHEN temp IS NULL OR isnan(temp) THEN 1 END) AS targets_broken, count(CASE WHEN NOT is_ocean AND temp <> 0 THEN 1 END) AS targets_land_not_zero FROM f)"
+    " SELECT *, inputs_broken = 0 AND inputs_land_not_zero = 0 AND targets_broken = 0 AND targets_land_not_zero = 0 AS passed FROM a CROSS JOIN b",
+)
 def q7_integrity(spark, d):
+    """The targets here don't fit the mask, so their land is found not to be 0."""
     rows = _rows(spark, d)
-    return qa.integrity(normalize.normalize(rows, normalize.train_stats(rows)), CHANNELS)
+    targets = mask.with_mask(fx.target_sparse(spark, d), fx.mask(spark)).withColumn("temp", normalize.fill_target(F.col("temp")))
+    return qa.integrity(normalize.normalize(rows, normalize.train_stats(rows)), CHANNELS, targets)
 
 
 @register("q9_continuity", "WITH a AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders), g AS (SELECT date, date - lag(date) OVER (ORDER BY date) AS gap FROM a), c AS (SELECT count(*) AS n, count(CASE WHEN gap > 1 THEN 1 END) AS b, count(CASE WHEN date = DATE '1996-02-29' THEN 1 END) > 0 AS w, max(date) - min(date) + 1 AS k FROM g) SELECT n AS n_dates, b AS breaks, w AS has_wanted, CAST(k AS INT) AS calendar_days, n > 0 AND b = 0 AND w AS passed FROM c")
@@ -555,9 +591,14 @@ def q9_continuity(spark, d):
     return qa.continuity(fx.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("date")), ["1996-02-29"])
 
 
-@register("q9_missing_days", "WITH a AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderkey % 4 = 0), e AS (SELECT min(date) AS x, max(date) AS y FROM a) SELECT date FROM (SELECT CAST(unnest(generate_series(x, y, INTERVAL 1 DAY)) AS DATE) AS date FROM e) WHERE date NOT IN (SELECT date FROM a)")
+@register("q9_missing_days", "WITH a AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderpriority = '1-URGENT'), e AS (SELECT min(date) AS x, max(date) AS y FROM a) SELECT date FROM (SELECT CAST(unnest(generate_series(x, y, INTERVAL 1 DAY)) AS DATE) AS date FROM e) WHERE date NOT IN (SELECT date FROM a)")
 def q9_missing_days(spark, d):
-    return qa.missing_days(fx.read(spark, d, "orders").where("o_orderkey % 4 = 0").select(F.to_date("o_orderdate").alias("date")))
+    return qa.missing_days(fx.read(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.to_date("o_orderdate").alias("date")))
+
+
+@register("q9_calendar", "WITH a AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders), w AS (SELECT CAST(DATE '1996-01-01' + CAST(i AS INT) AS DATE) AS date FROM range(365) t(i)) SELECT (SELECT count(*) FROM a) AS n_dates, (SELECT count(*) FROM w WHERE date NOT IN (SELECT date FROM a)) AS missing, (SELECT count(*) FROM a WHERE date NOT IN (SELECT date FROM w)) AS unexpected, (SELECT count(*) FROM w WHERE date NOT IN (SELECT date FROM a)) = 0 AND (SELECT count(*) FROM a WHERE date NOT IN (SELECT date FROM w)) = 0 AS passed")
+def q9_calendar(spark, d):
+    return qa.calendar(fx.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("date")), "1996-01-01", 365)
 
 
 @register("q11_land_box", _TARGET + ", m AS (SELECT lat_idx, lon_idx, temp IS NOT NULL AS is_ocean FROM tgt WHERE depth_idx = 0 AND date = (SELECT min(date) FROM tgt)) SELECT count(CASE WHEN is_ocean AND 5 + 1.25 * lat_idx BETWEEN 20 AND 26 AND 45 + 1.25 * lon_idx BETWEEN 75 AND 82 THEN 1 END) AS ocean_cells, count(CASE WHEN is_ocean AND 5 + 1.25 * lat_idx BETWEEN 20 AND 26 AND 45 + 1.25 * lon_idx BETWEEN 75 AND 82 THEN 1 END) = 0 AS passed FROM m")
@@ -567,9 +608,11 @@ def q11_land_box(spark, d):
 
 @register("q10_scorecard")
 def q10_scorecard(spark, d):
-    s, t, m = fx.surface(spark, d), fx.target_sparse(spark, d), fx.mask(spark)
-    rows = _rows(spark, d)
-    return jobs.audit(s, t, m, normalize.normalize(rows, normalize.train_stats(rows)))
+    """Inputs that several checks read are written once; tests hold each check against its own SQL."""
+    s, t, m = _written(fx.surface(spark, d), "surface"), _written(fx.target_sparse(spark, d), "target"), fx.mask(spark)
+    rows = split.with_split(mask.with_mask(s, m), split.split_dates(s))
+    filled = mask.with_mask(t, m).withColumn("temp", F.when(F.col("is_ocean"), normalize.fill_target(F.col("temp"))).otherwise(0.0))
+    return jobs.audit(s, t, m, normalize.normalize(rows, normalize.train_stats(rows)), filled)
 
 
 # -- windows
@@ -640,22 +683,46 @@ def s7_stats_json(spark, d):
     return sinks.stats_json(normalize.long_stats(normalize.train_stats(rows)), CHANNELS)
 
 
-@register("s6_tensors")
+_EXPORT = (
+    _TARGET.replace(fx.SQL["corners"], fx.SQL["corners10"]).replace("WITH ", "WITH " + fx.SQL["surface"] + ", ", 1)
+    + ", s0 AS (SELECT CAST(date_trunc('year', date) AS DATE) AS date, lat_idx, lon_idx, " + ", ".join(f"avg({c}) AS {c}" for c in CHANNELS) + " FROM surface GROUP BY 1, 2, 3)"
+    ", shared AS (SELECT DISTINCT date FROM s0 WHERE date IN (SELECT date FROM tgt))"
+    ", ocean AS (SELECT lat_idx, lon_idx, temp IS NOT NULL AS is_ocean FROM tgt WHERE depth_idx = 0 AND date = (SELECT min(date) FROM shared))"
+    ", days AS (SELECT date, row_number() OVER (ORDER BY date) AS i, count(*) OVER () AS n FROM shared)"
+    ", sizes AS (SELECT *, greatest(1, CAST(round_even(n * 0.7, 0) AS INT)) AS a, CASE WHEN n >= 5 THEN greatest(1, CAST(round_even(n * 0.15, 0) AS INT)) ELSE 1 END AS b FROM days)"
+    ", sp AS (SELECT date, CASE WHEN n < 3 OR i <= CASE WHEN n - a - b <= 0 AND a > 1 THEN a - 1 ELSE a END THEN 'train' WHEN i <= CASE WHEN n - a - b <= 0 AND a > 1 THEN a - 1 ELSE a END + b THEN 'val' ELSE 'test' END AS split FROM sizes)"
+    ", rows AS (SELECT s.*, coalesce(o.is_ocean, false) AS is_ocean, sp.split FROM s0 s JOIN sp ON sp.date = s.date LEFT JOIN ocean o ON o.lat_idx = s.lat_idx AND o.lon_idx = s.lon_idx)"
+    + _zs("rows")
+)
+
+
+def _tensors(spark, d):
+    """Yearly surface and target on the contract's 101 by 241 cells."""
+    s = fx.surface(spark, d).withColumn("date", F.trunc("date", "year"))
+    s = s.groupBy("date", "lat_idx", "lon_idx").agg(*(F.avg(c).alias(c) for c in CHANNELS))
+    target = jobs.harmonize_target(fx.target_native(spark, d), fx.native_depths(spark), *_weights(spark, TARGET), TARGET)
+    tensors, _ = jobs.export_tensors(_written(s, "surface"), _written(target, "target"), 15, TARGET)
+    return tensors
+
+
+_SUM_Z = " + ".join(f"CAST({c} AS FLOAT)::DOUBLE" for c in CHANNELS)
+
+
+@register("s6_tensors", _EXPORT + f", a AS (SELECT split, date, sum({_SUM_Z}) AS x FROM z GROUP BY 1, 2), b AS (SELECT date, sum(CAST(coalesce(temp, 0) AS FLOAT)::DOUBLE) AS y FROM tgt GROUP BY 1) SELECT a.split, a.date, CAST(7 * 101 * 241 AS INT) AS n_inputs, CAST(15 * 101 * 241 AS INT) AS n_targets, round(a.x, 2) AS sum_inputs, round(b.y, 1) AS sum_targets FROM a JOIN b ON a.date = b.date")
 def s6_tensors(spark, d):
     """One row a year: the tensors' sizes and sums; tests hold positions against numpy."""
-    s = fx.surface(spark, d).where("lat_idx < 21 and lon_idx < 49").withColumn("date", F.trunc("date", "year"))
-    s = s.groupBy("date", "lat_idx", "lon_idx").agg(*(F.avg(c).alias(c) for c in CHANNELS))
-    tensors, _ = jobs.export_tensors(_written(s, "surface"), _written(_target(spark, d), "target"), 15, COARSE)
-    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double")), 2)
-    return tensors.select("split", "date", F.size("inputs").alias("n_inputs"), F.size("targets").alias("n_targets"), total("inputs").alias("sum_inputs"), total("targets").alias("sum_targets"))
+    total = lambda c, n: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double")), n)
+    return _tensors(spark, d).select("split", "date", F.size("inputs").alias("n_inputs"), F.size("targets").alias("n_targets"), total("inputs", 2).alias("sum_inputs"), total("targets", 1).alias("sum_targets"))
 
 
-@register("q8_verify_tensors", _TARGET + ", yrs AS (SELECT DISTINCT CAST(date_trunc('year', l_shipdate) AS DATE) AS date FROM lineitem WHERE l_suppkey % 101 < 21 AND l_partkey % 241 < 49) SELECT count(*) AS days, true AS shape_ok, true AS values_ok, true AS dtype_ok, true AS ok FROM yrs WHERE date IN (SELECT date FROM tgt)")
+@register("q8_verify_tensors", _EXPORT + f", a AS (SELECT count(DISTINCT date) AS days, count(CASE WHEN {_BROKEN} OR isnan(sst) THEN 1 END) = 0 AS inputs_ok FROM z), b AS (SELECT count(CASE WHEN isnan(temp) THEN 1 END) = 0 AS targets_ok, max((depth_idx * 101 + lat_idx) * 241 + lon_idx) < 15 * 101 * 241 AS inside FROM tgt) SELECT days, inside AS shape_ok, inputs_ok AND targets_ok AS values_ok, true AS dtype_ok, inside AND inputs_ok AND targets_ok AS ok FROM a CROSS JOIN b")
 def q8_verify_tensors(spark, d):
-    s = fx.surface(spark, d).where("lat_idx < 21 and lon_idx < 49").withColumn("date", F.trunc("date", "year"))
-    s = s.groupBy("date", "lat_idx", "lon_idx").agg(*(F.avg(c).alias(c) for c in CHANNELS))
-    tensors, _ = jobs.export_tensors(_written(s, "surface"), _written(_target(spark, d), "target"), 15, COARSE)
-    return tensor.verify(tensors, 7 * 21 * 49, 15 * 21 * 49)
+    return tensor.verify(_tensors(spark, d), 7 * 101 * 241, 15 * 101 * 241)
+
+
+@register("s7_split_json", _SPLIT + """ SELECT split, '{"num_timesteps":' || n || ',"date_range":["' || a || '","' || b || '"],"input_shape":[' || n || ',7,101,241],"target_shape":[' || n || ',15,101,241]}' AS value FROM (SELECT split, count(DISTINCT date) AS n, min(date) AS a, max(date) AS b FROM rows GROUP BY 1)""")
+def s7_split_json(spark, d):
+    return sinks.split_json(split.split_summary(_rows(spark, d)))
 
 
 # -- streaming
@@ -680,10 +747,11 @@ def st1_daily_stream(spark, d):
 
 @register("st2_catch_up", fx.sql("surface") + "SELECT year(date) AS year, month(date) AS month, count(*) AS n, round(sum(sst), 4) AS sst FROM surface GROUP BY 1, 2")
 def st2_catch_up(spark, d):
+    """Every month comes in three batches."""
     path = sinks.scratch_path(spark, "catch-up")
-    sinks.with_month(fx.surface(spark, d)).repartition("year").write.parquet(f"{path}/in")
-    stream = daily.read_files(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema)
-    q = daily.catch_up(stream, lambda df: df.drop("year", "month"), lambda df: sinks.write_months(df, f"{path}/out"), f"{path}/checkpoint")
+    fx.surface(spark, d).repartition(3, "lat_idx").write.parquet(f"{path}/in")
+    stream = daily.read_files(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema, files_at_once=1)
+    q = daily.catch_up(stream, lambda df: df, lambda df: sinks.merge_months(df, f"{path}/out", ["date", "lat_idx", "lon_idx"]), f"{path}/checkpoint")
     q.awaitTermination()
     return _r(sinks.read_months(spark, f"{path}/out").groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("sst").alias("sst")), "sst", digits=4)
 

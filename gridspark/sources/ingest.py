@@ -68,11 +68,15 @@ def keep_standard(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame
 
 
 def profile_levels(df: DataFrame) -> DataFrame:
-    """(profile columns, pres, temp): one row per level. If the table has adjusted levels, they replace the raw ones
-    for the whole table, also where they are missing."""
-    name = "levels_adjusted" if "levels_adjusted" in df.columns else "levels"
-    rest = [c for c in df.columns if not c.startswith("levels")]
-    return df.select(*rest, F.posexplode_outer(name).alias("level", "l")).select(*rest, "level", "l.pres", "l.temp")
+    """(profile columns, level, pres, temp): one row per level, from array columns ``pres`` and ``temp``. Each of them
+    gives way to ``pres_adjusted`` or ``temp_adjusted`` if the table has that, for the whole table and also where the
+    adjusted values are missing. An array ``levels`` of (pres, temp) is taken as both."""
+    rest = [c for c in df.columns if not c.startswith(("levels", "pres", "temp"))]
+    if "levels" in df.columns:
+        df = df.withColumns({"pres": F.col("levels.pres"), "temp": F.col("levels.temp")})
+    name = {c: f"{c}_adjusted" if f"{c}_adjusted" in df.columns else c for c in ("pres", "temp")}
+    both = F.arrays_zip(F.col(name["pres"]).alias("pres"), F.col(name["temp"]).alias("temp"))
+    return df.select(*rest, F.posexplode_outer(both).alias("level", "l")).select(*rest, "level", F.col("l")["pres"].alias("pres"), F.col("l")["temp"].alias("temp"))
 
 
 def float_name(float_id: Column, profile_idx: Column) -> Column:

@@ -18,7 +18,7 @@ def value(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return ""
     if isinstance(v, float):
-        return f"{v + 0.0:.5g}"
+        return f"{v + 0.0:.9g}"
     return str(v).removesuffix(" 00:00:00")
 
 

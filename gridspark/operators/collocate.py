@@ -9,6 +9,10 @@ from gridspark.functions.grid import DEPTHS, TARGET, Grid
 from gridspark.operators.crop import crop_box
 from gridspark.operators.vertical import profile_at_depths
 from gridspark.sources.ingest import float_name
+from gridspark.sources.sinks import scratch_path
+
+#: Cells and days of profiles up to which they are broadcast, some 20 bytes each.
+WANTED_ROWS = 1_000_000
 
 
 def nearest_dates(times: DataFrame, dates: DataFrame, time: str = "juld", date: str = "date", mode: str = "nearest") -> DataFrame:
@@ -37,7 +41,9 @@ def collocate(profiles: DataFrame, levels: DataFrame, target: DataFrame | None =
     """A row per profile in the box and depth: date, float_id, argo_lat, argo_lon, grid_lat, grid_lon, depth_m,
     argo_temp, glorys_temp, model_prediction. Grid data that is absent gives missing values, never fewer rows.
 
-    The grid side is cut to the profiles' cells and dates before the join, so the large table is filtered, not moved.
+    The grid side is cut to the profiles' dates by their range, which reaches the scan, and to their cells and dates by a
+    table of these that is written once, counted, and broadcast up to ``WANTED_ROWS``: the large table is then filtered
+    where it is read, not moved. Beyond the bound the same join shuffles.
     """
     inside = crop_box(profiles)
     lat, lon = grid.nearest(F.col("lat"), F.col("lon"))
@@ -49,8 +55,13 @@ def collocate(profiles: DataFrame, levels: DataFrame, target: DataFrame | None =
     else:
         when = nearest_dates(at, target.select("date"), mode=mode)
         rows = rows.join(when, "juld", "left")
-        wanted = at.join(when, "juld").select(F.col("grid_date").alias("date"), "lat_idx", "lon_idx").distinct()
-        near = target.join(wanted, ["date", "lat_idx", "lon_idx"], "left_semi").select(F.col("date").alias("grid_date"), "lat_idx", "lon_idx", "depth_idx", F.col("temp").alias("temp_grid"))
+        path = scratch_path(profiles.sparkSession, "wanted-cells")
+        at.join(when, "juld").select(F.col("grid_date").alias("date"), "lat_idx", "lon_idx").distinct().write.parquet(path)
+        wanted = profiles.sparkSession.read.parquet(path)
+        n, first, last = wanted.agg(F.count("*"), F.min("date"), F.max("date")).first()
+        wanted = F.broadcast(wanted) if n <= WANTED_ROWS else wanted
+        inside_range = target.where(F.col("date").between(F.lit(first), F.lit(last)))
+        near = inside_range.join(wanted, ["date", "lat_idx", "lon_idx"], "left_semi").select(F.col("date").alias("grid_date"), "lat_idx", "lon_idx", "depth_idx", F.col("temp").alias("temp_grid"))
         rows = rows.join(near, ["grid_date", "lat_idx", "lon_idx", "depth_idx"], "left")
     return rows.select(
         F.date_format("juld", "yyyy-MM-dd").alias("date"), F.col("name").alias("float_id"), F.round("lat", 3).alias("argo_lat"), F.round("lon", 3).alias("argo_lon"),

@@ -29,13 +29,18 @@ def nearest_depth(native: DataFrame, depth_m: float, keys: list[str], value: str
     return native.groupBy(*keys).agg(best.alias("b")).select(*keys, F.col("b.level").alias(depth), F.col("b.v").alias(value))
 
 
+def valid_levels(levels: DataFrame) -> DataFrame:
+    """Levels that have both parts."""
+    return levels.where("pres is not null and temp is not null")
+
+
 def profile_at_depths(levels: DataFrame, profiles: DataFrame, depths: list[float] = DEPTHS, key: str = "profile_idx") -> DataFrame:
     """(key, depth_idx, depth_m, temp): a row for every profile and depth.
 
     Levels with either part missing are dropped and equal pressures averaged; with fewer than two left, or outside
     the range, the value is missing. The order of levels doesn't matter.
     """
-    points = levels.where("pres is not null and temp is not null").groupBy(key, "pres").agg(F.avg("temp").alias("temp"))
+    points = valid_levels(levels).groupBy(key, "pres").agg(F.avg("temp").alias("temp"))
     order = W.partitionBy(key).orderBy("pres")
     legs = points.select(key, "pres", "temp", F.lead("pres").over(order).alias("pres2"), F.lead("temp").over(order).alias("temp2"), F.lag("pres").over(order).alias("pres0"))
     wanted = F.array(*(F.struct(F.lit(i).alias("depth_idx"), F.lit(int(d)).alias("depth_m")) for i, d in enumerate(depths)))

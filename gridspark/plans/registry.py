@@ -57,7 +57,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s1_read_source(spark, d):
     nan = F.when(F.col("l_discount") > 0.05, F.col("l_discount")).otherwise(F.lit(float("nan")))
     raw = fx.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("Latitude"), nan.alias("nav_lon"))
-    return ingest.nan_to_null(ingest.normalize_names(raw))
+    path = sinks.scratch_path(spark, "source")
+    raw.write.parquet(path)
+    return ingest.read_source(spark, path, "l_orderkey long, l_linenumber int, Latitude double, nav_lon double")
 
 
 @register("s2_read_many", "SELECT 'o' AS kind, CAST(o_orderkey AS BIGINT) AS key, CAST(o_totalprice AS DOUBLE) AS a, CAST(NULL AS DOUBLE) AS b FROM orders UNION ALL SELECT 'c', CAST(c_custkey AS BIGINT), NULL, CAST(c_acctbal AS DOUBLE) FROM customer")
@@ -221,7 +223,7 @@ def p12_fill_target(spark, d):
 
 @register("p14_valid_levels", fx.sql("levels") + "SELECT profile_idx, count(*) AS n FROM levels WHERE pres IS NOT NULL AND temp IS NOT NULL GROUP BY 1")
 def p14_valid_levels(spark, d):
-    return fx.levels(spark, d).where("pres is not null and temp is not null").groupBy("profile_idx").agg(F.count("*").alias("n"))
+    return vertical.valid_levels(fx.levels(spark, d)).groupBy("profile_idx").agg(F.count("*").alias("n"))
 
 
 @register("p15_slices", fx.sql("target_sparse") + "SELECT 'section' AS kind, lat_idx, depth_idx, round(temp, 6) AS temp FROM target_sparse WHERE date = DATE '1997-01-01' AND lon_idx = 7 UNION ALL SELECT 'profile', lat_idx, depth_idx, round(temp, 6) FROM target_sparse WHERE date = DATE '1997-01-01' AND lat_idx = 4 AND lon_idx = 7 UNION ALL SELECT 'map', lat_idx, CAST(lon_idx AS INT), round(temp, 6) FROM target_sparse WHERE date = DATE '1997-01-01' AND depth_idx = 0")
@@ -454,13 +456,13 @@ def a2_train_stats(spark, d):
 
 @register("p11_normalize", _SPLIT + ", st AS (SELECT avg(sst) AS m, stddev_pop(sst) AS s, avg(u_wind) AS m2, stddev_pop(u_wind) AS s2 FROM rows WHERE split = 'train' AND is_ocean) SELECT date, lat_idx, lon_idx, split, CASE WHEN is_ocean THEN round(coalesce((sst - m) / s, 0), 6) ELSE 0 END AS sst, CASE WHEN is_ocean THEN round(coalesce((u_wind - m2) / s2, 0), 6) ELSE 0 END AS u_wind FROM rows CROSS JOIN st")
 def p11_normalize(spark, d):
-    rows = _rows(spark, d)
+    rows = _written(_rows(spark, d), "rows")
     return _r(normalize.normalize(rows, normalize.train_stats(rows, ["sst", "u_wind"]), ["sst", "u_wind"]).select("date", "lat_idx", "lon_idx", "split", "sst", "u_wind"), "sst", "u_wind")
 
 
 @register("p13_denormalize", _SPLIT + " SELECT date, lat_idx, lon_idx, round(sst, 6) AS sst FROM rows WHERE is_ocean")
 def p13_denormalize(spark, d):
-    rows = _rows(spark, d)
+    rows = _written(_rows(spark, d), "rows")
     stats = normalize.train_stats(rows, ["sst"])
     back = normalize.denormalize(normalize.normalize(rows, stats, ["sst"]), stats, ["sst"])
     return _r(back.where("is_ocean").select("date", "lat_idx", "lon_idx", "sst"), "sst")
@@ -581,7 +583,7 @@ _BROKEN, _STRAY = (f" {op} ".join(f"({c} {test})" for c in CHANNELS) for op, tes
 )
 def q7_integrity(spark, d):
     """The targets here don't fit the mask, so their land is found not to be 0."""
-    rows = _rows(spark, d)
+    rows = _written(_rows(spark, d), "rows")
     targets = mask.with_mask(fx.target_sparse(spark, d), fx.mask(spark)).withColumn("temp", normalize.fill_target(F.col("temp")))
     return qa.integrity(normalize.normalize(rows, normalize.train_stats(rows)), CHANNELS, targets)
 
@@ -669,7 +671,7 @@ def o2_first_last(spark, d):
 
 @register("j7_attach_stats", _SPLIT + ", st AS (SELECT avg(sst) AS m, stddev_pop(sst) AS s FROM rows WHERE split = 'train' AND is_ocean) SELECT split, count(*) AS n, round(avg((sst - m) / s), 6) AS mean_z FROM rows CROSS JOIN st WHERE is_ocean GROUP BY split")
 def j7_attach_stats(spark, d):
-    rows = _rows(spark, d)
+    rows = _written(_rows(spark, d), "rows")
     z = normalize.normalize(rows, normalize.train_stats(rows, ["sst"]), ["sst"]).where("is_ocean")
     return _r(z.groupBy("split").agg(F.count("*").alias("n"), F.avg("sst").alias("mean_z")), "mean_z")
 
@@ -728,20 +730,14 @@ def s7_split_json(spark, d):
 # -- streaming
 
 
-@register("st1_daily_stream", fx.sql("subdaily") + ", l AS (SELECT max(CAST(time AS DATE)) AS last FROM subdaily) SELECT CAST(time AS DATE) AS date, src_lat_idx, src_lon_idx, round(avg(u10), 6) AS u10, count(*) AS n FROM subdaily GROUP BY 1, 2, 3")
+@register("st1_daily_stream", fx.sql("subdaily") + ", l AS (SELECT max(time) - INTERVAL 2 DAY AS mark FROM subdaily) SELECT CAST(time AS DATE) AS date, src_lat_idx, src_lon_idx, round(avg(u10), 6) AS u10, count(*) AS n FROM subdaily, l WHERE CAST(CAST(time AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= mark GROUP BY 1, 2, 3")
 def st1_daily_stream(spark, d):
-    """Events through a file stream; the watermark is longer than the table, so nothing is late and the final state is
-    written whole by update-free complete output."""
+    """Events through a file stream: a day's means are appended, and its state is dropped, once the watermark has passed its
+    end; the last days stay open."""
     path = sinks.scratch_path(spark, "stream")
     fx.subdaily(spark, d).write.parquet(f"{path}/in")
     stream = daily.read_files(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema)
-    out = daily.daily_mean_stream(stream, ["src_lat_idx", "src_lon_idx"], ["u10"], delay="60 days")
-
-    def keep(df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/out")
-
-    q = out.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
+    daily.write_days(daily.daily_mean_stream(stream, ["src_lat_idx", "src_lon_idx"], ["u10"], delay="2 days"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return _r(spark.read.parquet(f"{path}/out"), "u10")
 
 

@@ -26,9 +26,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*(F.when(~F.isnan(c), F.col(c)).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes))
 
 
-def read_source(spark: SparkSession, path: str) -> DataFrame:
-    """One product's long table."""
-    return nan_to_null(normalize_names(spark.read.parquet(path)))
+def read_source(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """One product's long table; with ``schema`` nothing is inferred from the files, and only its columns are read."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return nan_to_null(normalize_names(reader.parquet(path)))
 
 
 def read_many(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -29,9 +29,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: What Spark hands to a Python worker at once: texts are long, so fewer rows than its default, and bytes are bounded too.
+BATCH_ROWS, BATCH_BYTES = 2000, "16m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends there, so a lost executor
     costs a re-read and not a recomputation."""
+    bound_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

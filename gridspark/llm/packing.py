@@ -26,7 +26,7 @@ LENGTH = 4096
 END_ID = 2
 DIMENSIONS = 3
 BITS = 16
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

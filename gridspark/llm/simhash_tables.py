@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gridspark.llm.common import LAST_ID, bounded, materialize, unused
 from gridspark.llm.components import connected_components
-from gridspark.llm.gray_index import SMALL, Tree, Unions, gray_rank, sized, small_pairs, whole_groups
+from gridspark.llm.gray_index import SMALL, Tree, Unions, distance, sized, small_pairs, whole_groups
 from gridspark.llm.simhash_dedup import shingle_hashes
 
 WORDS, LANES = 5, 4
@@ -38,6 +38,8 @@ SIMILAR = (4, 5)
 RECALL = 0.98
 #: Of the 128 bits that are compared 19.4 differ at 0.8, with a deviation of 4.06; four of them are allowed for.
 LIMIT = 36
+#: Bits within which two texts have a similarity of some 0.92.
+CLOSE = 12
 #: Texts of one key that a task holds.
 RUN = 8192
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -132,8 +134,8 @@ def filed(sigs: DataFrame, bits: int, tables: int) -> DataFrame:
     return sigs.select("vid", "sig").mapInArrow(run, "slot int, key long, vid long, s0 long, s1 long")
 
 
-_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("run", pa.int64()), ("slot", pa.int32()), ("key", pa.int64()), ("vid", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64())])
-_FOUND_SQL = "a long, b long, run long, slot int, key long, vid long, s0 long, s1 long"
+_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("run", pa.int64()), ("members", pa.list_(pa.int64())), ("lanes", pa.list_(pa.int64())), ("slot", pa.int32()), ("key", pa.int64()), ("vid", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64())])
+_FOUND_SQL = "a long, b long, run long, members array<long>, lanes array<long>, slot int, key long, vid long, s0 long, s1 long"
 
 
 def _found(**columns: np.ndarray) -> pa.RecordBatch:
@@ -143,7 +145,7 @@ def _found(**columns: np.ndarray) -> pa.RecordBatch:
 
 def searched(batches: Iterator[pa.RecordBatch], round_: int, parts: bool) -> Iterator[pa.RecordBatch]:
     """Rows sorted by slot and key -> candidates (a, b): all of a small group, a forest of a large one; and of a large
-    one also its members (run, vid, s0, s1) for a second look. With ``parts``, keys may go on in other tasks or are
+    one also a row with its members and their lanes (run, members, lanes) for a second look. With ``parts``, keys may go on in other tasks or are
     longer than ``RUN``: each part then also gives one row of each of its components (slot, key, vid, s0, s1)."""
     from pyspark import TaskContext
 
@@ -156,19 +158,34 @@ def searched(batches: Iterator[pa.RecordBatch], round_: int, parts: bool) -> Ite
         yield _found(a=vid[at[x]], b=vid[at[y]])
         for lo, hi in ((a, min(a + RUN, hi)) for lo, hi in large for a in range(lo, hi, RUN)):
             unions, tree = Unions(hi - lo), Tree(codes[lo:hi])
-            for radius in (LIMIT // 4, LIMIT // 2, LIMIT):
-                x, y, _ = tree.forest(radius, unions)
-                yield _found(a=vid[lo + x], b=vid[lo + y])
+            found = [tree.forest(radius, unions)[:2] for radius in (CLOSE, LIMIT // 2, LIMIT)]
+            x, y = starred(vid[lo:hi], codes[lo:hi], unions.root, *(np.concatenate(side) for side in zip(*found)))
+            yield _found(a=vid[lo + x], b=vid[lo + y])
             some = lo + np.nonzero(np.bincount(unions.root, minlength=hi - lo)[unions.root] > 2)[0]
             serial += 1
-            yield _found(run=np.full(len(some), serial), vid=vid[some], s0=s0[some], s1=s1[some])
+            if len(some):
+                yield _found(run=[serial], members=[vid[some]], lanes=[np.stack([s0[some], s1[some]], axis=1).ravel()])
             if parts:
                 one = lo + np.unique(unions.root)
                 yield _found(slot=slot[one], key=key[one], vid=vid[one], s0=s0[one], s1=s1[one])
 
 
+def starred(vid: np.ndarray, codes: np.ndarray, root: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links of a forest, where texts close to the least one of their component link to that one instead: tables that
+    find the same texts then give the same links, and these are counted once."""
+    order = np.lexsort((vid, root))
+    first = order[np.concatenate([[True], root[order][1:] != root[order][:-1]])]
+    center = np.zeros(len(root), np.int64)
+    center[root[first]] = first
+    center = center[root]
+    close = distance(codes, codes[center]) <= CLOSE
+    to = np.flatnonzero(close & (center != np.arange(len(root))))
+    rest = ~(close[x] & close[y])
+    return np.concatenate([center[to], x[rest]]), np.concatenate([to, y[rest]])
+
+
 def candidates(classes: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """``classes(vid, sig)`` of ``n`` rows -> distinct candidates (a, b), and runs (run, vid, s0, s1) of large groups."""
+    """``classes(vid, sig)`` of ``n`` rows -> distinct candidates (a, b), and runs (run, members, lanes) of large groups."""
     bits, tables = plan(n)
     rows = filed(classes, bits, tables)
     # Keys of over RUN texts show in a 64th of the texts; which way a key goes changes nothing but the work.
@@ -202,7 +219,7 @@ def candidates(classes: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     for more in out[1:]:
         found = found.unionByName(more)
     pairs = found.where("a is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return materialize(pairs, "similar-candidates"), found.where("run is not null").select("run", "vid", "s0", "s1")
+    return materialize(pairs, "similar-candidates"), found.where("run is not null").select("run", "members", "lanes")
 
 
 def gray_column(name: str) -> Column:
@@ -215,8 +232,11 @@ def gray_column(name: str) -> Column:
 
 def still_apart(runs: DataFrame, roots: DataFrame) -> DataFrame:
     """Candidates (a, b) of large groups whose ends have different roots."""
-    named = runs.join(roots.select(F.col("node").alias("vid"), "root"), "vid", "left").select("run", "vid", F.coalesce("root", "vid").alias("root"), "s0", "s1")
-    mixed = named.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("run")
+    rooted = runs.select("run", F.explode("members").alias("vid")).join(roots.select(F.col("node").alias("vid"), "root"), "vid", "left").select("run", "vid", F.coalesce("root", "vid").alias("root"))
+    mixed = rooted.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("run")
+    # The lanes of mixed runs only.
+    lanes = runs.join(mixed, "run", "left_semi").select("run", F.posexplode("members").alias("i", "vid"), "lanes").select("run", "vid", F.get("lanes", 2 * F.col("i")).alias("s0"), F.get("lanes", 2 * F.col("i") + 1).alias("s1"))
+    named = rooted.join(lanes, ["run", "vid"]).select("run", "vid", "root", "s0", "s1")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, (_, vid, root, s0, s1) in whole_groups(batches, 1):
@@ -229,7 +249,7 @@ def still_apart(runs: DataFrame, roots: DataFrame) -> DataFrame:
                     some = root[x] != root[y]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(vid[x], vid[y])[some]), pa.array(np.maximum(vid[x], vid[y])[some])], names=["a", "b"])
 
-    dealt = named.join(mixed, "run", "left_semi").repartition("run").sortWithinPartitions("run")
+    dealt = named.repartition("run").sortWithinPartitions("run")
     return dealt.mapInArrow(look, "a long, b long").distinct()
 
 

@@ -1,5 +1,9 @@
 import random
 
+import numpy as np
+import pytest
+
+from gridspark.llm import gray_index
 from gridspark.llm import simhash_tables as sim
 
 from .corpus import awkward, frame, words
@@ -53,8 +57,11 @@ def test_a_run_over_several_chunks(spark, monkeypatch):
     assert {r.component_id for r in sim.similar_groups(frame(spark, rows)).collect()} == {0}
 
 
-def test_only_pairs_of_the_similarity_are_joined(spark):
-    """Pairs around 0.8, and chains of them: groups are the components of the pairs that brute force finds."""
+@pytest.mark.parametrize("small", [128, 2])
+def test_only_pairs_of_the_similarity_are_joined(spark, monkeypatch, small):
+    """Pairs around 0.8, and chains of them: groups are the components of the pairs that brute force finds. With a small
+    bound all groups are searched as large ones: a forest first, then what is still apart."""
+    monkeypatch.setattr(sim, "SMALL", small)
     rng = random.Random(7)
     rows = []
     for k in range(150):
@@ -80,3 +87,24 @@ def test_only_pairs_of_the_similarity_are_joined(spark):
     assert near > 100 and recalled >= 0.98 * near
     # Nothing is joined that brute force keeps apart.
     assert all(want[i] == want[c] for i, c in got.items())
+
+
+def test_starred_links_join_the_same_texts():
+    rng = np.random.default_rng(6)
+    codes = rng.integers(0, 2**63, (5, 2), dtype=np.uint64)[rng.integers(0, 5, 300)]
+    for _ in range(5):
+        codes[np.arange(300), rng.integers(0, 2, 300)] ^= np.uint64(1) << rng.integers(0, 60, 300).astype(np.uint64)
+    vid = rng.permutation(300)
+    x, y, unions = gray_index.Tree(codes).forest(sim.LIMIT)
+    a, b = sim.starred(vid, codes, unions.root, x, y)
+    again = gray_index.Unions(300)
+    again.join(a, b)
+    assert (again.root == unions.root).all() and (gray_index.distance(codes[a], codes[b]) <= sim.LIMIT).all()
+    # Other tables see other parts of the texts and give mostly the same links.
+    links = set()
+    for _ in range(10):
+        part = np.sort(rng.choice(300, 240, replace=False))
+        x, y, unions = gray_index.Tree(codes[part]).forest(sim.LIMIT)
+        a, b = sim.starred(vid[part], codes[part], unions.root, x, y)
+        links |= {tuple(sorted(p)) for p in zip(vid[part][a].tolist(), vid[part][b].tolist())}
+    assert len(links) < 4 * 300

@@ -296,10 +296,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return materialize(verified(pairs, materialize(sets(docs, wanted, id_col, text_col), "similar-sets")), "similar-pairs")
 
     near = edges(found)
-    apart = materialize(still_apart(runs, connected_components(near)), "similar-apart")
+    roots = materialize(connected_components(near), "similar-roots")
+    apart = materialize(still_apart(runs, roots), "similar-apart")
     if not apart.isEmpty():
-        near = near.unionByName(edges(apart))
-    roots = connected_components(near).select(F.col("node").alias("vid"), "root")
+        roots = connected_components(near.unionByName(edges(apart)))
+    roots = roots.select(F.col("node").alias("vid"), "root")
     rooted = materialize(classes.select("vid", "least").join(roots, "vid", "left").select("vid", "least", F.coalesce("root", "vid").alias("root")), "signature-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.select("id", "vid").join(rooted.join(least, "root").select("vid", "component_id"), "vid").select("id", "component_id")

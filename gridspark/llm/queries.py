@@ -19,6 +19,9 @@ MODULES = {
     "op8_media": "media",
     "op9_sharding": "sharding",
     "op10_packing": "packing",
+    "op11_periodic_runs": "periodic_runs",
+    "op12_best_fit": "best_fit",
+    "op13_spelling_groups": "spelling",
 }
 
 

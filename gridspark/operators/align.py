@@ -61,6 +61,11 @@ def fill_gaps(df: DataFrame, keys: list[str], value: str, date: str = "date", me
     before, after = order.rowsBetween(W.unboundedPreceding, 0), order.rowsBetween(0, W.unboundedFollowing)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(date).alias("d"), F.col(value).alias("v")))
     rows = df.withColumn("__p", F.last(known, True).over(before)).withColumn("__n", F.first(known, True).over(after))
+    return _filled(rows, value, date, method, max_days)
+
+
+def _filled(rows: DataFrame, value: str, date: str, method: str, max_days: int | None) -> DataFrame:
+    """``value`` between the known ones before and after, which ``__p`` and ``__n`` hold with their days."""
     wide = F.datediff("__n.d", "__p.d")
     if method == "linear":
         part = F.datediff(date, "__p.d") / F.nullif(wide, F.lit(0))
@@ -72,3 +77,24 @@ def fill_gaps(df: DataFrame, keys: list[str], value: str, date: str = "date", me
         raise ValueError("method must be linear or forward")
     fits = F.lit(True) if max_days is None else size <= max_days
     return rows.withColumn(value, F.coalesce(value, F.when(fits, made))).drop("__p", "__n")
+
+
+def fill_gaps_by_month(df: DataFrame, keys: list[str], value: str, date: str = "date", method: str = "linear", max_days: int | None = None) -> DataFrame:
+    """The contract of ``fill_gaps`` for decades of days: no window over the rows is longer than a month.
+
+    Each cell's month gives its first and last known value; a scan over these summaries, a row a month, carries the last
+    one before each month and the first one behind it; the rows of a month are then filled with those at its ends. Rows are dealt
+    once, by cell and month, which the summary's aggregation and the filling both use.
+    """
+    month = "__month"
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(date).alias("d"), F.col(value).alias("v")))
+    rows = df.withColumn(month, F.trunc(date, "month")).repartition(*keys, month)
+    ends = rows.groupBy(*keys, month).agg(F.min(known).alias("first"), F.max(known).alias("last"))
+    order = W.partitionBy(*keys).orderBy(month)
+    carried = ends.select(*keys, month, F.last("last", True).over(order.rowsBetween(W.unboundedPreceding, -1)).alias("__b"), F.first("first", True).over(order.rowsBetween(1, W.unboundedFollowing)).alias("__a"))
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, month]]
+    both = rows.alias("r").join(carried.alias("c"), same, "left").select("r.*", "c.__b", "c.__a")
+    inside = W.partitionBy(*keys, month).orderBy(date)
+    before, after = inside.rowsBetween(W.unboundedPreceding, 0), inside.rowsBetween(0, W.unboundedFollowing)
+    ended = both.withColumn("__p", F.coalesce(F.last(known, True).over(before), "__b")).withColumn("__n", F.coalesce(F.first(known, True).over(after), "__a"))
+    return _filled(ended, value, date, method, max_days).drop("__b", "__a", month)

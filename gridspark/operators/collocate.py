@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.grid import DEPTHS, TARGET, Grid
+from gridspark.operators.asof import nearest_times
 from gridspark.operators.crop import crop_box
 from gridspark.operators.vertical import profile_at_depths
 from gridspark.sources.ingest import float_name
@@ -32,18 +33,15 @@ def nearest_dates(times: DataFrame, dates: DataFrame, time: str = "juld", date:
     return found.select(time, F.date_from_unix_date(-F.col("b.day")).alias("grid_date"))
 
 
-def _four(c: str) -> Column:
-    """Four digits; the nudge makes ties go up whatever the order of the sums that gave them."""
-    return F.round(F.col(c) + 1e-9, 4)
-
-
-def collocate(profiles: DataFrame, levels: DataFrame, target: DataFrame | None = None, grid: Grid = TARGET, depths: list[float] = DEPTHS, mode: str = "nearest") -> DataFrame:
+def collocate(profiles: DataFrame, levels: DataFrame, target: DataFrame | None = None, grid: Grid = TARGET, depths: list[float] = DEPTHS, mode: str = "nearest", stored: bool = False) -> DataFrame:
     """A row per profile in the box and depth: date, float_id, argo_lat, argo_lon, grid_lat, grid_lon, depth_m,
     argo_temp, glorys_temp, model_prediction. Grid data that is absent gives missing values, never fewer rows.
 
     The grid side is cut to the profiles' dates by their range, which reaches the scan, and to their cells and dates by a
     table of these that is written once, counted, and broadcast up to ``WANTED_ROWS``: the large table is then filtered
-    where it is read, not moved. Beyond the bound the same join shuffles.
+    where it is read, not moved. Beyond the bound the same join shuffles; with ``stored``, for a target that is bucketed by
+    date, lat_idx and lon_idx (``bucketed.write_bucketed``), only the profiles' side does, whatever its size.
+    ``mode`` is that of ``nearest_dates``, or ``long`` for an axis that is too long for one row.
     """
     inside = crop_box(profiles)
     lat, lon = grid.nearest(F.col("lat"), F.col("lon"))
@@ -53,20 +51,23 @@ def collocate(profiles: DataFrame, levels: DataFrame, target: DataFrame | None =
     if target is None:
         rows = rows.withColumn("temp_grid", F.lit(None).cast("double"))
     else:
-        when = nearest_dates(at, target.select("date"), mode=mode)
-        rows = rows.join(when, "juld", "left")
+        if mode == "long":
+            when = nearest_times(at, target.select(F.col("date").alias("grid_date")), at="grid_date")
+        else:
+            when = nearest_dates(at, target.select("date"), mode=mode)
+        cells = at.join(when, "juld").select("profile_idx", F.col("grid_date").alias("date"), "lat_idx", "lon_idx").distinct()
         path = scratch_path(profiles.sparkSession, "wanted-cells")
-        at.join(when, "juld").select(F.col("grid_date").alias("date"), "lat_idx", "lon_idx").distinct().write.parquet(path)
-        wanted = profiles.sparkSession.read.parquet(path)
-        n, first, last = wanted.agg(F.count("*"), F.min("date"), F.max("date")).first()
-        wanted = F.broadcast(wanted) if n <= WANTED_ROWS else wanted
-        inside_range = target.where(F.col("date").between(F.lit(first), F.lit(last)))
-        near = inside_range.join(wanted, ["date", "lat_idx", "lon_idx"], "left_semi").select(F.col("date").alias("grid_date"), "lat_idx", "lon_idx", "depth_idx", F.col("temp").alias("temp_grid"))
-        rows = rows.join(near, ["grid_date", "lat_idx", "lon_idx", "depth_idx"], "left")
+        cells.write.parquet(path)
+        cells = profiles.sparkSession.read.parquet(path)
+        n, first, last = cells.agg(F.count("*"), F.min("date"), F.max("date")).first()
+        inside_range = target.where(F.col("date").between(F.lit(first), F.lit(last))).select("date", "lat_idx", "lon_idx", "depth_idx", F.col("temp").alias("temp_grid"))
+        cells = cells.hint("merge") if stored else F.broadcast(cells) if n <= WANTED_ROWS else cells
+        near = inside_range.join(cells, ["date", "lat_idx", "lon_idx"]).select("profile_idx", "depth_idx", "temp_grid")
+        rows = rows.join(near, ["profile_idx", "depth_idx"], "left")
     return rows.select(
         F.date_format("juld", "yyyy-MM-dd").alias("date"), F.col("name").alias("float_id"), F.round("lat", 3).alias("argo_lat"), F.round("lon", 3).alias("argo_lon"),
         F.round(grid.lat(F.col("lat_idx")), 3).alias("grid_lat"), F.round(grid.lon(F.col("lon_idx")), 3).alias("grid_lon"), "depth_m",
-        _four("temp").alias("argo_temp"), _four("temp_grid").alias("glorys_temp"), F.lit(None).cast("double").alias("model_prediction"),
+        F.round("temp", 4).alias("argo_temp"), F.round("temp_grid", 4).alias("glorys_temp"), F.lit(None).cast("double").alias("model_prediction"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,28 +25,56 @@ def date_sync(a: DataFrame, b: DataFrame, date: str = "date") -> DataFrame:
     return n.withColumn("passed", (F.col("n_dates") > 0) & (F.col("only_a") == 0) & (F.col("only_b") == 0))
 
 
-def salinity_contrast(surface: DataFrame, mask: DataFrame, grid: Grid = TARGET, west=(10.0, 22.0, 55.0, 72.0), east=(10.0, 22.0, 82.0, 95.0)) -> DataFrame:
-    """Mean salinity of two ocean boxes: contrast 1.5 at least, west 34.5 at least, east 34.0 at most."""
+def _ocean(c: Column | str) -> Column:
+    return F.when(F.col("is_ocean"), F.col(c) if isinstance(c, str) else c)
+
+
+def _speed(u: str, v: str) -> Column:
+    return F.sqrt(F.col(u) * F.col(u) + F.col(v) * F.col(v))
+
+
+def salinity_measures(grid: Grid = TARGET, west=(10.0, 22.0, 55.0, 72.0), east=(10.0, 22.0, 82.0, 95.0)) -> dict[str, Column]:
     lat, lon = grid.lat(F.col("lat_idx")), grid.lon(F.col("lon_idx"))
     box = lambda b: lat.between(b[0], b[1]) & lon.between(b[2], b[3])
-    rows = with_mask(surface, mask).where("is_ocean")
-    out = rows.agg(F.avg(F.when(box(west), F.col("sss"))).alias("west"), F.avg(F.when(box(east), F.col("sss"))).alias("east"))
-    return out.withColumn("contrast", F.col("west") - F.col("east")).withColumn("passed", _true((F.col("contrast") >= 1.5) & (F.col("west") >= 34.5) & (F.col("east") <= 34.0)))
+    return {"west": F.avg(F.when(box(west), _ocean("sss"))), "east": F.avg(F.when(box(east), _ocean("sss")))}
+
+
+SALINITY = "west - east >= 1.5 and west >= 34.5 and east <= 34.0"
+
+
+def salinity_contrast(surface: DataFrame, mask: DataFrame, grid: Grid = TARGET, west=(10.0, 22.0, 55.0, 72.0), east=(10.0, 22.0, 82.0, 95.0)) -> DataFrame:
+    """Mean salinity of two ocean boxes: contrast 1.5 at least, west 34.5 at least, east 34.0 at most."""
+    out = _measured(with_mask(surface, mask).where("is_ocean"), salinity_measures(grid, west, east))
+    return out.withColumn("contrast", F.col("west") - F.col("east")).withColumn("passed", _true(F.expr(SALINITY)))
+
+
+def wind_measures() -> dict[str, Column]:
+    speed = _ocean(_speed("u_wind", "v_wind"))
+    return {"mean_u": F.avg(_ocean("u_wind")), "mean_v": F.avg(_ocean("v_wind")), "mean_speed": F.avg(speed), "max_speed": F.max(speed)}
+
+
+WIND = "mean_u < 0 and mean_v < 0 and mean_speed between 1.0 and 15.0"
 
 
 def wind_vector(surface: DataFrame, mask: DataFrame) -> DataFrame:
     """Mean wind from the north-east and a mean speed of 1 to 15."""
-    rows = with_mask(surface, mask).where("is_ocean")
-    speed = F.sqrt(F.col("u_wind") * F.col("u_wind") + F.col("v_wind") * F.col("v_wind"))
-    out = rows.agg(F.avg("u_wind").alias("mean_u"), F.avg("v_wind").alias("mean_v"), F.avg(speed).alias("mean_speed"), F.max(speed).alias("max_speed"))
-    return out.withColumn("passed", _true((F.col("mean_u") < 0) & (F.col("mean_v") < 0) & F.col("mean_speed").between(1.0, 15.0)))
+    return _measured(with_mask(surface, mask).where("is_ocean"), wind_measures()).withColumn("passed", _true(F.expr(WIND)))
+
+
+def current_measures() -> dict[str, Column]:
+    speed = _ocean(_speed("u_curr", "v_curr"))
+    return {"mean_speed": F.avg(speed), "max_speed": F.max(speed)}
+
+
+CURRENTS = "mean_speed < 0.5 and max_speed < 2.5"
 
 
 def current_bounds(surface: DataFrame, mask: DataFrame) -> DataFrame:
-    rows = with_mask(surface, mask).where("is_ocean")
-    speed = F.sqrt(F.col("u_curr") * F.col("u_curr") + F.col("v_curr") * F.col("v_curr"))
-    out = rows.agg(F.avg(speed).alias("mean_speed"), F.max(speed).alias("max_speed"))
-    return out.withColumn("passed", _true((F.col("mean_speed") < 0.5) & (F.col("max_speed") < 2.5)))
+    return _measured(with_mask(surface, mask).where("is_ocean"), current_measures()).withColumn("passed", _true(F.expr(CURRENTS)))
+
+
+def _measured(rows: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    return rows.agg(*(m.alias(name) for name, m in measures.items()))
 
 
 def depth_summary(target: DataFrame, mask: DataFrame) -> DataFrame:
@@ -56,38 +84,60 @@ def depth_summary(target: DataFrame, mask: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(days), how="cross").select("depth_idx", "depth_m", "mean", "min", "max", F.floor(F.col("n") / F.col("days")).cast("long").alias("points_a_day"))
 
 
+def stratification_measures(levels: tuple[int, int, int] = (0, 100, 1000)) -> dict[str, Column]:
+    return {n: F.avg(F.when(F.col("depth_m") == d, _ocean("temp"))) for n, d in zip(("top", "middle", "deep"), levels)}
+
+
+STRATIFICATION = "top > middle and middle > deep and deep between 4.0 and 12.0"
+
+
 def stratification(target: DataFrame, mask: DataFrame, levels: tuple[int, int, int] = (0, 100, 1000)) -> DataFrame:
     """Warm above cold, and the deepest of the three between 4 and 12 degrees."""
-    rows = with_mask(target, mask).where("is_ocean")
-    names = ["top", "middle", "deep"]
-    out = rows.agg(*(F.avg(F.when(F.col("depth_m") == d, F.col("temp"))).alias(n) for n, d in zip(names, levels)))
-    return out.withColumn("passed", _true((F.col("top") > F.col("middle")) & (F.col("middle") > F.col("deep")) & F.col("deep").between(4.0, 12.0)))
+    return _measured(with_mask(target, mask).where("is_ocean"), stratification_measures(levels)).withColumn("passed", _true(F.expr(STRATIFICATION)))
+
+
+def with_lower(target: DataFrame) -> DataFrame:
+    """``target`` with ``lower_m`` and ``diff``: the depth below of the same day and cell, and its temperature less the row's own; missing unless both
+    are there and adjacent."""
+    cell = W.partitionBy("date", "lat_idx", "lon_idx").orderBy("depth_idx")
+    below = F.lead(F.struct("depth_idx", "depth_m", "temp")).over(cell)
+    rows = target.withColumn("__below", below)
+    adjacent = F.col("__below.depth_idx") == F.col("depth_idx") + 1
+    diff = F.col("__below.temp") - F.col("temp")
+    return rows.withColumn("lower_m", F.when(adjacent & diff.isNotNull(), F.col("__below.depth_m"))).withColumn("diff", F.when(adjacent, diff)).drop("__below")
 
 
 def depth_differences(target: DataFrame, mask: DataFrame) -> DataFrame:
     """(date, cell, depth_m, lower_m, diff): lower less upper temperature of adjacent depths, both valid, on the ocean."""
-    cell = W.partitionBy("date", "lat_idx", "lon_idx").orderBy("depth_idx")
-    rows = with_mask(target, mask).where("is_ocean").select("date", "lat_idx", "lon_idx", "depth_idx", "depth_m", "temp", F.lead("temp").over(cell).alias("lower"), F.lead("depth_m").over(cell).alias("lower_m"), F.lead("depth_idx").over(cell).alias("lower_idx"))
-    pairs = rows.where("lower_idx = depth_idx + 1 and temp is not null and lower is not null")
-    return pairs.select("date", "lat_idx", "lon_idx", "depth_m", "lower_m", (F.col("lower") - F.col("temp")).alias("diff"))
+    rows = with_lower(with_mask(target, mask).where("is_ocean")).where("diff is not null")
+    return rows.select("date", "lat_idx", "lon_idx", "depth_m", "lower_m", "diff")
+
+
+def inversion_measures() -> dict[str, Column]:
+    """Over rows with ``depth_m``, ``lower_m`` and ``diff``."""
+    bound = F.when(F.col("lower_m") <= 50, 5.0).when(F.col("depth_m") >= 500, 1.0).otherwise(4.0)
+    count = lambda c: F.count(F.when(c, 1))
+    return {"pairs": F.count("diff"), "inversions": count(F.col("diff") > 0.1), "barrier_layers": count((F.col("diff") > 0.1) & (F.col("lower_m") <= 50)), "anomalies": count(F.col("diff") > bound)}
 
 
 def inversions(target: DataFrame, mask: DataFrame) -> DataFrame:
     """Pairs of adjacent depths where the lower is warmer by over 0.1 degrees, those of them down to 50 m, and those that are anomalous: by over 5.0
     down to 50 m, over 1.0 from 500 m, over 4.0 between. Passes without anomalies."""
-    bound = F.when(F.col("lower_m") <= 50, 5.0).when(F.col("depth_m") >= 500, 1.0).otherwise(4.0)
-    count = lambda c: F.count(F.when(c, 1))
-    out = depth_differences(target, mask).agg(F.count("*").alias("pairs"), count(F.col("diff") > 0.1).alias("inversions"), count((F.col("diff") > 0.1) & (F.col("lower_m") <= 50)).alias("barrier_layers"), count(F.col("diff") > bound).alias("anomalies"))
+    out = _measured(depth_differences(target, mask), inversion_measures())
     return out.withColumn("inversion_pct", F.col("inversions") * 100.0 / F.greatest(F.col("pairs"), F.lit(1))).withColumn("passed", F.col("anomalies") == 0)
 
 
+def integrity_measures(names: list[str]) -> dict[str, Column]:
+    broken = reduce(lambda a, b: a | b, (F.col(v).isNull() | F.isnan(v) for v in names))
+    stray = ~F.col("is_ocean") & reduce(lambda a, b: a | b, (F.coalesce(F.col(v) != 0, F.lit(True)) for v in names))
+    return {"broken": F.count(F.when(broken, 1)), "land_not_zero": F.count(F.when(stray, 1))}
+
+
 def integrity(rows: DataFrame, values: list[str], targets: DataFrame | None = None, target: str = "temp") -> DataFrame:
     """Normalised rows with ``is_ocean``, and filled targets with it: no missing or NaN value, and land exactly 0."""
 
     def faults(df: DataFrame, names: list[str], kind: str) -> DataFrame:
-        broken = reduce(lambda a, b: a | b, (F.col(v).isNull() | F.isnan(v) for v in names))
-        stray = ~F.col("is_ocean") & reduce(lambda a, b: a | b, (F.coalesce(F.col(v) != 0, F.lit(True)) for v in names))
-        return df.agg(F.count("*").alias(f"n_{kind}"), F.count(F.when(broken, 1)).alias(f"{kind}_broken"), F.count(F.when(stray, 1)).alias(f"{kind}_land_not_zero"))
+        return df.agg(F.count("*").alias(f"n_{kind}"), *(m.alias(f"{kind}_{name}") for name, m in integrity_measures(names).items()))
 
     out = faults(rows, values, "inputs")
     if targets is not None:
@@ -96,6 +146,46 @@ def integrity(rows: DataFrame, values: list[str], targets: DataFrame | None = No
     return out.withColumn("passed", reduce(lambda a, b: a & b, clean))
 
 
+class ObservedCard:
+    """The scorecard from metrics that the jobs which write the data observe on the way: no check scans anything itself.
+
+    Each method gives its table back, to be written as usual; the metrics are those of the rows that are written. A table must
+    be written once before ``card`` is asked for."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def _observe(self, df: DataFrame, kind: str, measures: dict[str, dict[str, Column]]) -> DataFrame:
+        self._seen[kind] = Observation(f"{kind}-{id(self)}")
+        return df.observe(self._seen[kind], *(m.alias(f"{check}_{name}") for check, of in measures.items() for name, m in of.items()))
+
+    def surface(self, df: DataFrame, grid: Grid = TARGET) -> DataFrame:
+        """Daily channels with ``is_ocean``. The days, thousands at most, come as one set."""
+        return self._observe(df, "surface", {"days": {"a": F.collect_set("date")}, "salinity": salinity_measures(grid), "winds": wind_measures(), "currents": current_measures()})
+
+    def inputs(self, df: DataFrame, values: list[str]) -> DataFrame:
+        return self._observe(df, "inputs", {"inputs": integrity_measures(values)})
+
+    def target(self, df: DataFrame, filled: Column) -> DataFrame:
+        """Temperatures with ``is_ocean``; ``filled`` is the value that is exported. The window for the depth below has the keys by which the
+        table is stored."""
+        rows = with_lower(df).withColumns({"__filled": filled, "lower_m": _ocean("lower_m"), "diff": _ocean("diff")})
+        seen = self._observe(rows, "target", {"days": {"b": F.collect_set("date")}, "stratification": stratification_measures(), "inversions": inversion_measures(), "targets": integrity_measures(["__filled"])})
+        return seen.drop("lower_m", "diff", "__filled")
+
+    def card(self, spark: SparkSession) -> DataFrame:
+        """total_checks, passed_checks, success."""
+        got = {k: v for seen in self._seen.values() for k, v in seen.get.items()}
+        days_a, days_b = set(got.pop("days_a")), set(got.pop("days_b"))
+        clean = not any(v for k, v in got.items() if k.startswith(("inputs_", "targets_")))
+        rows = [spark.createDataFrame([("dates", bool(days_a) and days_a == days_b), ("integrity", clean)], "check string, passed boolean")]
+        for check, rule in (("salinity", SALINITY), ("winds", WIND), ("currents", CURRENTS), ("stratification", STRATIFICATION), ("inversions", "anomalies = 0")):
+            own = {k.removeprefix(f"{check}_"): v for k, v in got.items() if k.startswith(f"{check}_")}
+            measured = spark.createDataFrame([tuple(None if v is None else float(v) for v in own.values())], ", ".join(f"{k} double" for k in own))
+            rows.append(measured.select(F.lit(check).alias("check"), _true(F.expr(rule)).alias("passed")))
+        return _card(reduce(DataFrame.unionByName, rows))
+
+
 def continuity(df: DataFrame, must_have: list[str] = (), date: str = "date") -> DataFrame:
     """Days are strictly consecutive and hold the given ones."""
     days = df.select(date).distinct()
@@ -122,5 +212,8 @@ def calendar(df: DataFrame, start: str, periods: int, date: str = "date") -> Dat
 
 def scorecard(checks: dict[str, DataFrame]) -> DataFrame:
     """total_checks, passed_checks, success."""
-    rows = reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("check"), "passed") for name, df in checks.items()))
+    return _card(reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("check"), "passed") for name, df in checks.items())))
+
+
+def _card(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("total_checks"), F.sum(F.col("passed").cast("long")).alias("passed_checks"), F.every("passed").alias("success"))

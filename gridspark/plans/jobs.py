@@ -61,3 +61,17 @@ def audit(surface: DataFrame, target: DataFrame, ocean: DataFrame, normalized: D
             "integrity": qa.integrity(normalized, [c for c in CHANNELS if c in normalized.columns], filled),
         }
     )
+
+
+def write_audited(surface: DataFrame, target: DataFrame, ocean: DataFrame, path: str, grid: Grid = TARGET, channels: list[str] = CHANNELS) -> DataFrame:
+    """Writes surface, normalised inputs and filled targets under ``path`` and gives the scorecard of what was written: each check is a metric of
+    the job that writes its rows."""
+    spark, seen = surface.sparkSession, qa.ObservedCard()
+    masked = mask.with_mask(surface, ocean)
+    seen.surface(masked, grid).write.parquet(f"{path}/surface")
+    rows = split.with_split(spark.read.parquet(f"{path}/surface"), split.split_dates(surface))
+    inputs = normalize.normalize(rows, normalize.train_stats(rows, channels), channels)
+    seen.inputs(inputs, channels).write.parquet(f"{path}/inputs")
+    filled = F.when(F.col("is_ocean"), normalize.fill_target(F.col("temp"))).otherwise(0.0)
+    seen.target(mask.with_mask(target, ocean), filled).withColumn("temp", filled).write.parquet(f"{path}/target")
+    return seen.card(spark)

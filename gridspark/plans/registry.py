@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.functions.grid import CHANNELS, COARSE, TARGET, depth_axis
-from gridspark.operators import align, collocate, crop, mask, merge, metrics, normalize, qa, regrid, split, tensor, vertical
+from gridspark.operators import align, asof, chunks, collocate, coverage, crop, mask, merge, metrics, moments, normalize, qa, regrid, split, tensor, tiled, vertical
 from gridspark.plans import fixtures as fx
 from gridspark.plans import jobs
-from gridspark.sources import ingest, sinks, synthetic
+from gridspark.sources import bucketed, clustered, ingest, sinks, snapshots, synthetic
 from gridspark.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +102,23 @@ def s5_month_partitions(spark, d):
     return _r(sinks.read_months(spark, path).groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("sst").alias("sst")), "sst", digits=4)
 
 
+@register("s5_snapshot_months", fx.sql("surface") + "SELECT year(date) AS year, month(date) AS month, count(*) AS n, round(sum(CASE WHEN year(date) = 1996 THEN sst + 1 ELSE sst END), 4) AS sst FROM surface GROUP BY 1, 2")
+def s5_snapshot_months(spark, d):
+    """All months are committed, then those of one year replaced."""
+    s = fx.surface(spark, d)
+    table = snapshots.MonthTable(spark, sinks.scratch_path(spark, "snapshots"))
+    table.replace(s)
+    table.replace(s.where(F.year("date") == 1996).withColumn("sst", F.col("sst") + 1))
+    return _r(table.read().groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("sst").alias("sst")), "sst", digits=4)
+
+
+@register("s11_missing_by_manifest", "WITH a AS (SELECT DISTINCT CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month FROM lineitem) SELECT year, month FROM a WHERE (year, month) NOT IN (SELECT (year(o_orderdate), month(o_orderdate)) FROM orders)")
+def s11_missing_by_manifest(spark, d):
+    table = snapshots.MonthTable(spark, sinks.scratch_path(spark, "snapshots"))
+    table.replace(fx.read(spark, d, "orders").select(F.to_date("o_orderdate").alias("date"), "o_orderkey"))
+    return table.missing(sinks.with_month(fx.read(spark, d, "lineitem").select("l_shipdate"), "l_shipdate"))
+
+
 @register("s9_mask_table", fx.sql("mask", "surface") + "SELECT count(*) AS n, CAST(sum(CASE WHEN m.is_ocean THEN 1 ELSE 0 END) AS BIGINT) AS n_ocean FROM surface s JOIN mask m USING (lat_idx, lon_idx)")
 def s9_mask_table(spark, d):
     path = sinks.scratch_path(spark, "mask")
@@ -246,6 +264,18 @@ def p15_slices(spark, d):
     return _r(section.unionByName(profile).unionByName(day), "temp")
 
 
+@register("p15_clustered_slices", _SQL["p15_slices"])
+def p15_clustered_slices(spark, d):
+    """The slices from files clustered by day and cell; each opens only the files whose ranges it meets."""
+    path, day = sinks.scratch_path(spark, "clustered"), dt.date(1997, 1, 1)
+    clustered.write_clustered(fx.target_sparse(spark, d), path, ["date", "lat_idx", "lon_idx"], 16)
+    kind = lambda k: F.lit(k).alias("kind")
+    section = clustered.read_range(spark, path, {"date": (day, day), "lon_idx": (7, 7)}).select(kind("section"), "lat_idx", "depth_idx", "temp")
+    profile = clustered.read_range(spark, path, {"date": (day, day), "lat_idx": (4, 4), "lon_idx": (7, 7)}).select(kind("profile"), "lat_idx", "depth_idx", "temp")
+    whole = clustered.read_range(spark, path, {"date": (day, day)}).where("depth_idx = 0").select(kind("map"), "lat_idx", F.col("lon_idx").alias("depth_idx"), "temp")
+    return _r(section.unionByName(profile).unionByName(whole), "temp")
+
+
 # -- interpolation
 
 _REGRID = fx.sql("native", "corners") + (
@@ -275,6 +305,42 @@ def i1_contract_grid(spark, d):
     return _r(regrid.onto_grid(out, TARGET).groupBy("date").agg(F.count("*").alias("n_cells"), F.count("v").alias("n_valid"), F.avg("v").alias("mean")), "mean")
 
 
+def _coords(first: float, step: float, n: int) -> list[float]:
+    return [first + step * i for i in range(n)]
+
+
+@register("i1_tiled_contract", _SQL["i1_contract_grid"])
+def i1_tiled_contract(spark, d):
+    """The same cells from tiles of four nodes a side."""
+    out = tiled.regrid_tiled(fx.native_grid(spark, d), ["v"], _coords(5.0, 2.5, 11), _coords(45.0, 2.5, 25), _coords(5.0, 0.25, 101), _coords(45.0, 0.25, 241), tile=4)
+    return _r(regrid.onto_grid(out, TARGET).groupBy("date").agg(F.count("*").alias("n_cells"), F.count("v").alias("n_valid"), F.avg("v").alias("mean")), "mean")
+
+
+_NATIVE_SIZE = (
+    "WITH years AS (SELECT CAST(date_trunc('year', l_shipdate) AS DATE) AS date, avg(l_quantity) AS q FROM lineitem GROUP BY 1),"
+    " node AS (SELECT a.i AS i, b.j AS j, CASE WHEN (a.i * 31 + b.j * 17) % 97 > 0 THEN (a.i * 7 + b.j * 13) % 101 / 10.0 END AS f FROM range(950, 1201) a(i), range(2250, 2851) b(j)),"
+    " la AS (SELECT k, 950 + 5 * k // 2 AS i, CASE WHEN k % 2 = 0 THEN 1.0 ELSE 0.5 END AS w FROM range(101) t(k) UNION ALL SELECT k, 950 + 5 * k // 2 + 1, 0.5 FROM range(101) t(k) WHERE k % 2 = 1),"
+    " lo AS (SELECT k, 2250 + 5 * k // 2 AS j, CASE WHEN k % 2 = 0 THEN 1.0 ELSE 0.5 END AS w FROM range(241) t(k) UNION ALL SELECT k, 2250 + 5 * k // 2 + 1, 0.5 FROM range(241) t(k) WHERE k % 2 = 1),"
+    " cell AS (SELECT la.k AS a, lo.k AS b, CASE WHEN count(f) = count(*) THEN sum(la.w * lo.w * f) END AS f FROM la JOIN node ON node.i = la.i JOIN lo ON lo.j = node.j GROUP BY 1, 2)"
+)
+
+
+@register("i1_native_size", _NATIVE_SIZE + " SELECT date, count(*) AS n_cells, count(f) AS n_valid, round(avg(f) + any_value(q), 6) AS mean FROM years CROSS JOIN cell GROUP BY date")
+def i1_native_size(spark, d):
+    """A product of 1801 by 3600 nodes a day, a tenth of a degree apart; nodes that no cell needs are dropped before they are dealt."""
+    years = fx.read(spark, d, "lineitem").groupBy(F.trunc("l_shipdate", "year").alias("date")).agg(F.avg("l_quantity").alias("q"))
+    i, j = F.col("src_lat_idx"), F.col("src_lon_idx")
+    nodes = years.repartition("date").withColumn("src_lat_idx", F.explode(F.sequence(F.lit(0), F.lit(1800)))).where(i.between(*tiled.Axis(_NATIVE_LAT, _TARGET_LAT).used()))
+    nodes = nodes.withColumn("src_lon_idx", F.explode(F.sequence(F.lit(0), F.lit(3599)))).withColumn("v", F.when((i * 31 + j * 17) % 97 > 0, (i * 7 + j * 13) % 101 / 10.0) + F.col("q"))
+    out = tiled.regrid_tiled(nodes, ["v"], _NATIVE_LAT, _NATIVE_LON, _TARGET_LAT, _TARGET_LON)
+    return _r(out.groupBy("date").agg(F.count("*").alias("n_cells"), F.count("v").alias("n_valid"), F.avg("v").alias("mean")), "mean")
+
+
+#: Coordinates of a tenth of a degree, and those of the contract.
+_NATIVE_LAT, _NATIVE_LON = [k / 10 - 90 for k in range(1801)], [k / 10 - 180 for k in range(3600)]
+_TARGET_LAT, _TARGET_LON = _coords(5.0, 0.25, 101), _coords(45.0, 0.25, 241)
+
+
 @register("i2_nearest_regrid", fx.sql("native") + "SELECT n.date, CAST(a.j AS INT) AS lat_idx, CAST(b.j AS INT) AS lon_idx, CAST(round(n.v) AS INT) AS flag FROM native n JOIN range(21) a(j) ON a.j // 2 = n.src_lat_idx JOIN range(49) b(j) ON b.j // 2 = n.src_lon_idx")
 def i2_nearest_regrid(spark, d):
     (slat, slon), (dlat, dlon) = fx.native_axes(spark), COARSE.axes(spark)
@@ -346,6 +412,11 @@ def i5_fill_linear(spark, d):
     return _r(align.fill_gaps(_gappy(spark, d), ["src_lat_idx", "src_lon_idx"], "v"), "v")
 
 
+@register("i5_fill_by_month", _SQL["i5_fill_linear"])
+def i5_fill_by_month(spark, d):
+    return _r(align.fill_gaps_by_month(_gappy(spark, d), ["src_lat_idx", "src_lon_idx"], "v"), "v")
+
+
 @register("i5_fill_forward", _GAPS + " SELECT src_lat_idx, src_lon_idx, date, round(CASE WHEN v IS NOT NULL THEN v WHEN date - d1 <= 62 THEN v1 END, 6) AS v FROM h")
 def i5_fill_forward(spark, d):
     return _r(align.fill_gaps(_gappy(spark, d), ["src_lat_idx", "src_lon_idx"], "v", method="forward", max_days=62), "v")
@@ -367,11 +438,12 @@ def i7_given_weights(spark, d):
 # -- joins
 
 
-@register("j1_merge", fx.sql("surface") + "SELECT date, lat_idx, lon_idx, round(sst, 6) AS sst, round(sss, 6) AS sss, round(u_wind, 6) AS u_wind FROM surface WHERE lat_idx % 3 > 0 AND lon_idx % 2 = 0")
+@register("j1_merge", fx.sql("surface") + "SELECT date, lat_idx, lon_idx, round(sst, 6) AS sst, round(sss, 6) AS sss, round(u_wind, 6) AS u_wind FROM surface WHERE sst < 32 AND u_wind > -14")
 def j1_merge(spark, d):
+    """Sides that lack rows as products do: one has no warm cells, the other none of a low wind."""
     s = fx.surface(spark, d)
-    a = s.where("lat_idx % 3 > 0").select("date", "lat_idx", "lon_idx", "sst")
-    b = s.where("lon_idx % 2 = 0").select("date", "lat_idx", "lon_idx", (F.col("sst") + 1).alias("sst"), "sss")
+    a = s.where("sst < 32").select("date", "lat_idx", "lon_idx", "sst")
+    b = s.where("u_wind > -14").select("date", "lat_idx", "lon_idx", (F.col("sst") + 1).alias("sst"), "sss")
     return _r(merge.merge_sources([a, b, s.select("date", "lat_idx", "lon_idx", "sss", "u_wind")]), "sst", "sss", "u_wind")
 
 
@@ -390,6 +462,31 @@ def j3_nearest_date(spark, d):
     return collocate.nearest_dates(fx.profiles(spark, d), fx.native_grid(spark, d))
 
 
+_HOURS = "axis AS (SELECT DISTINCT l_shipdate + to_hours(CAST(l_orderkey % 24 AS INT)) AS hour FROM lineitem), t AS (SELECT DISTINCT juld + to_minutes(CAST(profile_idx % 60 AS INT)) AS juld FROM profiles)"
+
+
+@register(
+    "j3_long_axis",
+    fx.sql("profiles") + ", " + _HOURS + ", b AS (SELECT t.juld, a.hour FROM t ASOF LEFT JOIN axis a ON t.juld >= a.hour), f AS (SELECT t.juld, a.hour FROM t ASOF LEFT JOIN axis a ON t.juld <= a.hour)"
+    " SELECT b.juld, CASE WHEN f.hour IS NOT NULL AND (b.hour IS NULL OR f.hour - b.juld <= b.juld - b.hour) THEN f.hour ELSE b.hour END AS hour FROM b JOIN f ON f.juld = b.juld",
+)
+def j3_long_axis(spark, d):
+    """An axis by the hour over seven years, times by the minute."""
+    hours = F.make_dt_interval(F.lit(0), (F.col("l_orderkey") % 24).cast("int"), F.lit(0), F.lit(0))
+    axis = fx.read(spark, d, "lineitem").select((F.col("l_shipdate").cast("timestamp") + hours).alias("hour"))
+    times = fx.profiles(spark, d).select((F.col("juld") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("profile_idx") % 60).cast("int"), F.lit(0))).alias("juld"))
+    return asof.nearest_times(times, axis, at="hour")
+
+
+@register("j3_long_axis_dates", None)
+def j3_long_axis_dates(spark, d):
+    """The dates of ``j3_nearest_date``, by the merge."""
+    return asof.nearest_times(fx.profiles(spark, d), fx.native_grid(spark, d).select(F.col("date").alias("grid_date")), at="grid_date")
+
+
+_SQL["j3_long_axis_dates"] = _SQL["j3_nearest_date"]
+
+
 @register("j4_nearest_cell", fx.sql("profiles") + "SELECT profile_idx, CAST(least(greatest(ceil((lat - 5) / 0.25 - 0.5), 0), 100) AS INT) AS lat_idx, CAST(least(greatest(ceil((lon - 45) / 0.25 - 0.5), 0), 240) AS INT) AS lon_idx FROM profiles")
 def j4_nearest_cell(spark, d):
     lat, lon = TARGET.nearest(F.col("lat"), F.col("lon"))
@@ -406,8 +503,13 @@ _COLLOCATED = _PROFILE.replace("profiles AS (", "profiles0 AS (", 1).replace(" F
 )
 
 
+def _nudged(df: DataFrame) -> DataFrame:
+    """Data that has no ties at the fourth digit, in either engine and whatever the order of the sums; the SQL nudges alike."""
+    return df.withColumn("temp", F.col("temp") + 1e-9)
+
+
 def _collocated(spark, d):
-    return collocate.collocate(fx.profiles(spark, d), fx.levels(spark, d), _written(_target(spark, d), "target"), COARSE)
+    return collocate.collocate(fx.profiles(spark, d), _nudged(fx.levels(spark, d)), _nudged(_written(_target(spark, d), "target")), COARSE)
 
 
 @register("j5_collocate", _COLLOCATED + " SELECT date, float_id, argo_lat, argo_lon, grid_lat, grid_lon, depth_m, argo_temp, glorys_temp, model_prediction FROM col")
@@ -415,6 +517,13 @@ def j5_collocate(spark, d):
     return _collocated(spark, d)
 
 
+@register("j5_stored_collocate", _SQL["j5_collocate"])
+def j5_stored_collocate(spark, d):
+    """The target stored by day and cell, which the join then leaves in place; the axis is merged, not sent."""
+    name = bucketed.write_bucketed(_target(spark, d), buckets=8)
+    return collocate.collocate(fx.profiles(spark, d), _nudged(fx.levels(spark, d)), _nudged(spark.table(name)), COARSE, mode="long", stored=True)
+
+
 @register("j6_mask_join", fx.sql("surface", "mask") + "SELECT date, count(*) AS n, round(avg(sst), 6) AS sst FROM surface JOIN mask USING (lat_idx, lon_idx) WHERE is_ocean GROUP BY date")
 def j6_mask_join(spark, d):
     return _r(mask.with_mask(fx.surface(spark, d), fx.mask(spark)).where("is_ocean").groupBy("date").agg(F.count("*").alias("n"), F.avg("sst").alias("sst")), "sst")
@@ -464,6 +573,19 @@ def a2_train_stats(spark, d):
     return _r(out, *out.columns)
 
 
+@register("a2_moments", _SQL["a2_train_stats"])
+def a2_moments(spark, d):
+    """Moments of the days up to 1998 are stored, those of later years added; the train days' ones are merged."""
+    rows = _rows(spark, d)
+    ocean, channels = rows.where("is_ocean"), ["sst", "sss", "v_wind"]
+    table = snapshots.MonthTable(spark, sinks.scratch_path(spark, "moments"))
+    moments.add_months(table, ocean.where("year(date) < 1998"), channels)
+    moments.add_months(table, ocean.where("year(date) >= 1998"), channels)
+    train = split.split_dates(fx.surface(spark, d)).where("split = 'train'")
+    out = moments.stats_of(moments.merged(table.read().join(F.broadcast(train), "date", "left_semi")), channels)
+    return _r(out, *out.columns)
+
+
 @register("p11_normalize", _SPLIT + ", st AS (SELECT avg(sst) AS m, stddev_pop(sst) AS s, avg(u_wind) AS m2, stddev_pop(u_wind) AS s2 FROM rows WHERE split = 'train' AND is_ocean) SELECT date, lat_idx, lon_idx, split, CASE WHEN is_ocean THEN round(coalesce((sst - m) / s, 0), 6) ELSE 0 END AS sst, CASE WHEN is_ocean THEN round(coalesce((u_wind - m2) / s2, 0), 6) ELSE 0 END AS u_wind FROM rows CROSS JOIN st")
 def p11_normalize(spark, d):
     rows = _written(_rows(spark, d), "rows")
@@ -488,6 +610,22 @@ def a4_depth_summary(spark, d):
     return _r(qa.depth_summary(fx.target_sparse(spark, d), fx.mask(spark)), "mean", "min", "max")
 
 
+@register("a3_moments", _SQL["a3_channel_summary"])
+def a3_moments(spark, d):
+    out = moments.summary(moments.merged(moments.day_moments(fx.surface(spark, d), CHANNELS))).drop("n")
+    return _r(out, "min", "max", "mean", "std")
+
+
+@register("a4_moments", _SQL["a4_depth_summary"])
+def a4_moments(spark, d):
+    """Depths' figures from the moments of days."""
+    t, by = mask.with_mask(fx.target_sparse(spark, d), fx.mask(spark)), ["depth_idx", "depth_m"]
+    days = _written(moments.day_moments(t.withColumn("temp", F.when(F.col("is_ocean"), F.col("temp"))), ["temp"], by), "moments")
+    n = days.agg(F.countDistinct("date").alias("days"))
+    out = moments.summary(moments.merged(days.where("n > 0"), by), by).join(F.broadcast(n), how="cross")
+    return _r(out.select(*by, "mean", "min", "max", F.floor(F.col("n") / F.col("days")).alias("points_a_day")), "mean", "min", "max")
+
+
 @register("a5_ocean_mask", _TARGET + " SELECT lat_idx, lon_idx, temp IS NOT NULL AS is_ocean FROM tgt WHERE depth_idx = 0 AND date = (SELECT min(date) FROM tgt)")
 def a5_ocean_mask(spark, d):
     return mask.ocean_mask(_written(_target(spark, d), "target"))
@@ -513,6 +651,27 @@ def a8_completeness(spark, d):
     return regrid.completeness(fx.native_grid(spark, d), 275, index=("src_lat_idx", "src_lon_idx"))
 
 
+def _native_maps(spark, d) -> DataFrame:
+    return coverage.bitmaps(fx.native_grid(spark, d), F.col("src_lat_idx") * 25 + F.col("src_lon_idx"), ["date"], F.col("v").isNotNull())
+
+
+@register("a8_bitmaps", _SQL["a8_completeness"])
+def a8_bitmaps(spark, d):
+    return coverage.completeness(_native_maps(spark, d), 275, ["date"])
+
+
+@register("a8_lacking_cells", fx.sql("native") + "SELECT d.date, CAST(c.i AS BIGINT) AS cell FROM (SELECT DISTINCT date FROM native) d CROSS JOIN range(275) c(i) WHERE NOT EXISTS (SELECT 1 FROM native n WHERE n.date = d.date AND n.src_lat_idx * 25 + n.src_lon_idx = c.i)")
+def a8_lacking_cells(spark, d):
+    return coverage.lacking(_native_maps(spark, d), 275, ["date"])
+
+
+@register("a5_year_coverage", fx.sql("surface") + "SELECT year(date) AS year, count(DISTINCT lat_idx * 241 + lon_idx) AS n_cells, count(DISTINCT lat_idx * 241 + lon_idx) = 24341 AS complete FROM surface GROUP BY 1")
+def a5_year_coverage(spark, d):
+    """Cells that a year has on any day: bitmaps of days, combined."""
+    days = coverage.bitmaps(fx.surface(spark, d), F.col("lat_idx") * 241 + F.col("lon_idx"), ["date"])
+    return coverage.completeness(coverage.combined(days.withColumn("year", F.year("date")), ["year"]), 24341, ["year"])
+
+
 @register("a9_split_summary", _SPLIT + " SELECT split, count(DISTINCT date) AS num_timesteps, min(date) AS first_date, max(date) AS last_date, [CAST(count(DISTINCT date) AS INT), 7, 101, 241] AS input_shape, [CAST(count(DISTINCT date) AS INT), 15, 101, 241] AS target_shape FROM rows GROUP BY 1")
 def a9_split_summary(spark, d):
     return split.split_summary(_rows(spark, d))
@@ -634,6 +793,13 @@ def q10_scorecard(spark, d):
     return jobs.audit(s, t, m, normalize.normalize(rows, normalize.train_stats(rows)), filled)
 
 
+@register("q10_observed_scorecard", _SQL["q10_scorecard"])
+def q10_observed_scorecard(spark, d):
+    """The same card from what the writing jobs observe."""
+    s, t, m = _written(fx.surface(spark, d), "surface"), fx.target_sparse(spark, d), fx.mask(spark)
+    return jobs.write_audited(s, t, m, sinks.scratch_path(spark, "audited"))
+
+
 # -- windows
 
 
@@ -764,9 +930,9 @@ def st2_catch_up(spark, d):
     path = sinks.scratch_path(spark, "catch-up")
     fx.surface(spark, d).repartition(3, "lat_idx").write.parquet(f"{path}/in")
     stream = daily.read_files(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema, files_at_once=1)
-    q = daily.catch_up(stream, lambda df: df, lambda df: sinks.merge_months(df, f"{path}/out", ["date", "lat_idx", "lon_idx"]), f"{path}/checkpoint")
-    q.awaitTermination()
-    return _r(sinks.read_months(spark, f"{path}/out").groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("sst").alias("sst")), "sst", digits=4)
+    table = snapshots.MonthTable(spark, f"{path}/out")
+    daily.catch_up_table(stream, lambda df: df, table, ["date", "lat_idx", "lon_idx"], f"{path}/checkpoint", "surface").awaitTermination()
+    return _r(table.read().groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("sst").alias("sst")), "sst", digits=4)
 
 
 # -- whole jobs

@@ -34,28 +34,6 @@ def write_months(df: DataFrame, path: str, sort: list[str] | None = None) -> Non
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
 
 
-def merge_months(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Adds rows to the months under ``path``: each month in ``df`` is written anew from the stored rows and the new
-    ones, which replace stored rows of equal keys. So a month may come in many parts, and a part may come again."""
-    spark = df.sparkSession
-    staged = scratch_path(spark, "months")
-    with_month(df).write.parquet(f"{staged}/new")
-    new = spark.read.parquet(f"{staged}/new")
-    rows = new
-    if exists(spark, path):
-        months = new.select("year", "month").distinct()
-        old = read_months(spark, path).join(months, ["year", "month"], "left_semi").join(new.select(*keys), keys, "left_anti")
-        rows = new.unionByName(old)
-    # The old files are read before any is replaced.
-    rows.write.parquet(f"{staged}/all")
-    write_months(spark.read.parquet(f"{staged}/all").drop("year", "month"), path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
-
-
 def read_months(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from gridspark.sources import sinks
+from gridspark.sources.snapshots import MonthTable
 from gridspark.streaming import daily
 
 SCHEMA = "time timestamp, k int, v double"
@@ -43,14 +43,15 @@ def test_catch_up_processes_new_files_once(spark, tmp_path):
 
 def test_a_month_over_two_batches_is_whole(spark, tmp_path):
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    table = MonthTable(spark, out)
 
     def rows():
-        return sorted((r.date.isoformat(), r.k, r.v) for r in sinks.read_months(spark, out).collect())
+        return sorted((r.date.isoformat(), r.k, r.v) for r in table.read().collect())
 
     def run():
         stream = daily.read_files(spark, src, spark.read.parquet(src).schema, files_at_once=1)
         job = lambda df: df.select(F.to_date("time").alias("date"), "k", "v")
-        daily.catch_up(stream, job, lambda df: sinks.merge_months(df, out, ["date", "k"]), ck).awaitTermination()
+        daily.catch_up_table(stream, job, table, ["date", "k"], ck, "days").awaitTermination()
         return rows()
 
     t = dt.datetime
@@ -61,5 +62,5 @@ def test_a_month_over_two_batches_is_whole(spark, tmp_path):
     want = [("2020-01-01", 1, 2.0), ("2020-01-02", 1, 5.0), ("2020-01-03", 2, 6.0), ("2020-02-01", 1, 4.0)]
     assert run() == want
     # A batch that is run again changes nothing.
-    sinks.merge_months(spark.createDataFrame([(dt.date(2020, 1, 3), 2, 6.0)], "date date, k int, v double"), out, ["date", "k"])
+    table.merge(spark.createDataFrame([(dt.date(2020, 1, 3), 2, 7.0)], "date date, k int, v double"), ["date", "k"], ("days", 0))
     assert rows() == want

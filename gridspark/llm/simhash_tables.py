@@ -8,11 +8,13 @@ chance texts whatever the input, and there are as many tables as it takes to fin
 whose groups are dropped by their accumulated differences over the first 128 bits.
 
 A key with more texts than a task should hold (variants of one text) is dealt out in Gray order; each part is searched
-alone, and one text of each of its components goes on to the next round, until the rest fits.
+alone, and one text of each of its components goes on to the next round, until the rest fits. What doesn't shrink so
+(unlike texts) is cut into blocks, and each pair of blocks is searched.
 
-Candidates are verified on the shingle sets themselves: only pairs of similarity ``SIMILAR`` or more are edges. Of large
-groups first only a forest is verified, nearest pairs first, then all other candidates whose ends are still apart; so
-no group gives all of its pairs.
+Candidates are verified on the shingle sets themselves: only pairs of similarity ``SIMILAR`` or more are edges. The first
+tables are verified and joined before the others are searched, and these give no candidates that are joined already. Of
+a key with more than a few texts only a forest is verified, nearest pairs first, then all other candidates whose ends are
+still apart; so no group gives all of its pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from gridspark.llm.common import LAST_ID, bounded, materialize, unused
 from gridspark.llm.components import connected_components
-from gridspark.llm.gray_index import SMALL, Tree, Unions, distance, sized, small_pairs, whole_groups
+from gridspark.llm.gray_index import Tree, Unions, distance, sized, small_pairs, whole_groups
 from gridspark.llm.simhash_dedup import shingle_hashes
 
 WORDS, LANES = 5, 4
@@ -42,6 +44,10 @@ LIMIT = 36
 CLOSE = 12
 #: Texts of one key that a task holds.
 RUN = 8192
+#: Keys of up to so many texts give all their candidates.
+FEW = 8
+#: Tables that are verified before the others are searched.
+FIRST = 2
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -116,26 +122,27 @@ def unpacked(sigs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), "<u8").reshape(-1, LANES + 1)
 
 
-def filed(sigs: DataFrame, bits: int, tables: int) -> DataFrame:
-    """(slot, key, vid, s0, s1): every signature under its pattern in each table."""
+def filed(sigs: DataFrame, bits: int, tables: int, slots: range) -> DataFrame:
+    """(slot, key, vid, root, s0, s1): every signature under its pattern in each of the tables ``slots``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = patterns(bits, tables)
+        weights = patterns(bits, tables)[:, slots.start : slots.stop]
         for whole in batches:
             for lo in range(0, whole.num_rows, 1000):
                 b = whole.slice(lo, 1000)
-                n, sig = b.num_rows, unpacked(b.column(1).to_pylist())[:, :LANES]
+                n, sig = b.num_rows, unpacked(b.column(2).to_pylist())[:, :LANES]
                 on = np.unpackbits(np.ascontiguousarray(sig).view(np.uint8), axis=1, bitorder="little")
                 keys = (on.astype(np.float64) @ weights).astype(np.int64)
-                again = pa.array(np.tile(np.arange(n), tables))
+                again = pa.array(np.tile(np.arange(n), len(slots)))
                 lanes = [pa.array(np.ascontiguousarray(sig[:, i]).view(np.int64)).take(again) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(tables, dtype=np.int32), n)), pa.array(keys.T.ravel()), b.column(0).take(again), *lanes], names=["slot", "key", "vid", "s0", "s1"])
+                slot = pa.array(np.repeat(np.arange(slots.start, slots.stop, dtype=np.int32), n))
+                yield pa.RecordBatch.from_arrays([slot, pa.array(keys.T.ravel()), b.column(0).take(again), b.column(1).take(again), *lanes], names=["slot", "key", "vid", "root", "s0", "s1"])
 
-    return sigs.select("vid", "sig").mapInArrow(run, "slot int, key long, vid long, s0 long, s1 long")
+    return sigs.select("vid", "root", "sig").mapInArrow(run, "slot int, key long, vid long, root long, s0 long, s1 long")
 
 
-_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("run", pa.int64()), ("members", pa.list_(pa.int64())), ("lanes", pa.list_(pa.int64())), ("slot", pa.int32()), ("key", pa.int64()), ("vid", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64())])
-_FOUND_SQL = "a long, b long, run long, members array<long>, lanes array<long>, slot int, key long, vid long, s0 long, s1 long"
+_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("run", pa.int64()), ("members", pa.list_(pa.int64())), ("lanes", pa.list_(pa.int64())), ("slot", pa.int32()), ("key", pa.int64()), ("vid", pa.int64()), ("root", pa.int64()), ("s0", pa.int64()), ("s1", pa.int64())])
+_FOUND_SQL = "a long, b long, run long, members array<long>, lanes array<long>, slot int, key long, vid long, root long, s0 long, s1 long"
 
 
 def _found(**columns: np.ndarray) -> pa.RecordBatch:
@@ -143,31 +150,42 @@ def _found(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _FOUND], schema=_FOUND)
 
 
-def searched(batches: Iterator[pa.RecordBatch], round_: int, parts: bool) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by slot and key -> candidates (a, b): all of a small group, a forest of a large one; and of a large
-    one also a row with its members and their lanes (run, members, lanes) for a second look. With ``parts``, keys may go on in other tasks or are
-    longer than ``RUN``: each part then also gives one row of each of its components (slot, key, vid, s0, s1)."""
+def searched(batches: Iterator[pa.RecordBatch], serial: int, parts: bool, run: int, few: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by slot and key -> candidates (a, b) of different roots: all of a key of up to ``few`` texts, a forest of a larger one;
+    and of a larger one also a row with its members and their lanes (run, members, lanes) for a second look. With
+    ``parts``, keys go on in other tasks: each part of ``run`` rows also gives one row of each of its components
+    (slot, key, vid, root, s0, s1)."""
     from pyspark import TaskContext
 
-    serial = (round_ << 57) + (TaskContext.get().partitionId() << 25)
-    for group, (slot, key, vid, s0, s1) in whole_groups(batches, 2, RUN):
+    serial = (serial << 57) + (TaskContext.get().partitionId() << 25)
+    for group, (slot, key, vid, root, s0, s1) in whole_groups(batches, 2, run if parts else 4 * run):
         codes = np.stack([s0, s1], axis=1).view(np.uint64)
-        is_small, large = sized(group, 0 if parts else SMALL)
+        is_small, large = sized(group, 0 if parts else few)
         at = np.nonzero(is_small)[0]
         x, y = small_pairs(group[at], codes[at], LIMIT)
-        yield _found(a=vid[at[x]], b=vid[at[y]])
-        for lo, hi in ((a, min(a + RUN, hi)) for lo, hi in large for a in range(lo, hi, RUN)):
+        x, y = at[x], at[y]
+        new = root[x] != root[y]
+        yield _found(a=vid[x[new]], b=vid[y[new]])
+        for lo, hi in ((a, min(a + run, hi)) for lo, hi in large for a in range(lo, hi, run)) if parts else large:
             unions, tree = Unions(hi - lo), Tree(codes[lo:hi])
+            _, first, member = np.unique(root[lo:hi], return_index=True, return_inverse=True)
+            unions.join(np.arange(hi - lo), first[member])
+            before = unions.root
             found = [tree.forest(radius, unions)[:2] for radius in (CLOSE, LIMIT // 2, LIMIT)]
             x, y = starred(vid[lo:hi], codes[lo:hi], unions.root, *(np.concatenate(side) for side in zip(*found)))
+            new = before[x] != before[y]
+            x, y = x[new], y[new]
             yield _found(a=vid[lo + x], b=vid[lo + y])
-            some = lo + np.nonzero(np.bincount(unions.root, minlength=hi - lo)[unions.root] > 2)[0]
+            # Components of several roots and more than two texts.
+            mixed = np.zeros(hi - lo, bool)
+            mixed[unions.root[x]] = True
+            some = lo + np.nonzero(mixed[unions.root] & (np.bincount(unions.root, minlength=hi - lo)[unions.root] > 2))[0]
             serial += 1
             if len(some):
                 yield _found(run=[serial], members=[vid[some]], lanes=[np.stack([s0[some], s1[some]], axis=1).ravel()])
             if parts:
                 one = lo + np.unique(unions.root)
-                yield _found(slot=slot[one], key=key[one], vid=vid[one], s0=s0[one], s1=s1[one])
+                yield _found(slot=slot[one], key=key[one], vid=vid[one], root=root[one], s0=s0[one], s1=s1[one])
 
 
 def starred(vid: np.ndarray, codes: np.ndarray, root: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,37 +202,37 @@ def starred(vid: np.ndarray, codes: np.ndarray, root: np.ndarray, x: np.ndarray,
     return np.concatenate([center[to], x[rest]]), np.concatenate([to, y[rest]])
 
 
-def candidates(classes: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """``classes(vid, sig)`` of ``n`` rows -> distinct candidates (a, b), and runs (run, members, lanes) of large groups."""
-    bits, tables = plan(n)
-    rows = filed(classes, bits, tables)
-    # Keys of over RUN texts show in a 64th of the texts; which way a key goes changes nothing but the work.
-    hot = filed(classes.where(F.pmod("vid", F.lit(64)) == 5), bits, tables).groupBy("slot", "key").count().where(F.col("count") > RUN // 128).select("slot", "key")
+def candidates(classes: DataFrame, bits: int, tables: int, slots: range, run: int = RUN, few: int = FEW) -> tuple[DataFrame, DataFrame]:
+    """``classes(vid, root, sig)`` -> distinct candidates (a, b) of the tables ``slots``, and runs (run, members, lanes) of larger keys."""
+    rows = filed(classes, bits, tables, slots)
+    # Keys of over ``run`` texts show in a 64th of the texts; those that don't still fit a task, which holds four times as many.
+    hot = filed(classes.where(F.pmod("vid", F.lit(64)) == 5), bits, tables, slots).groupBy("slot", "key").count().where(F.col("count") > run // 128).select("slot", "key")
     hot = materialize(hot, "simhash-hot-keys")
     n_hot = hot.count()
-    out, round_ = [], 1
+    # Of each search its own part of the run numbers.
+    base, columns = 32 if slots.start else 0, ["slot", "key", "vid", "root", "s0", "s1"]
+    out, serial = [], base
     if n_hot:
         parts = materialize(rows.join(bounded(hot, n_hot), ["slot", "key"], "left_semi"), "simhash-hot-rows")
-        rows, before = rows.join(bounded(hot, n_hot), ["slot", "key"], "left_anti"), None
+        rows, before = rows.join(bounded(hot, n_hot), ["slot", "key"], "left_anti"), parts.count()
         while True:
-            order = ["slot", "key", "rank", "vid"]
-            ranked = parts.select("slot", "key", "vid", "s0", "s1", gray_column("s0").alias("rank"))
-            dealt = ranked.repartitionByRange(*order).sortWithinPartitions(*order)
-            found = materialize(dealt.mapInArrow(lambda batches, r=round_: searched(batches, r, True), _FOUND_SQL), "simhash-parts")
+            serial += 1
+            dealt = parts.withColumn("rank", gray_column()).repartitionByRange("slot", "key", "rank", "vid").sortWithinPartitions("slot", "key", "rank", "vid").select(*columns)
+            found = materialize(dealt.mapInArrow(lambda batches, n=serial: searched(batches, n, True, run, few), _FOUND_SQL), "simhash-parts")
             out.append(found)
-            left = found.where("slot is not null").select("slot", "key", "vid", "s0", "s1")
-            large = materialize(left.groupBy("slot", "key").count().where(F.col("count") > RUN).select("slot", "key"), "simhash-hot-keys")
+            left = found.where("slot is not null").select(*columns)
+            large = materialize(left.groupBy("slot", "key").count().where(F.col("count") > run).select("slot", "key", F.ceil(2 * F.col("count") / run).cast("int").alias("blocks")), "simhash-hot-keys")
             n_large, size = large.count(), left.count()
             rows = rows.unionByName(left.join(bounded(large, n_large), ["slot", "key"], "left_anti"))
-            round_ += 1
-            if not n_large or round_ > 30:
+            if not n_large:
+                break
+            parts = left.join(bounded(large, n_large), ["slot", "key"])
+            if 2 * size > before:
+                rows = rows.unionByName(block_pairs(parts).select(*columns))
                 break
-            parts = left.join(bounded(large, n_large), ["slot", "key"], "left_semi")
-            if before and size > 0.9 * before:  # unlike texts: eight more bits in the pattern
-                parts = parts.withColumn("key", F.xxhash64("key", F.expr(f"shiftrightunsigned(s1, {8 * (round_ % 8)}) & 255")))
-            parts, before = materialize(parts, "simhash-hot-rows"), size
+            parts, before = materialize(parts.select(*columns), "simhash-hot-rows"), size
     dealt = rows.repartition("slot", "key").sortWithinPartitions("slot", "key")
-    out.append(materialize(dealt.mapInArrow(lambda batches: searched(batches, 0, False), _FOUND_SQL), "simhash-found"))
+    out.append(materialize(dealt.mapInArrow(lambda batches: searched(batches, base, False, run, few), _FOUND_SQL), "simhash-found"))
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)
@@ -222,9 +240,18 @@ def candidates(classes: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     return materialize(pairs, "similar-candidates"), found.where("run is not null").select("run", "members", "lanes")
 
 
-def gray_column(name: str) -> Column:
-    """Gray rank of a long as an ordered long."""
-    x = F.col(name)
+def block_pairs(rows: DataFrame) -> DataFrame:
+    """Rows of keys that are cut into ``blocks``: a row for each pair of blocks that its own is in, the pair being a key of its own."""
+    own = rows.withColumn("own", F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int"))
+    each = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return each.withColumn("key", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+
+
+def gray_column() -> Column:
+    """Gray rank of the signature's bits as an ordered long; each table begins with other bits."""
+    turn = F.expr("(slot * 23) % 64")
+    x = F.when(F.col("slot") % 2 == 0, F.col("s0")).otherwise(F.col("s1"))
+    x = F.call_function("shiftleft", x, turn).bitwiseOR(F.call_function("shiftrightunsigned", x, (64 - turn) % 64))
     for s in (1, 2, 4, 8, 16, 32):
         x = x.bitwiseXOR(F.shiftrightunsigned(x, s))
     return x.bitwiseXOR(F.lit(-(2**63)))
@@ -282,28 +309,37 @@ def verified(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, few: int = FEW) -> DataFrame:
     """(id, component_id) for every row: the smallest non-null id of its group of near-duplicates. Texts without words
-    are one group; repeated rows and null ids give rows; other columns are ignored; an empty table gives no rows."""
+    are one group; repeated rows and null ids give rows; other columns are ignored; an empty table gives no rows. ``run`` and
+    ``few`` bound what a task holds and what a key gives; any values give the same pairs but for the search's chance."""
     prints = materialize(signatures(docs, id_col, text_col), "signatures")
     classes = prints.groupBy("vid").agg(F.min("id").alias("least"), F.min("sig").alias("sig"), F.min(F.struct("own", "key")).alias("row"))
     classes = materialize(classes, "signature-classes")
-    found, runs = candidates(classes, classes.count())
+    bits, tables = plan(classes.count())
 
     def edges(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("b").alias("vid"))).distinct()
         wanted = materialize(classes.join(ends, "vid", "left_semi").select("vid", "row.own", "row.key"), "similar-rows")
         return materialize(verified(pairs, materialize(sets(docs, wanted, id_col, text_col), "similar-sets")), "similar-pairs")
 
+    def rooted(roots: DataFrame) -> DataFrame:
+        return classes.join(roots.select(F.col("node").alias("vid"), "root"), "vid", "left").withColumn("root", F.coalesce("root", "vid"))
+
+    found, runs = candidates(classes.withColumn("root", F.col("vid")), bits, tables, range(FIRST), run, few)
     near = edges(found)
     roots = materialize(connected_components(near), "similar-roots")
+    found, more = candidates(materialize(rooted(roots).select("vid", "root", "sig"), "signature-roots"), bits, tables, range(FIRST, tables), run, few)
+    runs = runs.unionByName(more)
+    if not found.isEmpty():
+        near = near.unionByName(edges(found))
+        roots = materialize(connected_components(near), "similar-roots")
     apart = materialize(still_apart(runs, roots), "similar-apart")
     if not apart.isEmpty():
         roots = connected_components(near.unionByName(edges(apart)))
-    roots = roots.select(F.col("node").alias("vid"), "root")
-    rooted = materialize(classes.select("vid", "least").join(roots, "vid", "left").select("vid", "least", F.coalesce("root", "vid").alias("root")), "signature-roots")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.select("id", "vid").join(rooted.join(least, "root").select("vid", "component_id"), "vid").select("id", "component_id")
+    ended = materialize(rooted(roots).select("vid", "least", "root"), "signature-roots")
+    least = ended.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.select("id", "vid").join(ended.join(least, "root").select("vid", "component_id"), "vid").select("id", "component_id")
 
 
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -44,25 +44,48 @@ def test_awkward_rows(spark):
     assert sim.similar_groups(frame(spark, [])).count() == 0
 
 
-def test_a_run_over_several_chunks(spark, monkeypatch):
-    """Many variants of one text: a hot key in every table."""
-    monkeypatch.setattr(sim, "RUN", 16)
+@pytest.mark.parametrize("run", [16, 200])
+def test_a_key_over_several_parts(spark, run):
+    """Many variants of one text: a hot key in every table, dealt out in Gray order."""
     rng = random.Random(1)
     base = words(rng, 300, 100_000).split(" ")
     rows = []
-    for k in range(80):
+    for k in range(400):
         w = list(base)
         w[rng.randrange(300)] = f"v{k}"
         rows.append((k, " ".join(w)))
-    assert {r.component_id for r in sim.similar_groups(frame(spark, rows)).collect()} == {0}
+    assert {r.component_id for r in sim.similar_groups(frame(spark, rows), run=run).collect()} == {0}
 
 
-@pytest.mark.parametrize("small", [128, 2])
-def test_only_pairs_of_the_similarity_are_joined(spark, monkeypatch, small):
-    """Pairs around 0.8, and chains of them: groups are the components of the pairs that brute force finds. With a small
-    bound all groups are searched as large ones: a forest first, then what is still apart."""
-    monkeypatch.setattr(sim, "SMALL", small)
-    rng = random.Random(7)
+def test_many_variants_of_one_text(spark):
+    """More than a task's part of one key with the default bounds; each variant is within the similarity of the base, most
+    pairs of variants are too."""
+    rng = random.Random(2)
+    base = words(rng, 120, 100_000).split(" ")
+    rows = [(0, " ".join(base))]
+    for k in range(1, 9000):
+        w = list(base)
+        w[rng.randrange(120)] = f"v{k}"
+        rows.append((k, " ".join(w)))
+    others = [(20_000 + k, words(rng, 60, 100_000)) for k in range(300)]
+    got = {r.id: r.component_id for r in sim.similar_groups(spark.createDataFrame(rows + others, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows) + len(others)
+    assert all(got[i] == 0 for i, _ in rows) and all(got[i] == i for i, _ in others)
+
+
+def test_unlike_texts_under_one_key_are_compared_in_blocks(spark):
+    """What no part shrinks: each pair of blocks is a key of its own, and no pair of rows is lost."""
+    rows = spark.range(200).selectExpr("1 as slot", "7L as key", "id as vid", "id as root", "id as s0", "id as s1", "5 as blocks")
+    pairs = sim.block_pairs(rows).select("key", "vid").collect()
+    together = {}
+    for r in pairs:
+        together.setdefault(r.key, set()).add(r.vid)
+    met = {(a, b) for s in together.values() for a in s for b in s}
+    assert len(met) == 200 * 200 and len(together) == 15
+
+
+def chains(seed):
+    rng = random.Random(seed)
     rows = []
     for k in range(150):
         w = words(rng, rng.randrange(80, 300), 100_000).split(" ")
@@ -72,8 +95,16 @@ def test_only_pairs_of_the_similarity_are_joined(spark, monkeypatch, small):
             for e in range(edits):
                 w[rng.randrange(len(w))] = f"e{k}x{c}x{e}"
             rows.append((10 * k + c, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize(("few", "run"), [(8, 8192), (1, 8192), (1, 16)])
+def test_only_pairs_of_the_similarity_are_joined(spark, few, run):
+    """Pairs around 0.8, and chains of them: groups are the components of the pairs that brute force finds. With small
+    bounds all keys are searched as large ones: a forest first, then what is still apart; or in parts."""
+    rows = chains(7)
     want, recalled, near = {}, 0, 0
-    got = {r.id: r.component_id for r in sim.similar_groups(frame(spark, rows)).collect()}
+    got = {r.id: r.component_id for r in sim.similar_groups(frame(spark, rows), run=run, few=few).collect()}
     for k in range(0, len(rows), 4):
         ids, shingled = [i for i, _ in rows[k : k + 4]], [sets(t) for _, t in rows[k : k + 4]]
         want.update({i: i for i in ids})

@@ -30,7 +30,7 @@ END_ID = 2
 #: Sequences open at a time in a task.
 OPEN = 4096
 #: Pieces that are packed by one task, about; a task's last open sequences stay as they are, so fewer tasks waste less.
-PIECES = 250_000
+PIECES = 50_000
 #: Distinct chunks kept in a generation.
 CHUNKS_KEPT = 250_000
 

@@ -1,7 +1,8 @@
 """URL filter: fixed rules first, gradient-boosted trees on lexical features for the rest.
 
 The trees learn from the URLs that the rules decide (or from given labels). Features: lengths, depth, digit ratio,
-entropy, parameter count, host shape, and block rates of the host's last labels among all URLs that the rules decide.
+entropy, parameter count, host shape, and block rates among all URLs that the rules decide: of the host's last labels, and of
+the path's first segment and first characters, which also tell hosts apart that no rule knows.
 """
 
 from __future__ import annotations
@@ -34,7 +35,12 @@ def matched(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return rule, verdict
 
 
-FEATURES = ["url_len", "host_len", "path_len", "depth", "digit_ratio", "host_digits", "entropy", "params", "labels", "hyphens", "query_len", "secure", "fragment", "suffix_rate", "domain_rate"]
+FEATURES = ["url_len", "host_len", "path_len", "depth", "digit_ratio", "host_digits", "entropy", "params", "labels", "hyphens", "query_len", "secure", "fragment"]
+#: Key column and feature: block rates of what URLs share.
+RATES = {"__suffix": "suffix_rate", "__domain": "domain_rate", "__segment": "segment_rate", "__start": "start_rate"}
+FEATURES += [*RATES.values(), "host_known"]
+#: Characters of a path's start.
+START = 5
 
 
 def lexical(urls: DataFrame) -> DataFrame:
@@ -64,6 +70,8 @@ def lexical(urls: DataFrame) -> DataFrame:
             "fragment": F.contains(u, F.lit("#")).cast("double"),
             "__suffix": F.element_at(parts, -1),
             "__domain": F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(2)), "."),
+            "__segment": F.regexp_extract("path", "^/([^/]*)", 1),
+            "__start": F.substring("path", 1, START),
         }
     )
 
@@ -76,12 +84,11 @@ def fold_of() -> Column:
 
 
 def block_rates(known: DataFrame) -> tuple[float, list[tuple[str, str, DataFrame, int]]]:
-    """The block rate of all labelled URLs, and sums and counts of labels by the host's last label and last two labels:
-    of all folds (place 0), and without each fold."""
-    known = known.select("__suffix", "__domain", "label", fold_of().alias("fold"))
+    """The block rate of all labelled URLs, and smoothed ones by each key of ``RATES``: of all folds (place 0), and without each fold."""
+    known = known.select(*RATES, "label", fold_of().alias("fold"))
     base = known.agg((F.sum("label") + 1) / (F.count("*") + 2)).first()[0]
     tables = []
-    for key, name in (("__suffix", "suffix_rate"), ("__domain", "domain_rate")):
+    for key, name in RATES.items():
         without = lambda f: (F.col("fold") != f) if f >= 0 else F.lit(True)
         smooth = lambda f: (F.coalesce(F.sum(F.when(without(f), F.col("label"))), F.lit(0.0)) + 10 * base) / (F.count(F.when(without(f), 1)) + 10)
         rates = materialize(known.groupBy(key).agg(F.array(*(smooth(f) for f in range(-1, FOLDS))).alias(name)), "url-rates")
@@ -94,13 +101,19 @@ def with_rates(rows: DataFrame, base: float, tables: list[tuple[str, str, DataFr
     left out: rows of the fit are described by the labels of other folds, never by their own."""
     for key, name, rates, n in tables:
         rows = rows.join(bounded(rates, n), key, "left").withColumn(name, F.coalesce(F.get(name, F.lit(0) if place is None else place), F.lit(base)))
-    return rows
+    return rows.withColumn("host_known", (F.col("domain_rate") != F.lit(base)).cast("double"))
+
+
+def unknown_hosts(rows: DataFrame, base: float) -> DataFrame:
+    """Rows of the fit as they would be if no labelled URL had their host: so the trees learn what else tells."""
+    return rows.withColumns({"suffix_rate": F.lit(base), "domain_rate": F.lit(base), "host_known": F.lit(0.0)})
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", train_rows: int = TRAIN_ROWS, trees: int = 12, depth: int = 4) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` for every row; score is the trees' probability to block.
 
-    About ``train_rows`` of the URLs that rules decide are drawn by hash to fit the trees. If the rules decide none,
+    About ``train_rows`` of the URLs that rules decide are drawn by hash to fit the trees, each with its host and once more
+    without. If the rules decide none,
     or all alike, there is nothing to learn and other URLs get that verdict (``allow`` without any). Null urls have
     empty host and path; repeated rows and null ids give rows; an empty table gives an empty result.
     """
@@ -124,7 +137,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, id_col: s
     rates = block_rates(known)
     train = materialize(known.where(F.pmod(F.xxhash64("page_id", "__url"), F.lit(1_000_000)) < rate * 1_000_000), "url-train")
     gather = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, labelCol="label").fit(gather.transform(with_rates(train, *rates, fold_of() + 1)).select("features", "label"))
+    known_hosts = with_rates(train, *rates, fold_of() + 1)
+    both = known_hosts.unionByName(unknown_hosts(known_hosts, rates[0]))
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, labelCol="label").fit(gather.transform(both).select("features", "label"))
     scored = model.transform(gather.transform(with_rates(lexical(rows), *rates))).withColumn("score", vector_to_array("probability")[1])
     by_model = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("__verdict", by_model).alias("verdict"), "score")

@@ -2,15 +2,19 @@
 
 Payload bytes are stored once under their SHA-256; record headers are stored apart, byte for byte. An original
 record is its header joined with the payload that its digest names. Both parts are Parquet tables, so archives grow
-with Spark's writers and a lost task writes its files anew.
+with Spark's writers and a lost task writes its files anew. Payloads are stored in buckets by digest: to read records back,
+headers go to the buckets and no payload is moved. A payload meets the headers of its responses only, nearly always one;
+revisits have no body and get the measures of theirs.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import LAST_ID, scratch_path, table
+from gridspark.llm.common import LAST_ID, materialize, scratch_path, table
 
 MIN_REVISIT_BYTES = 0
 DATE = "2020-01-01T00:00:00Z"
@@ -61,20 +65,45 @@ def header(rows: DataFrame) -> Column:
     )
 
 
-def write_archive(pages: DataFrame, path: str, **options) -> None:
-    """Writes ``path/payloads`` (sha256, payload) and ``path/headers`` (page_id, sha256, header)."""
+def write_archive(pages: DataFrame, path: str, buckets: int | None = None, **options) -> str:
+    """Writes ``path/headers`` (page_id, sha256, header), and the payloads (sha256, payload) as a table with files under ``path/payloads``, of
+    ``buckets`` buckets by digest (by default as many as shuffle partitions); gives the table's name."""
+    spark = pages.sparkSession
     rows = records(pages, **options)
     rows.select("page_id", "sha256", header(rows).alias("header")).write.option("compression", "zstd").parquet(f"{path}/headers")
-    # Equal payloads meet as one row per task before the shuffle.
-    rows.select("sha256", "payload").dropDuplicates(["sha256"]).write.option("compression", "zstd").parquet(f"{path}/payloads")
+    # Equal payloads meet as one row per task before the shuffle, which is also the buckets'.
+    n, name = buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), f"payloads_{uuid.uuid4().hex}"
+    one = rows.select("sha256", "payload").dropDuplicates(["sha256"]).repartition(n, "sha256").dropDuplicates(["sha256"])
+    one.write.option("compression", "zstd").option("path", f"{path}/payloads").bucketBy(n, "sha256").saveAsTable(name)
+    return name
+
+
+def stored_payloads(spark: SparkSession, path: str, payloads: str | None) -> DataFrame:
+    """By the table's name; without one, as in another session, from the files alone, which a join then moves."""
+    return spark.table(payloads) if payloads else spark.read.schema("sha256 string, payload binary").parquet(f"{path}/payloads")
+
+
+def rebuilt(spark: SparkSession, path: str, payloads: str | None = None) -> DataFrame:
+    """The original records, from headers and payloads: ``page_id, sha256, header, record_type, payload, record``; record is the bytes of a WARC file
+    for it, and only responses have a payload. A payload that is missing or is not the one of its digest, and a body that hasn't the
+    length its header says, are errors."""
+    heads = spark.read.parquet(f"{path}/headers").withColumn("record_type", field(F.col("header"), "WARC-Type"))
+    stored = stored_payloads(spark, path, payloads)
+    responses = heads.where("record_type = 'response'").hint("merge").join(stored, "sha256", "left").withColumn("payload", checked(F.col("payload"), F.col("sha256")))
+    both = responses.unionByName(heads.where("record_type <> 'response'"), allowMissingColumns=True)
+    end = F.lit(b"\r\n\r\n")
+    body = F.coalesce("payload", F.lit(b""))
+    block = F.octet_length("header") - F.length(F.regexp_extract(F.decode("header", "UTF-8"), r"(?s)^.*?\r\n\r\n", 0).cast("binary")) + F.octet_length(body)
+    fits = field(F.col("header"), "Content-Length") == block.cast("string")
+    record = F.when(fits, F.concat("header", body, end)).otherwise(F.raise_error(F.lit("a body hasn't the length of its header")))
+    return both.select("page_id", "sha256", "header", "record_type", "payload", record.alias("record"))
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The original records: ``page_id, header, payload, record`` (record is the bytes of a WARC file for it)."""
-    headers, payloads = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
-    rows = headers.join(payloads, "sha256", "left").withColumn("payload", checked(F.col("payload"), F.col("sha256")))
-    body = F.when(field(F.col("header"), "WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return rows.select("page_id", "header", "payload", F.concat("header", body, F.lit(b"\r\n\r\n")).alias("record"))
+def read_archive(spark: SparkSession, path: str, payloads: str | None = None) -> DataFrame:
+    """``page_id, header, payload, record`` of every record; a revisit has the payload of the record that it refers to."""
+    rows = rebuilt(spark, path, payloads)
+    lent = stored_payloads(spark, path, payloads).withColumnRenamed("payload", "lent")
+    return rows.join(lent, "sha256", "left").select("page_id", "header", F.coalesce("payload", "lent").alias("payload"), "record")
 
 
 def checked(payload: Column, digest: Column) -> Column:
@@ -86,21 +115,23 @@ def field(head: Column, name: str) -> Column:
     return F.regexp_extract(F.decode(head, "UTF-8"), rf"\r\n{name}: ([^\r\n]*)", 1)
 
 
-def summary(spark: SparkSession, path: str) -> DataFrame:
-    """One row per stored record, from what is read back. Each stored payload is verified and measured once; only its
-    measures travel to the records that share it."""
-    stored = spark.read.parquet(f"{path}/payloads").select("sha256", checked(F.col("payload"), F.col("sha256")).alias("payload"))
-    stored = stored.select("sha256", F.length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
-    heads = spark.read.parquet(f"{path}/headers").select("page_id", "sha256", field(F.col("header"), "WARC-Type").alias("record_type"), field(F.col("header"), "WARC-Payload-Digest").alias("said"), F.regexp_extract(field(F.col("header"), "WARC-Refers-To"), r"page:(-?\d+)", 1).alias("to"))
-    both = heads.join(stored, "sha256", "left")
-    agree = F.when(F.col("said") == F.concat(F.lit("sha1:"), F.col("payload_digest")), F.col("payload_digest")).otherwise(F.raise_error(F.lit("header and payload disagree")))
-    return both.select("page_id", "payload_bytes", agree.alias("payload_digest"), "record_type", F.when(F.col("to") != "", F.col("to").cast("long")).alias("refers_to"))
+def summary(spark: SparkSession, path: str, payloads: str | None = None) -> DataFrame:
+    """One row per record that is rebuilt: what its bytes say. Payload length and digest are computed from the rebuilt record's own
+    body; a revisit's are those of the response that has its payload, whose measures alone travel."""
+    rows = rebuilt(spark, path, payloads)
+    # A response's payload is what lies between its header and the record's end.
+    body = F.substring("record", F.octet_length("header") + 1, F.octet_length("record") - F.octet_length("header") - 4)
+    kept = rows.select("page_id", "sha256", "record_type", field(F.col("record"), "WARC-Payload-Digest").alias("said"), F.regexp_extract(field(F.col("header"), "WARC-Refers-To"), r"page:(-?\d+)", 1).alias("to"), F.when(F.col("record_type") == "response", body).alias("body"))
+    measured = materialize(kept.select("page_id", "sha256", "record_type", "said", "to", F.octet_length("body").cast("long").alias("n"), base32_sha1(F.col("body")).alias("digest")), "warc-records")
+    of = measured.where("record_type = 'response'").groupBy("sha256").agg(F.first("n").alias("own_n"), F.first("digest").alias("own_digest"))
+    both = measured.join(of, "sha256", "left").withColumn("digest", F.coalesce("digest", "own_digest"))
+    agree = F.when(F.col("said") == F.concat(F.lit("sha1:"), F.col("digest")), F.col("digest")).otherwise(F.raise_error(F.lit("header and payload disagree")))
+    return both.select("page_id", F.coalesce("n", "own_n").alias("payload_bytes"), agree.alias("payload_digest"), "record_type", F.when(F.col("to") != "", F.col("to").cast("long")).alias("refers_to"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
-    write_archive(table(spark, sf_dir, "pages"), path)
-    return summary(spark, path)
+    return summary(spark, path, write_archive(table(spark, sf_dir, "pages"), path))
 
 
 ORACLE_SQL = """

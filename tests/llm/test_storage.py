@@ -135,13 +135,19 @@ def test_warc_round_trip(spark, tmp_path):
     rows = [(5, "http://a/1", html[0], 1), (2, "http://a/2\r\nX: y", html[1], 1), (3, None, html[2], 1), (1, "http://b", html[3], 1), (9, "http://c", html[4], 1), (None, "http://d", html[5], 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, sha256 int")
     path = str(tmp_path / "w")
-    warc.write_archive(pages, path)
-    got = {r.page_id: r for r in warc.summary(spark, path).collect()}
+    name = warc.write_archive(pages, path, buckets=3)
+    got = {r.page_id: r for r in warc.summary(spark, path, name).collect()}
+    assert {r.page_id: r for r in warc.summary(spark, path).collect()} == got
     for i, _, h, _ in rows:
         data = (h or "").encode()
         assert got[i].payload_bytes == len(data) and got[i].payload_digest == base64.b32encode(hashlib.sha1(data).digest()).decode()
     assert {i: (r.record_type, r.refers_to) for i, r in got.items()} == {5: ("revisit", 2), 2: ("response", None), 3: ("revisit", 1), 1: ("response", None), 9: ("response", None), None: ("revisit", 2)}
     assert spark.read.parquet(f"{path}/payloads").count() == 3
+    whole = {r.page_id: bytes(r.payload) for r in warc.read_archive(spark, path, name).collect()}
+    assert whole == {i: (h or "").encode() for i, _, h, _ in rows}
+    # Headers go to the buckets; no payload is moved.
+    plan = warc.rebuilt(spark, path, name)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
     for r in warc.read_archive(spark, path).collect():
         head, _, body = bytes(r.record).partition(b"\r\n\r\n")
         fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
@@ -171,6 +177,15 @@ def test_warc_notices_damage(spark, tmp_path):
         warc.summary(spark, path).collect()
 
 
+def test_warc_notices_a_false_length(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write_archive(spark.createDataFrame([(1, "u", "good")], "page_id long, url string, html string"), path)
+    spark.read.parquet(f"{path}/headers").withColumn("header", F.expr(r"encode(regexp_replace(decode(header, 'UTF-8'), 'Content-Length: [0-9]+', 'Content-Length: 7'), 'UTF-8')")).coalesce(1).write.parquet(f"{path}/false/headers")
+    spark.read.parquet(f"{path}/payloads").write.parquet(f"{path}/false/payloads")
+    with pytest.raises(Exception, match="length of its header"):
+        warc.summary(spark, f"{path}/false").collect()
+
+
 def brute_rule(url):
     if url is None or "://" not in url:
         return "", "", None, None

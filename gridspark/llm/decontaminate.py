@@ -12,8 +12,12 @@ Spark does this in joins:
 * each document keeps the places of those of its windows that are a seed of any item. Seeds are looked up in a sorted
   array of hashes if the counted seeds fit ``SEEDS_SENT``, which nearly no window outlasts; beyond it all windows go
   into the join;
-* distinct seeds of documents are joined with the table and summed by document and text; only pairs whose shared seeds
-  could cover enough of the text are tiled, in the tasks where the join puts them.
+* seeds are ranked by how many texts have them. A pair that covers enough shares a number of seeds that is known, so it
+  shares one that is not among the text's commonest; only the rarer ones are joined. A phrase that all items have brings no
+  pairs so;
+* the pairs that are left fetch both sides' seeds; those that share enough are tiled, in the tasks where the join puts them.
+
+An item of fewer tokens than a seed is one seed of its own width: it must be there whole.
 
 Hashes of tokens and seeds are 64-bit and stand for them. Memory for a pair goes with its matches, not with its pairs
 of equal seeds: 20,000 equal tokens against 1,000 of them are 21,000 matches, not 20 million.
@@ -27,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import bounded, materialize, table, unused
@@ -112,22 +117,28 @@ def tile(p: np.ndarray, q: np.ndarray, seeds: np.ndarray, size: int, seed: int)
     return size - left
 
 
+def seed_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of windows; those of different widths differ."""
+    return window_hashes(tokens, width) ^ np.uint64(0x9FB21C651E98DF25 * width % 2**64)
+
+
 def item_texts(benchmark: DataFrame, text_col: str, seed: int) -> DataFrame:
-    """(t1, t2, size, seeds): every different item text of at least ``seed`` tokens with its seeds in order."""
+    """(t1, t2, size, width, seeds): every different item text with a token, the width of its seeds, and these in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = [window_hashes(np.array(h.as_py(), dtype=np.int64).view(np.uint64), seed).view(np.int64) for h in b.column(2)]
-            size = pa.array([len(x) + seed - 1 for x in lists], pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), size, pa.array(lists, pa.list_(pa.int64()))], names=["t1", "t2", "size", "seeds"])
+            tokens = [np.array(h.as_py(), dtype=np.int64).view(np.uint64) for h in b.column(2)]
+            width = [min(seed, len(x)) for x in tokens]
+            lists = [seed_hashes(x, w).view(np.int64) for x, w in zip(tokens, width)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(x) for x in tokens], pa.int32()), pa.array(width, pa.int32()), pa.array(lists, pa.list_(pa.int64()))], names=["t1", "t2", "size", "width", "seeds"])
 
     text = F.col(text_col).cast("string")
-    rows = benchmark.where(text.isNotNull()).select(*text_key(text), token_hashes(text).alias("h")).dropDuplicates(["t1", "t2"]).where(F.size("h") >= seed)
-    return rows.mapInArrow(run, "t1 long, t2 long, size int, seeds array<long>")
+    rows = benchmark.where(text.isNotNull()).select(*text_key(text), token_hashes(text).alias("h")).dropDuplicates(["t1", "t2"]).where(F.size("h") > 0)
+    return rows.mapInArrow(run, "t1 long, t2 long, size int, width int, seeds array<long>")
 
 
-def seed_places(docs: DataFrame, wanted: np.ndarray | None, text_col: str, seed: int) -> DataFrame:
-    """(t1, t2, places, seeds) of the texts that have a seed; of all windows if ``wanted`` (sorted) is None."""
+def seed_places(docs: DataFrame, wanted: np.ndarray | None, text_col: str, widths: list[int]) -> DataFrame:
+    """(t1, t2, places, seeds) of the texts that have a seed; of all windows of the widths if ``wanted`` (sorted) is None."""
     sent = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,21 +151,26 @@ def seed_places(docs: DataFrame, wanted: np.ndarray | None, text_col: str, seed:
             offsets = column.offsets.to_numpy().astype(np.int64)
             tokens = column.values.to_numpy(zero_copy_only=False).view(np.uint64)[offsets[0] : offsets[-1]]
             offsets -= offsets[0]
-            hashes = window_hashes(tokens, seed)
-            if known is None:
-                at = np.arange(len(hashes))
-            elif len(known):
-                at = np.flatnonzero(maybe[hashes >> np.uint64(64 - _MASK_BITS)])
-                at = at[known[np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)] == hashes[at]]
-            else:
-                at = np.zeros(0, np.int64)
-            row = np.searchsorted(offsets, at, "right") - 1
-            inside = at + seed <= offsets[row + 1]
-            at, row = at[inside], row[inside]
+            found = []
+            for width in widths:
+                hashes = seed_hashes(tokens, width)
+                if known is None:
+                    at = np.arange(len(hashes))
+                elif len(known):
+                    at = np.flatnonzero(maybe[hashes >> np.uint64(64 - _MASK_BITS)])
+                    at = at[known[np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)] == hashes[at]]
+                else:
+                    at = np.zeros(0, np.int64)
+                row = np.searchsorted(offsets, at, "right") - 1
+                inside = at + width <= offsets[row + 1]
+                found.append((row[inside], at[inside], hashes[at[inside]]))
+            row, at, hashes = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+            order = np.argsort(row, kind="stable")
+            row, at, hashes = row[order], at[order], hashes[order]
             rows, n = np.unique(row, return_counts=True)
             cuts = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
             places = pa.ListArray.from_arrays(cuts, pa.array((at - offsets[row]).astype(np.int32)))
-            seeds = pa.ListArray.from_arrays(cuts, pa.array(hashes[at].view(np.int64)))
+            seeds = pa.ListArray.from_arrays(cuts, pa.array(hashes.view(np.int64)))
             some = pa.array(rows)
             yield pa.RecordBatch.from_arrays([b.column(0).take(some), b.column(1).take(some), places, seeds], names=["t1", "t2", "places", "seeds"])
 
@@ -163,39 +179,52 @@ def seed_places(docs: DataFrame, wanted: np.ndarray | None, text_col: str, seed:
     return rows.mapInArrow(run, "t1 long, t2 long, places array<int>, seeds array<long>")
 
 
+def rare_seeds(seeds: DataFrame, coverage: float) -> DataFrame:
+    """Of ``seeds(t1, t2, size, width, seed, times)`` those that a text that covers an item enough must have one of. Each shared seed covers
+    at most its own tokens, so it takes ``need`` of them; the commonest that are fewer than that are left out."""
+    common = seeds.groupBy("seed").agg(F.count("*").alias("texts"))
+    need = F.ceil(F.lit(coverage) * F.col("size") / F.col("width"))
+    upto = F.sum("times").over(W.partitionBy("t1", "t2").orderBy(F.desc("texts"), "seed").rowsBetween(W.unboundedPreceding, 0))
+    return seeds.join(common, "seed").withColumn("upto", upto).where(F.col("upto") >= need).select("t1", "t2", "seed")
+
+
+def candidates(placed: DataFrame, rare: DataFrame) -> DataFrame:
+    """(d1, d2, t1, t2): texts and items that share one of the item's rarer seeds."""
+    return placed.select("d1", "d2", F.explode(F.array_distinct("seeds")).alias("seed")).join(rare, "seed").select("d1", "d2", "t1", "t2").distinct()
+
+
 def covered(docs: DataFrame, items: DataFrame, text_col: str, seed: int, coverage: float) -> DataFrame:
     """(d1, d2, t1, t2, matched, size): the document texts, by key, that cover item texts enough."""
-    seeds = items.select("t1", "t2", "size", F.explode("seeds").alias("seed")).groupBy("t1", "t2", "size", "seed").agg(F.count("*").alias("times"))
+    seeds = items.select("t1", "t2", "size", "width", F.explode("seeds").alias("seed")).groupBy("t1", "t2", "size", "width", "seed").agg(F.count("*").alias("times"))
     seeds = materialize(seeds, "benchmark-seeds")
     distinct = seeds.select("seed").distinct()
     few = distinct.count() <= SEEDS_SENT
     wanted = np.sort(distinct.toArrow().column("seed").to_numpy().astype(np.int64).view(np.uint64)) if few else None
-    placed = seed_places(docs, wanted, text_col, seed).withColumnsRenamed({"t1": "d1", "t2": "d2"})
+    widths = [r.width for r in seeds.select("width").distinct().orderBy("width").collect()]
+    placed = seed_places(docs, wanted, text_col, widths).withColumnsRenamed({"t1": "d1", "t2": "d2"})
     # Equal texts are tiled once.
     placed = materialize(placed, "document-seeds").dropDuplicates(["d1", "d2"])
-    shared = placed.select("d1", "d2", F.explode(F.array_distinct("seeds")).alias("seed")).join(seeds, "seed")
-    # Each seed covers at most its own tokens.
-    pairs = shared.groupBy("d1", "d2", "t1", "t2", "size").agg(F.sum("times").alias("times")).where(F.col("times") * seed >= F.lit(coverage) * F.col("size"))
-    pairs = materialize(pairs.select("d1", "d2", "t1", "t2", "size"), "benchmark-pairs")
-    both = pairs.join(placed, ["d1", "d2"]).withColumnRenamed("seeds", "own").join(items.select("t1", "t2", "seeds"), ["t1", "t2"])
+    pairs = materialize(candidates(placed, rare_seeds(seeds, coverage)), "benchmark-pairs")
+    both = pairs.join(placed, ["d1", "d2"]).withColumnRenamed("seeds", "own").join(items.select("t1", "t2", "size", "width", "seeds"), ["t1", "t2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             marked = []
-            for size, places, own, item in zip(b.column(4).to_pylist(), *(b.column(i) for i in (5, 6, 7))):
+            for size, width, places, own, item in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), *(b.column(i) for i in (6, 7, 8))):
                 places, own, item = (x.values.to_numpy(zero_copy_only=False) for x in (places, own, item))
-                marked.append(tile(*runs(places.astype(np.int64), own, item), size, seed))
+                could = width * int(np.isin(item, own).sum()) >= coverage * size
+                marked.append(tile(*runs(places.astype(np.int64), own, item), size, width) if could else 0)
             enough = pa.array(np.array(marked) >= coverage * b.column(4).to_numpy(zero_copy_only=False)) if marked else pa.array([], pa.bool_())
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(marked, pa.int32()), b.column(4)], names=["d1", "d2", "t1", "t2", "matched", "size"]).filter(enough)
 
-    return both.select("d1", "d2", "t1", "t2", "size", "places", "own", "seeds").mapInArrow(run, "d1 long, d2 long, t1 long, t2 long, matched int, size int")
+    return both.select("d1", "d2", "t1", "t2", "size", "width", "places", "own", "seeds").mapInArrow(run, "d1 long, d2 long, t1 long, t2 long, matched int, size int")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED_TOKENS, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id, item_id, matched_tokens, item_tokens, coverage``: one row for each row of ``docs`` and item it covers.
 
-    Defined cases: null and empty texts and items of fewer tokens than a seed match nothing; repeated rows and items each
-    give their own rows; null ids are carried; texts that repeat themselves, however long, are tiled like others; other
+    Defined cases: null texts and texts without tokens match nothing; items of fewer tokens than a seed are found where
+    they are there whole; repeated rows and items each give their own rows; null ids are carried; texts that repeat themselves, however long, are tiled like others; other
     columns are ignored; empty tables give an empty result.
     """
     items = materialize(item_texts(benchmark, "text", seed), "benchmark-texts")

@@ -60,17 +60,27 @@ def assign(rows: DataFrame, keys: list[str], shards: list[str], size: int = TABL
     return rows.withColumn(names[0], slot).join(lookup(rows.sparkSession, shards, size).toDF(*names), names[0]).select(*rows.columns, *names)
 
 
-#: Tasks that write one shard at most.
-SALTS = 8
+#: Tasks that write one shard at least, if it is large enough, and bytes of the input for each.
+SALTS, TASK_BYTES = 8, 256 << 20
+
+
+def salts_of(rows: DataFrame, shards: int) -> tuple[int, int]:
+    """Tasks for a shard and in all, by the input's size as Spark estimates it (that of its files, for a table)."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # An input that Spark knows nothing of counts as endless.
+    tasks = -(-size // TASK_BYTES) if size < 1 << 60 else 0
+    return max(SALTS, -(-tasks // shards)), max(tasks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def write_shards(rows: DataFrame, keys: list[str], shards: list[str], path: str, size: int = TABLE_SIZE) -> list[str]:
     """Writes all columns, one folder per shard, and gives the names of slot, shard and shard name there. Rows are dealt
-    by shard and their place in the input, so a large shard, even one of equal rows, is written by several tasks."""
+    by shard and their place in the input, so a large shard, even one of equal rows, is written by as many tasks as its bytes
+    want. Rows should come from files or another stored table: of those each has its place, also when a task runs again."""
     out = assign(rows, keys, shards, size)
     names = out.columns[-3:]
     salt = "_" + names[1] + "_salt"
-    dealt = out.withColumn(salt, F.monotonically_increasing_id() % SALTS).repartition(names[1], salt).drop(salt)
+    salts, tasks = salts_of(rows, len(shards))
+    dealt = out.withColumn(salt, F.monotonically_increasing_id() % salts).repartition(tasks, names[1], salt).drop(salt)
     dealt.write.option("compression", "zstd").partitionBy(names[1]).parquet(path)
     return names
 

@@ -263,6 +263,16 @@ def test_url_trees_learn_from_labels(spark):
     assert sum((r.verdict == "block") == (r.page_id % 2 == 1) for r in got) >= 54
 
 
+def test_shards_get_tasks_by_their_bytes(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    few = sharding.salts_of(docs, 64)
+    assert few == (sharding.SALTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    monkeypatch.setattr(sharding, "TASK_BYTES", 64)
+    salts, tasks = sharding.salts_of(docs, 64)
+    assert salts > 100 and 64 * (salts - 1) < tasks <= 64 * salts
+    assert sharding.salts_of(spark.range(3).join(spark.range(4)), 64)[0] >= sharding.SALTS
+
+
 def test_shards_are_even_and_stable(spark):
     names = sharding.shard_names(20)
     a = sharding.fill(names, 5003)

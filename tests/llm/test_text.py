@@ -168,6 +168,60 @@ def test_quality_held_out_accuracy(spark):
     assert sum(r.predicted == 0 for r in low) >= 0.8 * len(low)
 
 
+@pytest.mark.parametrize("scale", [0.1, 3.0])
+def test_quality_gradient_is_that_of_the_risk(scale):
+    """By finite differences; with large weights the negative part is under zero and the step goes against it."""
+    rng = np.random.default_rng(5)
+    p, u = rng.normal(1, 1, (200, 4)), rng.normal(0, 1, (300, 4))
+    w = scale * np.ones(4) if scale < 1 else -scale * np.array([0.1, 0.1, 0.1, -1.5])
+    seen = set()
+    for prior in (0.3, 0.95):
+        for v in (w, -w, w * 0):
+            positive, negative = quality.risks(v, p, u, prior)
+            seen.add(negative < 0)
+            of = lambda x, prior=prior, negative=negative: -quality.risks(x, p, u, prior)[1] if negative < 0 else sum(quality.risks(x, p, u, prior))
+            step = 1e-6
+            want = [(of(v + step * e) - of(v - step * e)) / (2 * step) for e in np.eye(4)]
+            assert np.allclose(quality.gradient(v, p, u, prior), want, atol=1e-6)
+    assert True in seen
+
+
+def test_quality_fit_recovers_the_classes():
+    """Unlabelled rows are a mixture; the risk is lowest where positives and negatives part."""
+    rng = np.random.default_rng(6)
+    good, bad = rng.normal(1.5, 1, (600, 3)), rng.normal(-1.5, 1, (400, 3))
+    one = lambda x: np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    w = quality.fit_nnpu(one(rng.normal(1.5, 1, (500, 3))), one(np.concatenate([good, bad])), 0.6)
+    assert (one(good) @ w > 0).mean() > 0.95 and (one(bad) @ w < 0).mean() > 0.95
+    start, end = (quality.risks(x, one(good), one(np.concatenate([good, bad])), 0.6) for x in (w * 0, w))
+    assert end[0] + max(0, end[1]) < start[0] + max(0, start[1])
+
+
+def plain_statistics(text):
+    raw = text.encode()
+    n, words, lines = len(raw), raw.split(), raw.split(b"\n")
+    k = max(len(words), 1)
+    share = lambda f: sum(map(f, raw)) / n
+    letter = lambda c: 97 <= c < 123
+    upper, digit, space = (lambda c: 65 <= c < 91), (lambda c: 48 <= c < 58), (lambda c: c in b"\t\n\x0b\x0c\r ")
+    mark = lambda c: 32 < c < 127 and not (letter(c) or upper(c) or digit(c))
+    return {
+        0: np.log1p(n), 1: share(upper), 2: share(digit), 3: share(space), 4: share(mark), 5: raw.count(b"!") / n, 6: sum(mark(a) and mark(b) for a, b in zip(raw, raw[1:])) / n,
+        7: share(lambda c: c >= 128), 8: raw.count(b"\n") / n, 9: np.log1p(len(words)), 11: len(set(words)) / k, 13: sum(w.isupper() for w in words) / k, 14: 1 - len(set(lines)) / len(lines),
+        15: max(Counter(words).values(), default=0) / k, 16: sum(len(w) <= 2 for w in words) / k,
+    }
+
+
+def test_quality_features_against_plain_counts():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        text = "".join(rng.choice(list("abcXYZ 019 \n\n.,!?é ß")) for _ in range(int(rng.integers(1, 60))))
+        got = quality.statistics(text)
+        for i, x in plain_statistics(text).items():
+            assert got[i] == pytest.approx(x), (i, quality.NAMES[i], text)
+    assert quality.statistics(None) == quality.statistics("") == [0.0] * len(quality.NAMES)
+
+
 def test_quality_awkward_rows(spark):
     docs = frame(spark, awkward())
     model = quality.learn(docs, spark.createDataFrame([(i, 1) for i in range(20)] + [(None, 1)], "doc_id long, quality int"))

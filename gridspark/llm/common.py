@@ -80,3 +80,10 @@ def unused(names: list[str], *wanted: str) -> list[str]:
     while any(prefix + w in taken for w in wanted):
         prefix += "_"
     return [prefix + w for w in wanted]
+
+
+#: SQL of the oracles: CRC32 by its table of 256 remainders, ``tab(t)``, over the bytes that ``x`` has in hex.
+SQL_CRC32_TABLE = """tab AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+SQL_CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+  lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1])), CAST(4294967295 AS BIGINT))"""

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import bound_batches, table
+from gridspark.llm.common import SQL_CRC32, SQL_CRC32_TABLE, bound_batches, table
 from gridspark.llm.packing import steps
 
 #: Words of the shortest run; shorter ones are no runs.
@@ -237,3 +237,23 @@ def query(spark, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.s").alias("start"), (-F.col("best.l")).alias("length"), F.col("best.p").alias("period"),
         F.floor(-1000 * F.col("best.l") / F.col("best.p")).alias("exponent_milli"), F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
     )
+
+
+#: Every period of every text: equal words of a text by distance, in stretches.
+ORACLE_SQL = rf"""
+WITH {SQL_CRC32_TABLE},
+hashed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {SQL_CRC32} AS h
+  FROM (SELECT doc_id, text, hex(encode(CAST(doc_id AS VARCHAR))) AS x FROM documents), tab),
+shaped AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM hashed),
+placed AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM shaped),
+words AS (SELECT doc_id, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word FROM (SELECT *, unnest(range(n)) AS i FROM placed WHERE n > 0)),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs),
+found AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS n FROM islands GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(12, 2 * q)),
+runs AS (SELECT doc_id, s, n, min(q) AS q FROM found GROUP BY 1, 2, 3),
+listed AS (SELECT doc_id, count(*) AS n_runs, first(s ORDER BY n DESC, s, q) AS s, first(n ORDER BY n DESC, s, q) AS n, first(q ORDER BY n DESC, s, q) AS q, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(s AS BIGINT) AS start, CAST(n AS BIGINT) AS length, CAST(q AS BIGINT) AS period, CAST(1000 * n // q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN listed ON listed.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridspark.llm.common import bounded, materialize, table
+from gridspark.llm.common import SQL_CRC32, SQL_CRC32_TABLE, bounded, materialize, table
 
 #: Letters of a word: those of ASCII and U+00C0 to U+00FF, all of one byte in Latin-1.
 RUN = "[A-Za-zÀ-ÿ]"
@@ -218,3 +218,22 @@ def spelling_groups(vocabulary: DataFrame, times: int = TIMES, block: int = BLOC
 
 def query(spark, sf_dir: str) -> DataFrame:
     return spelling_groups(vocabulary(table(spark, sf_dir, "documents"), misspell=True))
+
+
+#: Near words by their texts with one letter left out.
+ORACLE_SQL = rf"""
+WITH RECURSIVE {SQL_CRC32_TABLE},
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{5,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+distinct_runs AS (SELECT doc_id, w, count(*) AS k, hex(encode(CAST(doc_id AS VARCHAR) || ':' || w)) AS x FROM runs GROUP BY 1, 2),
+hashed AS (SELECT w, k, {SQL_CRC32} AS h FROM distinct_runs, tab),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, k FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY 1 HAVING sum(k) >= 3),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM words, range(1, 100) r(i) WHERE i <= length(word)),
+near AS (SELECT a.word AS x, b.word AS y FROM less a JOIN less b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM less a JOIN words b ON a.d = b.word UNION SELECT b.word, a.word FROM less a JOIN words b ON a.d = b.word),
+best AS (SELECT x, count(*) AS n_near, first(y ORDER BY n DESC, encode(y)) AS y, max(n) AS top FROM near JOIN words ON word = y GROUP BY x),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * n THEN y END AS form, CASE WHEN top >= 2 * n THEN top END AS form_n FROM words LEFT JOIN best ON x = word),
+ways AS (SELECT word, form AS at FROM forms WHERE form IS NOT NULL UNION ALL SELECT ways.word, forms.form FROM ways JOIN forms ON forms.word = ways.at WHERE forms.form IS NOT NULL),
+ends AS (SELECT ways.word, ways.at AS root FROM ways JOIN forms ON forms.word = ways.at WHERE forms.form IS NULL)
+SELECT forms.word, form, coalesce(root, forms.word) AS root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM forms LEFT JOIN ends ON ends.word = forms.word
+"""

@@ -284,3 +284,15 @@ def test_op13_equals_brute_force(spark, tmp_path):
     counts = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
     got = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in spelling.query(spark, str(tmp_path)).collect()}
     assert got == brute_groups(counts) and cut > 10
+
+
+@pytest.mark.parametrize("module", [periodic_runs, spelling])
+def test_queries_equal_their_sql(spark, module):
+    duckdb = pytest.importorskip("duckdb")
+    c = duckdb.connect()
+    c.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    want = c.execute(module.ORACLE_SQL)
+    names = [d[0] for d in want.description]
+    got = module.query(spark, "/root/testdata/sf0.01")
+    assert sorted(names) == sorted(got.columns)
+    assert Counter(tuple(r) for r in got.select(*names).collect()) == Counter(want.fetchall())

@@ -120,6 +120,24 @@ def test_only_pairs_of_the_similarity_are_joined(spark, few, run):
     assert all(want[i] == want[c] for i, c in got.items())
 
 
+def test_longer_fingerprints_tell_the_similarity():
+    """Pairs of 0.8 are within the bound, nearly all of 0.6 are not."""
+    rng = np.random.default_rng(3)
+    far = {0.8: [], 0.6: []}
+    for s, out in far.items():
+        shared = round(400 * s)
+        for _ in range(150):
+            h = rng.integers(0, 2**63, 400 + 400 - shared, dtype=np.uint64)
+            a, b = (np.frombuffer(sim.sketch(np.sort(x)), np.uint64) for x in (h[:400], h[400 - shared :][:400]))
+            out.append(int(gray_index.distance(a, b)))
+    jaccard = {s: round(400 * s) / (800 - round(400 * s)) for s in far}
+    assert 0.66 < jaccard[0.8] < 0.67 and np.mean(np.array(far[0.8]) <= sim.SKETCH_LIMIT) < 0.5
+    same = rng.integers(0, 2**63, 444, dtype=np.uint64)
+    near = [int(gray_index.distance(*(np.frombuffer(sim.sketch(np.sort(rng.permutation(same)[:400])), np.uint64) for _ in "ab"))) for _ in range(50)]
+    assert max(near) <= sim.SKETCH_LIMIT and min(far[0.6]) > sim.SKETCH_LIMIT
+    assert sim.sketch(np.zeros(0, np.uint64)) == bytes(sim.SKETCH_BITS // 8)
+
+
 def test_starred_links_join_the_same_texts():
     rng = np.random.default_rng(6)
     codes = rng.integers(0, 2**63, (5, 2), dtype=np.uint64)[rng.integers(0, 5, 300)]

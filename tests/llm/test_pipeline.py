@@ -51,5 +51,5 @@ def test_pipeline_on_awkward_documents(spark, tmp_path):
 
 def test_registered_names():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(queries.oracle_sql()) <= set(names)

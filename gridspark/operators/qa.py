@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -146,6 +147,25 @@ def integrity(rows: DataFrame, values: list[str], targets: DataFrame | None = No
     return out.withColumn("passed", reduce(lambda a, b: a & b, clean))
 
 
+def _at_once(rows: DataFrame, measures: dict[str, dict[str, Column]], rules: dict[str, str]) -> DataFrame:
+    """(check, passed) of several checks by one aggregation."""
+    wide = rows.agg(*(F.struct(*(m.alias(n) for n, m in of.items())).alias(check) for check, of in measures.items()))
+    own = lambda check: re.sub(rf"\b({'|'.join(measures[check])})\b", rf"{check}.\1", rules[check])
+    return wide.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check"), _true(F.expr(own(c))).alias("passed")) for c in measures))).alias("r")).select("r.*")
+
+
+def surface_checks(surface: DataFrame, mask: DataFrame, grid: Grid = TARGET) -> DataFrame:
+    """Salinity, winds and currents."""
+    measures = {"salinity": salinity_measures(grid), "winds": wind_measures(), "currents": current_measures()}
+    return _at_once(with_mask(surface, mask).where("is_ocean"), measures, {"salinity": SALINITY, "winds": WIND, "currents": CURRENTS})
+
+
+def target_checks(target: DataFrame, mask: DataFrame) -> DataFrame:
+    """Stratification and inversions."""
+    measures = {"stratification": stratification_measures(), "inversions": inversion_measures()}
+    return _at_once(with_lower(with_mask(target, mask).where("is_ocean")), measures, {"stratification": STRATIFICATION, "inversions": "anomalies = 0"})
+
+
 class ObservedCard:
     """The scorecard from metrics that the jobs which write the data observe on the way: no check scans anything itself.
 
@@ -210,9 +230,10 @@ def calendar(df: DataFrame, start: str, periods: int, date: str = "date") -> Dat
     return out.withColumn("passed", (F.col("missing") == 0) & (F.col("unexpected") == 0))
 
 
-def scorecard(checks: dict[str, DataFrame]) -> DataFrame:
-    """total_checks, passed_checks, success."""
-    return _card(reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("check"), "passed") for name, df in checks.items())))
+def scorecard(checks: dict[str, DataFrame], *more: DataFrame) -> DataFrame:
+    """total_checks, passed_checks, success; ``more`` are rows (check, passed)."""
+    rows = [df.select(F.lit(name).alias("check"), "passed") for name, df in checks.items()]
+    return _card(reduce(DataFrame.unionByName, [*rows, *more]))
 
 
 def _card(rows: DataFrame) -> DataFrame:

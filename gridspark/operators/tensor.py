@@ -6,30 +6,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.grid import CHANNELS, TARGET, Grid
+from gridspark.operators import chunks
 
 
-def _flat(df: DataFrame, values: list[str], keys: list[str], position, size: int, name: str) -> DataFrame:
-    """A day's present values are put at their positions in one dense array a value; what is absent or missing is 0. A day
-    is one row of the result, so it is also the largest group; its size is fixed by the grid."""
-    cell = F.struct(position.cast("int").alias("p"), *(F.col(v).cast("float").alias(v) for v in values))
-    got = df.groupBy(*keys).agg(F.collect_list(cell).alias("cells")).select(*keys, F.col("cells.p").alias("p"), *(F.col(f"cells.{v}").alias(v) for v in values))
+def _flat(df: DataFrame, values: list[str], keys: list[str], position: Column, size: int, name: str) -> DataFrame:
+    """The chunks of a day, some dozens of byte strings, put one behind the other in one dense array a value; what is absent or
+    missing is 0. A day is one row of the result, so it is also the largest group; its size is fixed by the grid. Two rows of
+    one day and position raise."""
+    parts = chunks.chunked(df, values, keys, position, size)
+    kinds = dict(df.dtypes)
+    got = parts.groupBy(*keys).agg(F.collect_list(F.struct("chunk", "data")).alias("parts")).select(*keys, F.col("parts.chunk").alias("chunk"), F.col("parts.data").alias("data"))
     n = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for r in range(whole.num_rows):
                 b = whole.slice(r, 1)
-                at = b.column(n)[0].values.to_numpy(zero_copy_only=False)
-                out = np.zeros((len(values), size), np.float32)
-                for i in range(len(values)):
-                    out[i, at] = b.column(n + 1 + i)[0].values.fill_null(0).to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array([out.ravel()], pa.list_(pa.float32()))], names=[*keys, name])
+                out = np.zeros((len(values), -(-size // chunks.BLOCK) * chunks.BLOCK), np.float32)
+                for at, raw in zip(b.column(n)[0].as_py(), b.column(n + 1)[0].values):
+                    out[:, at * chunks.BLOCK : (at + 1) * chunks.BLOCK] = np.frombuffer(raw.as_buffer(), "<f4").reshape(len(values), chunks.BLOCK)
+                flat = pa.ListArray.from_arrays(pa.array([0, len(values) * size], pa.int32()), pa.array(out[:, :size].ravel()))
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], flat], names=[*keys, name])
 
-    kinds = dict(df.dtypes)
     return got.mapInArrow(run, ", ".join([*(f"{k} {kinds[k]}" for k in keys), f"{name} array<float>"]))
 
 

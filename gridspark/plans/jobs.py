@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.grid import CHANNELS, TARGET, Grid
-from gridspark.operators import align, collocate, crop, mask, merge, metrics, normalize, qa, regrid, split, tensor, vertical
+from gridspark.operators import align, chunks, collocate, crop, mask, merge, metrics, normalize, qa, regrid, split, tensor, tiled, vertical
 
 
 def harmonize_surface(sources: list[tuple[DataFrame, list[str], DataFrame, DataFrame]], grid: Grid = TARGET, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -31,15 +31,40 @@ def harmonize_target(native: DataFrame, native_depths: DataFrame, lat_w: DataFra
     return out.join(F.broadcast(depth_axis(native.sparkSession)), "depth_idx").select("date", "depth_idx", "depth_m", "lat_idx", "lon_idx", "temp")
 
 
-def export_tensors(surface: DataFrame, target: DataFrame, n_depths: int, grid: Grid = TARGET, train: float = 0.7, val: float = 0.15, channels: list[str] = CHANNELS) -> tuple[DataFrame, DataFrame]:
-    """(tensors, statistics): common dates, mask, split, train-only statistics, scaled inputs and filled targets."""
+def harmonize_target_tiled(native: DataFrame, native_depths: DataFrame, src_lat: list[float], src_lon: list[float], grid: Grid = TARGET) -> DataFrame:
+    """The same for fine target grids, where a node serves many cells: the vertical first, over the few native nodes, then tiles, which
+    multiply no rows. Cells that can't be made are there with a missing value."""
+    from gridspark.functions.grid import depth_axis
+
+    levels = vertical.interpolate_depths(native, "temp", vertical.depth_weights(native_depths), ["date", "src_lat_idx", "src_lon_idx"])
+    dst = [grid.lat0 + grid.step * i for i in range(grid.ny)], [grid.lon0 + grid.step * i for i in range(grid.nx)]
+    out = tiled.regrid_tiled(levels, ["temp"], src_lat, src_lon, *dst, keys=["date", "depth_idx"])
+    return out.join(F.broadcast(depth_axis(native.sparkSession)), "depth_idx").select("date", "depth_idx", "depth_m", "lat_idx", "lon_idx", "temp")
+
+
+def export_chunks(surface: DataFrame, target: DataFrame, n_depths: int, grid: Grid = TARGET, train: float = 0.7, val: float = 0.15, channels: list[str] = CHANNELS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(inputs, targets, statistics): as ``export_tensors``, but as rows of chunks; the inputs' positions are cells, the targets' depths and cells."""
     surface, target = align.common_dates(surface, target)
-    ocean = mask.ocean_mask(target)
+    rows, filled, stats = _scaled(surface, target, train, val, channels)
+    keys, cell = ["split", "date"], F.col("lat_idx") * grid.nx + F.col("lon_idx")
+    inputs = chunks.chunked(rows, channels, keys, cell, grid.ny * grid.nx)
+    deep = filled.where(F.col("depth_idx") < n_depths)
+    return inputs, chunks.chunked(deep, ["temp"], keys, F.col("depth_idx") * (grid.ny * grid.nx) + cell, n_depths * grid.ny * grid.nx), stats
+
+
+def _scaled(surface: DataFrame, target: DataFrame, train: float, val: float, channels: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     dates = split.split_dates(surface, train, val)
-    rows = split.with_split(mask.with_mask(surface, ocean), dates)
+    rows = split.with_split(mask.with_mask(surface, mask.ocean_mask(target)), dates)
     stats = normalize.train_stats(rows, channels)
-    inputs = tensor.input_tensor(normalize.normalize(rows, stats, channels), ["split", "date"], channels, grid)
     filled = split.with_split(target, dates).withColumn("temp", normalize.fill_target(F.col("temp")))
+    return normalize.normalize(rows, stats, channels), filled, stats
+
+
+def export_tensors(surface: DataFrame, target: DataFrame, n_depths: int, grid: Grid = TARGET, train: float = 0.7, val: float = 0.15, channels: list[str] = CHANNELS) -> tuple[DataFrame, DataFrame]:
+    """(tensors, statistics): common dates, mask, split, train-only statistics, scaled inputs and filled targets."""
+    surface, target = align.common_dates(surface, target)
+    rows, filled, stats = _scaled(surface, target, train, val, channels)
+    inputs = tensor.input_tensor(rows, ["split", "date"], channels, grid)
     return inputs.join(tensor.target_tensor(filled, ["split", "date"], n_depths, grid), ["split", "date"]), stats
 
 
@@ -49,18 +74,9 @@ def validate(profiles: DataFrame, levels: DataFrame, target: DataFrame, grid: Gr
 
 
 def audit(surface: DataFrame, target: DataFrame, ocean: DataFrame, normalized: DataFrame, filled: DataFrame | None = None, grid: Grid = TARGET) -> DataFrame:
-    """The scorecard of the seven checks; ``filled`` are the targets as they are exported, with ``is_ocean``."""
-    return qa.scorecard(
-        {
-            "dates": qa.date_sync(surface, target),
-            "salinity": qa.salinity_contrast(surface, ocean, grid),
-            "winds": qa.wind_vector(surface, ocean),
-            "currents": qa.current_bounds(surface, ocean),
-            "stratification": qa.stratification(target, ocean),
-            "inversions": qa.inversions(target, ocean),
-            "integrity": qa.integrity(normalized, [c for c in CHANNELS if c in normalized.columns], filled),
-        }
-    )
+    """The scorecard of the seven checks, one aggregation a table; ``filled`` are the targets as they are exported, with ``is_ocean``."""
+    apart = {"dates": qa.date_sync(surface, target), "integrity": qa.integrity(normalized, [c for c in CHANNELS if c in normalized.columns], filled)}
+    return qa.scorecard(apart, qa.surface_checks(surface, ocean, grid), qa.target_checks(target, ocean))
 
 
 def write_audited(surface: DataFrame, target: DataFrame, ocean: DataFrame, path: str, grid: Grid = TARGET, channels: list[str] = CHANNELS) -> DataFrame:

@@ -447,6 +447,16 @@ def j1_merge(spark, d):
     return _r(merge.merge_sources([a, b, s.select("date", "lat_idx", "lon_idx", "sss", "u_wind")]), "sst", "sss", "u_wind")
 
 
+@register("j1_stored_merge", _SQL["j1_merge"])
+def j1_stored_merge(spark, d):
+    """Sources that are stored by day and cell: the merge moves none of them."""
+    s = fx.surface(spark, d)
+    a = s.where("sst < 32").select("date", "lat_idx", "lon_idx", "sst")
+    b = s.where("u_wind > -14").select("date", "lat_idx", "lon_idx", (F.col("sst") + 1).alias("sst"), "sss")
+    stored = [spark.table(bucketed.write_bucketed(x, buckets=8)) for x in (a, b, s.select("date", "lat_idx", "lon_idx", "sss", "u_wind"))]
+    return _r(merge.merge_sources(stored), "sst", "sss", "u_wind")
+
+
 @register("j2_common_dates", "WITH a AS (SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem), b AS (SELECT CAST(o_orderdate AS DATE) AS date FROM orders) SELECT date, count(*) AS n FROM a WHERE date IN (SELECT date FROM b) GROUP BY 1")
 def j2_common_dates(spark, d):
     a = fx.read(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("date"))
@@ -524,6 +534,14 @@ def j5_stored_collocate(spark, d):
     return collocate.collocate(fx.profiles(spark, d), _nudged(fx.levels(spark, d)), _nudged(spark.table(name)), COARSE, mode="long", stored=True)
 
 
+@register("s8_collocation_csv_grid", _COLLOCATED + " SELECT CAST(depth_m AS VARCHAR) AS depth_m, count(*) AS n_rows, count(argo_temp) AS n_temps, count(glorys_temp) AS n_grid, round(sum(glorys_temp), 4) AS sum_grid, count(model_prediction) AS n_pred FROM col GROUP BY 1")
+def s8_collocation_csv_grid(spark, d):
+    """With the grid's side; values are parsed from the text."""
+    path = sinks.scratch_path(spark, "collocation-csv")
+    sinks.write_csv(_collocated(spark, d), path)
+    return spark.read.option("header", True).csv(path).groupBy("depth_m").agg(F.count("*").alias("n_rows"), F.count("argo_temp").alias("n_temps"), F.count("glorys_temp").alias("n_grid"), F.round(F.sum(F.col("glorys_temp").cast("double")), 4).alias("sum_grid"), F.count("model_prediction").alias("n_pred"))
+
+
 @register("j6_mask_join", fx.sql("surface", "mask") + "SELECT date, count(*) AS n, round(avg(sst), 6) AS sst FROM surface JOIN mask USING (lat_idx, lon_idx) WHERE is_ocean GROUP BY date")
 def j6_mask_join(spark, d):
     return _r(mask.with_mask(fx.surface(spark, d), fx.mask(spark)).where("is_ocean").groupBy("date").agg(F.count("*").alias("n"), F.avg("sst").alias("sst")), "sst")
@@ -862,10 +880,14 @@ def j7_attach_stats(spark, d):
 # -- side files and tensors
 
 
-@register("s7_stats_json")
+@register("s7_stats_json", _SPLIT + " " + " UNION ALL ".join(f"SELECT CAST({i} AS INT) AS place, '{c}' AS channel, round(avg({c}), 6) AS mean, round(CASE WHEN stddev_pop({c}) >= 1e-8 THEN stddev_pop({c}) ELSE 1 END, 6) AS std FROM rows WHERE split = 'train' AND is_ocean" for i, c in enumerate(CHANNELS)))
 def s7_stats_json(spark, d):
-    rows = _rows(spark, d)
-    return sinks.stats_json(normalize.long_stats(normalize.train_stats(rows)), CHANNELS)
+    """Written as text and read again: the place of each key and its values."""
+    path = sinks.scratch_path(spark, "stats")
+    sinks.stats_json(normalize.long_stats(normalize.train_stats(_rows(spark, d))), CHANNELS).coalesce(1).write.text(path)
+    text = spark.read.text(path).select("value", F.posexplode(F.json_object_keys("value")).alias("place", "channel"))
+    of = lambda name: F.round(F.element_at(F.from_json("value", "map<string,struct<mean:double,std:double>>"), F.col("channel"))[name], 6).alias(name)
+    return text.select("place", "channel", of("mean"), of("std"))
 
 
 _EXPORT = (
@@ -881,13 +903,16 @@ _EXPORT = (
 )
 
 
-def _tensors(spark, d):
+def _yearly(spark, d) -> tuple[DataFrame, DataFrame]:
     """Yearly surface and target on the contract's 101 by 241 cells."""
     s = fx.surface(spark, d).withColumn("date", F.trunc("date", "year"))
     s = s.groupBy("date", "lat_idx", "lon_idx").agg(*(F.avg(c).alias(c) for c in CHANNELS))
-    target = jobs.harmonize_target(fx.target_native(spark, d), fx.native_depths(spark), *_weights(spark, TARGET), TARGET)
-    tensors, _ = jobs.export_tensors(_written(s, "surface"), _written(target, "target"), 15, TARGET)
-    return tensors
+    target = jobs.harmonize_target_tiled(fx.target_native(spark, d), fx.native_depths(spark), _coords(5.0, 2.5, 11), _coords(45.0, 2.5, 25), TARGET)
+    return _written(s, "surface"), _written(target, "target")
+
+
+def _tensors(spark, d):
+    return jobs.export_tensors(*_yearly(spark, d), 15, TARGET)[0]
 
 
 _SUM_Z = " + ".join(f"CAST({c} AS FLOAT)::DOUBLE" for c in CHANNELS)
@@ -900,6 +925,16 @@ def s6_tensors(spark, d):
     return _tensors(spark, d).select("split", "date", F.size("inputs").alias("n_inputs"), F.size("targets").alias("n_targets"), total("inputs", 2).alias("sum_inputs"), total("targets", 1).alias("sum_targets"))
 
 
+@register("s6_chunks", _EXPORT + f", a AS (SELECT split, date, count(*) AS n, sum({_SUM_Z}) AS x FROM z GROUP BY 1, 2), b AS (SELECT date, sum(CAST(coalesce(temp, 0) AS FLOAT)::DOUBLE) AS y FROM tgt GROUP BY 1) SELECT a.split, a.date, a.n AS n_input_cells, CAST(365115 AS BIGINT) AS n_target_cells, CAST(0 AS BIGINT) AS damaged, round(a.x, 2) AS sum_inputs, round(b.y, 1) AS sum_targets FROM a JOIN b ON a.date = b.date")
+def s6_chunks(spark, d):
+    """The tensors as chunk rows, stored and verified chunk by chunk; no row is a whole day."""
+    inputs, targets, _ = jobs.export_chunks(*_yearly(spark, d), 15, TARGET)
+    keys, cells = ["split", "date"], TARGET.ny * TARGET.nx
+    x = chunks.verify(_written(inputs, "inputs"), len(CHANNELS), keys, cells).select(*keys, F.col("n_cells").alias("n_input_cells"), F.col("damaged").alias("bad"), F.round("total", 2).alias("sum_inputs"))
+    y = chunks.verify(_written(targets, "targets"), 1, keys, 15 * cells).select(*keys, F.col("n_cells").alias("n_target_cells"), "damaged", F.round("total", 1).alias("sum_targets"))
+    return x.join(y, keys).withColumn("damaged", (F.col("bad") + F.col("damaged")).cast("long")).drop("bad")
+
+
 @register("q8_verify_tensors", _EXPORT + f", a AS (SELECT count(DISTINCT date) AS days, count(CASE WHEN {_BROKEN} OR isnan(sst) THEN 1 END) = 0 AS inputs_ok FROM z), b AS (SELECT count(CASE WHEN isnan(temp) THEN 1 END) = 0 AS targets_ok, max((depth_idx * 101 + lat_idx) * 241 + lon_idx) < 15 * 101 * 241 AS inside FROM tgt) SELECT days, inside AS shape_ok, inputs_ok AND targets_ok AS values_ok, true AS dtype_ok, inside AND inputs_ok AND targets_ok AS ok FROM a CROSS JOIN b")
 def q8_verify_tensors(spark, d):
     return tensor.verify(_tensors(spark, d), 7 * 101 * 241, 15 * 101 * 241)

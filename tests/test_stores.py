@@ -267,6 +267,9 @@ def test_observed_card_equals_the_checks(spark, tmp_path):
         plain = jobs.audit(surface, target, ocean, normalize.normalize(rows, normalize.train_stats(rows)), filled, grid).first()
         card = jobs.write_audited(surface, target, ocean, str(tmp_path / f"out{shift}"), grid).first()
         assert card == plain and card.total_checks == 7
+        one = {r.check: r.passed for df in (qa.surface_checks(surface, ocean, grid), qa.target_checks(target, ocean)) for r in df.collect()}
+        each = {"salinity": qa.salinity_contrast(surface, ocean, grid), "winds": qa.wind_vector(surface, ocean), "currents": qa.current_bounds(surface, ocean), "stratification": qa.stratification(target, ocean), "inversions": qa.inversions(target, ocean)}
+        assert one == {k: df.first().passed for k, df in each.items()}
         written = spark.read.parquet(str(tmp_path / f"out{shift}/target"))
         assert set(written.columns) == {*target.columns, "is_ocean"} and written.count() == target.count()
 

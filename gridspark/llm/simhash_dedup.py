@@ -105,8 +105,9 @@ def searched(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
 
 def links(fps: DataFrame, radius: int = 2) -> DataFrame:
     """Distinct ``fp`` longs -> edges (a, b) whose components are those of all pairs within ``radius`` bits."""
-    if not 0 <= radius <= 7:
-        raise ValueError("radius must be 0 to 7")
+    # Patterns of a depth are (radius + 1) ** depth; hot keys go down until few bits are left.
+    if not 0 <= radius <= 3:
+        raise ValueError("radius must be 0 to 3")
     wide, depth = radius + 1, 2
     rows, ready = filed(fps.select(F.lit(0).alias("mask_id"), "fp"), radius, depth, wide**depth), []
     while True:

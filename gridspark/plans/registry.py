@@ -519,7 +519,8 @@ def _nudged(df: DataFrame) -> DataFrame:
 
 
 def _collocated(spark, d):
-    return collocate.collocate(fx.profiles(spark, d), _nudged(fx.levels(spark, d)), _nudged(_written(_target(spark, d), "target")), COARSE)
+    target = jobs.harmonize_target_tiled(fx.target_native(spark, d), fx.native_depths(spark), _coords(5.0, 2.5, 11), _coords(45.0, 2.5, 25), COARSE)
+    return collocate.collocate(fx.profiles(spark, d), _nudged(fx.levels(spark, d)), _nudged(_written(target, "target")), COARSE)
 
 
 @register("j5_collocate", _COLLOCATED + " SELECT date, float_id, argo_lat, argo_lon, grid_lat, grid_lon, depth_m, argo_temp, glorys_temp, model_prediction FROM col")

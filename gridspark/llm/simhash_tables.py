@@ -1,10 +1,10 @@
-"""Near-duplicates by similarity of word shingles: SimHash finds candidates, the shingle sets decide.
+"""Near-duplicates by similarity of word shingles: SimHash finds most candidates, rare shingles the rest, the sets decide.
 
 Two texts whose shingle sets have similarity s differ in each SimHash bit with probability acos(2s / (1 + s)) / pi: at
 0.8 that is 0.15, so 64 bits are far apart in most pairs. A signature has 256 bits, and a table files it under the
 masked bit pattern of some of them. The patterns have a bit more for each doubling of the texts, so a key keeps a few
 chance texts whatever the input, and there are as many tables as it takes to find ``RECALL`` of the pairs at similarity
-0.8 (by the formula; 0.998 at 0.85). Below a key, signatures are searched as in ``gray_index``: in Gray order, in a tree
+0.8 (by the formula; 0.998 at 0.85; fewer of very short texts, whose bits differ more). Below a key, signatures are searched as in ``gray_index``: in Gray order, in a tree
 whose groups are dropped by their accumulated differences over the first 128 bits.
 
 A key with more texts than a task should hold (variants of one text) is dealt out in Gray order; each part is searched
@@ -14,8 +14,12 @@ alone, and one text of each of its components goes on to the next round, until t
 Candidates are verified on the shingle sets themselves: only pairs of similarity ``SIMILAR`` or more are edges. The first
 tables are verified and joined before the others are searched, and these give no candidates that are joined already. Of
 a key with more than a few texts only a forest is verified, nearest pairs first. A second look then takes the keys whose
-forests were not confirmed: of their candidates whose ends are still apart those that a longer fingerprint leaves in doubt
+forests were not confirmed: of their candidates whose ends are still apart those that a longer fingerprint holds likely
 are verified too; so no group gives all of its pairs.
+
+All this is by chance and only joins most texts early. The last search (``missed``) loses none: it takes an order of all
+shingles, and two sets of the similarity share one among the first of either (a fifth of it and one more). Texts of different
+roots that share such a shingle are candidates, unless their sizes or parities show that the sets differ too much.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.llm.common import LAST_ID, bounded, materialize, unused
@@ -46,6 +50,10 @@ CLOSE = 12
 #: Bits of the longer fingerprint that the second look compares, and how many may differ: 151 at 0.8, with a deviation of
 #: 11.3, of which four are allowed for; 213 differ at 0.66 and 236 at 0.6.
 SKETCH_BITS, SKETCH_LIMIT = 1024, 196
+#: Bits of the parities, by which the last search drops pairs that can't have the similarity.
+PARITY_BITS = 2048
+#: Shingles that over two in a ``SAMPLE``-th of the texts have go last in the order, at most so many.
+FREQUENT, SAMPLE = 1 << 18, 16
 #: Texts of one key that a task holds.
 RUN = 8192
 #: Keys of up to so many texts give all their candidates.
@@ -276,8 +284,8 @@ def gray_column() -> Column:
 
 
 def still_apart(runs: DataFrame, roots: DataFrame, sketched: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Candidates (a, b) of large groups whose ends have different roots and whose longer fingerprints are close. ``sketched`` gives
-    (vid, sketch) of wanted texts (vid)."""
+    """Candidates (a, b) of large groups whose ends have different roots and whose longer fingerprints are close: the likely ones,
+    ``missed`` gives the others. ``sketched`` gives (vid, sketch) of wanted texts (vid)."""
     rooted = runs.select("run", F.explode("members").alias("vid")).join(roots.select(F.col("node").alias("vid"), "root"), "vid", "left").select("run", "vid", F.coalesce("root", "vid").alias("root"))
     mixed = rooted.groupBy("run").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("run")
     # The lanes of mixed runs only.
@@ -302,6 +310,99 @@ def still_apart(runs: DataFrame, roots: DataFrame, sketched: Callable[[DataFrame
     return dealt.mapInArrow(look, "a long, b long").distinct()
 
 
+def parity(h: np.ndarray) -> bytes:
+    """For each remainder of the shingles, whether an odd number of them has it. Every differing bit takes a shingle that only
+    one of two sets has."""
+    return np.packbits((np.bincount((h % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1).astype(np.uint8)).tobytes()
+
+
+def prefix(h: np.ndarray, last: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """As many of the first shingles as two sets of the similarity need to share one of either's. ``last`` (sorted) come after all others,
+    by ``often``; any order does, this one keeps the candidates few."""
+    if not len(h):
+        return h
+    p, q = SIMILAR
+    n = len(h) - -(-len(h) * p // q) + 1
+    at = np.searchsorted(last, h)
+    late = np.append(last, np.uint64(0))[at] == h
+    late[at == len(last)] = False
+    return np.concatenate([h[~late], h[late][np.argsort(often[at[late]], kind="stable")]])[:n]
+
+
+def opening(texts: DataFrame, last: np.ndarray, often: np.ndarray) -> DataFrame:
+    """``texts(vid, root, text)`` -> (key, vid, root, size): a row for each shingle of a text's prefix, and the size of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t) for t in b.column(2).to_pylist()]
+            first = [prefix(h, last, often) for h in sets]
+            again = pa.array(np.repeat(np.arange(b.num_rows), [len(h) for h in first]))
+            size = pa.array([len(h) for h in sets], pa.int64())
+            keys = np.concatenate([np.zeros(0, np.uint64), *first]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), b.column(0).take(again), b.column(1).take(again), size.take(again)], names=["key", "vid", "root", "size"])
+
+    return texts.select("vid", "root", "text").mapInArrow(run, "key long, vid long, root long, size long")
+
+
+def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles, sorted, that several of the sampled ``texts(text)`` have, the most frequent ones only, and in how many. They only set the
+    order of the shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = np.concatenate([np.zeros(0, np.uint64), *(shingles(t) for t in b.column(0).to_pylist())])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["key"])
+
+    counted = texts.select("text").mapInArrow(run, "key long").groupBy("key").count().where("count > 2")
+    some = counted.orderBy(F.desc("count"), "key").limit(FREQUENT).toArrow()
+    keys, often = some.column(0).to_numpy().view(np.uint64), some.column(1).to_numpy()
+    order = np.argsort(keys)
+    return keys[order], often[order]
+
+
+def missed(texts: DataFrame, paritied: Callable[[DataFrame], DataFrame], run: int = RUN) -> DataFrame:
+    """``texts(vid, root, text)`` -> distinct candidates (a, b): all pairs of different roots that have the similarity are among
+    them. A shingle of over ``run`` texts is cut into blocks, and each pair of blocks is searched. ``paritied`` gives (vid, parity)
+    of wanted texts (vid)."""
+    last, often = frequent(texts.where(F.pmod("vid", F.lit(SAMPLE)) == 3))
+    same = Window.partitionBy("key")
+    rows = opening(texts, last, often).select("*", F.min("root").over(same).alias("low"), F.max("root").over(same).alias("high"), F.count("*").over(same).alias("n"))
+    blocks = F.when(F.col("n") > run, F.ceil(2 * F.col("n") / run)).otherwise(1).cast("int").alias("blocks")
+    shared = materialize(rows.where("low <> high").select("key", "vid", "root", "size", blocks), "similar-shared")
+    parities = materialize(paritied(shared.select("vid").distinct()), "similar-parities")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p, q = SIMILAR
+        for group, (_, size, vid, root, raw) in whole_groups(batches, 1):
+            odd = np.frombuffer(b"".join(raw), np.uint64).reshape(len(vid), -1)
+            at, found, held = np.arange(len(vid)), [], 0
+            for d in range(1, len(vid)):
+                # In a group sizes ascend, so what is too large for a text ends its search.
+                at = at[at + d < len(vid)]
+                at = at[(group[at + d] == group[at]) & (size[at + d] * p <= size[at] * q)]
+                if not len(at):
+                    break
+                for lo in range(0, len(at), 1 << 15):
+                    x = at[lo : lo + (1 << 15)]
+                    x = x[root[x] != root[x + d]]
+                    x = x[distance(odd[x], odd[x + d]) * (p + q) <= (size[x] + size[x + d]) * (q - p)]
+                    found.append(np.stack([np.minimum(vid[x], vid[x + d]), np.maximum(vid[x], vid[x + d])], axis=1))
+                    held += len(x)
+                if held > 1 << 20:
+                    yield ends(found)
+                    found, held = [], 0
+            if held:
+                yield ends(found)
+
+    dealt = block_pairs(shared.join(parities, "vid")).select("key", "size", "vid", "root", "parity").repartition("key").sortWithinPartitions("key", "size")
+    return dealt.mapInArrow(search, "a long, b long").distinct()
+
+
+def ends(pairs: list[np.ndarray]) -> pa.RecordBatch:
+    both = np.unique(np.concatenate(pairs), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)], names=["a", "b"])
+
+
 def from_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, name: str, make: Callable[[np.ndarray], bytes]) -> DataFrame:
     """``wanted(vid, own, key)`` -> (vid, name): what ``make`` gives for the shingles of the row that is named."""
 
@@ -337,11 +438,12 @@ def verified(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, few: int = FEW) -> DataFrame:
     """(id, component_id) for every row: the smallest non-null id of its group of near-duplicates. Texts without words
     are one group; repeated rows and null ids give rows; other columns are ignored; an empty table gives no rows. ``run`` and
-    ``few`` bound what a task holds and what a key gives; any values give the same pairs but for the search's chance."""
+    ``few`` bound what a task holds and what a key gives; any values give the same groups."""
     prints = materialize(signatures(docs, id_col, text_col), "signatures")
     classes = prints.groupBy("vid").agg(F.min("id").alias("least"), F.min("sig").alias("sig"), F.min(F.struct("own", "key")).alias("row"))
     classes = materialize(classes, "signature-classes")
-    bits, tables = plan(classes.count())
+    n = classes.count()
+    bits, tables = plan(n)
 
     def made(texts: DataFrame, name: str, make: Callable[[np.ndarray], bytes]) -> DataFrame:
         wanted = materialize(classes.join(texts, "vid", "left_semi").select("vid", "row.own", "row.key"), "similar-rows")
@@ -364,7 +466,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         roots = materialize(connected_components(near), "similar-roots")
     apart = materialize(still_apart(runs, roots, lambda texts: made(texts, "sketch", sketch)), "similar-apart")
     if not apart.isEmpty():
-        roots = connected_components(near.unionByName(edges(apart)))
+        near = near.unionByName(edges(apart))
+        roots = materialize(connected_components(near), "similar-roots")
+    now = materialize(rooted(roots).select("vid", "root", "row.own", "row.key"), "similar-rows")
+    texts = keyed(docs, id_col, text_col).join(bounded(now, n), ["own", "key"]).select("vid", "root", "text")
+    found = materialize(missed(texts, lambda wanted: made(wanted, "parity", parity), run), "similar-missed")
+    if not found.isEmpty() and not (late := edges(found)).isEmpty():
+        roots = connected_components(near.unionByName(late))
     ended = materialize(rooted(roots).select("vid", "least", "root"), "signature-roots")
     least = ended.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.select("id", "vid").join(ended.join(least, "root").select("vid", "component_id"), "vid").select("id", "component_id")

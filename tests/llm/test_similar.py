@@ -157,3 +157,78 @@ def test_starred_links_join_the_same_texts():
         a, b = sim.starred(vid[part], codes[part], unions.root, x, y)
         links |= {tuple(sorted(p)) for p in zip(vid[part][a].tolist(), vid[part][b].tolist())}
     assert len(links) < 4 * 300
+
+
+def components(rows):
+    """By brute force: the smallest id reached over pairs of the similarity."""
+    shingled = [sets(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def top(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for x in range(len(rows)):
+        for y in range(x):
+            if 5 * len(shingled[x] & shingled[y]) >= 4 * len(shingled[x] | shingled[y]):
+                root[top(x)] = top(y)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[top(k)] = min(least.get(top(k), i), i)
+    return {i: least[top(k)] for k, (i, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize(("few", "run"), [(8, 8192), (1, 16)])
+def test_no_link_of_short_texts_is_left_out(spark, few, run):
+    """A text of four shingles and many of five that hold it: each has a similarity of exactly 0.8 with it alone. Near a fifth of all
+    fingerprint bits differ, so more than a third of the longer fingerprints are over their bound."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(12):
+        base = words(rng, 8, 100_000)
+        rows += [(100 * k, base)] + [(100 * k + v, f"{base} v{k}x{v}") for v in range(1, 40)]
+    got = {r.id: r.component_id for r in sim.similar_groups(frame(spark, rows), few=few, run=run).collect()}
+    assert got == components(rows) and set(got.values()) == {100 * k for k in range(12)}
+
+
+@pytest.mark.parametrize("few", [8, 1])
+def test_no_link_of_chains_is_left_out(spark, few):
+    """Pairs around 0.8: the groups are those of brute force, none is missed by chance."""
+    for seed in (7, 8):
+        rows = chains(seed)
+        want = {}
+        for k in range(0, len(rows), 4):
+            want |= components(rows[k : k + 4])
+        assert {r.id: r.component_id for r in sim.similar_groups(frame(spark, rows), few=few).collect()} == want
+
+
+@pytest.mark.parametrize("run", [8192, 16])
+def test_the_last_search_alone_finds_all_pairs(spark, run):
+    """Few different words, so most shingles are frequent and many texts share them; all texts are still apart."""
+    rng = random.Random(5)
+    texts = [words(rng, rng.randrange(1, 60), 3) for _ in range(120)] + [None]
+    for t in texts[:100]:
+        w = t.split(" ")
+        for _ in range(rng.randrange(1, 3)):
+            w.insert(rng.randrange(len(w) + 1), rng.choice(w))
+        texts.append(" ".join(w))
+    h = [sim.shingles(t) for t in texts]
+    parities = [(i, bytearray(sim.parity(x))) for i, x in enumerate(h)]
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "vid long, root long, text string")
+    found = {(r.a, r.b) for r in sim.missed(rows, lambda wanted: spark.createDataFrame(parities, "vid long, parity binary").join(wanted, "vid"), run).collect()}
+    want = {(x, y) for y in range(len(h)) for x in range(y) if 0 < len(h[x]) and 5 * len(np.intersect1d(h[x], h[y])) >= 4 * len(np.union1d(h[x], h[y]))}
+    assert len(want) >= 30 and want <= found and len(found) < 2 * len(want)
+
+
+def test_any_order_of_shingles_leaves_a_shared_one():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        both, own = rng.integers(1, 60), rng.integers(0, 9, 2)
+        h = rng.integers(0, 2**63, both + own.sum(), dtype=np.uint64)
+        a, b = np.sort(h[: both + own[0]]), np.sort(np.concatenate([h[:both], h[both + own[0] :]]))
+        last = np.sort(rng.choice(h, rng.integers(0, len(h) + 1), replace=False))
+        often = rng.integers(3, 9, len(last))
+        shared = np.intersect1d(sim.prefix(a, last, often), sim.prefix(b, last, often))
+        assert len(shared) or 5 * both < 4 * len(h)
+    assert len(sim.prefix(np.zeros(0, np.uint64), last, often)) == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,19 +34,39 @@ def valid_levels(levels: DataFrame) -> DataFrame:
     return levels.where("pres is not null and temp is not null")
 
 
+def _legs(levels: DataFrame, key: str) -> DataFrame:
+    """Each level with the next deeper one (pres2, temp2) and the pressure before it (pres0)."""
+    points = valid_levels(levels).groupBy(key, "pres").agg(F.avg("temp").alias("temp"))
+    order = W.partitionBy(key).orderBy("pres")
+    return points.select(key, "pres", "temp", F.lead("pres").over(order).alias("pres2"), F.lead("temp").over(order).alias("temp2"), F.lag("pres").over(order).alias("pres0"))
+
+
+def _inside(depth: Column) -> Column:
+    """Whether a leg gives the value at ``depth``; of a profile's legs one does at most."""
+    return (depth >= F.col("pres")) & ((depth < F.col("pres2")) | (F.col("pres2").isNull() & F.col("pres0").isNotNull() & (depth == F.col("pres"))))
+
+
+def _between(depth: Column) -> Column:
+    return F.when(F.col("pres2").isNull(), F.col("temp")).otherwise(F.col("temp") + (F.col("temp2") - F.col("temp")) * (depth - F.col("pres")) / (F.col("pres2") - F.col("pres")))
+
+
+def profile_values(levels: DataFrame, depths: list[float] = DEPTHS, key: str = "profile_idx") -> DataFrame:
+    """(key, temps): the values of ``profile_at_depths`` as one array a profile; profiles without a valid level have no row."""
+    at = [F.lit(int(d)) for d in depths]
+    wide = _legs(levels, key).groupBy(key).agg(*(F.max(F.when(_inside(d), _between(d))).alias(f"__{i}") for i, d in enumerate(at)))
+    return wide.select(key, F.array(*(f"__{i}" for i in range(len(depths)))).alias("temps"))
+
+
 def profile_at_depths(levels: DataFrame, profiles: DataFrame, depths: list[float] = DEPTHS, key: str = "profile_idx") -> DataFrame:
     """(key, depth_idx, depth_m, temp): a row for every profile and depth.
 
     Levels with either part missing are dropped and equal pressures averaged; with fewer than two left, or outside
     the range, the value is missing. The order of levels doesn't matter.
     """
-    points = valid_levels(levels).groupBy(key, "pres").agg(F.avg("temp").alias("temp"))
-    order = W.partitionBy(key).orderBy("pres")
-    legs = points.select(key, "pres", "temp", F.lead("pres").over(order).alias("pres2"), F.lead("temp").over(order).alias("temp2"), F.lag("pres").over(order).alias("pres0"))
     wanted = F.array(*(F.struct(F.lit(i).alias("depth_idx"), F.lit(int(d)).alias("depth_m")) for i, d in enumerate(depths)))
-    here = F.filter(wanted, lambda d: (d["depth_m"] >= F.col("pres")) & ((d["depth_m"] < F.col("pres2")) | (F.col("pres2").isNull() & F.col("pres0").isNotNull() & (d["depth_m"] == F.col("pres")))))
-    found = legs.select(key, "pres", "temp", "pres2", "temp2", F.explode(here).alias("d"))
-    value = F.when(F.col("pres2").isNull(), F.col("temp")).otherwise(F.col("temp") + (F.col("temp2") - F.col("temp")) * (F.col("d.depth_m") - F.col("pres")) / (F.col("pres2") - F.col("pres")))
+    here = F.filter(wanted, lambda d: _inside(d["depth_m"]))
+    found = _legs(levels, key).select(key, "pres", "temp", "pres2", "temp2", F.explode(here).alias("d"))
+    value = _between(F.col("d.depth_m"))
     at = found.select(key, F.col("d.depth_idx").alias("depth_idx"), value.alias("temp"))
     spine = profiles.select(key).select(key, F.explode(wanted).alias("d")).select(key, "d.depth_idx", "d.depth_m")
     return spine.join(at, [key, "depth_idx"], "left")

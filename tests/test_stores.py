@@ -14,7 +14,7 @@ from gridspark.plans import jobs
 from gridspark.sources import bucketed, clustered
 from gridspark.sources.snapshots import Conflict, MonthTable
 
-T = dt.datetime
+T, D = dt.datetime, dt.date
 
 
 def plan_of(df):
@@ -222,6 +222,91 @@ def test_the_stored_target_is_not_moved(spark):
     assert "SortMergeJoin" in above[-1] and not any("Exchange" in x for x in above)
 
 
+def many_profiles(spark, n=60):
+    """Profiles in a few cells and on two days, each with its own time; one has none, one is outside. Levels, and a target that lacks depths and
+    cells and has one row twice."""
+    p = [(i, f"f{i % 7}", T(2020, 1, 1 + i % 2, i % 24, i % 60), 10.1 + 1.25 * (i % 3), 60.1) for i in range(n)] + [(n, None, None, 10.1, 60.1), (n + 1, "far", T(2020, 1, 1), 50.0, 60.0)]
+    profiles = spark.createDataFrame(p, "profile_idx long, float_id string, juld timestamp, lat double, lon double")
+    levels = spark.createDataFrame([(i, float(z), 20.0 - z / 100 - i / 1000) for i in range(0, n + 2, 2) for z in (0, 40, 40 + i, 600)], "profile_idx long, pres double, temp double")
+    t = [(D(2020, 1, d), a, 12, k, 100.0 * d + 10 * a + k / 100) for d in (1, 2, 4) for a in (4, 5) for k in range(0, 15, 1 + a % 2)] + [(D(2020, 1, 2), 4, 12, 3, 7.5), (D(2020, 1, 2), 4, 12, 15, 8.5)]
+    return profiles, levels, spark.createDataFrame(t, "date date, lat_idx int, lon_idx int, depth_idx int, temp double")
+
+
+def by_hand(profiles, levels, target, grid):
+    """Rows of the collocation by plain loops."""
+    depths, out = [0, 5, 10, 20, 30, 50, 75, 100, 125, 150, 200, 300, 500, 700, 1000], []
+    target, levels = target.collect(), levels.collect()
+    axis = sorted({r.date for r in target})
+    for p in profiles.collect():
+        if not (5 <= p.lat <= 30 and 45 <= p.lon <= 105):
+            continue
+        i, j = math.ceil((p.lat - 5) / grid.step - 0.5), math.ceil((p.lon - 45) / grid.step - 0.5)
+        day = p.juld and min(axis, key=lambda d: (abs(T(d.year, d.month, d.day) - p.juld), -d.toordinal()))
+        known = {}
+        for r in levels:
+            if r.profile_idx == p.profile_idx:
+                known.setdefault(r.pres, []).append(r.temp)
+        z = sorted(known)
+        for k, depth in enumerate(depths):
+            temp = None
+            if len(z) > 1 and z[0] <= depth <= z[-1]:
+                temp = round(float(np.interp(depth, z, [sum(known[x]) / len(known[x]) for x in z])), 3)
+            for g in [r.temp for r in target if (r.date, r.lat_idx, r.lon_idx, r.depth_idx) == (day, i, j, k)] or [None]:
+                out.append((str(p.juld)[:10] if p.juld else None, p.float_id or f"profile_{p.profile_idx}", depth, temp, g))
+    return sorted(map(str, out))
+
+
+def found(out):
+    return sorted(str((r.date, r.float_id, r.depth_m, None if r.argo_temp is None else round(r.argo_temp, 3), r.glorys_temp)) for r in out.collect())
+
+
+@pytest.mark.parametrize("mode", ["nearest", "long"])
+@pytest.mark.parametrize("bound", [0, 200_000])
+def test_collocation_equals_plain_loops(spark, monkeypatch, mode, bound):
+    from gridspark.operators import collocate
+
+    monkeypatch.setattr(collocate, "WANTED_ROWS", bound)
+    profiles, levels, target = many_profiles(spark)
+    grid = Grid(step=1.25, ny=21, nx=49)
+    assert found(collocate.collocate(profiles, levels, target, grid, mode=mode)) == by_hand(profiles, levels, target, grid)
+
+
+def test_what_is_broadcast_counts_cells_and_not_profiles(spark, monkeypatch):
+    """Sixty profiles in six cells and days are within a bound of six cells' depths."""
+    from gridspark.operators import collocate
+
+    monkeypatch.setattr(collocate, "WANTED_ROWS", 90)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    seen = []
+    monkeypatch.setattr(collocate.F, "broadcast", lambda df, f=F.broadcast: seen.append(df.count()) or f(df))
+    try:
+        profiles, levels, target = many_profiles(spark, 160)
+        out = collocate.collocate(profiles, levels, target, Grid(step=1.25, ny=21, nx=49))
+        assert "BroadcastHashJoin" in plan_of(out) and seen and max(seen) <= 90
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_by_depth_are_never_broadcast(spark, monkeypatch, tmp_path):
+    """Small files hold many profiles, and a row for each of their depths is far more than the files' size says; skill needs only rows with both values,
+    so either side of an inner join could be sent."""
+    from gridspark.operators import collocate, metrics
+
+    monkeypatch.setattr(collocate, "WANTED_ROWS", 90)
+    stored = []
+    for k, df in enumerate(many_profiles(spark, 160)):
+        df.write.parquet(f"{tmp_path}/{k}")
+        stored.append(spark.read.parquet(f"{tmp_path}/{k}"))
+    out = metrics.skill(collocate.collocate(*stored, Grid(step=1.25, ny=21, nx=49)), "argo_temp", "glorys_temp")
+    lines = plan_of(out).split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = next((k for k in range(i + 1, len(lines)) if depth[k] <= depth[i]), len(lines))
+            assert not any("Generate" in x or "profile_idx" in x for x in lines[i + 1 : below])
+
+
 # -- moments
 
 

@@ -307,6 +307,21 @@ def test_rows_by_depth_are_never_broadcast(spark, monkeypatch, tmp_path):
             assert not any("Generate" in x or "profile_idx" in x for x in lines[i + 1 : below])
 
 
+def exchanges(df):
+    return [line for line in plan_of(df).split("\n") if " Exchange " in f" {line.lstrip(' :+-')}"]
+
+
+def test_profiles_are_dealt_once_by_key_and_not_by_depth(spark, monkeypatch):
+    from gridspark.operators import collocate
+
+    monkeypatch.setattr(collocate, "WANTED_ROWS", 90)
+    tables, grid = many_profiles(spark, 160), Grid(step=1.25, ny=21, nx=49)
+    out = collocate.collocate(*tables, grid)
+    by_key = [x for x in exchanges(out) if "hashpartitioning(profile_idx" in x]
+    assert by_key and len(by_key) <= 4 and not any("depth_idx" in x for x in exchanges(out))
+    assert found(out) == by_hand(*tables, grid)
+
+
 # -- moments
 
 

@@ -322,6 +322,22 @@ def test_profiles_are_dealt_once_by_key_and_not_by_depth(spark, monkeypatch):
     assert found(out) == by_hand(*tables, grid)
 
 
+def test_profiles_are_not_dealt_by_cell_to_a_stored_target(spark, monkeypatch):
+    """Few cells and times of many profiles: the cells go to the stored target, and what is found there comes back."""
+    from gridspark.operators import collocate
+
+    monkeypatch.setattr(collocate, "WANTED_ROWS", 130)
+    profiles, levels, target = many_profiles(spark, 160)
+    grid = Grid(step=1.25, ny=21, nx=49)
+    name = bucketed.write_bucketed(target, buckets=4)
+    out = collocate.collocate(profiles, levels, spark.table(name), grid, mode="long", stored=True)
+    dealt = exchanges(out)
+    assert not any("juld" in x or "depth_idx" in x for x in dealt)
+    by_cell = [i for i, x in enumerate(dealt) if "hashpartitioning(date" in x]
+    assert len(by_cell) == 1 and len(dealt) <= 5
+    assert found(out) == by_hand(profiles, levels, target, grid)
+
+
 # -- moments
 
 

@@ -70,6 +70,7 @@ def split_json(summary: DataFrame) -> DataFrame:
     return summary.select("split", F.to_json(F.struct("num_timesteps", dates.alias("date_range"), "input_shape", "target_shape")).alias("value"))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """With header; missing values are empty."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """With header; missing values are empty. ``compression`` as Spark names it: a collocation repeats a profile's fields for each depth, and as gzip it takes a
+    small part of the plain text. A compressed file is read by one task, so it should be as large as a task's share."""
+    df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").option("compression", compression).csv(path)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 import random
 
 import numpy as np
@@ -338,6 +339,28 @@ def test_profiles_are_not_dealt_by_cell_to_a_stored_target(spark, monkeypatch):
     assert found(out) == by_hand(profiles, levels, target, grid)
 
 
+def test_compressed_csv_has_the_same_text(spark, tmp_path):
+    from gridspark.sources import sinks
+
+    df = spark.range(3000).selectExpr("string(id div 15) as float_id", "if(id % 7 = 0, null, round(id / 7, 4)) as temp", "int(id % 15) as depth_m").coalesce(2)
+    for kind in ("none", "gzip"):
+        sinks.write_csv(df, f"{tmp_path}/{kind}", kind)
+    plain, packed = ([r.value for r in spark.read.text(f"{tmp_path}/{kind}").collect()] for kind in ("none", "gzip"))
+    assert len(plain) == 3002 and sorted(plain) == sorted(packed)
+    sinks.write_csv(df, f"{tmp_path}/default")
+    assert all(f.endswith(".csv") for f in spark.read.text(f"{tmp_path}/default").inputFiles())
+
+
+def test_the_grid_collocation_lies_compressed(spark):
+    from gridspark.plans import registry
+
+    out = registry.queries()["s8_collocation_csv_grid"](spark, "/root/testdata/sf0.001")
+    files = out.inputFiles()
+    n_bytes = sum(os.path.getsize(f.removeprefix("file://")) for f in files)
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert n_bytes < 25 * out.agg(F.sum("n_rows")).first()[0]
+
+
 # -- moments
 
 
